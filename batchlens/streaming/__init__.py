@@ -1,0 +1,5 @@
+"""No operator lives here: every source of the engine is bounded.
+
+``batchlens.operators.models.generate`` is a projection and works unchanged on
+a streaming DataFrame (see ``tests/test_models.py``).
+"""
