@@ -46,10 +46,10 @@ def question(
     The choice is integer arithmetic on the row's id (a linear congruential
     step, upper bits used), so it is the same on every run and every engine.
     """
-    state = F.pmod(
-        F.pmod(row_id.cast("long"), F.lit(_MODULUS)) * 1_103_515_245 + (12_345 + seed),
-        F.lit(_MODULUS),
+    start = F.pmod(
+        F.pmod(row_id.cast("long"), F.lit(_MODULUS)) + seed * 48_271, F.lit(_MODULUS)
     )
+    state = F.pmod(start * 1_103_515_245 + 12_345, F.lit(_MODULUS))
     bits = F.floor(state / 65_536)
     words = F.array(*[F.lit(w) for w in WORDS])
     word = F.get(words, F.pmod(F.floor(bits / 2), F.lit(len(WORDS))).cast("int"))
