@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from batchlens.functions import media, prompts
 from batchlens.operators import audio, backends, chat, chunks, models, totals
-from batchlens.operators.align import align_chunks, align_turns
-from batchlens.operators.concat import find_long_texts
+from batchlens.operators.align import align_chunks, align_turns, find_long_turns
 from batchlens.operators.joins import join_media
 from batchlens.operators.ordered import find_long_keys
 from batchlens.operators.turns import speaker_turns
@@ -145,24 +144,24 @@ def q_union_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_speaker_turns(spark: SparkSession, sf: str) -> DataFrame:
-    segments = given.segments(spark, sf)
+    segments = given.segments(given.events(spark, sf))
     return speaker_turns(segments, long=find_long_keys(segments, ["file_ids"]))
 
 
-def _aligned(spark: SparkSession, sf: str) -> DataFrame:
-    segments = given.segments(spark, sf)
-    long = find_long_keys(segments, ["file_ids"])
-    turns = speaker_turns(segments, long=long)
-    return align_chunks(turns, given.chunks(spark, sf, long), long=long, ends_ascend=True)
+def _aligned(speech_rows: DataFrame) -> DataFrame:
+    long = find_long_keys(speech_rows, ["file_ids"])
+    turns = speaker_turns(given.segments(speech_rows), long=long)
+    return align_chunks(turns, given.chunks(speech_rows, long), long=long, ends_ascend=True)
 
 
 def q_align_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return _aligned(spark, sf)
+    return _aligned(given.events(spark, sf))
 
 
 def q_align_turns(spark: SparkSession, sf: str) -> DataFrame:
-    aligned = _aligned(spark, sf)
-    return align_turns(aligned, long=find_long_texts(aligned, ["file_ids", "turn"], "text"))
+    events = given.events(spark, sf)
+    aligned = _aligned(events)
+    return align_turns(aligned, long=find_long_turns(aligned, events))
 
 
 def _transcripts(spark: SparkSession, sf: str) -> DataFrame:

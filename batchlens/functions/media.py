@@ -93,7 +93,10 @@ def _nearest_sorted(ends: Column, at: Column, low: Column) -> Column:
 
     def pick(right: Column) -> Column:
         left_end = F.get(ends, right - 1)
-        left = _first_at_or_after(ends, left_end, low, right)
+        alone = (right - 1 == low) | (F.get(ends, right - 2) != left_end)
+        left = F.when(alone, right - 1).otherwise(
+            _first_at_or_after(ends, left_end, low, right)
+        )
         right_wins = F.abs(F.get(ends, right) - at) < F.abs(left_end - at)
         return (
             F.when(right == low, right)

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchlens.operators.concat import concat_ordered
+from batchlens.operators.concat import concat_ordered, find_long_texts
 from batchlens.operators.ordered import (
     LongKeys,
     last_seen,
@@ -45,20 +45,23 @@ def number_chunks(
 ) -> DataFrame:
     """Add ``chunk`` (0, 1, ... per file), ``_end`` and how it compares with the
     end before: ``_repeats`` for an equal one, ``_falls`` for a smaller one."""
-    ended = chunks.withColumn("_end", F.coalesce(F.col("end"), F.lit(OPEN_END)))
-    return (
-        with_running(
-            ended,
-            [key],
-            order,
-            long,
-            chunk=running_sum(F.lit(1).cast("long")),
-            _before=previous(F.struct(F.col("_end"))),
-        )
-        .withColumn("chunk", F.col("chunk") - 1)
-        .withColumn("_repeats", F.coalesce(F.col("_before._end") == F.col("_end"), F.lit(False)))
-        .withColumn("_falls", F.coalesce(F.col("_before._end") > F.col("_end"), F.lit(False)))
-        .drop("_before")
+    end = F.coalesce(F.col("end"), F.lit(OPEN_END))
+    columns = list(dict.fromkeys([key, *order, "text", "start", "end"]))
+    numbered = with_running(
+        chunks.select(*columns, end.alias("_end")),
+        [key],
+        order,
+        long,
+        _number=running_sum(F.lit(1).cast("long")),
+        _before=previous(F.struct(end.alias("end"))),
+    )
+    before = F.col("_before.end")
+    return numbered.select(
+        *columns,
+        "_end",
+        (F.col("_number") - 1).alias("chunk"),
+        F.coalesce(before == F.col("_end"), F.lit(False)).alias("_repeats"),
+        F.coalesce(before > F.col("_end"), F.lit(False)).alias("_falls"),
     )
 
 
@@ -112,16 +115,25 @@ def _align_sorted(
         long,
         _left=last_seen(mark),
         _right=next_seen(mark),
-    ).withColumn("_near", F.when(F.col("_kind") == 1, nearer()))
+    ).select(
+        key,
+        "_kind",
+        "_index",
+        "_speaker",
+        "_chunk",
+        F.when(F.col("_kind") == 1, nearer() - F.col("_index")).alias("_drift"),
+    )
     cuts = with_running(
-        near.drop("_left", "_right", "_repeats"),
-        [key],
-        ["_kind", "_index"],
-        long,
-        _ahead=running_max(F.col("_near") - F.col("_index")),
-    ).withColumn(
-        "_place",
-        F.when(F.col("_kind") == 1, F.col("_index") + F.col("_ahead")).otherwise(F.col("_index")),
+        near, [key], ["_kind", "_index"], long, _ahead=running_max(F.col("_drift"))
+    ).select(
+        key,
+        "_kind",
+        "_index",
+        "_speaker",
+        "_chunk",
+        F.when(F.col("_kind") == 1, F.col("_index") + F.col("_ahead"))
+        .otherwise(F.col("_index"))
+        .alias("_place"),
     )
     return assign(cuts, key, long)
 
@@ -179,10 +191,20 @@ def assign(cuts: DataFrame, key: str, long: LongKeys | None) -> DataFrame:
     )
 
 
+def find_long_turns(
+    aligned: DataFrame, chunks: DataFrame, key: str = "file_ids"
+) -> LongKeys | None:
+    """Turns with too much text for one string. A turn is no longer than its file,
+    so the aligned rows are only measured where a whole file is too long."""
+    if find_long_texts(chunks, [key], "text") is None:
+        return None
+    return find_long_texts(aligned, [key, "turn"], "text")
+
+
 def align_turns(aligned: DataFrame, key: str = "file_ids", long: LongKeys | None = None) -> DataFrame:
     """``(key, turn, part, speaker, text, start, end)``: one row per turn that
     took chunks, its texts put together, spanning from the start of its first
-    chunk to the end of its last. ``long`` is ``find_long_texts`` of the rows."""
+    chunk to the end of its last. ``long`` is ``find_long_turns``."""
     texts = concat_ordered(
         aligned,
         [key, "turn"],

@@ -17,34 +17,55 @@ ZERO_CROSSINGS = 6
 ROLLOFF = 0.99
 
 
-def resample(samples: np.ndarray, rate: int, target: int = MODEL_RATE) -> np.ndarray:
+# Output samples computed at a time, which bounds the memory of a long signal.
+SLICE = 1 << 18
+
+
+def filters(step: int, phases: int) -> tuple[np.ndarray, np.ndarray]:
+    """Low-pass filter of each output position between two input samples: the
+    offsets of the first taps, and the taps, one row per position."""
+    cutoff = min(step, phases) * ROLLOFF
+    first = np.ceil((np.arange(phases) / phases - ZERO_CROSSINGS / cutoff) * step)
+    width = math.ceil(2 * ZERO_CROSSINGS * step / cutoff) + 1
+    taps = first[:, None] + np.arange(width)
+    at = (taps / step - np.arange(phases)[:, None] / phases) * cutoff
+    window = np.cos(at * math.pi / ZERO_CROSSINGS / 2) ** 2
+    kernels = np.where(
+        np.abs(at) < ZERO_CROSSINGS, np.sinc(at) * window * cutoff / step, 0.0
+    )
+    return first.astype(np.int64), kernels
+
+
+def resample(
+    samples: np.ndarray, rate: int, target: int = MODEL_RATE, known: dict | None = None
+) -> np.ndarray:
     """Band-limited interpolation with a Hann-windowed sinc.
 
     Output sample ``j`` lies at time ``j / target``. It is the sum of all input
     samples within ``ZERO_CROSSINGS`` zero crossings of the low-pass filter,
-    whose cutoff is the lower of the two rates times ``ROLLOFF``. As many output
-    samples share a position between input samples as the rates' common divisor
-    allows, so one filter per such position serves the whole signal.
+    whose cutoff is the lower of the two rates times ``ROLLOFF``. Output samples
+    at the same position between two input samples share a filter; ``known``
+    keeps the filters of the rates seen so far.
     """
     if rate == target or not len(samples):
         return samples
     step, phases = rate // math.gcd(rate, target), target // math.gcd(rate, target)
-    cutoff = min(step, phases) * ROLLOFF
-    reach = math.ceil(ZERO_CROSSINGS * step / cutoff)
+    known = {} if known is None else known
+    if rate not in known:
+        known[rate] = filters(step, phases)
+    first, kernels = known[rate]
+    width = kernels.shape[1]
     length = math.ceil(len(samples) * phases / step)
+    before = -int(first[0])
     padded = np.concatenate(
-        [np.zeros(reach), samples.astype(np.float64), np.zeros(reach + 2 * step)]
+        [np.zeros(before), samples.astype(np.float64), np.zeros(width + step)]
     )
-    taps = np.arange(-reach, reach + step + 1)
-    result = np.zeros(length)
-    for phase in range(min(phases, length)):
-        at = (taps / step - phase / phases) * cutoff
-        near = np.flatnonzero(np.abs(at) < ZERO_CROSSINGS)
-        at = at[near]
-        kernel = np.sinc(at) * np.cos(at * math.pi / ZERO_CROSSINGS / 2) ** 2 * cutoff / step
-        windows = np.lib.stride_tricks.sliding_window_view(padded[near[0] :], len(near))
-        count = -(-(length - phase) // phases)
-        result[phase::phases] = windows[: count * step : step] @ kernel
+    result = np.empty(length)
+    for low in range(0, length, SLICE):
+        turn, phase = np.divmod(np.arange(low, min(length, low + SLICE)), phases)
+        starts = turn * step + first[phase] + before
+        near = padded[starts[:, None] + np.arange(width)]
+        result[low : low + SLICE] = np.einsum("jt,jt->j", near, kernels[phase])
     return result
 
 
@@ -67,10 +88,11 @@ def prepare_audio(
 
     @F.pandas_udf("array<double>")
     def at_target(waves: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        known: dict = {}
         for signals, rates in waves:
             yield pd.Series(
                 [
-                    None if s is None else resample(np.asarray(s), int(r), target)
+                    None if s is None else resample(np.asarray(s), int(r), target, known)
                     for s, r in zip(signals, rates)
                 ],
                 dtype=object,

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from batchlens.functions.media import CHUNKS, SEGMENTS, join_candidates
 from batchlens.operators.backends import (
@@ -38,25 +40,28 @@ def apply_model(
     first. ``count()`` alone drops the column and calls no model.
     """
 
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    arrow_type = to_arrow_type(DataType.fromDDL(returns))
+
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = None
         for batch in batches:
             model = model or backend()
-            answers = pd.Series([None] * len(batch), dtype=object)
-            present = [i for i, known in enumerate(batch.notna()) if known]
+            inputs = batch.to_pylist()
+            answers: list[Any] = [None] * len(inputs)
+            present = [i for i, value in enumerate(inputs) if value is not None]
             for start in range(0, len(present), batch_rows):
                 places = present[start : start + batch_rows]
-                outputs = model([batch.iat[i] for i in places], options)
+                outputs = model([inputs[i] for i in places], options)
                 if len(outputs) != len(places):
                     raise ValueError(
                         f"the model gave {len(outputs)} outputs for {len(places)} inputs"
                     )
                 for place, output in zip(places, outputs):
-                    answers.iat[place] = output
-            yield answers
+                    answers[place] = output
+            yield pa.array(answers, arrow_type)
 
     # asNondeterministic changes the function in place, hence a new one per call.
-    scored = F.pandas_udf(score, returns).asNondeterministic()
+    scored = F.arrow_udf(score, returns).asNondeterministic()
     return df.withColumn(output_col, scored(F.col(input_col)))
 
 

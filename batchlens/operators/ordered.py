@@ -155,24 +155,18 @@ def _windowed(
 ) -> DataFrame:
     ahead = Window.partitionBy(*keys).orderBy(*order)
     back = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    for name, running in columns.items():
-        value = running.value
-        if running.kind == "previous":
-            value = F.lag(value).over(ahead)
-        elif running.kind == "following":
-            value = F.lead(value).over(ahead)
-        elif running.kind == "sum":
-            value = F.sum(value).over(ahead.rowsBetween(*so_far))
-        elif running.kind == "max":
-            value = F.max(value).over(ahead.rowsBetween(*so_far))
-        elif running.kind == "last_seen":
-            value = F.last(value, ignorenulls=True).over(ahead.rowsBetween(*so_far))
-        else:
-            # Reading the order backwards keeps the frame growing, hence linear.
-            value = F.last(value, ignorenulls=True).over(back.rowsBetween(*so_far))
-        df = df.withColumn(name, value)
-    return df
+    so_far = ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Reading the order backwards keeps the frame growing, hence linear.
+    from_here = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    over = {
+        "previous": lambda v: F.lag(v).over(ahead),
+        "following": lambda v: F.lead(v).over(ahead),
+        "sum": lambda v: F.sum(v).over(so_far),
+        "max": lambda v: F.max(v).over(so_far),
+        "last_seen": lambda v: F.last(v, ignorenulls=True).over(so_far),
+        "next_seen": lambda v: F.last(v, ignorenulls=True).over(from_here),
+    }
+    return df.select("*", *[over[r.kind](r.value).alias(n) for n, r in columns.items()])
 
 
 def _carried(

@@ -34,18 +34,18 @@ def speaker_turns(
     and one sort.
     """
     slim = segments.select(key, *dict.fromkeys([*order, "label", "start", "end"]))
-    marked = with_running(
+    near = with_running(
         slim,
         [key],
         order,
         long,
         _before=previous(F.struct(F.col("label"))),
         _after=following(F.struct(F.lit(1))),
-    ).withColumn(
-        "_head",
-        F.col("_before").isNull() | ~F.col("_before.label").eqNullSafe(F.col("label")),
     )
-    edges = marked.where(F.col("_head") | F.col("_after").isNull()).drop("_before", "_after")
+    head = F.col("_before").isNull() | ~F.col("_before.label").eqNullSafe(F.col("label"))
+    edges = near.select(*slim.columns, head.alias("_head"), "_after").where(
+        F.col("_head") | F.col("_after").isNull()
+    )
     turns = with_running(
         edges,
         [key],

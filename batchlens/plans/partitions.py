@@ -23,8 +23,10 @@ AUDIO_JOB = JobSize(workers=2, rows_per_task=4096)
 IMAGE_JOB = JobSize(workers=1, rows_per_task=32)
 ARROW_BATCH_ROWS = 512
 
-# More tasks than this burden the driver. Batches are bounded inside the task
-# as well, so on larger tables a task simply sees more of them.
+# A task holds a core for several rounds at most: beyond that, more partitions
+# only add overhead. Batches are bounded inside the task as well, so on larger
+# tables a task simply sees more of them.
+WAVES = 16
 MAX_PARTITIONS = 100_000
 
 
@@ -44,12 +46,16 @@ def partition_plan(df: DataFrame, workload: str, size: JobSize) -> DataFrame:
 
 
 def spread(df: DataFrame, size: JobSize) -> DataFrame:
-    """Deal rows out evenly over the planned partitions (counts the rows now).
+    """Deal rows out evenly for scoring (counts the rows now).
 
-    Round robin balances model work whatever the keys look like. Spark sorts
-    rows before dealing them out, so a retried task deals them the same way.
+    Every task slot of the session counts as a worker to be kept busy, and there
+    are at most ``WAVES`` partitions per slot. Round robin balances model work
+    whatever the keys look like. Spark sorts rows before dealing them out, so a
+    retried task deals them the same way.
     """
-    return df.repartition(min(MAX_PARTITIONS, partition_count(df.count(), size)))
+    slots = max(size.workers, df.sparkSession.sparkContext.defaultParallelism)
+    wanted = partition_count(df.count(), JobSize(slots, size.rows_per_task))
+    return df.repartition(min(wanted, WAVES * slots, max(slots, MAX_PARTITIONS)))
 
 
 def cap_arrow_batches(spark: SparkSession, rows: int = ARROW_BATCH_ROWS) -> None:

@@ -29,7 +29,8 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text")
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as speech: ``(file_ids, segment_id, start, label, value, text)``."""
     # Event times carry no zone and count as UTC, as in any other engine.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     seconds = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -43,18 +44,22 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def segments(speech: DataFrame) -> DataFrame:
     """Raw speaker segments, one row each: an event speaks for ``value`` seconds."""
-    return _events(spark, sf_dir).select(
-        "file_ids", "segment_id", "start", (F.col("start") + F.col("value")).alias("end"), "label"
+    return speech.select(
+        "file_ids",
+        "segment_id",
+        "start",
+        (F.col("start") + F.col("value")).alias("end"),
+        "label",
     )
 
 
-def chunks(spark: SparkSession, sf_dir: str, long: LongKeys | None = None) -> DataFrame:
+def chunks(speech: DataFrame, long: LongKeys | None = None) -> DataFrame:
     """Transcript chunks, one row each: like the segments, cut short by the next
     one, so that ends never decrease. The last chunk of a file has no end."""
     after = with_running(
-        _events(spark, sf_dir),
+        speech,
         ["file_ids"],
         ["start", "segment_id"],
         long,
