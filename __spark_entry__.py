@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from batchlens.functions import media, prompts
 from batchlens.operators import audio, backends, chat, chunks, models, totals
-from batchlens.operators.align import align_chunks, align_turns, find_long_turns
+from batchlens.operators.align import align_chunks, align_turns
 from batchlens.operators.joins import join_media
-from batchlens.operators.ordered import find_long_keys
+from batchlens.operators.ordered import LongKeys, by_length, find_long_keys
 from batchlens.operators.turns import speaker_turns
 from batchlens.plans import captions as caption_flow
 from batchlens.plans import partitions, speech, text_generation
@@ -143,25 +143,34 @@ def q_union_chunks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def q_speaker_turns(spark: SparkSession, sf: str) -> DataFrame:
-    segments = given.segments(given.events(spark, sf))
-    return speaker_turns(segments, long=find_long_keys(segments, ["file_ids"]))
+def _per_file(run: Callable[..., DataFrame], spark: SparkSession, sf: str) -> DataFrame:
+    events = given.events(spark, sf)
+    return by_length(find_long_keys(events, ["file_ids"]), run, events)
+
+
+def _turns(long: LongKeys | None, events: DataFrame) -> DataFrame:
+    return speaker_turns(given.segments(events), long=long)
+
+
+def _aligned(long: LongKeys | None, events: DataFrame) -> DataFrame:
+    chunk_rows = given.chunks(events, long)
+    return align_chunks(_turns(long, events), chunk_rows, long=long, ends_ascend=True)
+
+
+def _aligned_turns(long: LongKeys | None, events: DataFrame) -> DataFrame:
+    return align_turns(_aligned(long, events), long=long)
 
 
-def _aligned(speech_rows: DataFrame) -> DataFrame:
-    long = find_long_keys(speech_rows, ["file_ids"])
-    turns = speaker_turns(given.segments(speech_rows), long=long)
-    return align_chunks(turns, given.chunks(speech_rows, long), long=long, ends_ascend=True)
+def q_speaker_turns(spark: SparkSession, sf: str) -> DataFrame:
+    return _per_file(_turns, spark, sf)
 
 
 def q_align_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return _aligned(given.events(spark, sf))
+    return _per_file(_aligned, spark, sf)
 
 
 def q_align_turns(spark: SparkSession, sf: str) -> DataFrame:
-    events = given.events(spark, sf)
-    aligned = _aligned(events)
-    return align_turns(aligned, long=find_long_turns(aligned, events))
+    return _per_file(_aligned_turns, spark, sf)
 
 
 def _transcripts(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,11 +238,18 @@ def q_parse_media_json(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def q_media_join(spark: SparkSession, sf: str) -> DataFrame:
-    joined = join_media(
-        given.audio_files(spark, sf), _transcripts(spark, sf), _diarizations(spark, sf)
+def _joined(spark: SparkSession, sf: str) -> DataFrame:
+    return join_media(
+        given.audio_files(spark, sf),
+        _transcripts(spark, sf),
+        _diarizations(spark, sf),
+        long_transcription=find_long_keys(given.spoken(spark, sf), ["file_ids"]),
+        long_diarization=find_long_keys(given.overheard(spark, sf), ["file_ids"]),
     )
-    return joined.select(
+
+
+def q_media_join(spark: SparkSession, sf: str) -> DataFrame:
+    return _joined(spark, sf).select(
         "file_ids",
         "file_name",
         "file_path",
@@ -243,10 +259,7 @@ def q_media_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_media_final(spark: SparkSession, sf: str) -> DataFrame:
-    final = speech.attributed(
-        given.audio_files(spark, sf), _transcripts(spark, sf), _diarizations(spark, sf)
-    )
-    return final.select(
+    return speech.attributed(_joined(spark, sf)).select(
         "file_ids",
         "file_name",
         F.posexplode_outer("mergedTranscriptionDiarization").alias("position", "m"),
@@ -262,11 +275,8 @@ def q_media_final(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_media_final_turns(spark: SparkSession, sf: str) -> DataFrame:
-    joined = join_media(
-        given.audio_files(spark, sf), _transcripts(spark, sf), _diarizations(spark, sf)
-    )
     merged = media.align_by_turn(F.col("transcription"), F.col("diarization"))
-    return joined.select(
+    return _joined(spark, sf).select(
         "file_ids", F.posexplode(merged).alias("position", "m")
     ).select(
         "file_ids",

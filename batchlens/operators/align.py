@@ -22,9 +22,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchlens.operators.concat import concat_ordered, find_long_texts
+from batchlens.operators.concat import concat_ordered
 from batchlens.operators.ordered import (
     LongKeys,
+    by_length,
+    find_long_keys,
     last_seen,
     next_seen,
     previous,
@@ -79,8 +81,8 @@ def align_chunks(
     ``chunks`` holds ``key, text, start, end`` and the order columns. Pass
     ``ends_ascend=True`` where chunk ends are known never to decrease within a
     file; otherwise that is checked by a job, and files that break it take the
-    iterative path of ``align_unsorted``. ``long`` is ``find_long_keys`` of the
-    chunks and turns together.
+    iterative path of ``align_unsorted``. ``long`` says that these are rows of
+    long files (see ``ordered.by_length``).
     """
     numbered = number_chunks(chunks, key, chunk_order, long)
     if ends_ascend:
@@ -191,28 +193,30 @@ def assign(cuts: DataFrame, key: str, long: LongKeys | None) -> DataFrame:
     )
 
 
-def find_long_turns(
-    aligned: DataFrame, chunks: DataFrame, key: str = "file_ids"
-) -> LongKeys | None:
-    """Turns with too much text for one string. A turn is no longer than its file,
-    so the aligned rows are only measured where a whole file is too long."""
-    if find_long_texts(chunks, [key], "text") is None:
-        return None
-    return find_long_texts(aligned, [key, "turn"], "text")
-
-
-def align_turns(aligned: DataFrame, key: str = "file_ids", long: LongKeys | None = None) -> DataFrame:
+def align_turns(
+    aligned: DataFrame, key: str = "file_ids", long: LongKeys | None = None
+) -> DataFrame:
     """``(key, turn, part, speaker, text, start, end)``: one row per turn that
-    took chunks, its texts put together, spanning from the start of its first
-    chunk to the end of its last. ``long`` is ``find_long_turns``."""
-    texts = concat_ordered(
-        aligned,
-        [key, "turn"],
-        ["chunk"],
-        "text",
-        long,
-        speaker=F.first("speaker"),
-        start=F.min_by("start", "chunk"),
-        end=F.max_by("end", "chunk"),
+    took chunks, its texts put together, from the start of its first chunk to the
+    end of its last. Only turns too large for one string have parts past 0, each
+    with its own span. ``long`` says that these are rows of long files."""
+
+    def texts(long_turns: LongKeys | None, rows: DataFrame) -> DataFrame:
+        return concat_ordered(
+            rows,
+            [key, "turn"],
+            ["chunk"],
+            "text",
+            long_turns,
+            speaker=F.first("speaker"),
+            start=F.min_by("start", "chunk"),
+            end=F.max_by("end", "chunk"),
+        )
+
+    # No turn is longer than its file, so only long files are measured again.
+    long_turns = None
+    if long is not None:
+        long_turns = find_long_keys(aligned, [key, "turn"], long.max_rows)
+    return by_length(long_turns, texts, aligned).select(
+        key, "turn", "part", "speaker", "text", "start", "end"
     )
-    return texts.select(key, "turn", "part", "speaker", "text", "start", "end")

@@ -6,37 +6,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.functions.prompts import chat_piece
-from batchlens.operators.concat import MAX_CHARS, MAX_ROWS, concat_ordered, find_long_texts
-from batchlens.operators.ordered import following, previous, with_running
+from batchlens.operators.concat import MAX_CHARS, concat_ordered
+from batchlens.operators.ordered import (
+    ROWS_PER_BLOCK,
+    LongKeys,
+    by_length,
+    find_long_keys,
+    following,
+    previous,
+    with_running,
+)
 
 
 def chat_prompts(
     messages: DataFrame,
     key: str = "conv_id",
     order: str = "turn",
-    max_rows: int = MAX_ROWS,
+    max_rows: int = ROWS_PER_BLOCK,
     max_chars: int = MAX_CHARS,
 ) -> DataFrame:
     """``(key, part, prompt)``; an ordinary conversation is one row, part 0.
 
     Each message becomes its piece of the prompt from its own role and those of
     its neighbours, and the pieces are joined in order. Conversations too large
-    for one string come in several parts (see ``concat_ordered``).
+    for one string come in several parts (see ``concat_ordered``). Neighbours,
+    sizes and the joining share one shuffle and one sort.
     """
-    long = find_long_texts(messages, [key], "text", max_rows, max_chars)
-    neighbours = with_running(
-        messages.select(key, order, "role", "text"),
-        [key],
-        [order],
-        long,
-        _before=previous(F.struct("role")),
-        _after=following(F.struct("role")),
-    )
-    pieces = neighbours.select(
-        key,
-        order,
-        chat_piece(
+
+    def prompts(long: LongKeys | None, rows: DataFrame) -> DataFrame:
+        near = with_running(
+            rows,
+            [key],
+            [order],
+            long,
+            _before=previous(F.struct("role")),
+            _after=following(F.struct("role")),
+        )
+        piece = chat_piece(
             F.col("role"), F.col("text"), F.col("_before.role"), F.col("_after.role")
-        ).alias("prompt"),
-    )
-    return concat_ordered(pieces, [key], [order], "prompt", long, max_rows, max_chars)
+        )
+        pieces = near.select(key, order, piece.alias("prompt"))
+        return concat_ordered(pieces, [key], [order], "prompt", long, max_chars)
+
+    slim = messages.select(key, order, "role", "text")
+    return by_length(find_long_keys(slim, [key], max_rows), prompts, slim)

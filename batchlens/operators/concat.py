@@ -7,69 +7,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchlens.operators.ordered import LongKeys, _measured, running_sum, with_running
+from batchlens.operators.ordered import LongKeys, running_sum, with_running
 
-MAX_ROWS = 100_000
 MAX_CHARS = 64 * 1024 * 1024
 
 
-def find_long_texts(
-    df: DataFrame,
-    keys: Sequence[str],
-    text: str,
-    max_rows: int = MAX_ROWS,
-    max_chars: int = MAX_CHARS,
-) -> LongKeys | None:
-    """Groups with too many rows or characters to become one string in one task."""
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum(F.length(text)).alias("_chars")
-    )
-    too_long = (F.col("_rows") > max_rows) | (F.col("_chars") > max_chars)
-    return _measured(sizes, keys, max_rows, too_long)
-
-
 def concat_ordered(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     text: str,
     long: LongKeys | None = None,
-    max_rows: int = MAX_ROWS,
     max_chars: int = MAX_CHARS,
     **others: Column,
 ) -> DataFrame:
     """``(*keys, part, <text>, *others)``: the texts of each group joined in order.
 
-    ``others`` are further aggregates of the group. A group of ordinary size
-    is one row with part 0. A group in ``long`` comes as several rows: its parts
-    in ascending order, put end to end, are the whole text, and no part grows
-    past the bounds by more than one input row.
+    ``others`` are further aggregates. A group of ordinary size is one row, part
+    0. One with more than ``max_chars`` characters, or with more rows than a
+    task should hold (``long``), comes as several rows: its parts, in ascending
+    order and put end to end, are the whole text. No part grows past the bounds
+    by more than one input row.
     """
-    if long is None:
-        return df.groupBy(*keys).agg(
-            F.lit(0).cast("long").alias("part"),
-            _joined(order, text),
-            *[c.alias(n) for n, c in others.items()],
-        )
     chars = F.coalesce(F.length(text), F.lit(0)).cast("long")
-    placed = with_running(
-        df,
-        keys,
-        order,
-        long,
-        _row=running_sum(F.lit(1).cast("long")),
-        _upto=running_sum(chars),
-    ).withColumn(
-        "part",
-        F.floor((F.col("_row") - 1) / max_rows) + F.floor((F.col("_upto") - chars) / max_chars),
-    )
-    parts = placed.groupBy(*keys, "part").agg(_joined(order, text))
-    if not others:
-        return parts
-    whole = df.groupBy(*keys).agg(*[c.alias(n) for n, c in others.items()])
-    return parts.join(whole, list(keys))
-
-
-def _joined(order: Sequence[str], text: str) -> Column:
+    running = {"_upto": running_sum(chars)}
+    part = F.floor((F.col("_upto") - chars) / max_chars)
+    if long is not None:
+        running["_row"] = running_sum(F.lit(1).cast("long"))
+        part = part + F.floor((F.col("_row") - 1) / long.max_rows)
+    placed = with_running(df, keys, order, long, **running)
     rows = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("_text"))))
-    return F.array_join(F.transform(rows, lambda r: r["_text"]), "").alias(text)
+    joined = F.array_join(F.transform(rows, lambda r: r["_text"]), "")
+    return placed.groupBy(*keys, part.alias("part")).agg(
+        joined.alias(text), *[c.alias(n) for n, c in others.items()]
+    )

@@ -2,15 +2,17 @@
 
 A window function sends all rows of a key to one task. That is right while a
 key is small and wrong once a single key holds a large part of the table. So
-the rows per key are counted first (a narrow, pre-aggregated job). Keys above
-the bound are cut into range-partitioned blocks, each block is scanned on its
-own, and one summary row per block carries the state into the next blocks.
+``find_long_keys`` counts the rows per key first (a narrow, pre-aggregated job)
+and ``by_length`` runs a flow twice: over the ordinary keys with plain windows,
+and over the long ones, if there are any, in blocks. There rows are cut into
+range-partitioned blocks, each block is scanned on its own, and one summary row
+per block carries the state into the next blocks.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -89,23 +91,29 @@ def find_long_keys(
     df: DataFrame, keys: Sequence[str], max_rows: int = ROWS_PER_BLOCK
 ) -> LongKeys | None:
     """Count rows per key now; None when every key fits in one task."""
-    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return _measured(rows, keys, max_rows, F.col("_rows") > max_rows)
-
-
-def _measured(
-    per_key: DataFrame, keys: Sequence[str], max_rows: int, too_long: Column
-) -> LongKeys | None:
-    long_rows = per_key.where(too_long)
-    n_keys, n_rows = long_rows.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))
-    ).first()
+    long_rows = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > max_rows)
+    )
+    n_keys, n_rows = long_rows.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     if not n_keys:
         return None
     frame = long_rows.select(*[F.col(k).alias(f"_long_{k}") for k in keys])
     return LongKeys(frame, tuple(keys), n_keys, n_rows, max_rows)
 
 
+def by_length(
+    long: LongKeys | None, run: Callable[..., DataFrame], *frames: DataFrame
+) -> DataFrame:
+    """``run(None, *frames)``, or where there are long keys the union of that over
+    the rows of the other keys and ``run(long, *frames)`` over their own rows."""
+    if long is None:
+        return run(None, *frames)
+    ordinary = run(None, *[long.rest_of(f) for f in frames])
+    return ordinary.unionByName(run(long, *[long.rows_of(f) for f in frames]))
+
+
 def with_running(
     df: DataFrame,
     keys: Sequence[str],
@@ -115,7 +123,7 @@ def with_running(
 ) -> DataFrame:
     """Add running ``columns``. ``order`` must be a total order within a key.
 
-    ``long`` is what ``find_long_keys`` measured for these keys.
+    With ``long`` the rows of ``df`` are those of long keys and go by blocks.
     """
     if long is None:
         return _windowed(df, keys, order, columns)
@@ -134,20 +142,18 @@ def with_running(
 def _in_blocks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], long: LongKeys
 ) -> DataFrame:
-    """Block 0 for short keys; consecutive block numbers, in order, for long ones.
+    """Number the blocks in order.
 
     Range bounds are sampled afresh by every evaluation, so the blocks are
     written to the checkpoint folder before anything is computed from them.
     """
     ensure_checkpoint_dir(df.sparkSession)
     blocks = math.ceil(long.n_rows / long.max_rows)
-    cut = (
-        long.rows_of(df)
-        .repartitionByRange(blocks, *keys, *order)
-        .withColumn(_BLOCK, F.spark_partition_id() + 1)
+    return (
+        df.repartitionByRange(blocks, *keys, *order)
+        .withColumn(_BLOCK, F.spark_partition_id())
         .checkpoint()
     )
-    return long.rest_of(df).withColumn(_BLOCK, F.lit(0)).unionByName(cut)
 
 
 def _windowed(
@@ -172,7 +178,7 @@ def _windowed(
 def _carried(
     blocks: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Running]
 ) -> DataFrame:
-    """Per (key, block) of a long key: the state its neighbouring blocks hand over."""
+    """Per (key, block): the state its neighbouring blocks hand over."""
     at = F.struct(*order)
     whole = {
         "previous": lambda v: F.max_by(v, at),
@@ -182,10 +188,8 @@ def _carried(
         "last_seen": lambda v: F.max_by(v, F.when(v.isNotNull(), at)),
         "next_seen": lambda v: F.min_by(v, F.when(v.isNotNull(), at)),
     }
-    per_block = (
-        blocks.where(F.col(_BLOCK) > 0)
-        .groupBy(*keys, _BLOCK)
-        .agg(*[whole[r.kind](r.value).alias(f"_c_{n}") for n, r in columns.items()])
+    per_block = blocks.groupBy(*keys, _BLOCK).agg(
+        *[whole[r.kind](r.value).alias(f"_c_{n}") for n, r in columns.items()]
     )
     ahead = Window.partitionBy(*keys).orderBy(_BLOCK)
     back = Window.partitionBy(*keys).orderBy(F.desc(_BLOCK))

@@ -26,8 +26,8 @@ def speaker_turns(
 
     A turn starts with the first segment of its run and ends where the next run
     starts; the last turn ends with the last raw segment. ``segments`` holds
-    ``key``, ``label``, ``start``, ``end`` and the ``order`` columns, and
-    ``long`` is ``find_long_keys(segments, [key])``.
+    ``key``, ``label``, ``start``, ``end`` and the ``order`` columns; ``long`` says
+    that these are rows of long files (see ``ordered.by_length``).
 
     Only run heads and the last row of a file matter for the result, so the
     other rows are dropped before the second scan; both scans share one shuffle

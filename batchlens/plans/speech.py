@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from batchlens.functions.media import align, turns_of
 from batchlens.operators.backends import Backend, Recognition, Speakers
-from batchlens.operators.joins import join_media
 from batchlens.operators.models import diarize, transcribe
-from batchlens.operators.ordered import LongKeys
 from batchlens.plans.partitions import AUDIO_JOB, JobSize, spread
 
 
@@ -36,23 +34,10 @@ def diarizations(
     return raw.withColumn("diarization", turns_of(F.col("segments"))).drop("segments")
 
 
-def attributed(
-    files: DataFrame,
-    transcription: DataFrame,
-    diarization: DataFrame,
-    long_transcription: LongKeys | None = None,
-    long_diarization: LongKeys | None = None,
-) -> DataFrame:
-    """One row per file with ``mergedTranscriptionDiarization``, NULL where one
-    of the two is missing. Write the two branches to tables first: they are
-    independent jobs, and a retry here must not call a model again."""
-    joined = join_media(
-        files,
-        transcription,
-        diarization,
-        long_transcription=long_transcription,
-        long_diarization=long_diarization,
-    )
+def attributed(joined: DataFrame) -> DataFrame:
+    """Add ``mergedTranscriptionDiarization`` to the rows of ``join_media``, NULL
+    where one of the two is missing. Write the two branches to tables before the
+    join: they are independent jobs, and a retry here must not call a model again."""
     return joined.withColumn(
         "mergedTranscriptionDiarization", align(F.col("transcription"), F.col("diarization"))
     )

@@ -13,8 +13,14 @@ def generations(
     prompts: DataFrame,
     backend: Backend,
     sampling: Sampling = SERVER_SAMPLING,
-    size: JobSize = TEXT_JOB,
+    size: JobSize | None = TEXT_JOB,
 ) -> DataFrame:
     """``(id, text, generated)``: prompts dealt out over the planned partitions
-    and answered. Only the two prompt columns are shuffled."""
-    return generate(spread(prompts.select("id", "text"), size), "text", "generated", backend, sampling)
+    and answered. Only the two prompt columns are shuffled.
+
+    ``size=None`` answers the prompts where they lie, without a shuffle. That is
+    right for a table with many more splits than the cluster has slots.
+    """
+    slim = prompts.select("id", "text")
+    dealt = slim if size is None else spread(slim, size)
+    return generate(dealt, "text", "generated", backend, sampling)

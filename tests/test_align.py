@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from batchlens.functions.media import CHUNKS, TURNS, align, align_by_turn
 from batchlens.operators.align import align_chunks, align_turns
-from batchlens.operators.ordered import find_long_keys
+from batchlens.operators.ordered import by_length, find_long_keys
 
 import rules
 
@@ -61,7 +61,11 @@ def by_rows(spark, files, max_rows=None, **options):
         keys = turns.select("file_ids").unionByName(chunks.select("file_ids"))
         long = find_long_keys(keys, ["file_ids"], max_rows)
         assert long is not None
-    out = align_chunks(turns, chunks, chunk_order=("chunk_id",), long=long, **options)
+
+    def run(long, turns, chunks):
+        return align_chunks(turns, chunks, chunk_order=("chunk_id",), long=long, **options)
+
+    out = by_length(long, run, turns, chunks)
     result = {f: [] for f in files}
     for r in out.collect():
         assert r.text == str(r.chunk) and r.speaker == str(r.turn)
@@ -169,3 +173,24 @@ def test_no_join_or_pairing_for_ascending_ends(spark):
     assert "Join" not in plan and "Cartesian" not in plan
     # One shuffle for the chunks; the turns come with theirs, then all stays put.
     assert plan.count("Exchange") == 2
+
+
+def test_by_turn_in_long_files(spark):
+    files = random_files(11, 8, True) | {50: ([5.0, 99.0], [i / 2 for i in range(80)])}
+    turns, chunks = frames(spark, files)
+
+    def run(long, turns, chunks):
+        taken = align_chunks(turns, chunks, long=long, ends_ascend=True, chunk_order=("chunk_id",))
+        return align_turns(taken, long=long)
+
+    long = find_long_keys(chunks, ["file_ids"], 30)
+    rows = by_length(long, run, turns, chunks).orderBy("file_ids", "turn", "part").collect()
+    expected = {}
+    for f, x in files.items():
+        for chunk, turn in rules.align(*x):
+            expected[f, turn] = expected.get((f, turn), "") + str(chunk)
+    got = {}
+    for r in rows:
+        got[r.file_ids, r.turn] = got.get((r.file_ids, r.turn), "") + r.text
+    assert got == expected
+    assert max(r.part for r in rows) > 0

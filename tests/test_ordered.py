@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from batchlens.operators.ordered import (
+    by_length,
     find_long_keys,
     following,
     last_seen,
@@ -54,8 +55,8 @@ def test_blocks_give_what_one_window_gives(spark, seed, max_rows):
     assert long is not None and long.n_rows > max_rows
     key = lambda r: r["id"]
     plain = sorted(running(df, None).collect(), key=key)
-    blocked = sorted(running(df, long).collect(), key=key)
-    assert plain == blocked
+    blocked = by_length(long, lambda l, rows: running(rows, l), df)
+    assert plain == sorted(blocked.collect(), key=key)
 
 
 def test_blocks_stay_within_their_bound(spark):

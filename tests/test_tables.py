@@ -8,9 +8,9 @@ from batchlens.functions.media import (
     turns_from_text,
 )
 from batchlens.operators.chunks import number_chunks_by_key, union_chunks
-from batchlens.operators.concat import concat_ordered, find_long_texts
+from batchlens.operators.concat import concat_ordered
 from batchlens.operators.joins import join_media, left_join
-from batchlens.operators.ordered import find_long_keys
+from batchlens.operators.ordered import by_length, find_long_keys
 from batchlens.operators.totals import batch_report, token_totals
 from batchlens.plans import partitions
 from batchlens.sources.media import media_files
@@ -129,19 +129,28 @@ def test_concat_in_order_and_in_parts(spark):
     df = spark.range(50).select(
         (F.col("id") % 3 == 0).alias("g"), (50 - F.col("id")).alias("o"), F.col("id").cast("string").alias("t")
     )
-    last = {"last": F.max("o")}
-    whole = {r.g: r for r in concat_ordered(df, ["g"], ["o"], "t", **last).collect()}
     expected = {
         g: "".join(str(i) for i in range(49, -1, -1) if (i % 3 == 0) == g) for g in (True, False)
     }
-    assert {g: r.t for g, r in whole.items()} == expected
-    long = find_long_texts(df, ["g"], "t", max_rows=20)
+    whole = concat_ordered(df, ["g"], ["o"], "t", last=F.max("o")).collect()
+    assert {r.g: r.t for r in whole} == expected
+    assert {r.g: (r.part, r["last"]) for r in whole} == {True: (0, 50), False: (0, 49)}
+
+    def texts(parts):
+        rows = sorted(parts.collect(), key=lambda r: r.part)
+        return (
+            {g: "".join(r.t for r in rows if r.g == g) for g in (True, False)},
+            {g: sum(r.g == g for r in rows) for g in (True, False)},
+        )
+
+    text, counts = texts(concat_ordered(df, ["g"], ["o"], "t", max_chars=10))
+    assert text == expected and counts[True] >= 3 and counts[False] >= 5
+    long = find_long_keys(df, ["g"], 20)
     assert long.n_keys == 1
-    parts = concat_ordered(df, ["g"], ["o"], "t", long, max_rows=10, **last).orderBy("part").collect()
-    for g, n in ((True, 2), (False, 4)):
-        mine = [r for r in parts if r.g == g]
-        assert "".join(r.t for r in mine) == expected[g] and len(mine) == n
-        assert {r["last"] for r in mine} == {whole[g]["last"]}
+    text, counts = texts(
+        by_length(long, lambda l, rows: concat_ordered(rows, ["g"], ["o"], "t", l), df)
+    )
+    assert text == expected and counts == {True: 1, False: 2}
 
 
 @pytest.mark.parametrize("rows_per_block", [1_000_000, 100])

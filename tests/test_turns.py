@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from batchlens.functions.media import SEGMENTS, turns_of
-from batchlens.operators.ordered import find_long_keys
+from batchlens.operators.ordered import by_length, find_long_keys
 from batchlens.operators.turns import speaker_turns
 
 import rules
@@ -40,7 +40,9 @@ def row_turns(spark, files, max_rows=None):
         data, "file_ids long, segment_id long, start double, end double, label string"
     )
     long = find_long_keys(df, ["file_ids"], max_rows) if max_rows else None
-    out = speaker_turns(df, order=("segment_id",), long=long).collect()
+    out = by_length(
+        long, lambda l, rows: speaker_turns(rows, order=("segment_id",), long=l), df
+    ).collect()
     result = {}
     for r in sorted(out, key=lambda r: (r.file_ids, r.turn)):
         mine = result.setdefault(r.file_ids, [])
