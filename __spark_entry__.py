@@ -169,6 +169,16 @@ def q_align_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return _per_file(_aligned, spark, sf)
 
 
+def _aligned_any_order(long: LongKeys | None, events: DataFrame) -> DataFrame:
+    # Uncut speaking times overlap now and then, so that chunk ends may fall.
+    chunk_rows = given.chunks(events, long, cut_short=False)
+    return align_chunks(_turns(long, events), chunk_rows, long=long)
+
+
+def q_align_any_order(spark: SparkSession, sf: str) -> DataFrame:
+    return _per_file(_aligned_any_order, spark, sf)
+
+
 def q_align_turns(spark: SparkSession, sf: str) -> DataFrame:
     return _per_file(_aligned_turns, spark, sf)
 
@@ -292,6 +302,14 @@ def q_media_path(spark: SparkSession, sf: str) -> DataFrame:
     return given.products(spark, sf).select("product_id", "file_path")
 
 
+def q_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    columns = ["product_id", "Category", "Gender", "Image"]
+    path = f"{ensure_checkpoint_dir(spark)}/batchlens_products_csv"
+    products = given.products(spark, sf).select(columns)
+    products.write.mode("overwrite").option("header", True).csv(path)
+    return tables.read_products(spark, path, columns)
+
+
 def q_bounded_sample(spark: SparkSession, sf: str) -> DataFrame:
     return tables.bounded(given.products(spark, sf), "product_id", 1000)
 

@@ -116,13 +116,17 @@ def _nearest_any(ends: Column, at: Column, low: Column) -> Column:
     return F.array_min(distances)["i"]
 
 
-def _cuts(ends: Column, turns: Column) -> Column:
-    """Index of the last chunk of each turn, until the chunks are used up."""
+def cuts_of(ends: Column, turns: Column, turn_end: Callable[[Column], Column]) -> Column:
+    """Index of the last chunk of each turn, until the chunks are used up.
+
+    ``ends`` are the chunks' ends; ``turn_end`` reads the end of an element of
+    ``turns``.
+    """
     start = F.struct(F.array().cast("array<int>").alias("cuts"), F.lit(0).alias("next"))
 
     def fold(nearest: Callable[[Column, Column, Column], Column]) -> Column:
         def step(s: Column, turn: Column) -> Column:
-            cut = nearest(ends, turn["segment"]["end"], s["next"])
+            cut = nearest(ends, turn_end(turn), s["next"])
             taken = _let(
                 cut,
                 lambda c: F.struct(
@@ -152,7 +156,7 @@ def _by_turn(
         return _let(own, lambda cs: emit(F.get(turns, number), cs))
 
     return _let(
-        _let(ends, lambda es: _cuts(es, turns)),
+        _let(ends, lambda es: cuts_of(es, turns, lambda t: t["segment"]["end"])),
         lambda cuts: F.transform(cuts, lambda cut, number: share(cuts, cut, number)),
     )
 

@@ -1,0 +1,174 @@
+"""Backends that call real models through libraries of the cluster's image.
+
+Each library is imported inside the task that uses it. None of them is present
+where this repository is tested, so these adapters are **not verified**; they
+follow the libraries' public documentation. For one model per GPU give tasks a
+whole GPU (``spark.task.resource.gpu.amount``).
+"""
+
+from __future__ import annotations
+
+from typing import Any
+
+from batchlens.operators.backends import (
+    Backend,
+    Captioning,
+    Model,
+    Recognition,
+    Sampling,
+    Speakers,
+)
+
+
+def _given(**settings: Any) -> dict[str, Any]:
+    return {name: value for name, value in settings.items() if value is not None}
+
+
+def local_text(
+    model: str, tokenizer: str | None = None, gpus: int = 1, **engine_options: Any
+) -> Backend:
+    """A language model held by the task itself (vLLM)."""
+
+    def make() -> Model:
+        from vllm import LLM, SamplingParams
+
+        engine = LLM(
+            **_given(model=model, tokenizer=tokenizer, tensor_parallel_size=gpus), **engine_options
+        )
+
+        def run(prompts: list[str], wanted: Sampling) -> list[list[str]]:
+            sampling = SamplingParams(
+                **_given(
+                    n=wanted.n,
+                    temperature=wanted.temperature,
+                    top_p=wanted.top_p,
+                    max_tokens=wanted.max_tokens,
+                )
+            )
+            return [[c.text for c in answer.outputs] for answer in engine.generate(prompts, sampling)]
+
+        return run
+
+    return make
+
+
+def endpoint_text(base_url: str, model: str, api_key: str = "unused") -> Backend:
+    """A language model behind an OpenAI-compatible completions endpoint."""
+
+    def make() -> Model:
+        from openai import OpenAI
+
+        client = OpenAI(base_url=base_url, api_key=api_key)
+
+        def run(prompts: list[str], wanted: Sampling) -> list[list[str]]:
+            reply = client.completions.create(
+                model=model,
+                prompt=prompts,
+                **_given(
+                    n=wanted.n,
+                    temperature=wanted.temperature,
+                    top_p=wanted.top_p,
+                    max_tokens=wanted.max_tokens,
+                ),
+            )
+            texts = [c.text for c in sorted(reply.choices, key=lambda c: c.index)]
+            return [texts[i : i + wanted.n] for i in range(0, len(texts), wanted.n)]
+
+        return run
+
+    return make
+
+
+def speech_chunks(model: str, device: str = "cuda:0", **pipeline_options: Any) -> Backend:
+    """A speech recogniser (transformers); inputs are paths of audio files."""
+
+    def make() -> Model:
+        from transformers import pipeline
+
+        recognise = pipeline(
+            "automatic-speech-recognition", model=model, device=device, **pipeline_options
+        )
+
+        def run(paths: list[str], wanted: Recognition) -> list[list[dict]]:
+            heard = recognise(
+                paths,
+                chunk_length_s=wanted.window_seconds,
+                batch_size=wanted.batch_size,
+                return_timestamps=wanted.timestamps,
+            )
+            return [
+                [{"text": c["text"], "timestamp": list(c["timestamp"])} for c in one["chunks"]]
+                for one in heard
+            ]
+
+        return run
+
+    return make
+
+
+def speech_speakers(checkpoint: str, token: str | None = None, device: str = "cuda:0") -> Backend:
+    """A speaker diarizer (pyannote); inputs are paths of audio files."""
+
+    def make() -> Model:
+        import torch
+        from pyannote.audio import Pipeline
+
+        diarizer = Pipeline.from_pretrained(checkpoint, use_auth_token=token)
+        diarizer.to(torch.device(device))
+
+        def run(paths: list[str], wanted: Speakers) -> list[list[dict]]:
+            bounds = (
+                {"min_speakers": wanted.at_least, "max_speakers": wanted.at_most}
+                if wanted.exact is None
+                else {"num_speakers": wanted.exact}
+            )
+            return [
+                [
+                    {
+                        "segment": {"start": float(span.start), "end": float(span.end)},
+                        "track": str(track),
+                        "label": label,
+                    }
+                    for span, track, label in diarizer(path, **bounds).itertracks(yield_label=True)
+                ]
+                for path in paths
+            ]
+
+        return run
+
+    return make
+
+
+def endpoint_captions(base_url: str, model: str, api_key: str = "unused") -> Backend:
+    """A vision model behind an OpenAI-compatible chat endpoint; inputs are paths
+    of pictures, read by the task and sent inline."""
+
+    def make() -> Model:
+        import base64
+        import mimetypes
+
+        from openai import OpenAI
+
+        client = OpenAI(base_url=base_url, api_key=api_key)
+
+        def describe(path: str, wanted: Captioning) -> str:
+            kind = mimetypes.guess_type(path)[0] or "image/jpeg"
+            with open(path, "rb") as picture:
+                data = base64.b64encode(picture.read()).decode()
+            message = [
+                {"type": "image_url", "image_url": {"url": f"data:{kind};base64,{data}"}},
+                {"type": "text", "text": wanted.question},
+            ]
+            reply = client.chat.completions.create(
+                model=model,
+                messages=[{"role": "user", "content": message}],
+                max_tokens=wanted.max_tokens,
+            )
+            return reply.choices[0].message.content
+
+        def run(paths: list[str], wanted: Captioning) -> list[str]:
+            return [describe(path, wanted) for path in paths]
+
+        return run
+
+    return make

@@ -1,8 +1,11 @@
 """Alignment for files whose chunk ends do not ascend.
 
 Without that order a turn's cut depends on where the turns before it left off:
-``cut[k]`` is the nearest of the chunks from ``from[k] = cut[k-1] + 1`` on. The
-cuts are found by improving lower bounds of ``from``, for all turns at once:
+``cut[k]`` is the nearest of the chunks from ``from[k] = cut[k-1] + 1`` on.
+
+A file of up to ``FOLD_ROWS`` rows is small enough to walk through its turns
+within one row, over arrays of end times. In larger files the cuts are found by
+improving lower bounds of ``from``, for all turns at once:
 
     from[k] = k + max(cut[j] - j for j < k)
 
@@ -20,9 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from batchlens.functions.media import cuts_of
 from batchlens.operators.align import assign, union_points
 from batchlens.operators.ordered import (
     LongKeys,
+    by_length,
     find_long_keys,
     last_seen,
     next_seen,
@@ -33,9 +38,55 @@ from batchlens.operators.ordered import (
 from batchlens.session import ensure_checkpoint_dir
 
 
+# Chunks and turns of a file together. Walking through it costs turns x chunks.
+FOLD_ROWS = 10_000
+
+
 def align_unsorted(
+    turns: DataFrame,
+    numbered: DataFrame,
+    key: str,
+    long: LongKeys | None,
+    fold_rows: int = FOLD_ROWS,
+) -> DataFrame:
+    """``align_chunks`` for numbered chunks in any order of their ends."""
+
+    def cuts(bulky: LongKeys | None, turns: DataFrame, numbered: DataFrame) -> DataFrame:
+        return _folded(turns, numbered, key) if bulky is None else _by_rounds(
+            turns, numbered, key, long
+        )
+
+    keys = turns.select(key).unionByName(numbered.select(key))
+    bulky = find_long_keys(keys, [key], fold_rows)
+    points = union_points(by_length(bulky, cuts, turns, numbered), numbered, key)
+    place = F.when(F.col("_kind") == 1, F.col("_at").cast("long")).otherwise(F.col("_index"))
+    return assign(points.withColumn("_place", place), key, long)
+
+
+def _folded(turns: DataFrame, numbered: DataFrame, key: str) -> DataFrame:
+    """``(key, turn, speaker, end)`` with each turn's cut as its ``end``."""
+    ends = numbered.groupBy(F.col(key).alias("_of")).agg(
+        F.array_sort(F.collect_list(F.struct("chunk", "_end")))["_end"].alias("_ends")
+    )
+    listed = turns.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("turn", "end", "speaker"))).alias("_turns")
+    )
+    both = listed.join(ends, listed[key].eqNullSafe(F.col("_of")))
+    cuts = cuts_of(F.col("_ends"), F.col("_turns"), lambda t: t["end"])
+    cut = both.select(key, "_turns", F.posexplode(cuts).alias("_turn", "_cut"))
+    taker = F.get("_turns", F.col("_turn"))
+    return cut.select(
+        key,
+        taker["turn"].alias("turn"),
+        taker["speaker"].alias("speaker"),
+        F.col("_cut").cast("double").alias("end"),
+    )
+
+
+def _by_rounds(
     turns: DataFrame, numbered: DataFrame, key: str, long: LongKeys | None
 ) -> DataFrame:
+    """The same, for files of any size."""
     ensure_checkpoint_dir(turns.sparkSession)
     last = numbered.agg(F.max("chunk")).first()[0] or 0
     levels = max(1, int(last).bit_length())
@@ -145,10 +196,6 @@ def align_unsorted(
             break
 
     named = turns.select(F.col(key).alias("_k"), F.col("turn").alias("_t"), "speaker")
-    cuts = state.join(
+    return state.join(
         named, state[key].eqNullSafe(named["_k"]) & (state["turn"] == named["_t"])
-    ).select(key, "turn", "speaker", F.col("_cut").alias("end"))
-    points = union_points(cuts, numbered, key).withColumn(
-        "_place", F.when(F.col("_kind") == 1, F.col("_at").cast("long")).otherwise(F.col("_index"))
-    )
-    return assign(points.drop("_at", "_repeats"), key, long)
+    ).select(key, "turn", "speaker", F.col("_cut").cast("double").alias("end"))

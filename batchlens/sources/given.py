@@ -55,9 +55,11 @@ def segments(speech: DataFrame) -> DataFrame:
     )
 
 
-def chunks(speech: DataFrame, long: LongKeys | None = None) -> DataFrame:
-    """Transcript chunks, one row each: like the segments, cut short by the next
-    one, so that ends never decrease. The last chunk of a file has no end."""
+def chunks(
+    speech: DataFrame, long: LongKeys | None = None, cut_short: bool = True
+) -> DataFrame:
+    """Transcript chunks, one row each: like the segments, by default cut short by
+    the next one so that ends never decrease. A file's last chunk has no end."""
     after = with_running(
         speech,
         ["file_ids"],
@@ -65,10 +67,10 @@ def chunks(speech: DataFrame, long: LongKeys | None = None) -> DataFrame:
         long,
         _after=following(F.struct("start")),
     )
-    end = F.when(
-        F.col("_after").isNotNull(),
-        F.least(F.col("start") + F.col("value"), F.col("_after.start")),
-    )
+    spoken = F.col("start") + F.col("value")
+    if cut_short:
+        spoken = F.least(spoken, F.col("_after.start"))
+    end = F.when(F.col("_after").isNotNull(), spoken)
     return after.select(
         "file_ids", F.col("segment_id").alias("chunk_id"), "text", "start", end.alias("end")
     )

@@ -63,13 +63,14 @@ _GENERATIONS = f"""
 
 # --- rows: events as segments and chunks ------------------------------------
 
-_EVENTS = """
+_CUT_SHORT = 'least("end", lead(start) OVER w)'
+_EVENTS = f"""
     ev AS (SELECT user_id AS f, event_id AS pos, epoch_us(ts) / 1e6 AS start,
                   epoch_us(ts) / 1e6 + value AS "end", event_type AS label, props AS text
            FROM events),
     ch AS (SELECT f, row_number() OVER w - 1 AS i, text, start,
                   CASE WHEN lead(start) OVER w IS NOT NULL
-                       THEN least("end", lead(start) OVER w) END AS "end"
+                       THEN {_CUT_SHORT} END AS "end"
            FROM ev WINDOW w AS (PARTITION BY f ORDER BY start, pos))"""
 
 
@@ -201,6 +202,9 @@ ORACLE = {
     "align_chunks": f"""
         WITH RECURSIVE {_EVENTS}, {_turns("ev")}, {_FOLD}
         SELECT f AS file_ids, i AS chunk, k AS turn, speaker, text, start, "end" FROM taken""",
+    "align_any_order": f"""
+        WITH RECURSIVE {_EVENTS.replace(_CUT_SHORT, '"end"')}, {_turns("ev")}, {_FOLD}
+        SELECT f AS file_ids, i AS chunk, k AS turn, speaker, text, start, "end" FROM taken""",
     "align_turns": f"""
         WITH RECURSIVE {_EVENTS}, {_turns("ev")}, {_FOLD}
         SELECT f AS file_ids, k AS turn, CAST(0 AS BIGINT) AS part, speaker, text, start, "end"
@@ -240,6 +244,10 @@ ORACLE = {
         SELECT f AS file_ids, CAST(k AS INTEGER) AS position, speaker, text, start, "end"
         FROM ({_BY_TURN}) JOIN customer ON c_custkey = f""",
     "media_path": f"SELECT product_id, file_path FROM ({_PRODUCTS})",
+    "csv_scan": """
+        SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS "Category",
+               p_brand AS "Gender", p_name || '.jpg' AS "Image"
+        FROM part""",
     "bounded_sample": f"SELECT * FROM ({_PRODUCTS}) ORDER BY product_id LIMIT 1000",
     "caption": f"""
         SELECT *, {_text(backends.CAPTION_QUESTION)} || ' A picture named ' || "Image" || '.'

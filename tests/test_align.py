@@ -147,6 +147,14 @@ def test_against_the_sequential_rule(spark, ascending):
     assert by_rows(spark, files, ends_ascend=True if ascending else None) == expected
 
 
+def test_unsorted_files_too_large_to_walk_through(spark, monkeypatch):
+    from batchlens.operators import align_unsorted
+
+    monkeypatch.setattr(align_unsorted.align_unsorted, "__defaults__", (6,))
+    files = random_files(21, 400, False)
+    assert by_rows(spark, files) == {f: rules.align(*x) for f, x in files.items()}
+
+
 def test_sorted_and_unsorted_files_together(spark):
     files = random_files(1, 60, True) | {
         f + 100: x for f, x in random_files(2, 60, False).items()
@@ -166,6 +174,17 @@ def test_long_files_in_blocks(spark, ascending):
     assert by_rows(spark, files, max_rows=30) == expected
 
 
+def test_long_unsorted_files_in_blocks(spark, monkeypatch):
+    from batchlens.operators import align_unsorted
+
+    monkeypatch.setattr(align_unsorted.align_unsorted, "__defaults__", (20,))
+    rng = random.Random(9)
+    turns = sorted(rng.randrange(400) / 4 for _ in range(15))
+    files = random_files(9, 5, False) | {100: (turns, [rng.randrange(400) / 4 for _ in range(50)])}
+    expected = {f: rules.align(*x) for f, x in files.items()}
+    assert by_rows(spark, files, max_rows=30) == expected
+
+
 def test_no_join_or_pairing_for_ascending_ends(spark):
     turns, chunks = frames(spark, random_files(4, 5, True))
     out = align_chunks(turns, chunks, ends_ascend=True)
