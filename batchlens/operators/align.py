@@ -19,11 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchlens.operators.concat import concat_ordered
 from batchlens.operators.ordered import (
+    BROADCAST_KEYS,
     LongKeys,
     by_length,
     find_long_keys,
@@ -81,63 +82,25 @@ def align_chunks(
     ``chunks`` holds ``key, text, start, end`` and the order columns. Pass
     ``ends_ascend=True`` where chunk ends are known never to decrease within a
     file; otherwise that is checked by a job, and files that break it take the
-    iterative path of ``align_unsorted``. ``long`` says that these are rows of
+    path of ``align_unsorted``. ``long`` says that these are rows of
     long files (see ``ordered.by_length``).
     """
     numbered = number_chunks(chunks, key, chunk_order, long)
-    if ends_ascend:
-        return _align_sorted(turns, numbered, key, long)
-    from batchlens.operators.align_unsorted import align_unsorted
-
-    falling = numbered.where("_falls").select(F.col(key).alias("_falling")).distinct()
-    if falling.isEmpty():
-        return _align_sorted(turns, numbered, key, long)
-
-    def split(df: DataFrame, how: str) -> DataFrame:
-        return df.join(falling, df[key].eqNullSafe(F.col("_falling")), how)
-
-    ascending = _align_sorted(split(turns, "left_anti"), split(numbered, "left_anti"), key, long)
-    rest = align_unsorted(split(turns, "left_semi"), split(numbered, "left_semi"), key, long)
-    return ascending.unionByName(rest)
-
-
-def _align_sorted(
-    turns: DataFrame, numbered: DataFrame, key: str, long: LongKeys | None
-) -> DataFrame:
     points = union_points(turns, numbered, key)
-    # Chunks with one and the same end are represented by the first of them.
-    mark = F.when(
-        (F.col("_kind") == 0) & ~F.col("_repeats"),
-        F.struct(F.col("_at").alias("end"), F.col("_index").alias("index")),
-    )
-    near = with_running(
-        points,
-        [key],
-        ["_at", "_kind", "_index"],
-        long,
-        _left=last_seen(mark),
-        _right=next_seen(mark),
-    ).select(
-        key,
-        "_kind",
-        "_index",
-        "_speaker",
-        "_chunk",
-        F.when(F.col("_kind") == 1, nearer() - F.col("_index")).alias("_drift"),
-    )
-    cuts = with_running(
-        near, [key], ["_kind", "_index"], long, _ahead=running_max(F.col("_drift"))
-    ).select(
-        key,
-        "_kind",
-        "_index",
-        "_speaker",
-        "_chunk",
-        F.when(F.col("_kind") == 1, F.col("_index") + F.col("_ahead"))
-        .otherwise(F.col("_index"))
-        .alias("_place"),
+    if ends_ascend:
+        return _assign(cuts_ascending(points, key, long), key, long)
+    from batchlens.operators.align_unsorted import cuts_any_order, find_falling
+
+    n_falling, bulky = find_falling(numbered, key)
+    if not n_falling:
+        return _assign(cuts_ascending(points, key, long), key, long)
+    marked = _mark_falling(points, key, long)
+    # In files that break the order only the chunks are kept from the closed form.
+    kept = cuts_ascending(marked, key, long, ["_in_falling"]).where(
+        (F.col("_kind") == 0) | ~F.col("_in_falling")
     )
-    return assign(cuts, key, long)
+    takers = cuts_any_order(marked.where("_in_falling"), key, bulky, long)
+    return _assign(kept.drop("_in_falling").unionByName(takers), key, long)
 
 
 def union_points(turns: DataFrame, numbered: DataFrame, key: str) -> DataFrame:
@@ -149,6 +112,7 @@ def union_points(turns: DataFrame, numbered: DataFrame, key: str) -> DataFrame:
         F.lit(0).alias("_kind"),
         F.col("chunk").alias("_index"),
         "_repeats",
+        "_falls",
         F.lit(None).cast(turns.schema["speaker"].dataType).alias("_speaker"),
         payload.alias("_chunk"),
     )
@@ -158,13 +122,52 @@ def union_points(turns: DataFrame, numbered: DataFrame, key: str) -> DataFrame:
         F.lit(1).alias("_kind"),
         F.col("turn").alias("_index"),
         F.lit(False).alias("_repeats"),
+        F.lit(False).alias("_falls"),
         F.col("speaker").alias("_speaker"),
         F.lit(None).cast(chunk_points.schema["_chunk"].dataType).alias("_chunk"),
     )
     return chunk_points.unionByName(turn_points)
 
 
-def nearer():
+def _mark_falling(points: DataFrame, key: str, long: LongKeys | None) -> DataFrame:
+    """Add ``_in_falling``: does any chunk end of the file fall?"""
+    if long is None:
+        in_file = Window.partitionBy(key)
+        return points.withColumn("_in_falling", F.max("_falls").over(in_file))
+    # One row per long file, of which there are few.
+    files = points.groupBy(F.col(key).alias("_of")).agg(F.max("_falls").alias("_in_falling"))
+    if long.n_keys <= BROADCAST_KEYS:
+        files = F.broadcast(files)
+    return points.join(files, points[key].eqNullSafe(F.col("_of"))).drop("_of")
+
+
+def cuts_ascending(
+    points: DataFrame, key: str, long: LongKeys | None, others: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``_place``, a point's place among the chunks, where chunk ends ascend:
+    the index of a chunk and the cut of a turn."""
+    kept = [key, *others, "_kind", "_index", "_speaker", "_chunk"]
+    # Chunks with one and the same end are represented by the first of them.
+    mark = F.when(
+        (F.col("_kind") == 0) & ~F.col("_repeats"),
+        F.struct(F.col("_at").alias("end"), F.col("_index").alias("index")),
+    )
+    near = with_running(
+        points,
+        [key],
+        ["_at", "_kind", "_index"],
+        long,
+        _left=last_seen(mark),
+        _right=next_seen(mark),
+    ).select(*kept, F.when(F.col("_kind") == 1, _nearer() - F.col("_index")).alias("_drift"))
+    drifts = with_running(
+        near, [key], ["_kind", "_index"], long, _ahead=running_max(F.col("_drift"))
+    )
+    cut = F.when(F.col("_kind") == 1, F.col("_index") + F.col("_ahead"))
+    return drifts.select(*kept, cut.otherwise(F.col("_index")).alias("_place"))
+
+
+def _nearer() -> Column:
     """Index of the nearer of ``_left`` and ``_right``, the left one on a tie."""
     left = F.abs(F.col("_left.end") - F.col("_at"))
     right = F.abs(F.col("_right.end") - F.col("_at"))
@@ -173,7 +176,7 @@ def nearer():
     )
 
 
-def assign(cuts: DataFrame, key: str, long: LongKeys | None) -> DataFrame:
+def _assign(cuts: DataFrame, key: str, long: LongKeys | None) -> DataFrame:
     """Give each chunk to the first turn whose cut (``_place``) reaches it."""
     owner = F.when(
         F.col("_kind") == 1,

@@ -3,7 +3,7 @@
 Without that order a turn's cut depends on where the turns before it left off:
 ``cut[k]`` is the nearest of the chunks from ``from[k] = cut[k-1] + 1`` on.
 
-A file of up to ``FOLD_ROWS`` rows is small enough to walk through its turns
+A file of up to ``FOLD_ROWS`` chunks is small enough to walk through its turns
 within one row, over arrays of end times. In larger files the cuts are found by
 improving lower bounds of ``from``, for all turns at once:
 
@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.functions.media import cuts_of
-from batchlens.operators.align import assign, union_points
 from batchlens.operators.ordered import (
     LongKeys,
     by_length,
@@ -38,64 +37,81 @@ from batchlens.operators.ordered import (
 from batchlens.session import ensure_checkpoint_dir
 
 
-# Chunks and turns of a file together. Walking through it costs turns x chunks.
+# Chunks of a file. Walking through it costs at most the square of that.
 FOLD_ROWS = 10_000
 
 
-def align_unsorted(
-    turns: DataFrame,
-    numbered: DataFrame,
-    key: str,
-    long: LongKeys | None,
-    fold_rows: int = FOLD_ROWS,
+def find_falling(
+    numbered: DataFrame, key: str, fold_rows: int | None = None
+) -> tuple[int, LongKeys | None]:
+    """Number of files with a falling chunk end, and those of them too large to
+    walk through."""
+    fold_rows = fold_rows or FOLD_ROWS
+    files = (
+        numbered.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.max("_falls").alias("_falling"))
+        .where("_falling")
+    )
+    is_bulky = F.col("_rows") > fold_rows
+    n_files, n_bulky, bulky_rows = files.agg(
+        F.count(F.lit(1)), F.count_if(is_bulky), F.sum(F.when(is_bulky, F.col("_rows")))
+    ).first()
+    if not n_bulky:
+        return n_files, None
+    frame = files.where(is_bulky).select(F.col(key).alias(f"_long_{key}"))
+    return n_files, LongKeys(frame, (key,), n_bulky, bulky_rows, fold_rows)
+
+
+def cuts_any_order(
+    points: DataFrame, key: str, bulky: LongKeys | None, long: LongKeys | None
 ) -> DataFrame:
-    """``align_chunks`` for numbered chunks in any order of their ends."""
+    """The turns of files with falling ends, with their cut as ``_place``."""
 
-    def cuts(bulky: LongKeys | None, turns: DataFrame, numbered: DataFrame) -> DataFrame:
-        return _folded(turns, numbered, key) if bulky is None else _by_rounds(
-            turns, numbered, key, long
-        )
+    def cuts(bulky: LongKeys | None, points: DataFrame) -> DataFrame:
+        return _folded(points, key) if bulky is None else _by_rounds(points, key, long)
 
-    keys = turns.select(key).unionByName(numbered.select(key))
-    bulky = find_long_keys(keys, [key], fold_rows)
-    points = union_points(by_length(bulky, cuts, turns, numbered), numbered, key)
-    place = F.when(F.col("_kind") == 1, F.col("_at").cast("long")).otherwise(F.col("_index"))
-    return assign(points.withColumn("_place", place), key, long)
+    nothing = F.lit(None).cast(points.schema["_chunk"].dataType)
+    return by_length(bulky, cuts, points).select(
+        key,
+        F.lit(1).alias("_kind"),
+        "_index",
+        "_speaker",
+        nothing.alias("_chunk"),
+        "_place",
+    )
 
 
-def _folded(turns: DataFrame, numbered: DataFrame, key: str) -> DataFrame:
-    """``(key, turn, speaker, end)`` with each turn's cut as its ``end``."""
-    ends = numbered.groupBy(F.col(key).alias("_of")).agg(
-        F.array_sort(F.collect_list(F.struct("chunk", "_end")))["_end"].alias("_ends")
+def _folded(points: DataFrame, key: str) -> DataFrame:
+    """Small files, each within one row of arrays. Each turn takes a chunk at
+    least, so turns past the largest possible number of chunks stay out."""
+    is_turn = (F.col("_kind") == 1) & (F.col("_index") < FOLD_ROWS)
+    ends = F.collect_list(F.when(F.col("_kind") == 0, F.struct("_index", "_at")))
+    turns = F.collect_list(F.when(is_turn, F.struct("_index", "_at", "_speaker")))
+    files = points.groupBy(key).agg(
+        F.array_sort(ends)["_at"].alias("_ends"), F.array_sort(turns).alias("_turns")
     )
-    listed = turns.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("turn", "end", "speaker"))).alias("_turns")
-    )
-    both = listed.join(ends, listed[key].eqNullSafe(F.col("_of")))
-    cuts = cuts_of(F.col("_ends"), F.col("_turns"), lambda t: t["end"])
-    cut = both.select(key, "_turns", F.posexplode(cuts).alias("_turn", "_cut"))
+    cuts = cuts_of(F.col("_ends"), F.col("_turns"), lambda t: t["_at"])
     taker = F.get("_turns", F.col("_turn"))
-    return cut.select(
+    return files.select(key, "_turns", F.posexplode(cuts).alias("_turn", "_cut")).select(
         key,
-        taker["turn"].alias("turn"),
-        taker["speaker"].alias("speaker"),
-        F.col("_cut").cast("double").alias("end"),
+        taker["_index"].alias("_index"),
+        taker["_speaker"].alias("_speaker"),
+        F.col("_cut").cast("long").alias("_place"),
     )
 
 
-def _by_rounds(
-    turns: DataFrame, numbered: DataFrame, key: str, long: LongKeys | None
-) -> DataFrame:
-    """The same, for files of any size."""
-    ensure_checkpoint_dir(turns.sparkSession)
-    last = numbered.agg(F.max("chunk")).first()[0] or 0
+def _by_rounds(points: DataFrame, key: str, long: LongKeys | None) -> DataFrame:
+    """Files of any size, all turns at once."""
+    ensure_checkpoint_dir(points.sparkSession)
+    chunks, turns = points.where("_kind = 0"), points.where("_kind = 1")
+    last = chunks.agg(F.max("_index")).first()[0] or 0
     levels = max(1, int(last).bit_length())
     every_level = F.sequence(F.lit(0), F.lit(levels))
-    run_members = numbered.select(
+    run_members = chunks.select(
         key,
-        F.col("_end").alias("_at"),
-        F.lit(0).alias("_kind"),
-        F.col("chunk").alias("_index"),
+        "_at",
+        "_kind",
+        "_index",
         F.explode(every_level).alias("_level"),
     ).withColumn("_run", F.expr("shiftright(_index, _level)"))
     run = [key, "_level", "_run"]
@@ -111,9 +127,9 @@ def _by_rounds(
             .where("shiftright(_left_over, _level) % 2 = 1")
             .select(
                 key,
-                F.col("_end").alias("_at"),
+                "_at",
                 F.lit(1).alias("_kind"),
-                F.col("turn").alias("_index"),
+                "_index",
                 "_level",
                 F.expr(
                     "shiftright(_from + _left_over % shiftleft(1L, _level), _level)"
@@ -152,42 +168,42 @@ def _by_rounds(
             seen.where(F.col("_kind") == 1)
             .withColumn("_best", F.least(candidate("_left"), candidate("_right")))
             .where(F.col("_best").isNotNull())
-            .groupBy(key, F.col("_index").alias("turn"))
+            .groupBy(key, "_index")
             .agg(F.min("_best")["index"].alias("_found"))
         )
 
     state = turns.select(
         key,
-        "turn",
-        F.col("end").alias("_end"),
-        F.col("turn").alias("_from"),
+        "_index",
+        "_at",
+        "_speaker",
+        F.col("_index").alias("_from"),
         F.lit(None).cast("long").alias("_cut"),
         F.lit(True).alias("_moved"),
     ).checkpoint()
     while True:
         found = nearest(state.where("_moved")).select(
-            F.col(key).alias("_k"), F.col("turn").alias("_t"), "_found"
+            F.col(key).alias("_k"), F.col("_index").alias("_i"), "_found"
         )
         asked = state.join(
-            found, state[key].eqNullSafe(found["_k"]) & (state["turn"] == found["_t"]), "left"
+            found, state[key].eqNullSafe(found["_k"]) & (state["_index"] == found["_i"]), "left"
         )
         # A turn with no chunks left cuts where it starts, past the last chunk.
         cut = F.when(F.col("_moved"), F.coalesce("_found", "_from")).otherwise(F.col("_cut"))
         ahead = with_running(
-            asked.select(key, "turn", "_end", "_from", cut.alias("_cut")),
+            asked.select(key, "_index", "_at", "_speaker", "_from", cut.alias("_cut")),
             [key],
-            ["turn"],
+            ["_index"],
             long,
-            _ahead=running_max(F.col("_cut") - F.col("turn")),
-        )
-        bounds = with_running(
-            ahead, [key], ["turn"], long, _before=previous(F.struct("_ahead"))
+            _ahead=running_max(F.col("_cut") - F.col("_index")),
         )
-        start = F.col("turn") + F.coalesce(F.col("_before._ahead"), F.lit(0))
+        bounds = with_running(ahead, [key], ["_index"], long, _before=previous(F.struct("_ahead")))
+        start = F.col("_index") + F.coalesce(F.col("_before._ahead"), F.lit(0))
         state = bounds.select(
             key,
-            "turn",
-            "_end",
+            "_index",
+            "_at",
+            "_speaker",
             start.alias("_from"),
             "_cut",
             (start != F.col("_from")).alias("_moved"),
@@ -195,7 +211,4 @@ def _by_rounds(
         if state.where("_moved").isEmpty():
             break
 
-    named = turns.select(F.col(key).alias("_k"), F.col("turn").alias("_t"), "speaker")
-    return state.join(
-        named, state[key].eqNullSafe(named["_k"]) & (state["turn"] == named["_t"])
-    ).select(key, "turn", "speaker", F.col("_cut").cast("double").alias("end"))
+    return state.select(key, "_index", "_speaker", F.col("_cut").alias("_place"))

@@ -150,7 +150,7 @@ def test_against_the_sequential_rule(spark, ascending):
 def test_unsorted_files_too_large_to_walk_through(spark, monkeypatch):
     from batchlens.operators import align_unsorted
 
-    monkeypatch.setattr(align_unsorted.align_unsorted, "__defaults__", (6,))
+    monkeypatch.setattr(align_unsorted, "FOLD_ROWS", 6)
     files = random_files(21, 400, False)
     assert by_rows(spark, files) == {f: rules.align(*x) for f, x in files.items()}
 
@@ -177,7 +177,7 @@ def test_long_files_in_blocks(spark, ascending):
 def test_long_unsorted_files_in_blocks(spark, monkeypatch):
     from batchlens.operators import align_unsorted
 
-    monkeypatch.setattr(align_unsorted.align_unsorted, "__defaults__", (20,))
+    monkeypatch.setattr(align_unsorted, "FOLD_ROWS", 20)
     rng = random.Random(9)
     turns = sorted(rng.randrange(400) / 4 for _ in range(15))
     files = random_files(9, 5, False) | {100: (turns, [rng.randrange(400) / 4 for _ in range(50)])}
