@@ -8,7 +8,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchlens.functions import media, prompts
@@ -26,6 +26,16 @@ from oracle_queries import ORACLE
 SYSTEM = "Answer in one sentence."
 
 
+def _rows_of(df: DataFrame, kept: list[str], array: Column, position: str) -> DataFrame:
+    """One row per element ``_e`` of a computed array.
+
+    The outer form, since before a plain explode Spark puts a filter on the
+    array's size, which computes the array a second time.
+    """
+    rows = df.select(*kept, F.posexplode_outer(array).alias(position, "_e"))
+    return rows.where(F.col(position).isNotNull())
+
+
 def _llama_prompts(spark: SparkSession, sf: str) -> DataFrame:
     return given.documents(spark, sf).select(
         "id", prompts.llama(F.lit(SYSTEM), F.col("text")).alias("text")
@@ -196,14 +206,13 @@ def _diarizations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_transcribe(spark: SparkSession, sf: str) -> DataFrame:
-    return _transcripts(spark, sf).select(
-        "file_ids", F.posexplode("transcription").alias("chunk", "c")
-    ).select(
+    rows = _rows_of(_transcripts(spark, sf), ["file_ids"], F.col("transcription"), "chunk")
+    return rows.select(
         "file_ids",
         "chunk",
-        F.col("c.text").alias("text"),
-        F.get("c.timestamp", F.lit(0)).alias("start"),
-        F.get("c.timestamp", F.lit(1)).alias("end"),
+        F.col("_e.text").alias("text"),
+        F.get("_e.timestamp", F.lit(0)).alias("start"),
+        F.get("_e.timestamp", F.lit(1)).alias("end"),
     )
 
 
@@ -211,23 +220,23 @@ def q_diarize(spark: SparkSession, sf: str) -> DataFrame:
     raw = models.diarize(
         given.overheard(spark, sf), "script", backends.script_speakers("<")
     )
-    return raw.select("file_ids", F.posexplode("segments").alias("position", "s")).select(
+    return _rows_of(raw, ["file_ids"], F.col("segments"), "position").select(
         "file_ids",
         "position",
-        F.col("s.segment.start").alias("start"),
-        F.col("s.segment.end").alias("end"),
-        F.col("s.track").alias("track"),
-        F.col("s.label").alias("label"),
+        F.col("_e.segment.start").alias("start"),
+        F.col("_e.segment.end").alias("end"),
+        F.col("_e.track").alias("track"),
+        F.col("_e.label").alias("label"),
     )
 
 
 def _turn_rows(df: DataFrame) -> DataFrame:
-    return df.select("file_ids", F.posexplode("diarization").alias("turn", "t")).select(
+    return _rows_of(df, ["file_ids"], F.col("diarization"), "turn").select(
         "file_ids",
         "turn",
-        F.col("t.speaker").alias("speaker"),
-        F.col("t.segment.start").alias("start"),
-        F.col("t.segment.end").alias("end"),
+        F.col("_e.speaker").alias("speaker"),
+        F.col("_e.segment.start").alias("start"),
+        F.col("_e.segment.end").alias("end"),
     )
 
 
@@ -286,15 +295,13 @@ def q_media_final(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_media_final_turns(spark: SparkSession, sf: str) -> DataFrame:
     merged = media.align_by_turn(F.col("transcription"), F.col("diarization"))
-    return _joined(spark, sf).select(
-        "file_ids", F.posexplode(merged).alias("position", "m")
-    ).select(
+    return _rows_of(_joined(spark, sf), ["file_ids"], merged, "position").select(
         "file_ids",
         "position",
-        F.col("m.speaker").alias("speaker"),
-        F.col("m.text").alias("text"),
-        F.get("m.timestamp", F.lit(0)).alias("start"),
-        F.get("m.timestamp", F.lit(1)).alias("end"),
+        F.col("_e.speaker").alias("speaker"),
+        F.col("_e.text").alias("text"),
+        F.get("_e.timestamp", F.lit(0)).alias("start"),
+        F.get("_e.timestamp", F.lit(1)).alias("end"),
     )
 
 
@@ -324,11 +331,11 @@ def q_media_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_audio_prepare(spark: SparkSession, sf: str) -> DataFrame:
     ready = audio.prepare_audio(given.waveforms(spark, sf))
-    return ready.select("file_ids", "sampling_rate", F.posexplode("samples").alias("j", "v")).select(
+    return _rows_of(ready, ["file_ids", "sampling_rate"], F.col("samples"), "j").select(
         "file_ids",
         "sampling_rate",
         "j",
-        F.round(F.col("v") * 32767).cast("long").alias("level"),
+        F.round(F.col("_e") * 32767).cast("long").alias("level"),
     )
 
 

@@ -58,7 +58,8 @@ def find_falling(
     ).first()
     if not n_bulky:
         return n_files, None
-    frame = files.where(is_bulky).select(F.col(key).alias(f"_long_{key}"))
+    ensure_checkpoint_dir(numbered.sparkSession)
+    frame = files.where(is_bulky).select(F.col(key).alias(f"_long_{key}")).checkpoint()
     return n_files, LongKeys(frame, (key,), n_bulky, bulky_rows, fold_rows)
 
 

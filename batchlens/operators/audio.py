@@ -86,7 +86,6 @@ def prepare_audio(
     if not isinstance(kind, T.ArrayType) or isinstance(kind.elementType, T.ArrayType):
         raise ValueError(f"single-channel samples expected, got {kind.simpleString()}")
 
-    @F.pandas_udf("array<double>")
     def at_target(waves: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         known: dict = {}
         for signals, rates in waves:
@@ -98,6 +97,8 @@ def prepare_audio(
                 dtype=object,
             )
 
+    # Marked so that an explode or filter on the result does not resample twice.
+    resampled = F.pandas_udf(at_target, "array<double>").asNondeterministic()
     checked = df.withColumn(
         "problem",
         F.when(F.col(samples).isNull(), "no samples").when(
@@ -105,7 +106,7 @@ def prepare_audio(
         ),
     )
     signal = F.when(F.col("problem").isNull(), F.col(samples).cast("array<double>"))
-    converted = at_target(F.when(F.col(rate) != target, signal), F.coalesce(rate, F.lit(0)))
+    converted = resampled(F.when(F.col(rate) != target, signal), F.coalesce(rate, F.lit(0)))
     return checked.withColumn(samples, F.coalesce(converted, signal)).withColumn(
         rate, F.lit(target)
     )

@@ -27,14 +27,13 @@ def number_chunks_by_key(
     block, and the block counts give each block its first position. The only
     unpartitioned window runs over one row per block.
     """
-    blocks = min(MAX_BLOCKS, max(1, math.ceil(df.count() / rows_per_block)))
-    blocked = df.withColumn("_block", F.lit(0.0))
-    if blocks > 1:
-        steps = [i / blocks for i in range(1, blocks)]
-        cuts = sorted(set(df.approxQuantile(key, steps, 1 / (4 * blocks))))
-        blocked = Bucketizer(
-            splits=[-math.inf, *cuts, math.inf], inputCol="_key", outputCol="_block"
-        ).transform(df.withColumn("_key", F.col(key).cast("double")))
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    blocks = min(MAX_BLOCKS, max(2, slots, math.ceil(df.count() / rows_per_block)))
+    steps = [i / blocks for i in range(1, blocks)]
+    cuts = sorted(set(df.approxQuantile(key, steps, 1 / (4 * blocks)))) or [0.0]
+    blocked = Bucketizer(
+        splits=[-math.inf, *cuts, math.inf], inputCol="_key", outputCol="_block"
+    ).transform(df.withColumn("_key", F.col(key).cast("double")))
     first = (
         blocked.groupBy("_block")
         .agg(F.count(F.lit(1)).alias("_rows"))

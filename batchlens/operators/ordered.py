@@ -99,7 +99,8 @@ def find_long_keys(
     n_keys, n_rows = long_rows.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     if not n_keys:
         return None
-    frame = long_rows.select(*[F.col(k).alias(f"_long_{k}") for k in keys])
+    ensure_checkpoint_dir(df.sparkSession)
+    frame = long_rows.select(*[F.col(k).alias(f"_long_{k}") for k in keys]).checkpoint()
     return LongKeys(frame, tuple(keys), n_keys, n_rows, max_rows)
 
 
