@@ -72,6 +72,10 @@ class LongKeys:
     n_rows: int
     max_rows: int
 
+    @property
+    def n_blocks(self) -> int:
+        return math.ceil(self.n_rows / self.max_rows)
+
     def marked(self) -> DataFrame:
         """The keys, broadcast only while there are few of them."""
         return F.broadcast(self.frame) if self.n_keys <= BROADCAST_KEYS else self.frame
@@ -131,6 +135,8 @@ def with_running(
     blocks = _in_blocks(df, keys, order, long)
     local = _windowed(blocks, [*keys, _BLOCK], order, columns)
     carried = _carried(blocks, keys, order, columns)
+    if long.n_keys + long.n_blocks <= BROADCAST_KEYS:
+        carried = F.broadcast(carried)
     on = [local[k].eqNullSafe(F.col(f"_c_{k}")) for k in [*keys, _BLOCK]]
     joined = local.join(carried, reduce(lambda a, b: a & b, on), "left")
     merged = {
@@ -149,9 +155,8 @@ def _in_blocks(
     written to the checkpoint folder before anything is computed from them.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    blocks = math.ceil(long.n_rows / long.max_rows)
     return (
-        df.repartitionByRange(blocks, *keys, *order)
+        df.repartitionByRange(long.n_blocks, *keys, *order)
         .withColumn(_BLOCK, F.spark_partition_id())
         .checkpoint()
     )

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_INLINE_BYTES = 64 * 1024 * 1024
-
 
 def media_files(
     spark: SparkSession,
@@ -33,3 +31,14 @@ def media_files(
     small = files.where(F.col("length") <= max_inline_bytes).select(*named, "content")
     large = files.where(F.col("length") > max_inline_bytes).select(*named, nothing)
     return small.unionByName(large)
+
+
+def attach_media(files: DataFrame, media: DataFrame) -> DataFrame:
+    """``files`` with ``length`` and ``content`` of their file, NULL where it is
+    not there. Paths match whether or not they name a file system."""
+
+    def plain(path: Column) -> Column:
+        return F.regexp_replace(path, "^[A-Za-z0-9+.-]+:/+", "/")
+
+    found = media.select(plain(F.col("file_path")).alias("_path"), "length", "content")
+    return files.join(found, plain(F.col("file_path")) == F.col("_path"), "left").drop("_path")

@@ -13,7 +13,7 @@ from batchlens.operators.joins import join_media, left_join
 from batchlens.operators.ordered import by_length, find_long_keys
 from batchlens.operators.totals import batch_report, token_totals
 from batchlens.plans import partitions
-from batchlens.sources.media import media_files
+from batchlens.sources.media import attach_media, media_files
 from batchlens.sources.tables import bounded, image_path, keep, read_products, write_table
 
 
@@ -188,3 +188,11 @@ def test_media_files(spark, tmp_path):
     ]
     read = media_files(spark, str(tmp_path), "*.bin", max_inline_bytes=50).collect()
     assert {r.file_name: r.content for r in read} == {"a.bin": bytearray(b"12345"), "b.bin": None}
+
+    files = spark.createDataFrame(
+        [(1, str(tmp_path / "a.bin")), (2, "/nowhere/a.bin")], "file_ids long, file_path string"
+    )
+    attached = attach_media(files, media_files(spark, str(tmp_path), "*.bin", max_inline_bytes=50))
+    assert {r.file_ids: (r.length, r.content) for r in attached.collect()} == {
+        1: (5, bytearray(b"12345")), 2: (None, None),
+    }
