@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from batchlens.functions.prompts import chat_piece
 from batchlens.operators.concat import MAX_CHARS, concat_ordered
 from batchlens.operators.ordered import (
-    ROWS_PER_BLOCK,
     LongKeys,
     by_length,
     find_long_keys,
@@ -22,7 +21,7 @@ def chat_prompts(
     messages: DataFrame,
     key: str = "conv_id",
     order: str = "turn",
-    max_rows: int = ROWS_PER_BLOCK,
+    max_rows: int | None = None,
     max_chars: int = MAX_CHARS,
 ) -> DataFrame:
     """``(key, part, prompt)``; an ordinary conversation is one row, part 0.

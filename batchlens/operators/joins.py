@@ -30,7 +30,9 @@ def left_join(
     if long is None:
         return source.join(right, key, "left")
     salts = min(MAX_SALTS, 1 + math.ceil(long.n_rows / long.max_rows))
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    # From the row and its partition: the same on a retry, and apart for copies.
+    mixed = F.xxhash64(F.spark_partition_id(), *right.columns)
+    spread = F.pmod(mixed, F.lit(salts).cast("long"))
     salted_source = long.rows_of(source).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
     )

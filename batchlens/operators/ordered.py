@@ -92,9 +92,11 @@ class LongKeys:
 
 
 def find_long_keys(
-    df: DataFrame, keys: Sequence[str], max_rows: int = ROWS_PER_BLOCK
+    df: DataFrame, keys: Sequence[str], max_rows: int | None = None
 ) -> LongKeys | None:
-    """Count rows per key now; None when every key fits in one task."""
+    """Count rows per key now; None when every key fits in one task, that is in
+    ``max_rows`` (by default ``ROWS_PER_BLOCK``)."""
+    max_rows = max_rows or ROWS_PER_BLOCK
     long_rows = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -166,19 +168,29 @@ def _windowed(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Running]
 ) -> DataFrame:
     ahead = Window.partitionBy(*keys).orderBy(*order)
-    back = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
     so_far = ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Reading the order backwards keeps the frame growing, hence linear.
-    from_here = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def coming(name: str) -> Column:
+        # Skipping NULLs ahead is linear; a frame that shrinks from row to row is not.
+        later = F.expr(f"lead(`_v_{name}`) IGNORE NULLS").over(ahead)
+        return F.coalesce(F.col(f"_v_{name}"), later)
+
     over = {
         "previous": lambda v: F.lag(v).over(ahead),
         "following": lambda v: F.lead(v).over(ahead),
         "sum": lambda v: F.sum(v).over(so_far),
         "max": lambda v: F.max(v).over(so_far),
         "last_seen": lambda v: F.last(v, ignorenulls=True).over(so_far),
-        "next_seen": lambda v: F.last(v, ignorenulls=True).over(from_here),
     }
-    return df.select("*", *[over[r.kind](r.value).alias(n) for n, r in columns.items()])
+    named = [r.value.alias(f"_v_{n}") for n, r in columns.items() if r.kind == "next_seen"]
+    source = df.select("*", *named) if named else df
+    return source.select(
+        *df.columns,
+        *[
+            (coming(n) if r.kind == "next_seen" else over[r.kind](r.value)).alias(n)
+            for n, r in columns.items()
+        ],
+    )
 
 
 def _carried(
