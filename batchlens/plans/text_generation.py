@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 
 from batchlens.operators.backends import SERVER_SAMPLING, Backend, Sampling
 from batchlens.operators.models import generate
+from batchlens.operators.totals import token_totals
 from batchlens.plans.partitions import TEXT_JOB, JobSize, spread
+from batchlens.sources.tables import write_table
 
 
 def generations(
@@ -24,3 +26,17 @@ def generations(
     slim = prompts.select("id", "text")
     dealt = slim if size is None else spread(slim, size)
     return generate(dealt, "text", "generated", backend, sampling)
+
+
+def generate_table(
+    prompts: DataFrame,
+    table: str,
+    backend: Backend,
+    sampling: Sampling = SERVER_SAMPLING,
+    size: JobSize | None = TEXT_JOB,
+    fmt: str | None = None,
+) -> DataFrame:
+    """Overwrite ``table`` with the generations and give their token totals, which
+    are read back from it: no prompt is answered twice."""
+    write_table(generations(prompts, backend, sampling, size), table, fmt)
+    return token_totals(prompts.sparkSession.table(table))

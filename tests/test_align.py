@@ -1,6 +1,8 @@
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from batchlens.functions.media import CHUNKS, TURNS, align, align_by_turn
@@ -155,6 +157,20 @@ def test_unsorted_files_too_large_to_walk_through(spark, monkeypatch):
     assert by_rows(spark, files) == {f: rules.align(*x) for f, x in files.items()}
 
 
+times = st.lists(st.integers(0, 30).map(lambda x: x / 4), max_size=10)
+open_times = st.tuples(times, st.booleans()).map(lambda t: t[0] + [None] * t[1])
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(times, open_times, st.booleans()), min_size=20, max_size=60))
+def test_any_files_against_the_sequential_rule(spark, many):
+    files = {
+        f: (t, sorted(c, key=lambda e: (e is None, e)) if ascending else c)
+        for f, (t, c, ascending) in enumerate(many)
+    }
+    assert by_arrays(spark, files) == {f: rules.align(*x) for f, x in files.items()}
+
+
 def test_sorted_and_unsorted_files_together(spark):
     files = random_files(1, 60, True) | {
         f + 100: x for f, x in random_files(2, 60, False).items()
