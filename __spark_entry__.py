@@ -193,20 +193,18 @@ def q_align_turns(spark: SparkSession, sf: str) -> DataFrame:
     return _per_file(_aligned_turns, spark, sf)
 
 
-def _transcripts(spark: SparkSession, sf: str) -> DataFrame:
-    return speech.transcriptions(
-        given.spoken(spark, sf), "script", backends.script_reader()
-    ).drop("script")
+def _transcripts(spoken: DataFrame) -> DataFrame:
+    return speech.transcriptions(spoken, "script", backends.script_reader()).drop("script")
 
 
-def _diarizations(spark: SparkSession, sf: str) -> DataFrame:
-    return speech.diarizations(
-        given.overheard(spark, sf), "script", backends.script_speakers("<")
-    ).drop("script")
+def _diarizations(overheard: DataFrame) -> DataFrame:
+    speakers = backends.script_speakers("<")
+    return speech.diarizations(overheard, "script", speakers).drop("script")
 
 
 def q_transcribe(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _rows_of(_transcripts(spark, sf), ["file_ids"], F.col("transcription"), "chunk")
+    heard = _transcripts(given.spoken(spark, sf))
+    rows = _rows_of(heard, ["file_ids"], F.col("transcription"), "chunk")
     return rows.select(
         "file_ids",
         "chunk",
@@ -241,11 +239,11 @@ def _turn_rows(df: DataFrame) -> DataFrame:
 
 
 def q_diarize_turns(spark: SparkSession, sf: str) -> DataFrame:
-    return _turn_rows(_diarizations(spark, sf))
+    return _turn_rows(_diarizations(given.overheard(spark, sf)))
 
 
 def q_turns_json(spark: SparkSession, sf: str) -> DataFrame:
-    return _diarizations(spark, sf).select(
+    return _diarizations(given.overheard(spark, sf)).select(
         "file_ids", media.to_text(F.col("diarization")).alias("diarization")
     )
 
@@ -258,12 +256,13 @@ def q_parse_media_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _joined(spark: SparkSession, sf: str) -> DataFrame:
+    spoken, overheard = given.spoken(spark, sf), given.overheard(spark, sf)
     return join_media(
         given.audio_files(spark, sf),
-        _transcripts(spark, sf),
-        _diarizations(spark, sf),
-        long_transcription=find_long_keys(given.spoken(spark, sf), ["file_ids"]),
-        long_diarization=find_long_keys(given.overheard(spark, sf), ["file_ids"]),
+        _transcripts(spoken),
+        _diarizations(overheard),
+        long_transcription=find_long_keys(spoken, ["file_ids"]),
+        long_diarization=find_long_keys(overheard, ["file_ids"]),
     )
 
 
