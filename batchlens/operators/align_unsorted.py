@@ -142,6 +142,7 @@ def _by_rounds(points: DataFrame, key: str, long: LongKeys | None) -> DataFrame:
             run,
             ["_at", "_kind", "_index"],
             long_runs,
+            keep_blocks=True,
             _before=previous(F.struct("_at", "_kind")),
         )
         repeats = F.coalesce(
@@ -196,6 +197,7 @@ def _by_rounds(points: DataFrame, key: str, long: LongKeys | None) -> DataFrame:
             [key],
             ["_index"],
             long,
+            keep_blocks=True,
             _ahead=running_max(F.col("_cut") - F.col("_index")),
         )
         bounds = with_running(ahead, [key], ["_index"], long, _before=previous(F.struct("_ahead")))

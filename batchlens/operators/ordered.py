@@ -126,15 +126,18 @@ def with_running(
     keys: Sequence[str],
     order: Sequence[str],
     long: LongKeys | None = None,
+    keep_blocks: bool = False,
     **columns: Running,
 ) -> DataFrame:
     """Add running ``columns``. ``order`` must be a total order within a key.
 
     With ``long`` the rows of ``df`` are those of long keys and go by blocks.
+    ``keep_blocks`` leaves the block numbers in, for a further scan of the same
+    rows or some of them in the same order.
     """
     if long is None:
         return _windowed(df, keys, order, columns)
-    blocks = _in_blocks(df, keys, order, long)
+    blocks = df if _BLOCK in df.columns else _in_blocks(df, keys, order, long)
     local = _windowed(blocks, [*keys, _BLOCK], order, columns)
     carried = _carried(blocks, keys, order, columns)
     if long.n_keys + long.n_blocks <= BROADCAST_KEYS:
@@ -145,7 +148,8 @@ def with_running(
         name: _merge(running.kind, F.col(name), F.col(f"_c_{name}"))
         for name, running in columns.items()
     }
-    return joined.select(*df.columns, *[c.alias(n) for n, c in merged.items()])
+    kept = [c for c in blocks.columns if keep_blocks or c != _BLOCK]
+    return joined.select(*kept, *[c.alias(n) for n, c in merged.items()])
 
 
 def _in_blocks(

@@ -39,13 +39,13 @@ def speaker_turns(
         [key],
         order,
         long,
+        keep_blocks=True,
         _before=previous(F.struct(F.col("label"))),
         _after=following(F.struct(F.lit(1))),
     )
     head = F.col("_before").isNull() | ~F.col("_before.label").eqNullSafe(F.col("label"))
-    edges = near.select(*slim.columns, head.alias("_head"), "_after").where(
-        F.col("_head") | F.col("_after").isNull()
-    )
+    marked = near.withColumn("_head", head).where(F.col("_head") | F.col("_after").isNull())
+    edges = marked.drop("_before", "_after")
     turns = with_running(
         edges,
         [key],
