@@ -23,6 +23,15 @@ from batchlens.session import ensure_checkpoint_dir
 from batchlens.sources import given, media as media_source, synthetic, tables
 from oracle_queries import ORACLE
 
+try:
+    from batchlens.llm import queries as training_data
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    # The package is optional; an error inside it is not passed over.
+    if not str(missing.name).startswith(("batchlens.llm", "corpus_pipeline")):
+        raise
+    training_data = None
+
 SYSTEM = "Answer in one sentence."
 
 
@@ -344,8 +353,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: q for name, q in globals().items() if name.startswith("q_")}
+    found = {name[2:]: q for name, q in globals().items() if name.startswith("q_")}
+    if training_data is not None:
+        found |= training_data.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    found = dict(ORACLE)
+    if training_data is not None:
+        found |= training_data.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

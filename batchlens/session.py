@@ -6,16 +6,18 @@ from pyspark.sql import SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Point the context at the checkpoint folder and return it.
+    """Point the context at the shared folder for intermediate data and return it.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``. Only where
-    that is unset does a folder under the session's warehouse serve instead,
-    which on a cluster is shared storage too.
+    The cluster names the folder in ``spark.checkpoint.dir``. Where that is unset
+    a folder must have been set on the context; there is no fallback, since a
+    folder of one machine would lose data on a cluster.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+    in_use = context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if in_use is None:
+        if not named:
+            raise ValueError("name a folder all executors share in spark.checkpoint.dir")
+        context.setCheckpointDir(named)
+        in_use = context.getCheckpointDir()
+    return named or in_use

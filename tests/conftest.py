@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         .config("spark.default.parallelism", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
+        .config("spark.checkpoint.dir", str(base / "shared"))
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
