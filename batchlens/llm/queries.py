@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.llm import decontaminate, pii, quality, sharding
+from batchlens.llm import bpe_trie, decontaminate, pii, quality, sharding, token_files
 from batchlens.llm.tables import documents
+from batchlens.llm.vocabulary import default_path
 
 SHARDS = 24
 SECRET = "a key that is kept apart from the data"
@@ -41,6 +42,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.FEATURES, "kept")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.through_files(documents(spark, sf_dir), default_path())
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = decontaminate.contamination(documents(spark, sf_dir), items)
@@ -54,6 +59,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_trie.digests(documents(spark, sf_dir), default_path())
+
+
 def queries() -> dict:
     return {name: q for name, q in globals().items() if name.startswith("op")}
 
