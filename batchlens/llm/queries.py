@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.llm import bpe_trie, decontaminate, pii, quality, sharding, token_files
-from batchlens.llm.tables import documents
+from batchlens.llm import bpe_trie, decontaminate, language, pii, quality, sharding, token_files
+from batchlens.llm.tables import crc_mod, documents
 from batchlens.llm.vocabulary import default_path
 
 SHARDS = 24
@@ -59,6 +59,14 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    models = language.train(docs.where(~held_out).select("lang", "text"))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return language.identify(rows, models)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.digests(documents(spark, sf_dir), default_path())
 
