@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.llm import bpe_trie, decontaminate, language, pii, quality, sharding, token_files
+from batchlens.llm import bpe_trie, decontaminate, jaccard, language, pii, quality, sharding, token_files
 from batchlens.llm.tables import crc_mod, documents
 from batchlens.llm.vocabulary import default_path
 
@@ -36,6 +36,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(documents(spark, sf_dir), SECRET)
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_texts(documents(spark, sf_dir))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     judged = quality.judge(documents(spark, sf_dir, "doc_id", "lang", "text"), labels)
