@@ -273,12 +273,14 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``df`` that ``judge`` keeps, with all their columns.
 
-    The cutoffs come from slim feature rows; the verdict is computed beside the
-    text, in a second scan, which spares a shuffle of the texts.
+    Texts stay where they lie while the rejected ones, known by id and a hash of
+    the text, are few enough to be sent to them.
     """
-    rules = default_rules()
-    slim = df.select(key, stratum, "text")
-    scored = written(with_features(slim).drop("text"), "quality-features")
-    cutoffs = choose_cutoffs(scored, labels, rules, stratum, key, **bounds)
-    judged = with_verdict(with_features(df), cutoffs, rules, stratum)
-    return judged.where("kept").select(*df.columns)
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    judged = judge(df.select(key, stratum, "text", mark.alias("__m")), labels, stratum, key, **bounds)
+    rejected = written(
+        judged.where(~F.col("kept")).select(F.col(key).alias("__k"), "__m").distinct(), "rejected"
+    )
+    marked = df.withColumn("__mark", mark)
+    same = F.col(key).eqNullSafe(F.col("__k")) & (F.col("__mark") == F.col("__m"))
+    return marked.join(small_side(rejected, rejected.count()), same, "left_anti").select(*df.columns)
