@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.llm import bpe_trie, decontaminate, jaccard, language, pii, quality, sharding, token_files
+from batchlens.llm import bpe_trie, decontaminate, jaccard, language, pii, quality, sharding, substrings, token_files
 from batchlens.llm.tables import crc_mod, documents
 from batchlens.llm.vocabulary import default_path
 
@@ -63,6 +63,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(documents(spark, sf_dir))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_mod(F.col("doc_id"), 4) == 2
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
