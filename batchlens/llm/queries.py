@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.llm import bpe_trie, decontaminate, jaccard, language, pii, quality, sharding, substrings, token_files
+from batchlens.llm import bpe_trie, decontaminate, jaccard, language, lm, pii, quality, sharding, substrings, token_files
 from batchlens.llm.tables import crc_mod, documents
 from batchlens.llm.vocabulary import default_path
 
@@ -79,6 +79,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.digests(documents(spark, sf_dir), default_path())
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    docs = documents(spark, sf_dir).select("doc_id", held_out.alias("held_out"), "text")
+    return lm.score(docs, ~F.col("held_out"))
+
+
 def queries() -> dict:
     return {name: q for name, q in globals().items() if name.startswith("op")}
 
