@@ -19,8 +19,8 @@ from batchlens.operators.ordered import LongKeys, by_length, find_long_keys
 from batchlens.operators.turns import speaker_turns
 from batchlens.plans import captions as caption_flow
 from batchlens.plans import partitions, speech, text_generation
-from batchlens.session import ensure_checkpoint_dir
 from batchlens.sources import given, media as media_source, synthetic, tables
+from batchlens.sources.scratch import new_folder
 from oracle_queries import ORACLE
 
 try:
@@ -90,6 +90,10 @@ def q_prompt_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.chat_prompts(given.table(spark, sf, "conversations"))
 
 
+def q_prompt_chat_parts(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.chat_prompts(given.table(spark, sf, "conversations"), max_chars=200)
+
+
 def q_partition_plan(spark: SparkSession, sf: str) -> DataFrame:
     plans = [
         partitions.partition_plan(given.documents(spark, sf), "text", partitions.TEXT_JOB),
@@ -132,14 +136,22 @@ def q_token_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_write_table(spark: SparkSession, sf: str) -> DataFrame:
-    path = f"{ensure_checkpoint_dir(spark)}/batchlens_generations"
+    path = new_folder(spark, "generations")
     tables.write_table(_generations(spark, sf), "batchlens_generations", "parquet", path)
     return spark.table("batchlens_generations")
 
 
 def q_batch_report(spark: SparkSession, sf: str) -> DataFrame:
-    return totals.batch_report(
-        partitions.spread(given.documents(spark, sf), partitions.TEXT_JOB)
+    size = partitions.TEXT_JOB
+    dealt = partitions.spread(given.documents(spark, sf), size)
+    # Round robin starts anew for each input partition, so a partition may get a
+    # row more or less from each.
+    even = F.max("n_rows") <= size.rows_per_task + spark.sparkContext.defaultParallelism
+    return totals.batch_report(dealt).agg(
+        F.count(F.lit(1)).alias("n_partitions"),
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("chars").alias("chars"),
+        even.alias("even"),
     )
 
 
@@ -319,7 +331,7 @@ def q_media_path(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["product_id", "Category", "Gender", "Image"]
-    path = f"{ensure_checkpoint_dir(spark)}/batchlens_products_csv"
+    path = new_folder(spark, "products-csv")
     products = given.products(spark, sf).select(columns)
     products.write.mode("overwrite").option("header", True).csv(path)
     return tables.read_products(spark, path, columns)
@@ -334,7 +346,14 @@ def q_caption(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_media_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return media_source.media_files(spark, sf, "*.parquet").select("file_name", "length")
+    files = media_source.media_files(spark, sf, "*.parquet", max_inline_bytes=1 << 30)
+    ends = [F.substring("content", 1, 4), F.expr("substring(content, -4, 4)")]
+    return files.select(
+        "file_name",
+        (F.octet_length("content") == F.col("length")).alias("whole"),
+        ends[0].cast("string").alias("opens_with"),
+        ends[1].cast("string").alias("closes_with"),
+    )
 
 
 def q_audio_prepare(spark: SparkSession, sf: str) -> DataFrame:

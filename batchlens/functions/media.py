@@ -18,6 +18,7 @@ TURNS = "array<struct<segment:struct<start:double,end:double>,speaker:string>>"
 CHUNKS = "array<struct<text:string,timestamp:array<double>>>"
 ATTRIBUTED = "array<struct<speaker:string,text:string,timestamp:array<double>>>"
 
+CUTS_PER_LIST = 256
 # Stands for the end of a chunk that has none: the largest double.
 OPEN_END = 1.7976931348623157e308
 
@@ -67,6 +68,20 @@ def turns_of(segments: Column) -> Column:
     )
 
 
+def distance(end: Column, at: Column) -> Column:
+    """``|end - at|``, exact: its double, then what rounding lost of it.
+
+    Ordered as structs, distances compare as real numbers do, so that every way
+    of finding the nearest end agrees, also where doubles would tie. Of equal
+    distances the first chunk is taken.
+    """
+    difference = end - at
+    part = difference - end
+    lost = (end - (difference - part)) - (at + part)
+    signed = F.when(difference < 0, -lost).otherwise(lost)
+    return F.struct(F.abs(difference).alias("far"), signed.alias("lost"))
+
+
 def _first_at_or_after(ends: Column, at: Column, low: Column, high: Column) -> Column:
     """First index in ``[low, high)`` whose end is not before ``at``, else ``high``.
 
@@ -97,7 +112,7 @@ def _nearest_sorted(ends: Column, at: Column, low: Column) -> Column:
         left = F.when(alone, right - 1).otherwise(
             _first_at_or_after(ends, left_end, low, right)
         )
-        right_wins = F.abs(F.get(ends, right) - at) < F.abs(left_end - at)
+        right_wins = distance(F.get(ends, right), at) < distance(left_end, at)
         return (
             F.when(right == low, right)
             .when((right < size) & right_wins, right)
@@ -111,7 +126,7 @@ def _nearest_any(ends: Column, at: Column, low: Column) -> Column:
     """The same for ends in any order, looking at each of them."""
     distances = F.transform(
         F.sequence(low, F.size(ends) - 1),
-        lambda i: F.struct(F.abs(F.get(ends, i) - at).alias("far"), i.alias("i")),
+        lambda i: F.struct(distance(F.get(ends, i), at).alias("far"), i.alias("i")),
     )
     return F.array_min(distances)["i"]
 
@@ -120,22 +135,36 @@ def cuts_of(ends: Column, turns: Column, turn_end: Callable[[Column], Column]) -
     """Index of the last chunk of each turn, until the chunks are used up.
 
     ``ends`` are the chunks' ends; ``turn_end`` reads the end of an element of
-    ``turns``.
+    ``turns``. Cuts are gathered in short lists and these in a list, since each
+    step copies what it adds to.
     """
-    start = F.struct(F.array().cast("array<int>").alias("cuts"), F.lit(0).alias("next"))
+    start = F.struct(
+        F.array().cast("array<array<int>>").alias("full"),
+        F.array().cast("array<int>").alias("cuts"),
+        F.lit(0).alias("next"),
+    )
 
     def fold(nearest: Callable[[Column, Column, Column], Column]) -> Column:
         def step(s: Column, turn: Column) -> Column:
             cut = nearest(ends, turn_end(turn), s["next"])
+            is_full = F.size(s["cuts"]) >= CUTS_PER_LIST
             taken = _let(
                 cut,
                 lambda c: F.struct(
-                    F.concat(s["cuts"], F.array(c)).alias("cuts"), (c + 1).alias("next")
+                    F.when(is_full, F.concat(s["full"], F.array(s["cuts"])))
+                    .otherwise(s["full"])
+                    .alias("full"),
+                    F.when(is_full, F.array(c))
+                    .otherwise(F.concat(s["cuts"], F.array(c)))
+                    .alias("cuts"),
+                    (c + 1).alias("next"),
                 ),
             )
             return F.when(s["next"] >= F.size(ends), s).otherwise(taken)
 
-        return F.aggregate(turns, start, step, lambda s: s["cuts"])
+        return F.aggregate(
+            turns, start, step, lambda s: F.flatten(F.concat(s["full"], F.array(s["cuts"])))
+        )
 
     return F.when(ends == F.array_sort(ends), fold(_nearest_sorted)).otherwise(
         fold(_nearest_any)
@@ -147,7 +176,7 @@ def _by_turn(
 ) -> Column:
     """``emit(turn, its chunks)`` for each turn that takes chunks."""
     ends = F.transform(
-        chunks, lambda c: F.coalesce(F.element_at(c["timestamp"], -1), F.lit(OPEN_END))
+        chunks, lambda c: F.coalesce(F.try_element_at(c["timestamp"], F.lit(-1)), F.lit(OPEN_END))
     )
 
     def share(cuts: Column, cut: Column, number: Column) -> Column:

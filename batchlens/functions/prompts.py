@@ -34,20 +34,21 @@ def chatml(system: Column, user: Column) -> Column:
     )
 
 
-def chat_piece(role: Column, text: Column, role_before: Column, role_after: Column) -> Column:
+def chat_piece(role: Column, text: Column, before: Column, after: Column) -> Column:
     """One message of a multi-turn instruction prompt.
 
     The pieces of a conversation, put end to end, are
     ``<s>[INST] ask [/INST] answer</s>[INST] ask again [/INST]``. The template
     knows no system role, so a system text opens the instruction that follows
     it, with a blank line between; it stands alone where an answer or nothing
-    follows. ``role_before`` is NULL for the first message.
+    follows. ``before`` and ``after`` are structs with the ``role`` of the
+    neighbouring messages, NULL where there is none; a NULL role is a user's.
     """
     system, assistant = F.lit("system"), F.lit("assistant")
     text = F.coalesce(text, F.lit(""))
-    opened = F.coalesce(role_before == system, F.lit(False))
-    goes_on = F.coalesce(role_after != assistant, F.lit(False))
-    begin = F.when(role_before.isNull(), F.lit(SEQUENCE_OPEN)).otherwise(F.lit(""))
+    opened = F.coalesce(before["role"] == system, F.lit(False))
+    goes_on = after.isNotNull() & ~F.coalesce(after["role"] == assistant, F.lit(False))
+    begin = F.when(before.isNull(), F.lit(SEQUENCE_OPEN)).otherwise(F.lit(""))
     instruction = F.when(opened, F.lit("")).otherwise(F.lit(INSTRUCTION_OPEN))
     after_system = F.when(goes_on, F.lit("\n\n")).otherwise(F.lit(INSTRUCTION_CLOSE))
     return F.concat(

@@ -22,9 +22,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from batchlens.functions.media import distance
 from batchlens.operators.concat import concat_ordered
 from batchlens.operators.ordered import (
-    BROADCAST_KEYS,
+    BROADCAST_BYTES,
     LongKeys,
     by_length,
     find_long_keys,
@@ -80,14 +81,17 @@ def align_chunks(
 
     ``turns`` holds ``key, turn, speaker, end`` with ``turn`` counting from 0,
     ``chunks`` holds ``key, text, start, end`` and the order columns. Pass
-    ``ends_ascend=True`` where chunk ends are known never to decrease within a
-    file; otherwise that is checked by a job, and files that break it take the
-    path of ``align_unsorted``. ``long`` says that these are rows of
+    ``ends_ascend=True`` where chunk ends never decrease within a file: a file
+    that breaks it fails the job. Otherwise that is found out by a job, and files
+    that break it take the path of ``align_unsorted``. ``long`` says that these are rows of
     long files (see ``ordered.by_length``).
     """
     numbered = number_chunks(chunks, key, chunk_order, long)
     points = union_points(turns, numbered, key)
     if ends_ascend:
+        broken = F.raise_error(F.lit("a chunk ends before the one before it: ends_ascend is false"))
+        at = F.when(F.col("_falls"), broken.cast("double")).otherwise(F.col("_at"))
+        points = points.withColumn("_at", at)
         return _assign(cuts_ascending(points, key, long), key, long)
     from batchlens.operators.align_unsorted import cuts_any_order, find_falling
 
@@ -136,7 +140,7 @@ def _mark_falling(points: DataFrame, key: str, long: LongKeys | None) -> DataFra
         return points.withColumn("_in_falling", F.max("_falls").over(in_file))
     # One row per long file, of which there are few.
     files = points.groupBy(F.col(key).alias("_of")).agg(F.max("_falls").alias("_in_falling"))
-    if long.n_keys <= BROADCAST_KEYS:
+    if long.n_bytes <= BROADCAST_BYTES:
         files = F.broadcast(files)
     return points.join(files, points[key].eqNullSafe(F.col("_of"))).drop("_of")
 
@@ -169,9 +173,10 @@ def cuts_ascending(
 
 def _nearer() -> Column:
     """Index of the nearer of ``_left`` and ``_right``, the left one on a tie."""
-    left = F.abs(F.col("_left.end") - F.col("_at"))
-    right = F.abs(F.col("_right.end") - F.col("_at"))
-    return F.when(F.col("_right").isNull() | (left <= right), F.col("_left.index")).otherwise(
+    left = distance(F.col("_left.end"), F.col("_at"))
+    right = distance(F.col("_right.end"), F.col("_at"))
+    left_wins = F.col("_left").isNotNull() & (left <= right)
+    return F.when(F.col("_right").isNull() | left_wins, F.col("_left.index")).otherwise(
         F.col("_right.index")
     )
 
@@ -197,12 +202,15 @@ def _assign(cuts: DataFrame, key: str, long: LongKeys | None) -> DataFrame:
 
 
 def align_turns(
-    aligned: DataFrame, key: str = "file_ids", long: LongKeys | None = None
+    aligned: DataFrame,
+    key: str = "file_ids",
+    long: LongKeys | None = None,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """``(key, turn, part, speaker, text, start, end)``: one row per turn that
     took chunks, its texts put together, from the start of its first chunk to the
-    end of its last. Only turns too large for one string have parts past 0, each
-    with its own span. ``long`` says that these are rows of long files."""
+    end of its last. With ``max_chars`` long turns come in parts (see
+    ``concat_ordered``), each with its own span. ``long`` says that these are rows of long files."""
 
     def texts(long_turns: LongKeys | None, rows: DataFrame) -> DataFrame:
         return concat_ordered(
@@ -211,6 +219,7 @@ def align_turns(
             ["chunk"],
             "text",
             long_turns,
+            max_chars,
             speaker=F.first("speaker"),
             start=F.min_by("start", "chunk"),
             end=F.max_by("end", "chunk"),

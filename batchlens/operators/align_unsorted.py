@@ -4,7 +4,8 @@ Without that order a turn's cut depends on where the turns before it left off:
 ``cut[k]`` is the nearest of the chunks from ``from[k] = cut[k-1] + 1`` on.
 
 A file of up to ``FOLD_ROWS`` chunks is small enough to walk through its turns
-within one row, over arrays of end times. In larger files the cuts are found by
+within one row, over arrays of end times; the result is the same either way. In
+larger files the cuts are found by
 improving lower bounds of ``from``, for all turns at once:
 
     from[k] = k + max(cut[j] - j for j < k)
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from batchlens.functions.media import cuts_of
+from batchlens.functions.media import cuts_of, distance
 from batchlens.operators.ordered import (
     LongKeys,
     by_length,
@@ -64,12 +65,17 @@ def find_falling(
 
 
 def cuts_any_order(
-    points: DataFrame, key: str, bulky: LongKeys | None, long: LongKeys | None
+    points: DataFrame,
+    key: str,
+    bulky: LongKeys | None,
+    long: LongKeys | None,
+    fold_rows: int | None = None,
 ) -> DataFrame:
     """The turns of files with falling ends, with their cut as ``_place``."""
 
     def cuts(bulky: LongKeys | None, points: DataFrame) -> DataFrame:
-        return _folded(points, key) if bulky is None else _by_rounds(points, key, long)
+        most = FOLD_ROWS if fold_rows is None else fold_rows
+        return _folded(points, key, most) if bulky is None else _by_rounds(points, key, long)
 
     nothing = F.lit(None).cast(points.schema["_chunk"].dataType)
     return by_length(bulky, cuts, points).select(
@@ -82,10 +88,10 @@ def cuts_any_order(
     )
 
 
-def _folded(points: DataFrame, key: str) -> DataFrame:
+def _folded(points: DataFrame, key: str, fold_rows: int) -> DataFrame:
     """Small files, each within one row of arrays. Each turn takes a chunk at
     least, so turns past the largest possible number of chunks stay out."""
-    is_turn = (F.col("_kind") == 1) & (F.col("_index") < FOLD_ROWS)
+    is_turn = (F.col("_kind") == 1) & (F.col("_index") < fold_rows)
     ends = F.collect_list(F.when(F.col("_kind") == 0, F.struct("_index", "_at")))
     turns = F.collect_list(F.when(is_turn, F.struct("_index", "_at", "_speaker")))
     files = points.groupBy(key).agg(
@@ -162,7 +168,7 @@ def _by_rounds(points: DataFrame, key: str, long: LongKeys | None) -> DataFrame:
         )
 
         def candidate(side: str) -> Column:
-            far = F.abs(F.col(f"{side}.end") - F.col("_at")).alias("far")
+            far = distance(F.col(f"{side}.end"), F.col("_at")).alias("far")
             return F.when(F.col(side).isNotNull(), F.struct(far, F.col(f"{side}.index")))
 
         # On a tie the smaller index wins, on whichever side it lies.

@@ -78,7 +78,7 @@ def prepare_audio(
     """Bring single-channel waveforms to ``target`` samples a second.
 
     Adds ``problem``: NULL where the row is fine, else why it has no result
-    (``no samples``, ``no sampling rate``). Such rows keep NULL samples instead
+    (``no samples``, ``missing samples``, ``no sampling rate``). Such rows keep NULL samples instead
     of failing the job. Samples with more than one channel are refused here,
     before any task runs. Only samples at another rate are sent to Python.
     """
@@ -101,7 +101,9 @@ def prepare_audio(
     resampled = F.pandas_udf(at_target, "array<double>").asNondeterministic()
     checked = df.withColumn(
         "problem",
-        F.when(F.col(samples).isNull(), "no samples").when(
+        F.when(F.col(samples).isNull(), "no samples")
+        .when(F.exists(samples, lambda s: s.isNull()), "missing samples")
+        .when(
             F.coalesce(F.col(rate), F.lit(0)) <= 0, "no sampling rate"
         ),
     )

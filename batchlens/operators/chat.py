@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.functions.prompts import chat_piece
-from batchlens.operators.concat import MAX_CHARS, concat_ordered
+from batchlens.operators.concat import concat_ordered
 from batchlens.operators.ordered import (
     LongKeys,
     by_length,
@@ -22,13 +22,13 @@ def chat_prompts(
     key: str = "conv_id",
     order: str = "turn",
     max_rows: int | None = None,
-    max_chars: int = MAX_CHARS,
+    max_chars: int | None = None,
 ) -> DataFrame:
-    """``(key, part, prompt)``; an ordinary conversation is one row, part 0.
+    """``(key, part, prompt)``; a conversation is one row, part 0.
 
     Each message becomes its piece of the prompt from its own role and those of
-    its neighbours, and the pieces are joined in order. Conversations too large
-    for one string come in several parts (see ``concat_ordered``). Neighbours,
+    its neighbours, and the pieces are joined in order. With ``max_chars`` long
+    conversations come in several parts (see ``concat_ordered``). Neighbours,
     sizes and the joining share one shuffle and one sort.
     """
 
@@ -42,7 +42,7 @@ def chat_prompts(
             _after=following(F.struct("role")),
         )
         piece = chat_piece(
-            F.col("role"), F.col("text"), F.col("_before.role"), F.col("_after.role")
+            F.col("role"), F.col("text"), F.col("_before"), F.col("_after")
         )
         pieces = near.select(key, order, piece.alias("prompt"))
         return concat_ordered(pieces, [key], [order], "prompt", long, max_chars)

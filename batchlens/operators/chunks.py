@@ -2,58 +2,22 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchlens.operators.ordered import ROWS_PER_BLOCK
+from batchlens.operators.positions import number_rows
 
-# Bounds the quantiles on the driver and the broadcast block positions. Blocks
-# of larger tables grow instead; they sort on disk.
-MAX_BLOCKS = 10_000
 
+def number_chunks_by_key(df: DataFrame, key: str, chunk_rows: int = 4096) -> DataFrame:
+    """Add ``chunk_no``: rows in order of ``key``, cut every ``chunk_rows`` rows.
 
-def number_chunks_by_key(
-    df: DataFrame, key: str, chunk_rows: int = 4096, rows_per_block: int = ROWS_PER_BLOCK
-) -> DataFrame:
-    """Add ``chunk_no``: rows in order of the unique numeric ``key``, cut every
-    ``chunk_rows`` rows.
-
-    A position in the whole table would need one window over all rows. Instead
-    quantiles of the key cut it into even blocks, rows are numbered inside their
-    block, and the block counts give each block its first position. The only
-    unpartitioned window runs over one row per block.
+    The key may be of any orderable type, repeat and be NULL (NULLs first); which
+    of equal rows comes first is open.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    blocks = min(MAX_BLOCKS, max(2, slots, math.ceil(df.count() / rows_per_block)))
-    steps = [i / blocks for i in range(1, blocks)]
-    cuts = sorted(set(df.approxQuantile(key, steps, 1 / (4 * blocks)))) or [0.0]
-    blocked = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="_key", outputCol="_block"
-    ).transform(df.withColumn("_key", F.col(key).cast("double")))
-    first = (
-        blocked.groupBy("_block")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            F.col("_block").alias("_of"),
-            F.coalesce(
-                F.sum("_rows").over(
-                    Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("_first"),
-        )
-    )
-    inside = F.row_number().over(Window.partitionBy("_block").orderBy(key)) - 1
-    return (
-        blocked.withColumn("_inside", inside)
-        .join(F.broadcast(first), F.col("_block") == F.col("_of"))
-        .withColumn("chunk_no", F.floor((F.col("_first") + F.col("_inside")) / chunk_rows))
-        .select(*df.columns, "chunk_no")
-    )
+    numbered = number_rows(df, [key], "_row")
+    return numbered.select(*df.columns, F.floor(F.col("_row") / chunk_rows).alias("chunk_no"))
 
 
 def union_chunks(pieces: list[DataFrame]) -> DataFrame:

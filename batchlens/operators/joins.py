@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.operators.ordered import LongKeys
 
-MAX_SALTS = 4096
-
-
 def left_join(
     source: DataFrame,
     right: DataFrame,
@@ -22,25 +17,31 @@ def left_join(
 
     A key that is hot in ``source`` is split by AQE. AQE cannot split the right
     side of a left join, so keys that are hot there (``long``, from
-    ``find_long_keys(right, [key])``) are joined apart: their right rows are
-    spread over salts and their source rows repeated for each salt (fewer times
-    than each of them has matches). Such keys all have matches, so for them the
-    left join is an inner join.
+    ``find_long_keys(right, [key])``) are joined apart: the right rows of each are
+    spread over salts, as many as its number of rows needs, and its source rows
+    repeated for each of them. Such keys all have matches, so for them the left
+    join is an inner join. NULL matches nothing and is never hot: its source rows
+    stay with the ordinary ones.
     """
     if long is None:
         return source.join(right, key, "left")
-    salts = min(MAX_SALTS, 1 + math.ceil(long.n_rows / long.max_rows))
+    hot = long.marked().where(F.col(f"_long_{key}").isNotNull())
+    sizes = hot.select(
+        F.col(f"_long_{key}").alias("_hot"), F.ceil(F.col("_rows") / long.max_rows).alias("_salts")
+    )
+    sized = lambda df: df.join(sizes, df[key] == F.col("_hot"), "left")
+    marked = sized(source)
     # From the row and its partition: the same on a retry, and apart for copies.
     mixed = F.xxhash64(F.spark_partition_id(), *right.columns)
-    spread = F.pmod(mixed, F.lit(salts).cast("long"))
-    salted_source = long.rows_of(source).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+    salted = sized(right).where("_hot IS NOT NULL").withColumn("_salt", F.pmod(mixed, F.col("_salts")))
+    repeated = marked.where("_hot IS NOT NULL").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))
     )
-    hot = salted_source.join(
-        long.rows_of(right).withColumn("_salt", spread), [key, "_salt"]
+    matched = repeated.drop("_hot", "_salts").join(
+        salted.drop("_hot", "_salts"), [key, "_salt"]
     ).drop("_salt")
-    rest = long.rest_of(source).join(long.rest_of(right), key, "left")
-    return rest.unionByName(hot)
+    rest = marked.where("_hot IS NULL").drop("_hot", "_salts")
+    return rest.join(long.rest_of(right), key, "left").unionByName(matched)
 
 
 def join_media(

@@ -100,9 +100,10 @@ def transcribe(
     backend: Backend,
     options: Recognition = Recognition(),
     output_col: str = "transcription",
+    batch_rows: int = ARROW_BATCH_ROWS,
 ) -> DataFrame:
     """Speech to timed chunks (``CHUNKS``)."""
-    return apply_model(df, input_col, output_col, backend, options, CHUNKS)
+    return apply_model(df, input_col, output_col, backend, options, CHUNKS, batch_rows)
 
 
 def diarize(
@@ -111,9 +112,10 @@ def diarize(
     backend: Backend,
     options: Speakers = Speakers(),
     output_col: str = "segments",
+    batch_rows: int = ARROW_BATCH_ROWS,
 ) -> DataFrame:
     """Speech to raw speaker segments (``SEGMENTS``), to be collapsed into turns."""
-    return apply_model(df, input_col, output_col, backend, options, SEGMENTS)
+    return apply_model(df, input_col, output_col, backend, options, SEGMENTS, batch_rows)
 
 
 def caption(
@@ -122,6 +124,7 @@ def caption(
     backend: Backend,
     options: Captioning = Captioning(),
     output_col: str = "caption",
+    batch_rows: int = ARROW_BATCH_ROWS,
 ) -> DataFrame:
     """Picture path to a description."""
-    return apply_model(df, input_col, output_col, backend, options, "string")
+    return apply_model(df, input_col, output_col, backend, options, "string", batch_rows)

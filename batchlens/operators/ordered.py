@@ -18,11 +18,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from batchlens.session import ensure_checkpoint_dir
 
 ROWS_PER_BLOCK = 1_000_000
-BROADCAST_KEYS = 1_000_000
+# Hot keys are sent to all executors up to so many bytes of key values, and the
+# state carried between blocks up to so many rows of fixed width.
+BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_ROWS = 100_000
 _BLOCK = "_block"
 
 
@@ -64,21 +68,23 @@ def next_seen(value: Column) -> Running:
 
 @dataclass(frozen=True)
 class LongKeys:
-    """Keys with more than ``max_rows`` rows."""
+    """Keys with more than ``max_rows`` rows; ``frame`` holds them as
+    ``_long_<key>`` with their ``_rows``."""
 
     frame: DataFrame
     keys: Sequence[str]
     n_keys: int
     n_rows: int
     max_rows: int
+    n_bytes: int = 0
 
     @property
     def n_blocks(self) -> int:
         return math.ceil(self.n_rows / self.max_rows)
 
     def marked(self) -> DataFrame:
-        """The keys, broadcast only while there are few of them."""
-        return F.broadcast(self.frame) if self.n_keys <= BROADCAST_KEYS else self.frame
+        """The keys, broadcast only while they are small."""
+        return F.broadcast(self.frame) if self.n_bytes <= BROADCAST_BYTES else self.frame
 
     def matches(self, df: DataFrame) -> Column:
         pairs = [df[k].eqNullSafe(F.col(f"_long_{k}")) for k in self.keys]
@@ -102,12 +108,15 @@ def find_long_keys(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > max_rows)
     )
-    n_keys, n_rows = long_rows.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    key_bytes = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(16))
+    n_keys, n_rows, n_bytes = long_rows.agg(
+        F.count(F.lit(1)), F.sum("_rows"), F.sum(key_bytes.cast("long"))
+    ).first()
     if not n_keys:
         return None
     ensure_checkpoint_dir(df.sparkSession)
-    frame = long_rows.select(*[F.col(k).alias(f"_long_{k}") for k in keys]).checkpoint()
-    return LongKeys(frame, tuple(keys), n_keys, n_rows, max_rows)
+    frame = long_rows.select(*[F.col(k).alias(f"_long_{k}") for k in keys], "_rows").checkpoint()
+    return LongKeys(frame, tuple(keys), n_keys, n_rows, max_rows, n_bytes)
 
 
 def by_length(
@@ -140,7 +149,8 @@ def with_running(
     blocks = df if _BLOCK in df.columns else _in_blocks(df, keys, order, long)
     local = _windowed(blocks, [*keys, _BLOCK], order, columns)
     carried = _carried(blocks, keys, order, columns)
-    if long.n_keys + long.n_blocks <= BROADCAST_KEYS:
+    small = long.n_keys + long.n_blocks <= BROADCAST_ROWS and long.n_bytes <= BROADCAST_BYTES
+    if small and all(_fixed_width(carried.schema[f"_c_{n}"].dataType) for n in columns):
         carried = F.broadcast(carried)
     on = [local[k].eqNullSafe(F.col(f"_c_{k}")) for k in [*keys, _BLOCK]]
     joined = local.join(carried, reduce(lambda a, b: a & b, on), "left")
@@ -152,6 +162,12 @@ def with_running(
     return joined.select(*kept, *[c.alias(n) for n, c in merged.items()])
 
 
+def _fixed_width(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_fixed_width(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType))
+
+
 def _in_blocks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], long: LongKeys
 ) -> DataFrame:

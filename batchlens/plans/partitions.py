@@ -23,11 +23,8 @@ AUDIO_JOB = JobSize(workers=2, rows_per_task=4096)
 IMAGE_JOB = JobSize(workers=1, rows_per_task=32)
 ARROW_BATCH_ROWS = 512
 
-# A task holds a core for several rounds at most: beyond that, more partitions
-# only add overhead. Batches are bounded inside the task as well, so on larger
-# tables a task simply sees more of them.
-WAVES = 16
-MAX_PARTITIONS = 100_000
+# Media weigh far more than text: their batches are bounded by bytes too.
+ARROW_BATCH_BYTES = 64 * 1024 * 1024
 
 
 def partition_count(rows: int, size: JobSize) -> int:
@@ -45,20 +42,24 @@ def partition_plan(df: DataFrame, workload: str, size: JobSize) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, size: JobSize) -> DataFrame:
-    """Deal rows out evenly for scoring (counts the rows now).
+def spread(df: DataFrame, size: JobSize | None) -> DataFrame:
+    """Deal rows out over the planned partitions (counts the rows now); None
+    leaves them where they lie.
 
-    Every task slot of the session counts as a worker to be kept busy, and there
-    are at most ``WAVES`` partitions per slot. Round robin balances model work
-    whatever the keys look like. Spark sorts rows before dealing them out, so a
-    retried task deals them the same way.
+    Round robin balances model work whatever the keys look like. Spark sorts rows
+    before dealing them out, so a retried task deals them the same way.
     """
-    slots = max(size.workers, df.sparkSession.sparkContext.defaultParallelism)
-    wanted = partition_count(df.count(), JobSize(slots, size.rows_per_task))
-    return df.repartition(min(wanted, WAVES * slots, max(slots, MAX_PARTITIONS)))
+    return df if size is None else df.repartition(partition_count(df.count(), size))
 
 
-def cap_arrow_batches(spark: SparkSession, rows: int = ARROW_BATCH_ROWS) -> None:
-    """Bound the rows per Arrow batch of the session. Spark reads this when a
-    query starts to run, so call it before the action."""
+def rows_per_call(size: JobSize | None) -> int:
+    return ARROW_BATCH_ROWS if size is None else size.rows_per_task
+
+
+def cap_arrow_batches(
+    spark: SparkSession, rows: int = ARROW_BATCH_ROWS, size: int = ARROW_BATCH_BYTES
+) -> None:
+    """Bound the rows and bytes of an Arrow batch of the session. Spark reads this
+    when a query starts to run, so call it before the action; the flows do."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

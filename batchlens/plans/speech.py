@@ -13,7 +13,7 @@ from batchlens.operators.backends import Backend, Recognition, Speakers
 from batchlens.operators.joins import join_media
 from batchlens.operators.models import diarize, transcribe
 from batchlens.operators.ordered import find_long_keys
-from batchlens.plans.partitions import AUDIO_JOB, JobSize, spread
+from batchlens.plans.partitions import AUDIO_JOB, JobSize, cap_arrow_batches, rows_per_call, spread
 from batchlens.sources.tables import write_table
 
 
@@ -22,10 +22,13 @@ def transcriptions(
     input_col: str,
     backend: Backend,
     options: Recognition = Recognition(),
-    size: JobSize = AUDIO_JOB,
+    size: JobSize | None = AUDIO_JOB,
 ) -> DataFrame:
     """Input columns plus ``transcription`` (timed chunks)."""
-    return transcribe(spread(files, size), input_col, backend, options)
+    cap_arrow_batches(files.sparkSession, rows_per_call(size))
+    return transcribe(
+        spread(files, size), input_col, backend, options, batch_rows=rows_per_call(size)
+    )
 
 
 def diarizations(
@@ -33,10 +36,13 @@ def diarizations(
     input_col: str,
     backend: Backend,
     options: Speakers = Speakers(),
-    size: JobSize = AUDIO_JOB,
+    size: JobSize | None = AUDIO_JOB,
 ) -> DataFrame:
     """Input columns plus ``diarization`` (speaker turns)."""
-    raw = diarize(spread(files, size), input_col, backend, options)
+    cap_arrow_batches(files.sparkSession, rows_per_call(size))
+    raw = diarize(
+        spread(files, size), input_col, backend, options, batch_rows=rows_per_call(size)
+    )
     return raw.withColumn("diarization", turns_of(F.col("segments"))).drop("segments")
 
 

@@ -7,7 +7,13 @@ from pyspark.sql import DataFrame
 from batchlens.operators.backends import SERVER_SAMPLING, Backend, Sampling
 from batchlens.operators.models import generate
 from batchlens.operators.totals import token_totals
-from batchlens.plans.partitions import TEXT_JOB, JobSize, spread
+from batchlens.plans.partitions import (
+    TEXT_JOB,
+    JobSize,
+    cap_arrow_batches,
+    rows_per_call,
+    spread,
+)
 from batchlens.sources.tables import write_table
 
 
@@ -24,8 +30,9 @@ def generations(
     right for a table with many more splits than the cluster has slots.
     """
     slim = prompts.select("id", "text")
-    dealt = slim if size is None else spread(slim, size)
-    return generate(dealt, "text", "generated", backend, sampling)
+    rows = rows_per_call(size)
+    cap_arrow_batches(prompts.sparkSession, rows)
+    return generate(spread(slim, size), "text", "generated", backend, sampling, rows)
 
 
 def generate_table(

@@ -31,9 +31,11 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as speech: ``(file_ids, segment_id, start, label, value, text)``."""
-    # Event times carry no zone and count as UTC, as in any other engine.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    seconds = F.unix_micros(F.col("ts").cast("timestamp"))
+    # Event times carry no zone and count as UTC, whatever the session's zone.
+    day = F.unix_date(F.to_date("ts")).cast("long")
+    minutes = (day * 24 + F.hour("ts")) * 60 + F.minute("ts")
+    micros = (F.date_part(F.lit("SECOND"), "ts") * 1_000_000).cast("long")
+    seconds = minutes * 60_000_000 + micros
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("file_ids"),
         F.col("event_id").alias("segment_id"),

@@ -153,9 +153,14 @@ _PIECE = """
     CASE WHEN before IS NULL THEN '<s>' ELSE '' END ||
     CASE WHEN role = 'assistant' THEN ' ' || text || '</s>'
          WHEN role = 'system' THEN
-             CASE WHEN before = 'system' THEN '' ELSE '[INST] ' END || text ||
-             CASE WHEN after <> 'assistant' THEN chr(10) || chr(10) ELSE ' [/INST]' END
-         ELSE CASE WHEN before = 'system' THEN '' ELSE '[INST] ' END || text || ' [/INST]' END"""
+             CASE WHEN before.role = 'system' THEN '' ELSE '[INST] ' END || text ||
+             CASE WHEN after IS NOT NULL AND after.role IS DISTINCT FROM 'assistant' THEN chr(10) || chr(10) ELSE ' [/INST]' END
+         ELSE CASE WHEN before.role = 'system' THEN '' ELSE '[INST] ' END || text || ' [/INST]' END"""
+_PIECES = f"""
+    SELECT conv_id, turn, {_PIECE} AS piece
+    FROM (SELECT conv_id, turn, role, coalesce(text, '') AS text,
+                 lag({{'role': role}}) OVER w AS before, lead({{'role': role}}) OVER w AS after
+          FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))"""
 
 ORACLE = {
     "prompt_synth": f"SELECT id, ask AS text FROM ({_QUESTIONS})",
@@ -163,10 +168,23 @@ ORACLE = {
     "prompt_mistral": "SELECT doc_id AS id, '[INST] ' || text || ' [/INST]' AS text FROM documents",
     "prompt_chatml": f"SELECT doc_id AS id, {_chatml('text')} AS text FROM documents",
     "prompt_chat": f"""
-        SELECT conv_id, CAST(0 AS BIGINT) AS part, string_agg({_PIECE}, '' ORDER BY turn) AS prompt
-        FROM (SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS after
-              FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
-        GROUP BY conv_id""",
+        SELECT conv_id, CAST(0 AS BIGINT) AS part, string_agg(piece, '' ORDER BY turn) AS prompt
+        FROM ({_PIECES}) GROUP BY conv_id""",
+    "prompt_chat_parts": f"""
+        SELECT conv_id, part, string_agg(piece, '' ORDER BY turn) AS prompt
+        FROM (SELECT *, CAST(((sum(length(piece)) OVER (PARTITION BY conv_id ORDER BY turn))
+                              - length(piece)) // 200 AS BIGINT) AS part
+              FROM ({_PIECES}))
+        GROUP BY conv_id, part""",
+    "batch_report": """
+        SELECT CAST(greatest(4, ceil(n_rows / 1024)) AS BIGINT) AS n_partitions, n_rows, chars,
+               TRUE AS even
+        FROM (SELECT count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents)""",
+    "media_scan": """
+        SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem',
+                       'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels',
+                       'conversations']) || '.parquet' AS file_name,
+               TRUE AS whole, 'PAR1' AS opens_with, 'PAR1' AS closes_with""",
     "partition_plan": """
         SELECT workload, total_rows,
                CAST(greatest(workers, ceil(total_rows / per_task)) AS BIGINT) AS num_partitions

@@ -51,10 +51,16 @@ def test_long_conversation_comes_in_parts(spark):
     talk = [("user" if i % 2 == 0 else "assistant", f"m{i}") for i in range(41)]
     whole = chat(spark, *talk)
     assert len(whole) == 1
-    by_rows = chat(spark, *talk, max_rows=5)
-    assert len(by_rows) == 9 and "".join(by_rows) == whole[0]
+    assert chat(spark, *talk, max_rows=5) == whole
     by_chars = chat(spark, *talk, max_chars=30)
     assert len(by_chars) > 9 and "".join(by_chars) == whole[0]
+    assert chat(spark, *talk, max_rows=5, max_chars=30) == by_chars
+
+
+def test_chat_without_a_role_is_not_a_beginning(spark):
+    assert chat(spark, ("user", "q"), (None, "x"), ("assistant", "a")) == [
+        "<s>[INST] q [/INST][INST] x [/INST] a</s>"
+    ]
 
 
 def test_synthetic_prompts_repeat_and_cover(spark):
