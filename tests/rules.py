@@ -1,5 +1,7 @@
 """The sequential rules in plain Python, written from their definitions."""
 
+from fractions import Fraction
+
 OPEN_END = 1.7976931348623157e308
 
 
@@ -24,7 +26,7 @@ def align(turn_ends, chunk_ends):
         left = range(first, len(ends))
         if not left:
             break
-        cut = min(left, key=lambda i: (abs(ends[i] - end), i))
+        cut = min(left, key=lambda i: (abs(Fraction(ends[i]) - Fraction(end)), i))
         taken += [(i, turn) for i in range(first, cut + 1)]
         first = cut + 1
     return taken
