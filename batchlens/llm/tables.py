@@ -1,32 +1,19 @@
-"""Written intermediate tables."""
+"""Small helpers for tables."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.session import ensure_checkpoint_dir
+from batchlens.sources.scratch import new_folder, written
+
+__all__ = ["BROADCAST_ROWS", "crc_mod", "documents", "new_folder", "small_side", "written"]
 
 # Small tables that tasks look things up in go to every executor up to this many
 # rows; beyond it the same lookup is an ordinary join.
 BROADCAST_ROWS = 200_000
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of this run alone, in the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: computed once, lineage
-    cut, and still there when an executor is lost."""
-    folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """``df`` for the small side of a join, broadcast only if ``rows`` is small."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
