@@ -257,11 +257,11 @@ def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _verified(clusters: DataFrame) -> DataFrame:
-    """Exact similarities within ``members`` (node, copies, side, text).
+    """Exact similarities within ``members`` (node, copies, side, across, text).
 
     A row per member: the copies of all texts similar to it here, and the member
-    it is linked to, directly or not. Where sides differ only pairs across them
-    are counted: those within are counted elsewhere.
+    it is linked to, directly or not. Between two blocks only pairs across their
+    sides are counted: those within are counted elsewhere.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,8 +278,8 @@ def _verified(clusters: DataFrame) -> DataFrame:
                 union = sizes[:, None] + sizes[None, :] - shared
                 alike = (SIMILAR[1] * shared >= SIMILAR[0] * union) & (shared > 0)
                 np.fill_diagonal(alike, False)
-                side = np.array([r["side"] for r in rows])
-                if side.any() and not side.all():
+                if rows[0]["across"]:
+                    side = np.array([r["side"] for r in rows])
                     alike &= side[:, None] != side[None, :]
                 links = alike.astype(np.int64) @ np.array([r["copies"] for r in rows], dtype=np.int64)
                 root = np.full(len(rows), -1)
@@ -359,9 +359,10 @@ def similar_texts(
         .withColumn("other", other)
         .withColumn("a", F.least("own", "other"))
         .withColumn("b", F.greatest("own", "other"))
-        .withColumn("side", (F.col("a") != F.col("b")) & (F.col("own") == F.col("b")))
+        .withColumn("side", F.col("own") == F.col("b"))
+        .withColumn("across", F.col("a") != F.col("b"))
         .groupBy("root", "a", "b")
-        .agg(F.sort_array(F.collect_list(F.struct("node", "copies", "side", "text"))).alias("members"))
+        .agg(F.sort_array(F.collect_list(F.struct("node", "copies", "side", "across", "text"))).alias("members"))
     )
     verified = written(_verified(grouped), "verified")
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))

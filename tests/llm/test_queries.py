@@ -1,0 +1,262 @@
+"""Every query against a brute-force version, on texts of all kinds."""
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from batchlens.llm import queries, stages
+from batchlens.llm.vocabulary import default_path, library_tokenizer
+
+ALL = queries.queries()
+
+
+def run(spark, name, sf):
+    return [r.asDict() for r in ALL[name](spark, sf).collect()]
+
+
+def by_id(rows):
+    return sorted(rows, key=lambda r: r["doc_id"])
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def in_order(documents):
+    return sorted(documents, key=lambda d: d["doc_id"])
+
+
+@pytest.mark.parametrize("name", sorted(ALL))
+def test_empty_tables(spark, empty_sf, name):
+    df = ALL[name](spark, empty_sf)
+    assert "doc_id" in df.columns and df.collect() == []
+
+
+def test_sharding(spark, sf, documents):
+    rows = run(spark, "op1_sharding", sf)
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == sorted(
+        (d["doc_id"], len((d["text"] or "").encode()) + 8, zlib.crc32((d["text"] or "").encode())) for d in documents
+    )
+    slots = collections.defaultdict(list)
+    for r in rows:
+        assert r["law"] == "rows" and r["grown_shard"] is None
+        slots[r["shard"]].append(r["slot"])
+    assert sorted(slots) == list(range(24))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    sizes = [len(s) for s in slots.values()]
+    assert max(sizes) - min(sizes) <= 1
+    key = lambda r: tuple(map(str, r.values()))
+    assert sorted(rows, key=key) == sorted(run(spark, "op1_sharding", sf), key=key)
+
+
+def test_quality(spark, sf, documents):
+    rows = by_id(run(spark, "op4_quality", sf))
+    assert len(rows) == len(documents)
+    for d, r in zip(in_order(documents), rows, strict=True):
+        words = plain(d["text"])
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        often = collections.Counter(windows)
+        covered = {i + j for i, w in enumerate(windows) if often[w] > 1 for j in range(3)}
+        lines = [x for x in (d["text"] or "").split("\n") if plain(x)]
+        failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+        expected = (
+            len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", d["text"] or "")),
+            len(lines) - len(set(lines)), len(covered), failed,
+        )
+        assert tuple(r[c] for c in queries.quality.FEATURES) == expected
+        assert not (failed and r["kept"])
+
+
+def folded(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def contamination(documents, items):
+    windows = collections.defaultdict(set)
+    for item in items:
+        words = folded(item["text"])
+        size = min(13, len(words))
+        for i in range(len(words) - size + 1 if size else 0):
+            windows[tuple(words[i : i + size])].add(str(item["item_id"]))
+    for d in in_order(documents):
+        words, hit, found = folded(d["text"]), set(), set()
+        for size in {len(w) for w in windows}:
+            for i in range(len(words) - size + 1):
+                own = windows.get(tuple(words[i : i + size]))
+                if own:
+                    hit.update(range(i, i + size))
+                    found |= own
+        yield d, len(words), len(hit), found
+
+
+def test_decontamination(spark, sf, documents, items):
+    rows = by_id(run(spark, "op6_decontamination", sf))
+    for (d, n, hit, found), r in zip(contamination(documents, items), rows, strict=True):
+        assert (r["doc_id"], r["n_words"], r["n_hit"], r["n_items"]) == (d["doc_id"], n, hit, len(found))
+        assert r["items_sha256"] == sha(",".join(sorted(found)))
+        assert r["contaminated"] == (hit > 0 and 20 * hit >= n)
+    assert sum(r["contaminated"] for r in rows) == 2
+
+
+def shingles(text):
+    words = plain(text)
+    size = min(5, len(words))
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
+
+
+def classes(documents):
+    docs = in_order(documents)
+    sets = [shingles(d["text"]) for d in docs]
+    links, root = [0] * len(docs), list(range(len(docs)))
+    for a in range(len(docs)):
+        for b in range(a):
+            if sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                links[a] += 1
+                links[b] += 1
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    return [(d["doc_id"], docs[r]["doc_id"], n) for d, r, n in zip(docs, root, links, strict=True)]
+
+
+def test_jaccard(spark, sf, documents):
+    rows = by_id(run(spark, "op3_jaccard", sf))
+    assert [(r["doc_id"], r["class_id"], r["n_links"]) for r in rows] == classes(documents)
+    assert sum(r["n_links"] > 0 for r in rows) == 7
+
+
+@pytest.mark.parametrize("plan", [{"bucket": 2, "depth": 2}, {"bucket": 2, "depth": 1, "cluster_texts": 1}])
+def test_jaccard_splits_and_blocks(spark, sf, documents, plan):
+    df = queries.documents(spark, sf)
+    rows = queries.jaccard.similar_texts(df, plan=queries.jaccard.Plan(**plan)).collect()
+    assert sorted(tuple(r) for r in rows) == sorted(classes(documents))
+
+
+def test_substrings(spark, sf, documents):
+    rows = by_id(run(spark, "op7_substrings", sf))
+    first = {}
+    for d in in_order(documents):
+        words = plain(d["text"])
+        for i in range(len(words) - 12):
+            first.setdefault(tuple(words[i : i + 13]), d["doc_id"])
+    for d, r in zip(in_order(documents), rows, strict=True):
+        words = plain(d["text"])
+        gone = {i + j for i in range(len(words) - 12) if first[tuple(words[i : i + 13])] < d["doc_id"] for j in range(13)}
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        assert (r["n_words"], r["n_removed"], r["kept_sha256"]) == (len(words), len(gone), sha(kept))
+
+
+def test_spans_follow_their_source(spark, sf, documents):
+    text = {d["doc_id"]: plain(d["text"]) for d in documents}
+    found = queries.substrings.spans(queries.documents(spark, sf)).collect()
+    assert found
+    for r in found:
+        own = text[r.doc_id][r.start : r.start + r.n_words]
+        assert r.source < r.doc_id and own == text[r.source][r.source_start : r.source_start + r.n_words]
+
+
+def library_ids(documents):
+    tokenizer = library_tokenizer(default_path())
+    return [tokenizer.encode(d["text"] or "", add_special_tokens=False).ids for d in in_order(documents)], tokenizer
+
+
+def test_bpe(spark, sf, documents):
+    expected, tokenizer = library_ids(documents)
+    rows = by_id(run(spark, "op9_bpe", sf))
+    for ids, r in zip(expected, rows, strict=True):
+        text = tokenizer.decode(ids, skip_special_tokens=False)
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), sha(",".join(map(str, ids))), sha(text))
+
+
+def test_token_files(spark, sf, documents):
+    expected, _ = library_ids(documents)
+    start = 0
+    rows = sorted(run(spark, "op5_token_files", sf), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [d["doc_id"] for d in in_order(documents)]
+    for ids, r in zip(expected, rows, strict=True):
+        raw = np.array([*ids, 2], dtype="<u4").tobytes()
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids) + 1, zlib.crc32(raw))
+        start += len(ids) + 1
+
+
+def test_language(spark, sf, documents):
+    rows = by_id(run(spark, "op8_language", sf))
+    for d, r in zip(in_order(documents), rows, strict=True):
+        assert r["held_out"] == (zlib.crc32(str(d["doc_id"]).encode()) % 4 == 2)
+        letters = any(c.isalpha() for c in d["text"] or "")
+        assert (r["lang_pred"] in ("aa", "bb")) == letters and (r["lang_pred"] == "und") != letters
+        assert 0 <= r["score"] <= 1
+
+
+def test_lm(spark, sf, documents):
+    rows = by_id(run(spark, "op10_lm", sf))
+    docs = in_order(documents)
+    tokens = [[*(d["text"] or "").encode().lower().split(), None] for d in docs]
+    held = [zlib.crc32(str(d["doc_id"]).encode()) % 7 == 2 for d in docs]
+    counts = collections.Counter(t for own, h in zip(tokens, held, strict=True) if not h for t in own)
+    total = sum(counts.values())
+    for own, h, r in zip(tokens, held, rows, strict=True):
+        base = sum(math.log10((counts[t] + 1) / (total + len(counts) + 1)) for t in own)
+        assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (h, len(own), total)
+        assert r["n_known"] == sum(t in counts for t in own)
+        assert r["base_score"] == pytest.approx(base) and r["score"] < 0
+
+
+def test_pii(spark, sf, documents):
+    rows = by_id(run(spark, "op2_pii", sf))
+    text = {r["doc_id"]: r["text"] for r in rows}
+    before = {d["doc_id"]: d["text"] for d in documents}
+    ids = {d["text"][:8]: d["doc_id"] for d in documents if d["text"] and len(d["text"]) > 8}
+    contact, card, secret = text[ids["Write to"]], text[ids["Again an"]], text[ids["password"]]
+    everything = " ".join([contact, card, secret]).lower()
+    for private in ("ann.lee", "firm.com", "555-0188", "10.1.2.3", "4532 0151", "abc123def", "akiaabcdef", "0123456789abcdef", "anna schmidt", "dr. schmidt"):
+        assert private not in everything
+    # one entity, one surrogate, in the format of each mention
+    phones = re.findall(r"\(\d{3}\) \d{3}-\d{4}|\+1 \d{3}-\d{3}-\d{4}", contact)
+    assert len(phones) == 2 and re.sub(r"\D", "", phones[0]) == re.sub(r"\D", "", phones[1])[1:]
+    assert re.findall(r"\S+@\S+\.com", contact)[0] == re.findall(r"\S+@\S+\.com", card)[0].rstrip(",")
+    number = re.search(r"\d{4} \d{4} \d{4} \d{4}", card)[0].replace(" ", "")
+    doubled = [sum(divmod(2 * int(c), 10)) if i % 2 == 0 else int(c) for i, c in enumerate(number)]
+    assert sum(doubled) % 10 == 0 and number[0] == "4"
+    given, family = re.search(r"Mrs\. (\S+) (\S+) met", card).groups()
+    assert f"Dr. {family}" in card and f"{given} {family} left" in card
+    changed = {i for i in text if text[i] != before[i]}
+    assert changed == {r["doc_id"] for r in rows if r["n_entities"]} == {ids["Write to"], ids["Again an"], ids["password"]}
+
+
+def test_surrogates_stay_distinct(spark):
+    kinds = [("ip", f"1.2.{i // 200}.{i % 200}", "") for i in range(400)]
+    kinds += [("given", f"Name{i}", "f") for i in range(60)]
+    df = spark.createDataFrame(kinds, "kind string, entity string, gender string")
+    rows = queries.pii.surrogates(df, "k").collect()
+    assert len(rows) == 460 and len({(r.kind, r.surrogate) for r in rows}) == 460
+
+
+def test_pipeline(spark, sf, documents, items):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns = set(docs.columns)
+    scored = {r["doc_id"] for r in run(spark, "op4_quality", sf) if r["kept"]}
+    kept = stages.quality_rules(spark, docs, sf)
+    assert set(kept.columns) == columns and {r.doc_id for r in kept.collect()} == scored
+    rest = [d for d in documents if d["doc_id"] in scored]
+    single = stages.near_copies(spark, kept, sf)
+    own = {i for i, c, _ in classes(rest) if i == c}
+    assert sorted(r.doc_id for r in single.collect()) == sorted(own)
+    clean = stages.decontaminated(spark, single, sf)
+    bad = {d["doc_id"] for d, n, hit, _ in contamination(documents, items) if hit and 20 * hit >= n}
+    assert {r.doc_id for r in clean.collect()} == own - bad
+    final = corpus_pipeline.run(spark, sf).collect()
+    assert sorted(r.doc_id for r in final) == sorted(own - bad)
+    tokenizer = library_tokenizer(default_path())
+    for r in final:
+        assert r.ids == tokenizer.encode(r.text, add_special_tokens=False).ids and r.n_tokens == len(r.ids)
