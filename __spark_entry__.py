@@ -214,6 +214,27 @@ def q_align_turns(spark: SparkSession, sf: str) -> DataFrame:
     return _per_file(_aligned_turns, spark, sf)
 
 
+def _chunk_rows(heard: DataFrame) -> DataFrame:
+    return _rows_of(heard, ["file_ids"], F.col("transcription"), "chunk").select(
+        "file_ids",
+        "chunk",
+        F.col("_e.text").alias("text"),
+        F.get("_e.timestamp", F.lit(0)).alias("start"),
+        F.get("_e.timestamp", F.lit(1)).alias("end"),
+    )
+
+
+def _segment_rows(raw: DataFrame) -> DataFrame:
+    return _rows_of(raw, ["file_ids"], F.col("segments"), "position").select(
+        "file_ids",
+        "position",
+        F.col("_e.segment.start").alias("start"),
+        F.col("_e.segment.end").alias("end"),
+        F.col("_e.track").alias("track"),
+        F.col("_e.label").alias("label"),
+    )
+
+
 def _transcripts(spoken: DataFrame) -> DataFrame:
     return speech.transcriptions(spoken, "script", backends.script_reader()).drop("script")
 
@@ -224,14 +245,14 @@ def _diarizations(overheard: DataFrame) -> DataFrame:
 
 
 def q_transcribe(spark: SparkSession, sf: str) -> DataFrame:
-    heard = _transcripts(given.spoken(spark, sf))
-    rows = _rows_of(heard, ["file_ids"], F.col("transcription"), "chunk")
-    return rows.select(
-        "file_ids",
-        "chunk",
-        F.col("_e.text").alias("text"),
-        F.get("_e.timestamp", F.lit(0)).alias("start"),
-        F.get("_e.timestamp", F.lit(1)).alias("end"),
+    return _chunk_rows(_transcripts(given.spoken(spark, sf)))
+
+
+def q_transcribe_windows(spark: SparkSession, sf: str) -> DataFrame:
+    options = backends.Recognition(window_seconds=5)
+    spoken = given.spoken(spark, sf)
+    return _chunk_rows(
+        speech.transcriptions(spoken, "script", backends.windowed_reader, options)
     )
 
 
@@ -239,13 +260,14 @@ def q_diarize(spark: SparkSession, sf: str) -> DataFrame:
     raw = models.diarize(
         given.overheard(spark, sf), "script", backends.script_speakers("<")
     )
-    return _rows_of(raw, ["file_ids"], F.col("segments"), "position").select(
-        "file_ids",
-        "position",
-        F.col("_e.segment.start").alias("start"),
-        F.col("_e.segment.end").alias("end"),
-        F.col("_e.track").alias("track"),
-        F.col("_e.label").alias("label"),
+    return _segment_rows(raw)
+
+
+def q_diarize_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    bounds = backends.Speakers(at_least=2, at_most=3)
+    speakers = backends.script_speakers("<")
+    return _segment_rows(
+        models.diarize(given.overheard(spark, sf), "script", speakers, bounds)
     )
 
 

@@ -115,23 +115,46 @@ def script_reader(separator: str = "\n") -> Backend:
     return make
 
 
+def windowed_reader() -> Model:
+    """Stand-in recogniser that hears ``window_seconds`` at a time: a chunk per
+    window, without times if they are not asked for. The last end stays open."""
+
+    def run(scripts: list[str], options: Recognition) -> list[list[dict]]:
+        width = max(1, round(options.window_seconds * SPEECH_RATE))
+        transcripts = []
+        for script in scripts:
+            texts = [script[at : at + width] for at in range(0, len(script), width)] or [""]
+            times = [[k * width / SPEECH_RATE, (k + 1) * width / SPEECH_RATE] for k in range(len(texts))]
+            times[-1][1] = None
+            if not options.timestamps:
+                times = [[None, None]] * len(texts)
+            transcripts.append([{"text": t, "timestamp": s} for t, s in zip(texts, times)])
+        return transcripts
+
+    return run
+
+
 def script_speakers(separator: str = "\n") -> Backend:
     """Stand-in diarizer: one segment per piece of the script, the speaker told
     from the length of the piece."""
 
     def make() -> Model:
         def run(scripts: list[str], options: Speakers) -> list[list[dict]]:
-            voices = options.exact or options.at_most
+            def voices(pieces: int) -> int:
+                if options.exact or options.at_least <= 1:
+                    return options.exact or options.at_most
+                return max(options.at_least, min(options.at_most, pieces))
+
             return [
                 [
                     {
                         "segment": {"start": start, "end": end},
                         "track": "A",
-                        "label": f"SPEAKER_{len(text) % voices:02d}",
+                        "label": f"SPEAKER_{len(text) % voices(len(pieces)):02d}",
                     }
-                    for text, start, end in _timed(script, separator)
+                    for text, start, end in pieces
                 ]
-                for script in scripts
+                for pieces in (_timed(script, separator) for script in scripts)
             ]
 
         return run

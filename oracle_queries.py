@@ -230,6 +230,18 @@ ORACLE = {
     "transcribe": f"""
         WITH {_TRANSCRIPT}
         SELECT f AS file_ids, CAST(i AS INTEGER) AS chunk, text, start, "end" FROM ch""",
+    "transcribe_windows": """
+        SELECT doc_id AS file_ids, CAST(i AS INTEGER) AS chunk, substr(text, i * 75 + 1, 75) AS text,
+               CAST(i * 5 AS DOUBLE) AS start, CASE WHEN i < n - 1 THEN CAST(i * 5 + 5 AS DOUBLE) END
+                   AS "end"
+        FROM (SELECT doc_id, text, n, unnest(range(n)) AS i
+              FROM (SELECT doc_id, text, greatest(1, CAST(ceil(length(text) / 75.0) AS BIGINT)) AS n
+                    FROM documents))""",
+    "diarize_bounds": f"""
+        SELECT f AS file_ids, CAST(i AS INTEGER) AS position, start, "end", 'A' AS track,
+               'SPEAKER_0' || (length(piece) % greatest(2, least(3, count(*) OVER (PARTITION BY f))))
+                   AS label
+        FROM ({_pieces("pages", "page_id", "html", "'<'")})""",
     "diarize": f"""
         WITH {_SEGMENTS}
         SELECT f AS file_ids, CAST(pos AS INTEGER) AS position, start, "end", 'A' AS track, label
