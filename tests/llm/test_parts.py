@@ -139,10 +139,10 @@ def test_gradients_and_whole_text_scores():
     model = gru.GRU(shape, np.arange(12, 0, -1.0))
     for k in ("class", "word"):
         model.p[k] = rng.standard_normal(model.p[k].shape).astype(np.float32) * 0.3
-    text = rng.integers(0, 12, 40)
+    text = np.append(rng.integers(0, 11, 40), 11)
     # one text in windows of any length, beside others, scores the same
     whole = model.score([text], 11, window=100)[0]
-    assert model.score([text, text[:3], text[5:]], 11, lanes=2, window=7)[0] == pytest.approx(whole, rel=1e-4)
+    assert model.score([text, text[-3:], text[20:], text[30:]], 11, lanes=2, window=7)[0] == pytest.approx(whole, rel=1e-4)
     # probabilities of all tokens after one state sum to one
     state = rng.standard_normal((1, 5)).astype(np.float32)
     logs = model.log_probs(np.repeat(state, 12, axis=0), np.arange(12))
