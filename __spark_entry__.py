@@ -379,11 +379,12 @@ def q_media_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_audio_prepare(spark: SparkSession, sf: str) -> DataFrame:
-    ready = audio.prepare_audio(given.waveforms(spark, sf))
-    return _rows_of(ready, ["file_ids", "sampling_rate"], F.col("samples"), "j").select(
+    ready = audio.prepare_blocks(given.waveforms(spark, sf))
+    kept = ["file_ids", "sampling_rate", "first_sample"]
+    return _rows_of(ready, kept, F.col("samples"), "j").select(
         "file_ids",
         "sampling_rate",
-        "j",
+        (F.col("first_sample") + F.col("j")).cast("int").alias("j"),
         F.round(F.col("_e") * 32767).cast("long").alias("level"),
     )
 

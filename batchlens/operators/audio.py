@@ -37,7 +37,12 @@ def filters(step: int, phases: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def resample(
-    samples: np.ndarray, rate: int, target: int = MODEL_RATE, known: dict | None = None
+    samples: np.ndarray,
+    rate: int,
+    target: int = MODEL_RATE,
+    known: dict | None = None,
+    lead: int = 0,
+    length: int | None = None,
 ) -> np.ndarray:
     """Band-limited interpolation with a Hann-windowed sinc.
 
@@ -45,25 +50,28 @@ def resample(
     samples within ``ZERO_CROSSINGS`` zero crossings of the low-pass filter,
     whose cutoff is the lower of the two rates times ``ROLLOFF``. Output samples
     at the same position between two input samples share a filter; ``known``
-    keeps the filters of the rates seen so far.
+    keeps the filters of the rates seen so far. For a stretch of a longer signal
+    the first ``lead`` samples come before its time 0, and ``length`` output
+    samples are wanted.
     """
     if rate == target or not len(samples):
-        return samples
+        return samples[lead : None if length is None else lead + length]
     step, phases = rate // math.gcd(rate, target), target // math.gcd(rate, target)
     known = {} if known is None else known
     if rate not in known:
         known[rate] = filters(step, phases)
     first, kernels = known[rate]
     width = kernels.shape[1]
-    length = math.ceil(len(samples) * phases / step)
+    if length is None:
+        length = math.ceil((len(samples) - lead) * phases / step)
     before = -int(first[0])
     padded = np.concatenate(
-        [np.zeros(before), samples.astype(np.float64), np.zeros(width + step)]
+        [np.zeros(before), samples.astype(np.float64), np.zeros(width + 2 * step)]
     )
     result = np.empty(length)
     for low in range(0, length, SLICE):
         turn, phase = np.divmod(np.arange(low, min(length, low + SLICE)), phases)
-        starts = turn * step + first[phase] + before
+        starts = turn * step + first[phase] + before + lead
         near = padded[starts[:, None] + np.arange(width)]
         result[low : low + SLICE] = np.einsum("jt,jt->j", near, kernels[phase])
     return result
@@ -99,16 +107,78 @@ def prepare_audio(
 
     # Marked so that an explode or filter on the result does not resample twice.
     resampled = F.pandas_udf(at_target, "array<double>").asNondeterministic()
-    checked = df.withColumn(
-        "problem",
-        F.when(F.col(samples).isNull(), "no samples")
-        .when(F.exists(samples, lambda s: s.isNull()), "missing samples")
-        .when(
-            F.coalesce(F.col(rate), F.lit(0)) <= 0, "no sampling rate"
-        ),
-    )
+    checked = _with_problem(df, samples, rate)
     signal = F.when(F.col("problem").isNull(), F.col(samples).cast("array<double>"))
     converted = resampled(F.when(F.col(rate) != target, signal), F.coalesce(rate, F.lit(0)))
     return checked.withColumn(samples, F.coalesce(converted, signal)).withColumn(
         rate, F.lit(target)
     )
+
+
+def prepare_blocks(
+    df: DataFrame,
+    samples: str = "samples",
+    rate: str = "sampling_rate",
+    target: int = MODEL_RATE,
+    seconds: int = 30,
+) -> DataFrame:
+    """Like ``prepare_audio`` in stretches of ``seconds``: rows with ``block`` and
+    ``first_sample`` (the place of its first sample in the whole), put end to end
+    the whole signal.
+
+    Each stretch is cut out with as much of its neighbours as the filter reaches,
+    before anything goes to Python, so that a batch holds a bounded number of
+    samples however long a recording is. A row without a result, or without
+    samples in it, is one block.
+    """
+    kind = df.schema[samples].dataType
+    if not isinstance(kind, T.ArrayType) or isinstance(kind.elementType, T.ArrayType):
+        raise ValueError(f"single-channel samples expected, got {kind.simpleString()}")
+    pace = F.greatest(F.coalesce(F.col(rate), F.lit(1)), F.lit(1)).cast("long")
+    halo = F.ceil((ZERO_CROSSINGS + 2) * F.greatest(F.lit(1.0), pace / F.lit(target))).cast("long") + 2
+    size = F.greatest(F.coalesce(F.size(samples), F.lit(0)), F.lit(0)).cast("long")
+    checked = _with_problem(df, samples, rate)
+    fine = F.col("problem").isNull()
+    blocks = F.when(fine, F.greatest(F.ceil(size / (pace * seconds)), F.lit(1))).otherwise(1)
+    one = checked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
+    start = F.col("block") * pace * seconds
+    lead = F.least(halo, start)
+    whole = F.ceil(size * F.lit(target) / pace)
+    cut = one.withColumns(
+        {
+            "_lead": lead.cast("int"),
+            "_length": F.least(F.lit(target * seconds).cast("long"), whole - F.col("block") * target * seconds).cast("int"),
+            "_cut": F.when(
+                fine,
+                F.slice(samples, (start - lead + 1).cast("int"), (pace * seconds + lead + halo).cast("int")),
+            ),
+        }
+    )
+
+    def at_target(waves: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        known: dict = {}
+        for signals, rates, leads, lengths in waves:
+            yield pd.Series(
+                [
+                    None if s is None else resample(np.asarray(s), int(r), target, known, int(a), int(n))
+                    for s, r, a, n in zip(signals, rates, leads, lengths)
+                ],
+                dtype=object,
+            )
+
+    resampled = F.pandas_udf(at_target, "array<double>").asNondeterministic()
+    return (
+        cut.withColumn(samples, resampled(F.col("_cut"), F.coalesce(rate, F.lit(0)), "_lead", "_length"))
+        .withColumn(rate, F.lit(target))
+        .withColumn("first_sample", F.col("block") * target * seconds)
+        .drop("_cut", "_lead", "_length")
+    )
+
+
+def _with_problem(df: DataFrame, samples: str, rate: str) -> DataFrame:
+    return df.withColumn(
+        "problem",
+        F.when(F.col(samples).isNull(), "no samples")
+        .when(F.exists(samples, lambda s: s.isNull()), "missing samples")
+        .when(F.coalesce(F.col(rate), F.lit(0)) <= 0, "no sampling rate"),
+    )

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from batchlens.operators.audio import prepare_audio, resample
+from batchlens.operators.audio import prepare_audio, prepare_blocks, resample
 
 SCHEMA = "file_ids long, sampling_rate int, samples array<float>"
 
@@ -50,3 +50,21 @@ def test_more_channels_are_refused(spark):
     df = spark.createDataFrame([(1, 8000, [[1.0]])], "f long, sampling_rate int, samples array<array<float>>")
     with pytest.raises(ValueError, match="single-channel"):
         prepare_audio(df)
+
+
+def test_long_recording_in_blocks_is_the_whole(spark):
+    rng = np.random.default_rng(3)
+    data = [(r, r, [float(x) for x in rng.standard_normal(int(3.4 * r))]) for r in (4000, 16000, 22050, 44100)]
+    data += [(1, 16000, None), (2, 8000, [0.5, None]), (3, 8000, []), (4, None, [1.0])]
+    df = spark.createDataFrame(data, "file_ids long, sampling_rate int, samples array<float>")
+    whole = {r.file_ids: (r.samples, r.problem) for r in prepare_audio(df).collect()}
+    blocks = {}
+    for r in prepare_blocks(df, seconds=1).orderBy("file_ids", "block").collect():
+        samples, problem = blocks.setdefault(r.file_ids, ([], r.problem))
+        assert r.problem == problem and (r.samples is None or r.first_sample == len(samples))
+        samples.extend(r.samples or [])
+    assert {k: p for k, (_, p) in blocks.items()} == {k: p for k, (_, p) in whole.items()}
+    assert blocks[2][1] == "missing samples"
+    for key, (samples, _) in whole.items():
+        assert len(blocks[key][0]) == len(samples or [])
+        assert np.allclose(blocks[key][0], samples or [], atol=1e-12)
