@@ -31,13 +31,23 @@ def _down(top: float, step: float) -> tuple[float, ...]:
     return tuple(round(top - step * i, 6) for i in range(count))
 
 
+#: The cutoffs each rule may take, from lenient to strict.
+GRIDS = {
+    "symbols": _down(3.0, 0.05),
+    "lines": _down(1.0, 0.05),
+    "word_length": _down(20.0, 0.25),
+}
+
+
 def default_rules() -> list[Rule]:
+    """Symbols per word, share of repeated lines, and mean word length."""
     words = F.greatest(F.col("n_words"), F.lit(1))
-    return [
-        Rule("symbols", F.col("n_symbols") / words, _down(3.0, 0.05)),
-        Rule("lines", F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), _down(1.0, 0.05)),
-        Rule("word_length", F.col("word_chars") / words, _down(20.0, 0.25)),
-    ]
+    scores = {
+        "symbols": F.col("n_symbols") / words,
+        "lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
+        "word_length": F.col("word_chars") / words,
+    }
+    return [Rule(name, score, GRIDS[name]) for name, score in scores.items()]
 
 
 def with_features(df: DataFrame, text: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchlens.llm import bpe_trie, decontaminate, jaccard, language, lm, pii, quality, sharding, substrings, token_files
+from batchlens.llm.oracle import ORACLE
 from batchlens.llm.tables import crc_mod, documents
 from batchlens.llm.vocabulary import default_path
 
@@ -90,4 +91,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
