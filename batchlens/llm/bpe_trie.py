@@ -7,10 +7,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from batchlens.llm.vocabulary import ChunkEncoder, Vocabulary, vocabulary
+from batchlens.llm.vocabulary import ChunkEncoder, Vocabulary, flattened, vocabulary
 
 _NEVER = 1 << 60
 TEXTS_AT_ONCE = 256
@@ -99,7 +100,7 @@ class TrieEncoder:
             before = word
             yield tuple(reversed(ids))
 
-    def encode_new(self, chunks: list[str]) -> list[tuple[int, ...]]:
+    def encode_new(self, chunks: list[str], _: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """The ids of chunks of text, by a walk over their distinct pieces."""
         cut = [self.words.pieces(c) for c in chunks]
         special = self.words.special
@@ -107,7 +108,7 @@ class TrieEncoder:
         plain = sorted({p.encode() for p in chain.from_iterable(cut) if p not in special})
         for word, ids in zip(plain, self._walk(plain), strict=True):
             known[word.decode()] = ids
-        return [tuple(chain.from_iterable([known[p] for p in pieces])) for pieces in cut]
+        return flattened([tuple(chain.from_iterable([known[p] for p in pieces])) for pieces in cut])
 
     def decode(self, ids: list[int]) -> str:
         table = self.words.bytes_of

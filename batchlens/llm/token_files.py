@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchlens.llm.tables import new_folder
-from batchlens.llm.vocabulary import ChunkEncoder, library_tokenizer, vocabulary
+from batchlens.llm.vocabulary import ChunkEncoder, flattened, library_tokenizer, vocabulary
 
 TEXTS_AT_ONCE = 256
 
@@ -58,8 +58,20 @@ def encoder(path: str) -> ChunkEncoder:
     """By the tokenizers library, which is asked once per distinct chunk."""
     library = library_tokenizer(path)
 
-    def encode_new(chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in library.encode_batch_fast(chunks, add_special_tokens=False)]
+    sizes = np.array([len(t) for t in vocabulary(path).bytes_of], dtype=np.int64)
+
+    def encode_new(chunks: list[str], joinable: bool) -> tuple[np.ndarray, np.ndarray]:
+        if joinable:
+            # Put end to end the chunks cost the library a few calls; which ids
+            # are whose shows in the bytes they stand for.
+            runs = ["".join(chunks[at : at + 500]) for at in range(0, len(chunks), 500)]
+            ids, _ = flattened([e.ids for e in library.encode_batch_fast(runs, add_special_tokens=False)])
+            ends = np.cumsum(np.fromiter((len(c.encode()) for c in chunks), dtype=np.int64, count=len(chunks)))
+            reached = np.cumsum(sizes[ids])
+            last = np.searchsorted(reached, ends)
+            if (reached[np.minimum(last, len(reached) - 1)] == ends).all():
+                return ids, np.diff(np.concatenate([[0], last + 1]))
+        return flattened([e.ids for e in library.encode_batch_fast(chunks, add_special_tokens=False)])
 
     return ChunkEncoder(vocabulary(path), encode_new)
 
@@ -106,7 +118,7 @@ def write_ids(
     part it lies in, the ids before it in that part, control bytes and data bytes
     of the ranks of its ids; files and records follow the order of the key.
     ``folder/ranks`` holds the id of each rank. NULL keys come first; documents
-    with equal keys are ordered by their text. NULL texts have the end id alone.
+    with equal keys are ordered by a hash of their text. NULL texts have the end id alone.
 
     Texts are encoded twice, for the counts and for the files, which moves
     less than storing plain ids between the two would.
@@ -139,7 +151,8 @@ def write_ids(
             )
 
     kind = df.schema[key].dataType.simpleString()
-    ordered = df.select(key, text).sort(key, text)
+    # By a hash of the text: sampled keys, texts among them, go to the driver.
+    ordered = df.select(key, text).sort(key, F.xxhash64(text))
     records = ordered.mapInArrow(
         run, f"`{key}` {kind}, n_tokens bigint, part int, before bigint, control binary, data binary"
     )

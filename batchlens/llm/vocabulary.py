@@ -90,8 +90,14 @@ def library_tokenizer(path: str):
     return tokenizer
 
 
-# Distinct chunks a worker keeps.
-CHUNKS_KEPT = 600_000
+# Distinct chunks a worker keeps, and marks that are one byte and so one token.
+CHUNKS_KEPT = 1_000_000
+MARKS = (",", ".")
+
+
+def flattened(found: list) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+    return np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum())), lengths
 
 
 class ChunkEncoder:
@@ -104,7 +110,9 @@ class ChunkEncoder:
     Chunks met once are forgotten when too many are kept.
     """
 
-    def __init__(self, words: Vocabulary, encode_new: Callable[[list[str]], list]):
+    def __init__(self, words: Vocabulary, encode_new: Callable[[list[str], bool], tuple[np.ndarray, np.ndarray]]):
+        """``encode_new`` gets chunks and gives their ids, end to end, and how many
+        each has; it is told whether the chunks may be put end to end too."""
         self.words, self._encode_new = words, encode_new
         self._clear()
 
@@ -117,25 +125,41 @@ class ChunkEncoder:
         self._uses = np.zeros(0, dtype=np.int64)
         self._flat = np.zeros(0, dtype=np.int32)
 
-    def _learn(self, spaced: set[str], plain: set[str]) -> None:
-        new_spaced = [w for w in spaced if w not in self._spaced]
-        new_plain = [w for w in plain if w not in self._plain]
-        if not new_spaced and not new_plain:
-            return
-        found = self._encode_new([" " + w for w in new_spaced] + new_plain)
+    def _add(self, spaced: list[str], plain: list[str], flat: np.ndarray, lengths: np.ndarray, whole: np.ndarray) -> None:
         first = len(self._lengths)
-        self._spaced.update(zip(new_spaced, range(first, first + len(new_spaced)), strict=True))
-        self._plain.update(zip(new_plain, range(first + len(new_spaced), first + len(found)), strict=True))
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum()))
-        special = self.words.special
-        whole = [not (w == "" or w[0].isspace() or any(s in w for s in special)) for w in new_spaced]
-        whole += [not any(s in w for s in special) for w in new_plain]
+        self._spaced.update(zip(spaced, range(first, first + len(spaced)), strict=True))
+        self._plain.update(zip(plain, range(first + len(spaced), first + len(lengths)), strict=True))
         self._starts = np.concatenate([self._starts, len(self._flat) + np.cumsum(lengths) - lengths])
         self._lengths = np.concatenate([self._lengths, lengths])
         self._flat = np.concatenate([self._flat, flat])
-        self._whole = np.concatenate([self._whole, np.array(whole, dtype=bool)])
-        self._uses = np.concatenate([self._uses, np.zeros(len(found), dtype=np.int64)])
+        self._whole = np.concatenate([self._whole, whole])
+        self._uses = np.concatenate([self._uses, np.zeros(len(lengths), dtype=np.int64)])
+
+    def _learn(self, spaced: set[str], plain: set[str]) -> None:
+        new = spaced.difference(self._spaced)
+        # A closing mark after a letter is a piece of its own.
+        closed = [w for w in new if w[-1:] in MARKS and w[-2:-1].isalpha()]
+        new.difference_update(closed)
+        new.update({w[:-1] for w in closed}.difference(self._spaced))
+        new_plain = [w for w in plain if w not in self._plain]
+        new_plain += [m for m in MARKS if closed and m not in self._plain and m not in plain]
+        special = tuple(self.words.special)
+        odd = [w for w in new if not w or w[0].isspace() or "<" in w and any(x in w for x in special)]
+        easy = list(new.difference(odd))
+        for chunks, apart, own in ((easy, [], True), (odd, new_plain, False)):
+            if chunks or apart:
+                flat, lengths = self._encode_new([" " + w for w in chunks] + apart, own)
+                whole = [own] * len(chunks) + [not any(x in w for x in special) for w in apart]
+                self._add(chunks, apart, flat, lengths, np.array(whole, dtype=bool))
+        if closed:
+            stems = np.fromiter((self._spaced[w[:-1]] for w in closed), dtype=np.int64, count=len(closed))
+            marks = np.fromiter((self._flat[self._starts[self._plain[w[-1]]]] for w in closed), dtype=np.int32, count=len(closed))
+            lengths = self._lengths[stems] + 1
+            starts = np.cumsum(lengths) - lengths
+            flat = np.empty(int(lengths.sum()), dtype=np.int32)
+            flat[_gathered(starts, lengths - 1)] = self._flat[_gathered(self._starts[stems], lengths - 1)]
+            flat[starts + lengths - 1] = marks
+            self._add(closed, [], flat, lengths, self._whole[stems])
 
     def _forget(self) -> None:
         kept = self._uses > 1
