@@ -13,13 +13,13 @@ def number_rows(df: DataFrame, order: list[str], name: str = "row_number") -> Da
 
     A sort deals rows to ranges and numbers them inside each; the written ranges
     are counted, and each gets the rows before it. Rows alike in ``order`` are
-    parted by their other columns and then arbitrarily, so that no single value
+    parted by a hash of their other columns and then arbitrarily, so that no single value
     fills a range: numbers are unique, and which of equal rows gets which is
     open. NULLs come first.
     """
     rest = [c for c in df.columns if c not in order]
     ties = [F.xxhash64(*rest)] if rest else []
-    ranged = df.sort(*order, *ties, *rest, F.monotonically_increasing_id())
+    ranged = df.sort(*order, *ties, F.monotonically_increasing_id())
     placed = written(ranged.withColumn("__at", F.monotonically_increasing_id()), "rows")
     block = F.shiftright("__at", 33)
     counts = placed.groupBy(block.alias("__of")).agg(F.count(F.lit(1)).alias("__rows"))
