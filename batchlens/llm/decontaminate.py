@@ -98,7 +98,8 @@ def contamination(
 
     ``n_hit`` counts words inside any occurrence of a window; ``item_ids`` are
     the items with such windows, as sorted strings. NULL and empty texts have no
-    words; items without words match nothing; without items nothing is hit.
+    words; items without words match nothing; without items nothing is hit; other
+    columns do not matter.
     Repeated rows each get a row. Item windows found in a document (few) meet in
     one row per document, bounded by the document's length.
     """

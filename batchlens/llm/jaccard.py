@@ -316,7 +316,8 @@ def similar_texts(
     directly or through others; ``n_links`` counts the other rows it is linked
     to. Texts with equal shingle sets are taken together from the start and
     counted, never paired. NULL texts and texts without words are linked to
-    nothing and keep their own key as class. Repeated rows are copies.
+    nothing and keep their own key as class. Repeated rows are copies. Keys name
+    texts: where different texts share a key, the links of either may be missed.
 
     Chosen-path join: in each of several runs every set is split on shared tokens
     that a hash chooses, about two of its own; sets that chose the same token

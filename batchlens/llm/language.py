@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from batchlens.llm.tables import small_side, written
 from batchlens.llm.words import mixed
 
 ORDER = 4
@@ -245,11 +246,11 @@ def training_sample(df: DataFrame, lang: str = "lang", text: str = "text") -> Da
     known = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text")
     )
-    sizes = known.groupBy("lang").agg(F.sum(F.length("text")).alias("__chars"))
+    sizes = written(known.groupBy("lang").agg(F.sum(F.length("text")).alias("__chars")), "languages")
     # A fraction of 2^31 of hash values keeps the wanted share of characters.
     share = F.least(F.lit(1.0), F.lit(SAMPLE_CHARS) / F.greatest(F.col("__chars"), F.lit(1)))
     hashed = F.pmod(F.xxhash64("text"), F.lit(1 << 31))
-    chosen = known.join(F.broadcast(sizes), "lang").where(hashed <= share * (1 << 31))
+    chosen = known.join(small_side(sizes, sizes.count()), "lang").where(hashed <= share * (1 << 31))
     so_far = Window.partitionBy("lang").orderBy(hashed, "text").rowsBetween(Window.unboundedPreceding, -1)
     return (
         chosen.withColumn("__before", F.coalesce(F.sum(F.length("text")).over(so_far), F.lit(0)))
