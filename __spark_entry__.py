@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import sys
 from collections.abc import Callable
 from pathlib import Path
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
+ROOT = str(Path(__file__).resolve().parent)
+sys.path.insert(0, ROOT)
+# For the Python workers of a session that is started after this.
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
