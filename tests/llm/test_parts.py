@@ -4,12 +4,13 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from batchlens.llm import bpe_trie, gru, language, quality, sharding, token_files
+from batchlens.llm import bpe_trie, gru, language, lm, quality, sharding, token_files
 from batchlens.llm.components import components
 from batchlens.llm.vocabulary import default_path, library_tokenizer
 
@@ -153,3 +154,55 @@ def test_gradients_and_whole_text_scores():
         _, loss = model.train(lanes[:-1], lanes[1:], np.ones_like(lanes[1:], bool), np.zeros((8, 5), np.float32), 0.1)
         before = before or loss
     assert loss < 0.3 * before
+
+
+def _read_by_training(texts, words):
+    """What the windows hold of each text, lane by lane."""
+    batches = iter([pa.RecordBatch.from_pydict({"text": pa.array(texts[i : i + 3], pa.string())}) for i in range(0, len(texts), 3)])
+    lanes, names = [[] for _ in range(lm.LANES)], list(range(lm.LANES))
+    before = dict.fromkeys(names, words.end)
+    for inputs, targets, used, kept in lm._windows(batches, words):
+        names = [names[k] for k in kept]
+        for k, lane in enumerate(names):
+            for i, t, u in zip(inputs[:, k], targets[:, k], used[:, k], strict=True):
+                if u:
+                    assert i == before[lane]
+                    lanes[lane].append(int(t))
+                    before[lane] = t
+    found = []
+    for lane in lanes:
+        own = []
+        for t in lane:
+            own.append(t)
+            if t == words.end:
+                found.append(own)
+                own = []
+        assert not own
+    return found
+
+
+@pytest.mark.parametrize("lanes", [1, 4, 256])
+def test_training_reads_whole_texts(monkeypatch, lanes):
+    monkeypatch.setattr(lm, "LANES", lanes)
+    stock = [f"w{i}".encode() for i in range(50)]
+    words = lm.Vocabulary({w: i for i, w in enumerate(stock)}, np.arange(50, 0, -1), 40, 2000, 51, 9)
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(n)) for n in (1, 700, 15, 16, 17, 33, 3)] + [None, ""]
+    expected = [[min(words.place.get(w, 40), 40) for w in lm.tokens_of(t)] + [words.end] for t in texts]
+    assert sorted(_read_by_training(texts, words)) == sorted(expected)
+
+
+def test_training_starts_texts_from_a_zero_state():
+    shape = gru.Shape(6, 3, 4)
+    rng = np.random.default_rng(1)
+    inputs = np.array([[5], [1], [2], [5], [3], [1]])
+    targets = np.array([[1], [2], [5], [3], [1], [4]])
+    used = np.ones_like(targets, bool)
+    carried = rng.standard_normal((1, 4)).astype(np.float32)
+    one, two = gru.GRU(shape, np.arange(6, 0, -1.0)), gru.GRU(shape, np.arange(6, 0, -1.0))
+    state, loss = one.train(inputs, targets, used, carried, 0.1, 5)
+    # the same two texts side by side, as lanes of their own
+    side = lambda x: np.concatenate([x[:3], x[3:]], axis=1)
+    other, other_loss = two.train(side(inputs), side(targets), side(used), np.zeros((2, 4), np.float32), 0.1)
+    assert loss == pytest.approx(other_loss, rel=1e-5) and np.allclose(state[0], other[1], atol=1e-6)
+    assert np.allclose(one.vector(), two.vector(), atol=1e-4)
