@@ -10,7 +10,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.llm.components import components
@@ -81,9 +81,14 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+def _mark(text: str) -> Column:
+    """What tells texts apart that share an id; NULL for NULL alone."""
+    return F.unhex(F.md5(F.col(text)))
+
+
 def _described(df: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
-    """``(key, node, n_shingles, sketch, paths)``; ``node`` names the shingle set,
-    NULL for a text without words."""
+    """``(key, mark, node, n_shingles, sketch, paths)``; ``mark`` names the text and
+    ``node`` the shingle set, NULL for a text without words."""
     runs = [int(v) for v in mixed(np.arange(1, plan.runs + 1, dtype=np.uint64))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +97,7 @@ def _described(df: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 nodes, counts, sketches, paths = [], [], [], []
-                for t in part.column(text).to_pylist():
+                for t in part.column("text").to_pylist():
                     tokens = shingles(words_of(t), hashes)
                     counts.append(len(tokens))
                     if not len(tokens):
@@ -103,18 +108,20 @@ def _described(df: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
                     paths.append(_signed(np.concatenate([_chosen(tokens, r) for r in runs])))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(key),
+                        part.column("key"),
+                        part.column("mark"),
                         pa.array(nodes, pa.binary()),
                         pa.array(counts, pa.int32()),
                         pa.array(sketches, pa.binary()),
                         pa.array(paths, pa.list_(pa.int64())),
                     ],
-                    ["key", "node", "n_shingles", "sketch", "paths"],
+                    ["key", "mark", "node", "n_shingles", "sketch", "paths"],
                 )
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(
-        run, f"key {kind}, node binary, n_shingles int, sketch binary, paths array<bigint>"
+    slim = df.select(F.col(key).alias("key"), _mark(text).alias("mark"), F.col(text).alias("text"))
+    return slim.mapInArrow(
+        run, f"key {kind}, mark binary, node binary, n_shingles int, sketch binary, paths array<bigint>"
     )
 
 
@@ -174,14 +181,23 @@ def _gathered(members: DataFrame, nodes: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(key).alias("__key"), _mark(text).alias("__mark"), F.col(text).alias("text"))
+
+
+def _is_rep() -> Column:
+    """A row of ``_texts`` is the one that stands for a set, or equal to it."""
+    return F.col("__key").eqNullSafe(F.col("rep")) & (F.col("__mark") == F.col("mark"))
+
+
 def _children(df: DataFrame, frontier: DataFrame, key: str, text: str) -> DataFrame:
-    """``(path, node)`` one level deeper: the texts of ``frontier(node, rep, path)``
-    are read again and split on tokens chosen for each of their paths."""
-    per_text = frontier.groupBy("rep", "node").agg(F.collect_set("path").alias("paths"))
+    """``(path, node)`` one level deeper: the texts of ``frontier(node, rep, mark,
+    path)`` are read again and split on tokens chosen for each of their paths."""
+    per_text = frontier.groupBy("rep", "mark", "node").agg(F.collect_set("path").alias("paths"))
     per_text = written(per_text, "frontier")
     joined = (
-        df.select(F.col(key).alias("rep_key"), F.col(text).alias("text"))
-        .join(small_side(per_text, per_text.count()), F.col("rep_key").eqNullSafe(F.col("rep")))
+        _texts(df, key, text)
+        .join(small_side(per_text, per_text.count()), _is_rep())
         .select("node", "paths", "text")
     )
 
@@ -192,8 +208,6 @@ def _children(df: DataFrame, frontier: DataFrame, key: str, text: str) -> DataFr
             found = [np.zeros(0, dtype=np.uint64)]
             for node, paths, t in zip(*(batch.column(c).to_pylist() for c in ("node", "paths", "text")), strict=True):
                 tokens = shingles(words_of(t), hashes)
-                if not len(tokens) or xxhash.xxh128_digest(tokens.tobytes()) != node:
-                    continue  # another text under the same id
                 for path in paths:
                     longer = _chosen(tokens, path & (2**64 - 1))
                     rows.extend([node] * len(longer))
@@ -218,7 +232,7 @@ def _candidates(df: DataFrame, nodes: DataFrame, plan: Plan, key: str, text: str
         if large.isEmpty():
             break
         if level + 1 < plan.depth:
-            frontier = large.join(nodes.select("node", "rep"), "node").select("node", "rep", "path")
+            frontier = large.join(nodes.select("node", "rep", "mark"), "node").select("node", "rep", "mark", "path")
             rows = written(_children(df, frontier, key, text), "children")
             continue
         # Too alike to be split: compared in blocks, every block with every other.
@@ -316,8 +330,8 @@ def similar_texts(
     directly or through others; ``n_links`` counts the other rows it is linked
     to. Texts with equal shingle sets are taken together from the start and
     counted, never paired. NULL texts and texts without words are linked to
-    nothing and keep their own key as class. Repeated rows are copies. Keys name
-    texts: where different texts share a key, the links of either may be missed.
+    nothing and keep their own key as class. Repeated rows are copies. Different
+    texts may share a key or have none; a NULL key is the last of a class.
 
     Chosen-path join: in each of several runs every set is split on shared tokens
     that a hash chooses, about two of its own; sets that chose the same token
@@ -328,21 +342,39 @@ def similar_texts(
     the threshold is missed with a chance of ``1 - plan.recall``, and links are
     always true.
     """
+    return _classified(df, key, text, plan).select(
+        F.col("key").alias(key),
+        F.col("class_id"),
+        F.col("n_links"),
+    )
+
+
+def _least(key: str, mark: str) -> Column:
+    """The least row by key and text, NULL keys last."""
+    return F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col(mark).alias("mark")))
+
+
+def _classified(df: DataFrame, key: str, text: str, plan: Plan) -> DataFrame:
+    """``(key, mark, class_id, class_mark, n_links)`` per row: ``class_id`` and
+    ``class_mark`` are key and mark of the least row of its class."""
     described = written(_described(df, plan, key, text), "shingles")
     held = described.where(F.col("node").isNotNull())
-    copies = held.groupBy("node").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    one = held.select(F.col("node").alias("__n"), "key", "n_shingles", "sketch", "paths")
+    copies = (
+        held.groupBy("node")
+        .agg(_least("key", "mark").alias("least"), F.count(F.lit(1)).alias("copies"))
+        .select("node", "copies", F.col("least.key").alias("rep"), F.col("least.mark").alias("rep_mark"))
+    )
+    one = held.select(F.col("node").alias("__n"), "key", "mark", "n_shingles", "sketch", "paths")
+    is_rep = F.col("rep").eqNullSafe(F.col("key")) & (F.col("rep_mark") == F.col("mark"))
     nodes = written(
-        copies.join(one, (F.col("node") == F.col("__n")) & F.col("rep").eqNullSafe(F.col("key")))
+        copies.join(one, (F.col("node") == F.col("__n")) & is_rep)
         .dropDuplicates(["node"])
-        .select("node", "rep", "copies", "n_shingles", "sketch", "paths"),
+        .select("node", "rep", "mark", "copies", "n_shingles", "sketch", "paths"),
         "sets",
     )
     clusters = components(_candidates(df, nodes, plan, key, text))
-    clustered = written(clusters.join(nodes.select("node", "rep", "copies"), "node"), "clusters")
-    texts = df.select(F.col(key).alias("__key"), F.col(text).alias("text")).join(
-        small_side(clustered, clustered.count()), F.col("__key").eqNullSafe(F.col("rep"))
-    )
+    clustered = written(clusters.join(nodes.select("node", "rep", "mark", "copies"), "node"), "clusters")
+    texts = _texts(df, key, text).join(small_side(clustered, clustered.count()), _is_rep())
     texts = written(texts.select("root", "node", "copies", "text").dropDuplicates(["node"]), "cluster-texts")
     sizes = texts.groupBy(F.col("root").alias("__root")).agg(
         F.greatest(
@@ -368,28 +400,38 @@ def similar_texts(
     verified = written(_verified(grouped), "verified")
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(verified.select(F.col("node").alias("u"), F.col("linked").alias("v")))
-    placed = roots.join(nodes.select("node", "rep"), "node")
-    least = placed.groupBy(F.col("root").alias("__r")).agg(F.min("rep").alias("class_id"))
+    placed = roots.join(nodes.select("node", "rep", "mark"), "node")
+    least = placed.groupBy(F.col("root").alias("__r")).agg(_least("rep", "mark").alias("__least"))
     linked = placed.join(least, F.col("root") == F.col("__r")).join(links, "node", "left")
-    known = nodes.select("node", "rep", "copies").join(
-        linked.select(F.col("node").alias("__l"), "class_id", "links"), F.col("node") == F.col("__l"), "left"
+    known = nodes.select("node", "rep", "mark", "copies").join(
+        linked.select(F.col("node").alias("__l"), "__least", "links"), F.col("node") == F.col("__l"), "left"
     )
+    alone = F.col("__least").isNull()
     known = known.select(
         F.col("node").alias("__node"),
-        F.coalesce("class_id", "rep").alias("class_id"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.when(alone, F.col("rep")).otherwise(F.col("__least.key")).alias("__class"),
+        F.when(alone, F.col("mark")).otherwise(F.col("__least.mark")).alias("__class_mark"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("__links"),
     )
+    own = F.col("__node").isNull()
     return described.join(known, F.col("node") == F.col("__node"), "left").select(
-        F.col("key").alias(key),
-        F.coalesce("class_id", "key").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "key",
+        "mark",
+        F.when(own, F.col("key")).otherwise(F.col("__class")).alias("class_id"),
+        F.when(own, F.col("mark")).otherwise(F.col("__class_mark")).alias("class_mark"),
+        F.coalesce("__links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", plan: Plan = Plan()) -> DataFrame:
-    """The rows of ``df`` whose key is that of their class; of repeated keys one."""
-    classes = written(similar_texts(df, key, text, plan), "classes")
-    gone = classes.where(~F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("__gone")).distinct()
-    kept = df.join(small_side(gone, gone.count()), F.col(key) == F.col("__gone"), "left_anti")
-    rows, keys = classes.agg(F.count(F.lit(1)), F.count_distinct(key)).first()
-    return kept.dropDuplicates([key]) if rows > keys else kept
+    """One row of ``df`` per class: that of the least key, and of its texts under
+    that key the one of the least hash. Rows without words are collapsed only
+    where key and text are equal; NULL keys are equal, and last."""
+    classes = written(_classified(df, key, text, plan), "classes")
+    least = F.col("key").eqNullSafe(F.col("class_id")) & F.col("mark").eqNullSafe(F.col("class_mark"))
+    gone = classes.where(~least).select(F.col("key").alias("__gone"), F.col("mark").alias("__gone_mark")).distinct()
+    marked = df.withColumn("__mark", _mark(text))
+    same = F.col(key).eqNullSafe(F.col("__gone")) & F.col("__mark").eqNullSafe(F.col("__gone_mark"))
+    kept = marked.join(small_side(gone, gone.count()), same, "left_anti")
+    rows, different = classes.where(least).agg(F.count(F.lit(1)), F.count_distinct(F.struct("key", "mark"))).first()
+    return (kept.dropDuplicates([key, "__mark"]) if rows > different else kept).drop("__mark")

@@ -260,3 +260,29 @@ def test_pipeline(spark, sf, documents, items):
     tokenizer = library_tokenizer(default_path())
     for r in final:
         assert r.ids == tokenizer.encode(r.text, add_special_tokens=False).ids and r.n_tokens == len(r.ids)
+
+
+@pytest.mark.parametrize("plan", [{}, {"bucket": 2, "depth": 2}])
+def test_near_copies_are_told_by_id_and_text(spark, plan):
+    rng = np.random.default_rng(8)
+    text = lambda: " ".join(f"w{i}" for i in rng.integers(0, 5000, 60))
+    near = lambda t: t + " more"
+    a, b, c, d, e, f = (text() for _ in range(6))
+    rows = [
+        (None, a), (None, b), (None, near(b)),  # different texts without an id, and a near copy
+        (5, c), (5, d), (5, d),  # different texts under one id, and a repeated row
+        (7, e), (None, near(e)),  # a near copy without an id
+        (9, f), (9, near(f)),  # near copies under one id
+        (None, None), (None, None), (None, "!"), (11, ""), (11, None), (12, near(d)),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    jaccard = queries.jaccard
+    kept = collections.Counter(tuple(r) for r in jaccard.one_of_each(df, plan=jaccard.Plan(**plan)).collect())
+    assert set(kept.values()) == {1}
+    assert len([r for r in kept if r in {(None, b), (None, near(b))}]) == 1
+    assert len([r for r in kept if r in {(9, f), (9, near(f))}]) == 1
+    rest = set(kept) - {(None, b), (None, near(b)), (9, f), (9, near(f))}
+    assert rest == {(None, a), (5, c), (5, d), (7, e), (None, None), (None, "!"), (11, ""), (11, None)}
+    found = collections.Counter((r.doc_id, r.class_id, r.n_links) for r in jaccard.similar_texts(df).collect())
+    assert found[(5, 5, 0)] == 1 and found[(5, 5, 2)] == 2 and found[(12, 5, 2)] == 1
+    assert found[(None, 7, 1)] == 1 and found[(None, None, 1)] == 2
