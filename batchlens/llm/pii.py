@@ -18,8 +18,8 @@ _NAME = r"\p{Lu}[\p{Ll}'’]+(?:-\p{Lu}\p{Ll}+)?"
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "key": r"\bAKIA[0-9A-Z]{16}\b",
-    "secret": r"(?<=password[=:])[^\s\"',;]+|(?<=token = \")[^\"\s]+|(?<=token=)[^\s\"',;]+"
-    r"|\b[0-9a-f]{32,}\b",
+    "secret": r"(?<=(?i:password)[=:])[^\s\"',;]+|(?<=(?i:token) = \")[^\"\s]+|(?<=(?i:token)=)[^\s\"',;]+"
+    r"|\b[0-9a-fA-F]{32,}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?\b",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)\s?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
@@ -29,7 +29,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Every entity holds a character of the first set, or starts with a title.
-MAY_HOLD = rf"[0-9@=:]|token|(?:{_TITLE})\.? \p{{Lu}}"
+MAY_HOLD = rf"[0-9@=:]|(?i:password|token)|[a-fA-F]{{32}}|(?:{_TITLE})\.? \p{{Lu}}"
 GIVEN = {
     ("latin", "m"): "Adam Bruno Carl Daniel Edgar Felix Georg Hugo Ivan Jonas Karl Leon Martin Nils Oscar Paul",
     ("latin", "f"): "Anna Berta Clara Diana Elena Flora Greta Helga Irene Julia Karla Laura Maria Nora Olga Paula",
@@ -59,7 +59,8 @@ def _kind(mention: Column) -> Column:
     cases = F.when(whole("email"), "email")
     for name in ("key", "iban", "ip", "phone", "card", "national", "name"):
         cases = cases.when(whole(name), name)
-    return cases.when(mention.rlike("^[0-9a-f]+$"), "hex").otherwise("secret")
+    # Short ones in capitals may be passwords, in which case tells.
+    return cases.when(mention.rlike("^(?:[0-9a-f]+|[0-9a-fA-F]{32,})$"), "hex").otherwise("secret")
 
 
 def _script(text: Column) -> Column:
@@ -79,7 +80,7 @@ def _entities(mention: Column, kind: Column) -> Column:
     """The entities of a mention: one, or the parts of a name."""
     digits = F.regexp_replace(mention, r"\D", "")
     canonical = (
-        F.when(kind == "email", F.lower(mention))
+        F.when(kind.isin("email", "hex"), F.lower(mention))
         .when(kind == "phone", F.substring(digits, -10, 10))
         .when(kind.isin("card", "national"), digits)
         .when(kind == "iban", F.regexp_replace(mention, " ", ""))
@@ -252,6 +253,19 @@ def _filled(mention: Column, surrogate: Column, kept: Column, slot: str) -> Colu
     return F.concat(filled, F.substr(surrogate, taken(F.length(mention)) + 1))
 
 
+def _cased(mention: Column, surrogate: Column) -> Column:
+    """``surrogate`` in capitals where ``mention`` has no small letter but capitals,
+    and where it mixes them at the places of its capitals."""
+    place = F.filter(F.split(surrogate, ""), lambda c: c != "")
+    mixed = F.array_join(
+        F.transform(place, lambda c, i: F.when(F.substr(mention, i + 1, F.lit(1)).rlike("[A-F]"), F.upper(c)).otherwise(c)),
+        "",
+    )
+    return (
+        F.when(~mention.rlike("[A-F]"), surrogate).when(~mention.rlike("[a-f]"), F.upper(surrogate)).otherwise(mixed)
+    )
+
+
 def _rendered(kind: Column, mention: Column, parts: Column) -> Column:
     """The surrogate in the format of the mention."""
     first = F.get(parts, F.lit(0))
@@ -262,6 +276,7 @@ def _rendered(kind: Column, mention: Column, parts: Column) -> Column:
         .when(kind.isin("card", "national"), _filled(mention, first, F.lit(0), "0-9"))
         .when(kind == "iban", _filled(mention, first, F.lit(0), "0-9A-Z"))
         .when(kind == "name", names)
+        .when(kind == "hex", _cased(mention, first))
         .otherwise(first)
     )
 

@@ -286,3 +286,20 @@ def test_near_copies_are_told_by_id_and_text(spark, plan):
     found = collections.Counter((r.doc_id, r.class_id, r.n_links) for r in jaccard.similar_texts(df).collect())
     assert found[(5, 5, 0)] == 1 and found[(5, 5, 2)] == 2 and found[(12, 5, 2)] == 1
     assert found[(None, 7, 1)] == 1 and found[(None, None, 1)] == 2
+
+
+def test_secrets_in_capitals(spark):
+    token = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"
+    texts = [
+        f'XQ JUNK TOKEN = "{token}" MORE', f"again {token.lower()}.", "PASSWORD=HUNTER2X; Token=Ab3dEf", token[:20].lower() + token[20:],
+        "ABCDEFABCDEFABCDEFABCDEFABCDEFAB",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = {r.doc_id: r for r in queries.pii.pseudonymise(df, "k").collect()}
+    assert [new[i].n_entities for i in range(5)] == [1, 1, 2, 1, 1]
+    drawn = re.fullmatch(r'XQ JUNK TOKEN = "([0-9A-F]{40})" MORE', new[0].text)[1]
+    assert drawn != token and new[1].text == f"again {drawn.lower()}."
+    assert new[3].text.lower() == drawn.lower() and new[3].text not in (drawn, drawn.lower())
+    assert re.fullmatch(r"PASSWORD=[A-Z]{6}[0-9][A-Z]; Token=[A-Z][a-z][0-9][a-z][A-Z][a-z]", new[2].text)
+    assert "HUNTER2X" not in new[2].text and "Ab3dEf" not in new[2].text
+    assert re.fullmatch("[0-9A-F]{32}", new[4].text) and new[4].text != texts[4]
