@@ -41,12 +41,13 @@ class Plan:
     @property
     def runs(self) -> int:
         """Runs until a pair at the threshold is missed with at most 1 - recall,
-        even where every split goes down to ``depth`` (most end after one)."""
-        similar = SIMILAR[0] / SIMILAR[1]
-        shared = BRANCHES * 2 * similar / (1 + similar)
+        even where every split goes down to ``depth`` (most end after one). Fewest
+        tokens are shared where one set holds the other: the chance to be chosen
+        is that of the larger set."""
+        shared = BRANCHES * SIMILAR[0] / SIMILAR[1]
         meets = 0.0
         survive = 1.0
-        for _ in range(min(2, self.depth)):
+        for _ in range(self.depth):
             # a branching process: some child of a shared path is shared and survives
             meets = 1 - math.exp(-shared * survive)
             survive = meets

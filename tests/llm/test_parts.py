@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from batchlens.llm import bpe_trie, gru, language, lm, quality, sharding, token_files
+from batchlens.llm import bpe_trie, gru, jaccard, language, lm, quality, sharding, token_files
 from batchlens.llm.components import components
 from batchlens.llm.vocabulary import default_path, library_tokenizer
 
@@ -206,3 +206,12 @@ def test_training_starts_texts_from_a_zero_state():
     other, other_loss = two.train(side(inputs), side(targets), side(used), np.zeros((2, 4), np.float32), 0.1)
     assert loss == pytest.approx(other_loss, rel=1e-5) and np.allclose(state[0], other[1], atol=1e-6)
     assert np.allclose(one.vector(), two.vector(), atol=1e-4)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_runs_keep_the_recall_of_sets_that_hold_each_other(depth):
+    plan = jaccard.Plan(depth=depth)
+    meets = 1.0
+    for _ in range(depth):
+        meets = 1 - math.exp(-2 * 0.8 * meets)
+    assert (1 - meets) ** plan.runs <= 1 - plan.recall < (1 - meets) ** (plan.runs - 1)
