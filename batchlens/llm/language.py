@@ -20,6 +20,10 @@ DISCOUNT = 0.75
 # which rejection is calibrated instead.
 SAMPLE_CHARS = 400_000
 CALIBRATION_PARTS = 5
+# Characters of one text in a sample that has texts enough, and the fewest texts
+# that are fitted without those of calibration.
+STRETCH = 20_000
+FITTED_TEXTS = 5
 CHARS_AT_ONCE = 2_000_000
 UNKNOWN = "und"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -241,21 +245,60 @@ def _shorter_of(samples: dict[str, list[str]], grams: list[np.ndarray]) -> list:
 
 
 def training_sample(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """``(lang, text, part)``: about ``SAMPLE_CHARS`` characters per language, whole
-    documents chosen by a hash of their text, and never more than twice that."""
+    """``(lang, text, part)``: of each language distinct texts in the order of a hash
+    until they hold ``SAMPLE_CHARS`` characters; all of them if they hold fewer,
+    and always one.
+
+    Of a long text a drawn stretch is taken: at most ``STRETCH`` characters, or
+    more where the language has too few texts to reach the bound that way. The
+    lowest hashes are found from the characters per class of hash (classes grow
+    by an eighth of a power of two), so only about the sample itself is sorted.
+    """
+    value = F.shiftrightunsigned(F.xxhash64(text), 1)
     known = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text")
+        F.col(lang).alias("lang"), value.alias("__hash"), F.col(text).alias("text")
+    )
+    distinct = known.groupBy("lang", "__hash").agg(F.max(F.length("text")).alias("__chars"))
+    distinct = written(distinct, "distinct-texts")
+    texts = written(distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("__texts")), "languages")
+    bound = F.greatest(F.lit(STRETCH), F.ceil(F.lit(SAMPLE_CHARS) / F.col("__texts"))).cast("int")
+    texts = small_side(texts.select("lang", bound.alias("__bound")), texts.count())
+    level = F.floor(F.log2(F.col("__hash") + F.lit(1.0)) * 8).cast("int")
+    taken = F.least("__chars", "__bound").cast("long")
+    slim = distinct.join(texts, "lang").select("lang", "__hash", "__bound", taken.alias("__taken"), level.alias("__level"))
+    before = lambda *order: Window.partitionBy("lang").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda chars, *order: F.coalesce(F.sum(chars).over(before(*order)), F.lit(0))
+    classes = slim.groupBy("lang", "__level").agg(F.sum("__taken").alias("__sum"))
+    classes = (
+        classes.withColumn("__before", so_far("__sum", "__level"))
+        .where(F.col("__before") < SAMPLE_CHARS)
+        .groupBy(F.col("lang").alias("__lang"))
+        .agg(F.max("__level").alias("__last"))
+    )
+    classes = written(classes, "hash-classes")
+    wanted = (
+        slim.join(
+            small_side(classes, classes.count()),
+            (F.col("lang") == F.col("__lang")) & (F.col("__level") <= F.col("__last")),
+        )
+        .withColumn("__before", so_far("__taken", "__hash"))
+        .where(F.col("__before") < SAMPLE_CHARS)
+        .select(F.col("lang").alias("__lang"), F.col("__hash").alias("__of"), "__bound")
     )
-    sizes = written(known.groupBy("lang").agg(F.sum(F.length("text")).alias("__chars")), "languages")
-    # A fraction of 2^31 of hash values keeps the wanted share of characters.
-    share = F.least(F.lit(1.0), F.lit(SAMPLE_CHARS) / F.greatest(F.col("__chars"), F.lit(1)))
-    hashed = F.pmod(F.xxhash64("text"), F.lit(1 << 31))
-    chosen = known.join(small_side(sizes, sizes.count()), "lang").where(hashed <= share * (1 << 31))
-    so_far = Window.partitionBy("lang").orderBy(hashed, "text").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = written(wanted, "sampled-texts")
+    room = F.greatest(F.length("text") - F.col("__bound"), F.lit(0))
+    start = F.pmod(F.xxhash64("__hash"), room + 1).cast("int") + 1
+    stretch = F.substr(F.col("text"), start, F.col("__bound"))
+    part = F.pmod(F.xxhash64("__hash", F.lit(1)), F.lit(CALIBRATION_PARTS)).alias("part")
     return (
-        chosen.withColumn("__before", F.coalesce(F.sum(F.length("text")).over(so_far), F.lit(0)))
-        .where(F.col("__before") < 2 * SAMPLE_CHARS)
-        .select("lang", "text", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(CALIBRATION_PARTS)).alias("part"))
+        known.join(
+            small_side(wanted, wanted.count()),
+            (F.col("lang") == F.col("__lang")) & (F.col("__hash") == F.col("__of")),
+        )
+        .select("lang", "__hash", stretch.alias("text"))
+        .groupBy("lang", "__hash")
+        .agg(F.first("text").alias("text"))
+        .select("lang", "text", part)
     )
 
 
@@ -265,15 +308,22 @@ def train(df: DataFrame, lang: str = "lang", text: str = "text", false_rejects:
     The sample is bounded per language by ``SAMPLE_CHARS``, so it may come to the
     driver, where fitting takes seconds. One part of it is kept from fitting; the
     limit of a language is the cross-entropy that only ``false_rejects`` of those
-    texts exceed, and a tenth more, since they are few.
+    texts exceed, and a tenth more, since they are few. Where fewer than
+    ``FITTED_TEXTS`` texts or half of the characters are left beside that part,
+    the whole sample is fitted, and the language has no limit.
     """
     rows = training_sample(df, lang, text).toPandas()
-    fitting = rows[rows["part"] != 0] if len(rows) else rows
-    samples = {str(k): sorted(v["text"]) for k, v in fitting.groupby("lang")}
+    samples: dict[str, list[str]] = {}
+    held_out: dict[str, list[str]] = {}
+    for language, own in rows.groupby("lang"):
+        fitted, apart = own["text"][own["part"] != 0], own["text"][own["part"] == 0]
+        if len(fitted) < FITTED_TEXTS or 2 * fitted.str.len().sum() < own["text"].str.len().sum():
+            fitted, apart = own["text"], own["text"][:0]
+        samples[str(language)], held_out[str(language)] = sorted(fitted), list(apart)
     models = fit(samples)
     limits = np.full(len(models.languages), np.inf)
     for k, language in enumerate(models.languages):
-        texts = list(rows["text"][(rows["lang"] == language) & (rows["part"] == 0)])
+        texts = held_out[language]
         scores, lengths = models.scores(texts) if texts else (np.zeros((0, 1)), np.zeros(0))
         long = lengths >= 20
         if long.any():

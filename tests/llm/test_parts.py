@@ -215,3 +215,33 @@ def test_runs_keep_the_recall_of_sets_that_hold_each_other(depth):
     for _ in range(depth):
         meets = 1 - math.exp(-2 * 0.8 * meets)
     assert (1 - meets) ** plan.runs <= 1 - plan.recall < (1 - meets) ** (plan.runs - 1)
+
+
+def test_every_language_has_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_CHARS", 4000)
+    monkeypatch.setattr(language, "STRETCH", 200)
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefg ") for _ in range(n))
+    one, copied = text(100), text(300)
+    rows = [("few", text(50_000)) for _ in range(5)] + [("one", one)] * 50 + [("long", text(90_000))]
+    rows += [("many", text(100)) for _ in range(300)] + [("copies", copied)] * 500
+    rows += [("copies", text(150)) for _ in range(60)] + [(None, "x"), ("none", None), ("small", "ab"), ("small", "cd")]
+    found = language.training_sample(spark.createDataFrame(rows, "lang string, text string").repartition(7)).collect()
+    own = {k: sorted(r.text for r in found if r.lang == k) for k in {r.lang for r in found}}
+    assert set(own) == {"few", "one", "long", "many", "copies", "small"}
+    assert [len(t) for t in own["few"]] == [800] * 5 and [len(t) for t in own["long"]] == [4000]
+    assert all(any(t in whole for k, whole in rows if k == "few") for t in own["few"])
+    assert own["one"] == [one] and own["small"] == ["ab", "cd"] and len(own["many"]) == 40
+    assert len(set(own["copies"])) == len(own["copies"]) and 4000 <= sum(map(len, own["copies"])) < 4200
+    again = language.training_sample(spark.createDataFrame(rows, "lang string, text string").repartition(3)).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, again))
+
+
+def test_languages_of_one_text_are_learnt(spark):
+    stocks = {f"l{i}": [chr(97 + i) + chr(97 + (i * j) % 26) for j in range(1, 6)] for i in range(12)}
+    rng = random.Random(10)
+    rows = [(k, " ".join(rng.choice(v) for _ in range(60))) for k, v in stocks.items()] * 20
+    models = language.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert models.languages == sorted(stocks) and np.isinf(models.limits).all()
+    bits, _ = models.scores([t for _, t in rows[:12]])
+    assert [models.languages[int(b.argmin())] for b in bits] == [k for k, _ in rows[:12]]
