@@ -37,6 +37,8 @@ except ModuleNotFoundError as missing:
     training_data = None
 
 SYSTEM = "Answer in one sentence."
+# Larger media files are opened by path.
+INLINE_BYTES = 1 << 30
 
 
 def _rows_of(df: DataFrame, kept: list[str], array: Column, position: str) -> DataFrame:
@@ -372,13 +374,12 @@ def q_caption(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_media_scan(spark: SparkSession, sf: str) -> DataFrame:
-    files = media_source.media_files(spark, sf, "*.parquet", max_inline_bytes=1 << 30)
-    ends = [F.substring("content", 1, 4), F.expr("substring(content, -4, 4)")]
-    return files.select(
+    files = media_source.media_files(spark, sf, "*.parquet", max_inline_bytes=INLINE_BYTES)
+    return media_source.file_ends(files).select(
         "file_name",
-        (F.octet_length("content") == F.col("length")).alias("whole"),
-        ends[0].cast("string").alias("opens_with"),
-        ends[1].cast("string").alias("closes_with"),
+        (F.col("n_bytes") == F.col("length")).alias("whole"),
+        F.col("head").cast("string").alias("opens_with"),
+        F.col("tail").cast("string").alias("closes_with"),
     )
 
 

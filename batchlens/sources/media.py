@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchlens.operators.models import apply_model
+
 
 def media_files(
     spark: SparkSession,
@@ -42,3 +47,60 @@ def attach_media(files: DataFrame, media: DataFrame) -> DataFrame:
 
     found = media.select(plain(F.col("file_path")).alias("_path"), "length", "content")
     return files.join(found, plain(F.col("file_path")) == F.col("_path"), "left").drop("_path")
+
+
+def opened_ends() -> Callable[[list[str], int], list[dict]]:
+    """Backend: length and the first and last bytes of files opened by path.
+
+    Only those bytes are read, however large the file is. A store that pyarrow
+    does not know raises an error.
+    """
+    from pyarrow import fs
+
+    def opened(path: str):
+        scheme, host, inner = re.fullmatch(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//[^/]*)?(/.*)", path, re.S).groups()
+        if scheme in (None, "file"):
+            return fs.LocalFileSystem().open_input_file(inner)
+        scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+        store, root = fs.FileSystem.from_uri(f"{scheme}:{host or '//'}/")
+        return store.open_input_file(root.rstrip("/") + inner)
+
+    def run(paths: list[str], size: int) -> list[dict]:
+        found = []
+        for path in paths:
+            with opened(path) as file:
+                length = file.size()
+                least = min(size, length)
+                found.append(
+                    {"n_bytes": length, "head": file.read_at(least, 0), "tail": file.read_at(least, length - least)}
+                )
+        return found
+
+    return run
+
+
+def file_ends(files: DataFrame, size: int = 4) -> DataFrame:
+    """``media_files`` without their content, with ``n_bytes``, ``head`` and
+    ``tail``: bytes that can be read, and the first and last ``size`` of them.
+
+    They come from the content where it was read; other files are opened by path
+    in the task. Contents go no further than this: tasks get paths and ends only.
+    """
+    content = F.col("content")
+    tail = F.when(
+        F.octet_length(content) > size, F.substr(content, F.octet_length(content) - size + 1, F.lit(size))
+    ).otherwise(content)
+    slim = files.select(
+        *[c for c in files.columns if c != "content"],
+        F.octet_length(content).cast("long").alias("_n"),
+        F.substr(content, F.lit(1), F.lit(size)).alias("_head"),
+        tail.alias("_tail"),
+        F.when(content.isNull(), F.col("file_path")).alias("_open"),
+    )
+    ends = apply_model(slim, "_open", "_ends", opened_ends, size, "n_bytes bigint, head binary, tail binary")
+    return ends.select(
+        *[c for c in files.columns if c != "content"],
+        F.coalesce("_n", "_ends.n_bytes").alias("n_bytes"),
+        F.coalesce("_head", "_ends.head").alias("head"),
+        F.coalesce("_tail", "_ends.tail").alias("tail"),
+    )

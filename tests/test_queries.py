@@ -59,6 +59,12 @@ def test_query_with_hot_keys(spark, sql, name, monkeypatch):
     check(spark, sql, name)
 
 
+@pytest.mark.parametrize("inline", [0, 20_000])
+def test_media_scan_opens_large_files(spark, sql, inline, monkeypatch):
+    monkeypatch.setattr(entry_point, "INLINE_BYTES", inline)
+    check(spark, sql, "media_scan")
+
+
 def test_entry(spark):
     row = entry_point.entry(spark).first()
     assert row.total_ct > 0 and row.input_tokens > row.output_tokens > 0

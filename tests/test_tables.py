@@ -13,7 +13,7 @@ from batchlens.operators.joins import join_media, left_join
 from batchlens.operators.ordered import by_length, find_long_keys
 from batchlens.operators.totals import batch_report, token_totals
 from batchlens.plans import partitions
-from batchlens.sources.media import attach_media, media_files
+from batchlens.sources.media import attach_media, file_ends, media_files
 from batchlens.sources.tables import bounded, image_path, keep, read_products, write_table
 
 
@@ -208,6 +208,15 @@ def test_media_files(spark, tmp_path):
     }
 
 
+def test_file_ends(spark, tmp_path):
+    for name, content in {"a b%20.bin": b"12345", "b.bin": b"1" * 99 + b"2", "c.bin": b"", "d.bin": b"12"}.items():
+        (tmp_path / name).write_bytes(content)
+    expected = [("a b%20.bin", 5, b"1234", b"2345"), ("b.bin", 100, b"1111", b"1112"), ("c.bin", 0, b"", b""), ("d.bin", 2, b"12", b"12")]
+    for inline in (None, 0, 50, 1000):
+        ends = file_ends(media_files(spark, str(tmp_path), "*.bin", max_inline_bytes=inline)).collect()
+        assert sorted((r.file_name, r.n_bytes, bytes(r.head), bytes(r.tail)) for r in ends) == expected
+
+
 def test_model_calls_follow_the_job(spark):
     from batchlens.plans import captions
 
