@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.llm import bpe_trie, decontaminate, jaccard, language, lm, pii, quality, sharding, substrings, token_files
+from batchlens.llm import bpe_trie, decontaminate, jaccard, language, lm, pii, quality, repair, sharding, substrings, token_files
 from batchlens.llm.oracle import ORACLE
 from batchlens.llm.tables import crc_mod, documents
 from batchlens.llm.vocabulary import default_path
@@ -86,6 +86,12 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, ~F.col("held_out"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    report, lines = repair.repair(repair.damage(rows))
+    return repair.digests(report, lines).withColumnRenamed("conv", "conv_id")
+
+
 def queries() -> dict:
     return {name: q for name, q in globals().items() if name.startswith("op")}
 

@@ -42,10 +42,24 @@ def make_documents():
     return rows, " ".join(item)
 
 
+def make_conversations():
+    """Turns of all kinds: NULLs, gaps, repeated rows and turns, a long conversation."""
+    rng = random.Random(11)
+    rows = []
+    for conv in [*range(60), None]:
+        for turn in range(rng.randint(1, 9)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None])
+            text = " ".join(words(rng, rng.randint(0, 6))) + rng.choice([".", "!", "", " ?\n", " "])
+            rows.append({"conv_id": conv, "turn": rng.choice([turn, turn, turn + 3, None]), "role": role, "text": rng.choice([text, text, text, None])})
+    for turn in range(300):
+        rows.append({"conv_id": 77, "turn": turn, "role": rng.choice(["user", "assistant"]), "text": rng.choice(["Yes.", "No", f"turn {turn}."])})
+    return rows + rows[3:6]
+
+
 CLASHING = ["n_words", "shard", "slot", "kept", "key", "node", "ids", "score", "n_hit", "start"]
 
 
-def write(folder, rows, items):
+def write(folder, rows, items, turns=()):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())]
         + [(c, pa.string()) for c in CLASHING]
@@ -60,6 +74,8 @@ def write(folder, rows, items):
     pq.write_table(
         pa.Table.from_pylist(items, pa.schema([("item_id", pa.int64()), ("text", pa.string())])), folder / "benchmark.parquet"
     )
+    kinds = [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("cost", pa.string()), ("at", pa.string())]
+    pq.write_table(pa.Table.from_pylist([{**t, "cost": "clash", "at": "clash"} for t in turns], pa.schema(kinds)), folder / "conversations.parquet", row_group_size=50)
     return str(folder)
 
 
@@ -76,7 +92,12 @@ def items():
 
 @pytest.fixture(scope="session")
 def sf(tmp_path_factory, documents, items):
-    return write(tmp_path_factory.mktemp("tables"), documents, items)
+    return write(tmp_path_factory.mktemp("tables"), documents, items, make_conversations())
+
+
+@pytest.fixture(scope="session")
+def conversations():
+    return make_conversations()
 
 
 @pytest.fixture(scope="session")
