@@ -28,6 +28,27 @@ JACCARD = f"""
     SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0) AS n_links
     FROM documents LEFT JOIN c ON doc_id = c.node LEFT JOIN k ON doc_id = k.node"""
 
+_LOWERED = _WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")
+
+MINHASH = f"""
+    WITH RECURSIVE d AS (SELECT doc_id, {_LOWERED} AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, w[p:p + k - 1] AS shingle
+          FROM (SELECT doc_id, w, least(2, len(w)) AS k,
+                       unnest(range(1, len(w) - least(2, len(w)) + 2)) AS p
+                FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+    pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+              FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY x, y),
+    l AS (SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+          WHERE 100 * shared >= 80 * (nx.size + ny.size - shared)),
+    e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+    reach AS (SELECT DISTINCT x AS node, x AS seen FROM e
+              UNION SELECT node, y FROM reach JOIN e ON seen = x),
+    c AS (SELECT node, min(seen) AS least FROM reach GROUP BY node)
+    SELECT doc_id, coalesce(size, 0) AS n_shingles, coalesce(least, doc_id) AS component_id,
+           coalesce(least, doc_id) = doc_id AS kept
+    FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN c ON doc_id = c.node"""
+
 CONTAMINATION = f"""
     WITH d AS (SELECT doc_id, {_FOLDED} AS w FROM documents),
     i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_FOLDED} AS w FROM benchmark),
@@ -133,5 +154,6 @@ ORACLE = {
     "op3_jaccard": JACCARD,
     "op4_quality": _quality(),
     "op6_decontamination": CONTAMINATION,
+    "op11_minhash": MINHASH,
     "op7_substrings": SUBSTRINGS,
 }
