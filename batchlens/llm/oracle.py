@@ -49,6 +49,37 @@ MINHASH = f"""
            coalesce(least, doc_id) = doc_id AS kept
     FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN c ON doc_id = c.node"""
 
+PHRASES = f"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                      unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                                   '[.,;:!?\\x0A-\\x0D]')) AS piece
+               FROM documents),
+    t AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w
+          FROM p),
+    n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM t GROUP BY lang),
+    spots AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+              FROM t, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k),
+    g AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS f
+          FROM spots GROUP BY ALL HAVING count(*) >= 100),
+    c AS (SELECT lang, phrase, k, f, string_split(phrase, ' ') AS w FROM g WHERE k > 1),
+    cuts AS (SELECT lang, phrase, f AS a, j, array_to_string(w[:j], ' ') AS head,
+                    array_to_string(w[j + 1:], ' ') AS rest
+             FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+    scored AS (SELECT cuts.lang, cuts.phrase, a, j, x.f AS l, y.f AS r, n,
+                      CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+               FROM cuts JOIN g x ON x.lang = cuts.lang AND x.phrase = head
+               JOIN g y ON y.lang = cuts.lang AND y.phrase = rest JOIN n ON n.lang = cuts.lang),
+    least AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o
+                             FROM scored) WHERE o = 1),
+    inside AS (SELECT DISTINCT c.lang, array_to_string(c.w[i:i + m - 1], ' ') AS phrase, c.f
+               FROM c, (SELECT unnest([2, 3, 4]) AS m), (SELECT unnest([1, 2, 3, 4]) AS i)
+               WHERE m < c.k AND i + m - 1 <= c.k),
+    most AS (SELECT lang, phrase, max(f) AS most FROM inside GROUP BY lang, phrase),
+    kept AS (SELECT least.* FROM least LEFT JOIN most USING (lang, phrase) WHERE most IS NULL OR most < a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+               FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
+
 CONTAMINATION = f"""
     WITH d AS (SELECT doc_id, {_FOLDED} AS w FROM documents),
     i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_FOLDED} AS w FROM benchmark),
@@ -155,5 +186,6 @@ ORACLE = {
     "op4_quality": _quality(),
     "op6_decontamination": CONTAMINATION,
     "op11_minhash": MINHASH,
+    "op12_phrases": PHRASES,
     "op7_substrings": SUBSTRINGS,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.llm import bpe_trie, decontaminate, jaccard, language, lm, minhash, pii, quality, repair, sharding, substrings, token_files
+from batchlens.llm import bpe_trie, decontaminate, jaccard, language, lm, minhash, phrases, pii, quality, repair, sharding, substrings, token_files
 from batchlens.llm.oracle import ORACLE
 from batchlens.llm.tables import crc_mod, documents
 from batchlens.llm.vocabulary import default_path
@@ -90,6 +90,10 @@ def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir, "lang", "text"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     report, lines = repair.repair(repair.damage(rows))
