@@ -4,9 +4,11 @@ Without that order a turn's cut depends on where the turns before it left off:
 ``cut[k]`` is the nearest of the chunks from ``from[k] = cut[k-1] + 1`` on.
 
 A file of up to ``FOLD_ROWS`` chunks is small enough to walk through its turns
-within one row, over arrays of end times; the result is the same either way. In
-larger files the cuts are found by
-improving lower bounds of ``from``, for all turns at once:
+within one row, over arrays of end times; the result is the same either way.
+Larger files go by blocks of turns (``align_blocks``). In those that are out of
+order nearly throughout, so that a block would need more chunks than a task
+should hold, the cuts are found by improving lower bounds of ``from``, for all
+turns at once:
 
     from[k] = k + max(cut[j] - j for j < k)
 
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchlens.functions.media import cuts_of, distance
+from batchlens.operators.align_blocks import cuts_by_blocks, is_in
 from batchlens.operators.ordered import (
     LongKeys,
     by_length,
@@ -54,14 +57,18 @@ def find_falling(
         .where("_falling")
     )
     is_bulky = F.col("_rows") > fold_rows
-    n_files, n_bulky, bulky_rows = files.agg(
-        F.count(F.lit(1)), F.count_if(is_bulky), F.sum(F.when(is_bulky, F.col("_rows")))
+    key_bytes = F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) + 16
+    n_files, n_bulky, bulky_rows, n_bytes = files.agg(
+        F.count(F.lit(1)),
+        F.count_if(is_bulky),
+        F.sum(F.when(is_bulky, F.col("_rows"))),
+        F.sum(F.when(is_bulky, key_bytes.cast("long"))),
     ).first()
     if not n_bulky:
         return n_files, None
     ensure_checkpoint_dir(numbered.sparkSession)
     frame = files.where(is_bulky).select(F.col(key).alias(f"_long_{key}")).checkpoint()
-    return n_files, LongKeys(frame, (key,), n_bulky, bulky_rows, fold_rows)
+    return n_files, LongKeys(frame, (key,), n_bulky, bulky_rows, fold_rows, n_bytes)
 
 
 def cuts_any_order(
@@ -75,7 +82,12 @@ def cuts_any_order(
 
     def cuts(bulky: LongKeys | None, points: DataFrame) -> DataFrame:
         most = FOLD_ROWS if fold_rows is None else fold_rows
-        return _folded(points, key, most) if bulky is None else _by_rounds(points, key, long)
+        if bulky is None:
+            return _folded(points, key, most)
+        placed, wide = cuts_by_blocks(points, key, long)
+        if wide is None:
+            return placed
+        return placed.unionByName(_by_rounds(is_in(points, wide, key, "left_semi"), key, long))
 
     nothing = F.lit(None).cast(points.schema["_chunk"].dataType)
     return by_length(bulky, cuts, points).select(

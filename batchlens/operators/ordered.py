@@ -56,6 +56,11 @@ def running_max(value: Column) -> Running:
     return Running("max", value)
 
 
+def coming_min(value: Column) -> Running:
+    """Minimum from this row on."""
+    return Running("coming_min", value)
+
+
 def last_seen(value: Column) -> Running:
     """Latest non-NULL value up to and including this row."""
     return Running("last_seen", value)
@@ -195,11 +200,15 @@ def _windowed(
         later = F.expr(f"lead(`_v_{name}`) IGNORE NULLS").over(ahead)
         return F.coalesce(F.col(f"_v_{name}"), later)
 
+    back = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
     over = {
         "previous": lambda v: F.lag(v).over(ahead),
         "following": lambda v: F.lead(v).over(ahead),
         "sum": lambda v: F.sum(v).over(so_far),
         "max": lambda v: F.max(v).over(so_far),
+        "coming_min": lambda v: F.min(v).over(
+            back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ),
         "last_seen": lambda v: F.last(v, ignorenulls=True).over(so_far),
     }
     named = [r.value.alias(f"_v_{n}") for n, r in columns.items() if r.kind == "next_seen"]
@@ -223,6 +232,7 @@ def _carried(
         "following": lambda v: F.min_by(v, at),
         "sum": F.sum,
         "max": F.max,
+        "coming_min": F.min,
         "last_seen": lambda v: F.max_by(v, F.when(v.isNotNull(), at)),
         "next_seen": lambda v: F.min_by(v, F.when(v.isNotNull(), at)),
     }
@@ -237,6 +247,7 @@ def _carried(
         "following": lambda c: F.lead(c).over(ahead),
         "sum": lambda c: F.sum(c).over(ahead.rowsBetween(*before)),
         "max": lambda c: F.max(c).over(ahead.rowsBetween(*before)),
+        "coming_min": lambda c: F.min(c).over(back.rowsBetween(*before)),
         "last_seen": lambda c: F.last(c, ignorenulls=True).over(ahead.rowsBetween(*before)),
         "next_seen": lambda c: F.last(c, ignorenulls=True).over(back.rowsBetween(*before)),
     }
@@ -251,4 +262,6 @@ def _merge(kind: str, local: Column, carried: Column) -> Column:
         return F.when(local.isNull(), carried).otherwise(local + F.coalesce(carried, F.lit(0)))
     if kind == "max":
         return F.greatest(local, carried)
+    if kind == "coming_min":
+        return F.least(local, carried)
     return F.coalesce(local, carried)
