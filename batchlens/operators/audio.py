@@ -175,6 +175,103 @@ def prepare_blocks(
     )
 
 
+def prepare_rows(
+    df: DataFrame,
+    key: str = "file_ids",
+    samples: str = "samples",
+    rate: str = "sampling_rate",
+    first: str = "first_sample",
+    target: int = MODEL_RATE,
+    seconds: int = 30,
+) -> DataFrame:
+    """``prepare_blocks`` of recordings that come in many rows.
+
+    ``df(key, rate, first, samples)`` holds stretches of any length, ``first``
+    being the place of a stretch's first sample in its recording. Every stretch
+    gives each output block the samples that block needs, its own and those of
+    the neighbours that the filter reaches, so that a task never holds more than
+    one block and its margins. The result is ``(key, rate, block, first_sample,
+    samples, problem)``, sample for sample that of the whole recording in one row.
+
+    A recording has one block with a ``problem`` and NULL samples where a stretch
+    has one (``no samples``, ``missing samples``, ``no sampling rate``), where
+    stretches leave a gap or overlap (``missing samples``) or where their rates
+    differ (``no sampling rate``).
+    """
+    kind = df.schema[samples].dataType
+    if not isinstance(kind, T.ArrayType) or isinstance(kind.elementType, T.ArrayType):
+        raise ValueError(f"single-channel samples expected, got {kind.simpleString()}")
+    rows = _with_problem(df, samples, rate).select(
+        F.col(key).alias("_key"), F.col(rate).cast("long").alias("_rate"), F.col(first).cast("long").alias("_at"),
+        F.col(samples).cast("array<double>").alias("_samples"), "problem",
+        F.greatest(F.coalesce(F.size(samples), F.lit(0)), F.lit(0)).cast("long").alias("_n"),
+    )
+    # A row per recording; neighbours are compared by sums, not side by side.
+    ends = F.sum((F.col("_at") + F.col("_n")) * F.col("_n")) - F.sum(F.col("_at") * F.col("_n"))
+    squares = F.sum(F.col("_n") * F.col("_n"))
+    whole = F.max(F.col("_at") + F.col("_n"))
+    files = rows.groupBy(F.col("_key").alias("_file")).agg(
+        F.min("problem").alias("_problem"),
+        whole.alias("_size"),
+        ((F.sum("_n") != whole) | (F.min("_at") != 0) | (F.count("_at") != F.count(F.lit(1))) | (ends != squares)
+         | (F.sum(F.col("_n") * (2 * F.col("_at") + F.col("_n"))) != whole * whole)).alias("_broken"),
+        F.max("_rate").alias("_pace"),
+        (F.min("_rate") != F.max("_rate")).alias("_mixed"),
+    )
+    problem = (
+        F.coalesce("_problem", F.when(F.col("_mixed"), "no sampling rate"), F.when(F.col("_broken"), "missing samples"))
+    )
+    files = files.withColumn("_problem", problem)
+    fine = rows.join(files.where("_problem IS NULL"), rows["_key"].eqNullSafe(F.col("_file")))
+    pace = F.col("_pace")
+    halo = F.ceil((ZERO_CROSSINGS + 2) * F.greatest(F.lit(1.0), pace / F.lit(target))).cast("long") + 2
+    size = pace * seconds
+    end = F.col("_at") + F.col("_n")
+    last = F.greatest(F.ceil(F.col("_size") / size) - 1, F.lit(0))
+    reach = F.sequence(
+        F.greatest(F.floor((F.col("_at") - halo) / size), F.lit(0)).cast("long"),
+        F.least(F.floor((F.greatest(end - 1, F.col("_at")) + halo) / size), last).cast("long"),
+    )
+    dealt = fine.withColumn("block", F.explode(reach))
+    start = F.col("block") * size
+    lead = F.least(halo, start)
+    low = F.greatest(F.col("_at"), start - lead)
+    high = F.least(end, start + size + halo)
+    pieces = dealt.where((high > low) | ((F.col("_size") == 0) & (F.col("block") == 0))).select(
+        "_key", "block", "_pace", "_size", lead.cast("int").alias("_lead"), low.alias("_from"),
+        F.slice("_samples", (low - F.col("_at") + 1).cast("int"), (high - low).cast("int")).alias("_piece"),
+    )
+    length = F.least(F.lit(target * seconds).cast("long"), F.ceil(F.col("_size") * F.lit(target) / pace) - F.col("block") * target * seconds)
+    joined = pieces.groupBy("_key", "block", "_pace", "_size", "_lead").agg(
+        F.sort_array(F.collect_list(F.struct("_from", "_piece"))).alias("_pieces")
+    )
+
+    def at_target(waves: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        known: dict = {}
+        for signals, rates, leads, lengths in waves:
+            yield pd.Series(
+                [resample(np.asarray(s), int(r), target, known, int(a), int(n)) for s, r, a, n in zip(signals, rates, leads, lengths)],
+                dtype=object,
+            )
+
+    resampled = F.pandas_udf(at_target, "array<double>").asNondeterministic()
+    signal = F.flatten(F.transform("_pieces", lambda p: p["_piece"]))
+    blocks = joined.select(
+        F.col("_key").alias(key),
+        F.lit(target).alias(rate),
+        "block",
+        (F.col("block") * target * seconds).alias("first_sample"),
+        resampled(signal, F.col("_pace"), "_lead", length.cast("int")).alias(samples),
+        F.lit(None).cast("string").alias("problem"),
+    )
+    zero = F.lit(0).cast("long")
+    failed = files.where("_problem IS NOT NULL").select(
+        F.col("_file").alias(key), F.lit(target).alias(rate), zero.alias("block"), zero.alias("first_sample"),
+        F.lit(None).cast("array<double>").alias(samples), F.col("_problem").alias("problem"),
+    )
+    return blocks.unionByName(failed)
+
+
 def _with_problem(df: DataFrame, samples: str, rate: str) -> DataFrame:
     return df.withColumn(
         "problem",

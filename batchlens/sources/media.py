@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +32,25 @@ def media_files(
     ]
     nothing = F.lit(None).cast("binary").alias("content")
     if max_inline_bytes is None:
-        return files.select(*named, nothing)
+        return files.select(*named, nothing).unionByName(_empty_files(spark, files, None))
     # The size test is pushed into the scan, so large files are never read.
     small = files.where(F.col("length") <= max_inline_bytes).select(*named, "content")
     large = files.where(F.col("length") > max_inline_bytes).select(*named, nothing)
-    return small.unionByName(large)
+    return small.unionByName(large).unionByName(_empty_files(spark, files, b""))
+
+
+def _empty_files(spark: SparkSession, files: DataFrame, content: bytes | None) -> DataFrame:
+    """Files that are listed but have nothing to read: Spark's scan leaves them out."""
+    listed = spark.createDataFrame(
+        [(re.sub("^([A-Za-z][A-Za-z0-9+.-]*:)///", r"\1/", unquote(f)),) for f in files.inputFiles()], "file_path string"
+    )
+    found = files.select(F.col("path").alias("_path"))
+    return listed.join(found, F.col("file_path") == F.col("_path"), "left_anti").select(
+        "file_path",
+        F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
+        F.lit(0).cast("long").alias("length"),
+        F.lit(content).cast("binary").alias("content"),
+    )
 
 
 def attach_media(files: DataFrame, media: DataFrame) -> DataFrame:
