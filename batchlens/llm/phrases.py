@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 
 from batchlens.llm.tables import written
 from batchlens.llm.words import LOWER, UPPER, mixed, window_hashes
+from batchlens.plans.partitions import cap_arrow_batches
 
 # What ends a piece; words in it stand between spaces and tabs.
 DELIMITERS = ".,;:!?\x0a\x0b\x0c\x0d"
 NO_LANGUAGE = "und"
 BREAK, NOTHING = 0, 1  # codes that no word has
 WORD = 8  # bytes of a word's code
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 250_000
+# Rows of codes are large.
+ARROW_ROWS, ARROW_BYTES = 500, 8_000_000
 _TABLE = bytes.maketrans((UPPER + "\t" + DELIMITERS).encode(), (LOWER + " " + "\n" * len(DELIMITERS)).encode())
 
 
@@ -32,8 +35,8 @@ class Plan:
     least: int = 100
     first: int = 2000
     filter_bits: int = 26
-    buffer: int = 4_000_000
-    known_words: int = 400_000
+    buffer: int = 1_000_000
+    known_words: int = 100_000
 
 
 class _Codes(dict):
@@ -296,8 +299,9 @@ def _prefix_counts(windows: DataFrame, plan: Plan) -> DataFrame:
 def frequent_sequences(df: DataFrame, lang: str, text: str, plan: Plan) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``words(lang, gram, word, f)`` and ``grams(lang, gram, f)`` with a count of
     ``plan.least`` at least, and ``totals(lang, n)``; a gram is its words' codes."""
+    cap_arrow_batches(df.sparkSession, ARROW_ROWS, ARROW_BYTES)
     read = _read(df, lang, text, plan)
-    counts = read.where(F.col("gram").isNotNull()).groupBy("lang", "gram").agg(F.sum("n").alias("f"), F.first("word").alias("word"))
+    counts = read.where(F.col("gram").isNotNull()).groupBy("lang", "gram", "word").agg(F.sum("n").alias("f"))
     counts = written(counts, "word-counts")
     totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
     words = counts.where(F.col("f") >= plan.least).select("lang", "gram", F.col("word").cast("string").alias("word"), "f")
