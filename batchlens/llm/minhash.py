@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -15,31 +15,34 @@ from pyspark.sql import functions as F
 
 from batchlens.llm.components import components
 from batchlens.llm.tables import small_side, written
-from batchlens.llm.words import WordHashes, fold, mixed, window_hashes, words_of
+from batchlens.llm.words import LOWER, UPPER, mixed, window_hashes
 
 SHINGLE = 2
 SIMILAR = (80, 100)  # shared * 100 >= union * 80
 # Two different sets of fewer shingles can't be that similar.
 LEAST = 4
+# Min-hashes in a posted coordinate: unlike sets rarely agree in two.
+WIDTH = 2
+# Leaders that each set is held against first.
+LEADERS = 2
 
 
 @dataclass(frozen=True)
 class Plan:
     """``missed``: the chance, for a pair at the threshold, to have too few equal
     coordinates, and again to meet in no list. Lists are compared within blocks of
-    ``block`` sets; those whose comparisons exceed ``block`` squared are first
-    dealt anew by further coordinates, up to ``depth`` times in all."""
+    ``block`` sets; those whose comparisons exceed ``block`` squared are dealt anew
+    by further coordinates first."""
 
     coordinates: int = 128
     missed: float = 1e-6
     block: int = 1024
-    depth: int = 3
 
     @cached_property
     def posted(self) -> int:
-        """Lists each set is posted in, the prefix that is merged: a pair agrees in
-        a coordinate with the chance of its similarity."""
-        return math.ceil(math.log(self.missed) / math.log(1 - SIMILAR[0] / SIMILAR[1]))
+        """Coordinates of ``WIDTH`` min-hashes that each set is posted under: a pair
+        agrees in one with the chance of its similarity to that power."""
+        return math.ceil(math.log(self.missed) / math.log(1 - (SIMILAR[0] / SIMILAR[1]) ** WIDTH))
 
     @cached_property
     def matches(self) -> int:
@@ -52,13 +55,30 @@ class Plan:
         raise ValueError("no coordinates")
 
 
-def shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
+_FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
+
+
+class _Hashes(dict):
+    """64-bit hashes of words, of which at most ``most`` are kept."""
+
+    most = 400_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
+def shingles(text: bytes | None, hashes: _Hashes) -> np.ndarray:
     """Sorted distinct hashes of all pairs of neighbouring words, A-Z lower-cased;
-    of a single word itself; none of a text without words."""
-    words = words_of(fold(text)) if text else []
+    of a single word itself; none of a text without words. Bytes are split at the
+    very characters that part words."""
+    words = text.translate(_FOLD).split() if text else []
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    return np.unique(window_hashes(hashes.of(words), min(SHINGLE, len(words))))
+    own = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    return np.unique(window_hashes(own, min(SHINGLE, len(words))))
 
 
 def _lowest(tokens: np.ndarray, odd: np.ndarray) -> np.ndarray:
@@ -76,14 +96,14 @@ def _mark(text: str) -> Column:
 
 def _described(df: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
     """``(key, mark, node, n, signature, posts)``: ``node`` names the set, NULL
-    where it is empty; ``posts`` are the lists of all depths, none for sets that
-    only equal ones are similar to."""
-    n_posts = plan.posted * plan.depth
-    odd = mixed(np.arange(1, max(plan.coordinates, n_posts) + 1, dtype=np.uint64)) | np.uint64(1)
-    places = mixed(np.arange(1, n_posts + 1, dtype=np.uint64))
+    where it is empty; ``posts`` are its lists, the prefix and then those by which
+    long lists are dealt anew, none for sets that only equal ones are similar to."""
+    used = 2 * plan.posted * WIDTH
+    odd = mixed(np.arange(1, max(plan.coordinates, used) + 1, dtype=np.uint64)) | np.uint64(1)
+    places = mixed(np.arange(1, used + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = _Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -97,7 +117,8 @@ def _described(df: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
                         continue
                     lowest = _lowest(tokens, odd)
                     signatures.append((mixed(lowest[: plan.coordinates]) >> np.uint64(56)).astype(np.uint8).tobytes())
-                    posts.append(mixed(lowest[:n_posts] ^ places).view(np.int64))
+                    own = mixed(lowest[:used] ^ places).reshape(-1, WIDTH)
+                    posts.append(mixed(own.sum(axis=1, dtype=np.uint64)).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("key"),
@@ -111,7 +132,7 @@ def _described(df: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
                 )
 
     kind = df.schema[key].dataType.simpleString()
-    slim = df.select(F.col(key).alias("key"), _mark(text).alias("mark"), F.col(text).alias("text"))
+    slim = df.select(F.col(key).alias("key"), _mark(text).alias("mark"), F.col(text).cast("binary").alias("text"))
     return slim.mapInArrow(run, f"key {kind}, mark binary, node binary, n bigint, signature binary, posts array<bigint>")
 
 
@@ -148,8 +169,14 @@ def _signatures(values: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(values), dtype=np.uint8).reshape(len(values), -1 if values else 1)
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Those of ``(u, v)`` whose full sets are similar."""
+    pairs = written(pairs, "pairs")
+    sets = sets_of(_ends(pairs))
     both = pairs.select("u", "v").join(_side(sets, "u", "tokens"), "u").join(_side(sets, "v", "tokens"), "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,12 +198,12 @@ def _is_rep() -> Column:
 
 def _sets(df: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     """``(node, tokens)`` of ``wanted(node, rep, mark)``, from the texts once more."""
-    texts = df.select(F.col(key).alias("__key"), _mark(text).alias("__mark"), F.col(text).alias("text"))
+    texts = df.select(F.col(key).alias("__key"), _mark(text).alias("__mark"), F.col(text).cast("binary").alias("text"))
     wanted = written(wanted.select("node", "rep", "mark"), "wanted")
     found = texts.join(small_side(wanted, wanted.count()), _is_rep()).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = _Hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -222,99 +249,102 @@ def _open_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return own.join(main, "post").withColumn("main", F.col("root") == F.col("__main")).drop("__main")
 
 
-def _across(open_: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
-    """``(u, v, equal)``: matching pairs of different components that share a list.
+def _cells(open_: DataFrame, members: DataFrame, plan: Plan) -> DataFrame:
+    """``(left, right)`` members of each block of comparisons.
 
     Blocks of a list's lesser components meet each other and those of its largest;
-    the latter are of one component and need not meet among themselves.
+    the latter are of one component and need not meet among themselves. ``left`` is
+    NULL where a block meets itself.
     """
     blocks = lambda n: F.greatest(F.ceil(F.col(n) / plan.block), F.lit(1)).cast("int")
     part = lambda n: F.pmod(F.xxhash64("node", "post"), n).cast("int")
     side, main = blocks("n_side"), blocks("n_main")
     all_of = lambda n: F.sequence(F.lit(0), n - 1)
-    cell = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"))
+    cell = lambda kind, a, b, left: F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"), left.alias("left"))
     own = F.col("own")
-    with_main = F.transform(all_of(main), lambda b: cell("main", own, b))
-    with_side = F.transform(all_of(side), lambda b: cell("side", F.least(own, b), F.greatest(own, b)))
-    met_by_main = F.transform(all_of(side), lambda a: cell("main", a, own))
+    with_main = F.transform(all_of(main), lambda b: cell("main", own, b, F.lit(True)))
+    with_side = F.transform(all_of(side), lambda b: cell("side", F.least(own, b), F.greatest(own, b), own < b))
+    met_by_main = F.transform(all_of(side), lambda a: cell("main", a, own, F.lit(False)))
     dealt = open_.withColumn("own", F.when(F.col("main"), part(main)).otherwise(part(side)))
     cells = F.when(F.col("main"), met_by_main).otherwise(F.concat(with_main, with_side))
-    dealt = dealt.select("post", "node", "root", "main", "own", F.explode(cells).alias("c")).select(
-        "post", "c.*", "node", "root", F.when(F.col("main"), -1).otherwise(F.col("own")).alias("own")
-    )
-    grouped = (
-        dealt.join(nodes.select("node", "n", "signature"), "node")
-        .groupBy("post", "kind", "a", "b")
-        .agg(F.collect_list(F.struct("node", "root", "own", "n", "signature")).alias("members"))
+    dealt = dealt.select("post", "node", "root", F.explode(cells).alias("c")).select("post", "c.*", "node", "root")
+    row = F.struct("node", "root", *[c for c in members.columns if c != "node"])
+    return dealt.join(members, "node").groupBy("post", "kind", "a", "b").agg(
+        F.collect_list(F.when(F.col("left"), row)).alias("left"), F.collect_list(F.when(~F.col("left"), row)).alias("right")
     )
+
+
+def _near(n: np.ndarray, size: int) -> np.ndarray:
+    return (n * SIMILAR[1] >= size * SIMILAR[0]) & (size * SIMILAR[1] >= n * SIMILAR[0])
+
+
+def _similar(a: bytes, b: bytes) -> bool:
+    left, right = (np.frombuffer(x, dtype=np.uint64) for x in (a, b))
+    shared = len(np.intersect1d(left, right, assume_unique=True))
+    return shared * SIMILAR[1] >= (len(left) + len(right) - shared) * SIMILAR[0]
+
+
+def _across(open_: DataFrame, members: DataFrame, plan: Plan) -> DataFrame:
+    """``(u, v)``: components (by their roots) that matching members of a list join;
+    a list gives fewer pairs than it has components, however many members match.
+    Where ``members`` have ``tokens``, matches count that the full sets confirm."""
+    exact = "tokens" in members.columns
     least = plan.matches
 
+    def joined(left: pa.StructArray, right: pa.StructArray) -> Iterator[tuple[bytes, bytes]]:
+        rows = right if not len(left) else pa.concat_arrays([left, right])
+        name, root = np.unique(np.array(rows.field("root").to_pylist(), dtype=object), return_inverse=True)
+        n, signature = rows.field("n").to_numpy(), _signatures(rows.field("signature").to_pylist())
+        tokens = rows.field("tokens") if exact else None
+        for i in range(len(left) or len(rows)):
+            first = len(left) or i + 1
+            others = first + np.flatnonzero((root[first:] != root[i]) & _near(n[first:], n[i]))
+            same = (signature[others] == signature[i]).sum(axis=1)
+            order = np.argsort(-same, kind="stable")
+            for j in others[order][same[order] >= least]:
+                if root[i] != root[j] and (not exact or _similar(tokens[i].as_py(), tokens[j].as_py())):
+                    yield name[root[i]], name[root[j]]
+                    root[root == root[j]] = root[i]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for kind, a, b, members in zip(*(batch.column(c) for c in ("kind", "a", "b", "members")), strict=True):
-                kind, a, b = kind.as_py(), a.as_py(), b.as_py()
-                flat = members.values
-                node, root = (np.array(flat.field(c).to_pylist(), dtype=object) for c in ("node", "root"))
-                own, n = (flat.field(c).to_numpy() for c in ("own", "n"))
-                signature = _signatures(flat.field("signature").to_pylist())
-                _, root = np.unique(root, return_inverse=True)
-                left = np.flatnonzero(own == a) if kind == "main" or a != b else np.arange(len(node))
-                right = np.flatnonzero(own == (-1 if kind == "main" else b)) if kind == "main" or a != b else left
-                us, vs, equal = [], [], []
-                for i in left:
-                    near = right[(root[right] != root[i]) & (n[right] * SIMILAR[1] >= n[i] * SIMILAR[0]) & (n[i] * SIMILAR[1] >= n[right] * SIMILAR[0])]
-                    if right is left:
-                        near = near[near > i]
-                    same = (signature[near] == signature[i]).sum(axis=1)
-                    found = near[same >= least]
-                    us.extend([node[i]] * len(found))
-                    vs.extend(node[found])
-                    equal.extend(same[same >= least])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(us, pa.binary()), pa.array(vs, pa.binary()), pa.array(equal, pa.int64())], ["u", "v", "equal"]
-                )
+            found = []
+            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
+                if len(right):
+                    found.extend(joined(left.values, right.values))
+            columns = [pa.array([f[i] for f in found], pa.binary()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays(columns, ["u", "v"])
 
-    found = grouped.mapInArrow(run, "u binary, v binary, equal bigint")
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "equal").distinct()
+    return _cells(open_, members, plan).select("left", "right").mapInArrow(run, "u binary, v binary").distinct()
 
 
-def _links(nodes: DataFrame, sets_of, plan: Plan) -> DataFrame:
+def _links(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], plan: Plan) -> DataFrame:
     """``(node, root)`` of all sets linked to another one."""
-    posts = lambda rows, level, *more: rows.select(
-        *more, "node", F.explode(F.slice("posts", level * plan.posted + 1, plan.posted)).alias("p")
-    )
-    lists = _lists(posts(nodes, 0).select(F.col("p").alias("post"), "node"))
-    sets = sets_of(lists.select("node").distinct())
-    led = _matched(_led(lists), nodes, plan)
-    best = led.groupBy("u").agg(F.max(F.struct("equal", "v")).alias("m")).select("u", F.col("m.v").alias("v"))
-    edges = [written(_confirmed(best, sets), "links")]
-    roots = written(components(edges[0]), "roots")
-    found = []
-    for level in range(plan.depth):
-        open_ = written(_open_lists(lists, roots), "open")
-        long = F.col("n_side").cast("double") * (F.col("n_side") + F.col("n_main")) > plan.block**2
-        last = level + 1 == plan.depth
-        found.append(written(_across(open_ if last else open_.where(~long), nodes, plan), "matched"))
-        deeper = open_.where(long)
-        if last or deeper.isEmpty():
-            break
-        again = posts(deeper.select("post", "node").join(nodes.select("node", "posts"), "node"), level + 1, "post")
-        lists = _lists(again.select(F.xxhash64("post", "p").alias("post"), "node"))
-    rest = reduce(DataFrame.unionByName, found).distinct()
-    if rest.isEmpty():
-        return roots
-    # The likeliest pair of any two components first, then what is still apart.
-    apart = lambda rows, roots: _placed(_placed(rows, roots, "u", "ru"), roots, "v", "rv").where(F.col("ru") != F.col("rv"))
-    rest = written(apart(rest, roots).select("u", "v", "equal", F.least("ru", "rv").alias("a"), F.greatest("ru", "rv").alias("b")), "rest")
-    first = rest.groupBy("a", "b").agg(F.max(F.struct("equal", "u", "v")).alias("m")).select("m.u", "m.v")
-    edges.append(written(_confirmed(first, sets), "links"))
-    roots = written(components(reduce(DataFrame.unionByName, edges)), "roots")
-    tried = first.withColumn("tried", F.lit(True))
-    left = apart(rest.select("u", "v").join(tried, ["u", "v"], "left").where(F.col("tried").isNull()), roots)
-    more = written(_confirmed(left, sets), "links")
-    if more.isEmpty():
+    posted = nodes.where(F.size("posts") > 0)
+    lists = _lists(posted.select(F.explode(F.slice("posts", 1, plan.posted)).alias("post"), "node"))
+    most = F.slice(F.sort_array(F.collect_list(F.struct("equal", "v")), asc=False), 1, LEADERS)
+    best = _matched(_led(lists), nodes, plan).groupBy("u").agg(most.alias("m")).select("u", F.explode("m.v").alias("v"))
+    edges = written(_confirmed(best, sets_of), "links")
+    roots = written(components(edges), "roots")
+    slim = nodes.select("node", "n", "signature")
+    open_ = written(_open_lists(lists, roots), "open")
+    long = F.col("n_side").cast("double") * (F.col("n_side") + F.col("n_main")) > plan.block**2
+    matched = written(_across(open_.where(~long), slim, plan), "matched")
+    if not open_.where(long).isEmpty():
+        again = open_.where(long).select("post", "node").join(posted.select("node", "posts"), "node")
+        again = again.select("post", "node", F.explode(F.slice("posts", plan.posted + 1, plan.posted)).alias("p"))
+        deeper = _lists(again.select(F.xxhash64("post", "p").alias("post"), "node"))
+        deeper = written(_open_lists(deeper, roots), "open")
+        matched = matched.unionByName(written(_across(deeper, slim, plan), "matched")).distinct()
+    if matched.isEmpty():
         return roots
-    return written(components(reduce(DataFrame.unionByName, [*edges, more])), "roots")
+    # Components that matches connect, compared on their members' full sets.
+    clusters = components(matched).select(F.col("node").alias("root"), F.col("root").alias("post"))
+    inside = _placed(posted.select("node"), roots, "node", "root").join(clusters, "root").select("post", "node")
+    inside = written(_open_lists(inside, roots), "clusters")
+    more = _across(inside, slim.join(sets_of(inside.select("node").distinct()), "node"), plan)
+    # Links between components stand for links between their roots' members.
+    return written(components(edges.unionByName(written(more, "links"))), "roots")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", plan: Plan = Plan()) -> DataFrame:
@@ -328,14 +358,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", plan
     their own; a NULL key is the last of a component. ``kept`` marks the rows whose
     key is that of their component.
 
-    Every set is posted under the values of its first ``plan.posted`` coordinates.
-    Members of a list are first held against its leader, the set in most lists:
-    copies of one original fall into one component without being paired. Where a
-    list still holds several components, their members are compared across, in
-    blocks; too long lists are dealt anew by further coordinates before. Pairs with
-    ``plan.matches`` equal coordinates are confirmed on the full sets, so links are
-    always true, and one at the threshold is missed with a chance of twice
-    ``plan.missed`` at most.
+    Every set is posted under the values of its first coordinates.
+    Members of a list are first held against its leader, the set in most lists,
+    so that copies of one original fall into one component without being paired. Where a list still holds several components,
+    members of different ones are counted against each other in blocks; too long
+    lists are dealt anew by further coordinates before. Components joined
+    by a pair with ``plan.matches`` equal coordinates form clusters, in which such
+    pairs are confirmed on the full sets. So links are always true, one at the
+    threshold is missed with a chance of three times ``plan.missed`` at most, and
+    rows never outnumber members, however many pairs match.
     """
     described = written(_described(df, plan, key, text), "signatures")
     least = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("l")
