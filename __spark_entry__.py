@@ -21,9 +21,12 @@ from batchlens.operators.align import align_chunks, align_turns
 from batchlens.operators.joins import join_media
 from batchlens.operators.ordered import LongKeys, by_length, find_long_keys
 from batchlens.operators.turns import speaker_turns
+from batchlens.operators.weights import deal_by_weight
 from batchlens.plans import captions as caption_flow
-from batchlens.plans import partitions, speech, text_generation
-from batchlens.sources import given, media as media_source, synthetic, tables
+from batchlens.plans import content, partitions, speech, text_generation
+from batchlens.sources import given, media as media_source, ranges, synthetic, versions
+from batchlens.sources import tables
+from batchlens.sources.csv_files import read_by_header
 from batchlens.sources.scratch import new_folder
 from oracle_queries import ORACLE
 
@@ -37,8 +40,11 @@ except ModuleNotFoundError as missing:
     training_data = None
 
 SYSTEM = "Answer in one sentence."
-# Larger media files are opened by path.
-INLINE_BYTES = 1 << 30
+# Larger media files are opened by path, and read in ranges of this size.
+INLINE_BYTES = 4 << 20
+RANGE_BYTES = 1 << 20
+# Files a model sees whole.
+CONTENT_BYTES = 64 << 20
 
 
 def _rows_of(df: DataFrame, kept: list[str], array: Column, position: str) -> DataFrame:
@@ -147,6 +153,29 @@ def q_write_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table("batchlens_generations")
 
 
+def q_replace_table(spark: SparkSession, sf: str) -> DataFrame:
+    base = new_folder(spark, "versions")
+    versions.replace_table(_generations(spark, sf).limit(0), "batchlens_versions", base=base)
+    versions.replace_table(_generations(spark, sf), "batchlens_versions", base=base)
+    return spark.table("batchlens_versions")
+
+
+def q_batch_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """Partitions of nearly equal characters: none has more than its share and a row."""
+    docs, n = given.documents(spark, sf), partitions.TEXT_JOB.workers * 4
+    dealt = deal_by_weight(docs, "id", F.length("text"), n)
+    bounds = docs.agg((F.ceil(F.sum(F.length("text")) / n) + F.max(F.length("text"))).alias("bound"))
+    report = totals.batch_report(dealt).agg(
+        F.count(F.lit(1)).alias("n_partitions"),
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("chars").alias("chars"),
+        F.max("chars").alias("most"),
+    )
+    # A row on either side.
+    both = report.join(F.broadcast(bounds))
+    return both.select("n_partitions", "n_rows", "chars", (F.col("most") <= F.col("bound")).alias("even"))
+
+
 def q_batch_report(spark: SparkSession, sf: str) -> DataFrame:
     size = partitions.TEXT_JOB
     dealt = partitions.spread(given.documents(spark, sf), size)
@@ -365,6 +394,19 @@ def q_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_products(spark, path, columns)
 
 
+def q_csv_by_header(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with their columns in two orders, one with a column more."""
+    path = new_folder(spark, "products-csv")
+    products = given.products(spark, sf)
+    odd = F.col("product_id") % 2 == 1
+    one = products.where(odd).select("Image", "product_id", "Gender", "Category")
+    two = products.where(~odd).select("Category", "file_path", "Gender", "product_id", "Image")
+    for part in (one, two):
+        part.write.mode("append").option("header", True).csv(path)
+    rows, _ = read_by_header(spark, path, ["product_id", "Category", "Gender", "Image"])
+    return rows
+
+
 def q_bounded_sample(spark: SparkSession, sf: str) -> DataFrame:
     return tables.bounded(given.products(spark, sf), "product_id", 1000)
 
@@ -383,6 +425,44 @@ def q_media_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_media_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    files = ranges.media_ranges(spark, sf, "*.parquet", RANGE_BYTES)
+    return ranges.file_sums(files).select(
+        "file_name",
+        (F.col("n_bytes") == F.col("length")).alias("whole"),
+        F.col("head").cast("string").alias("opens_with"),
+        F.col("tail").cast("string").alias("closes_with"),
+    )
+
+
+def q_media_content(spark: SparkSession, sf: str) -> DataFrame:
+    """What a model makes of the content of the given tables' files."""
+    listed = media_source.media_files(spark, sf, "*.parquet")
+    read = media_source.media_files(spark, sf, "*.parquet", max_inline_bytes=CONTENT_BYTES)
+    scored = content.content_scores(
+        listed.select("file_name", "file_path"), read, backends.table_rows, None, "bigint", "n_rows"
+    )
+    return scored.select("file_name", "n_rows")
+
+
+def q_audio_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Waveforms in rows of 20 samples, prepared as if each were one row."""
+    n = 20
+    at = F.sequence(F.lit(0), F.greatest(F.size("samples") - 1, F.lit(0)), F.lit(n))
+    waves = given.waveforms(spark, sf)
+    rows = waves.select("file_ids", "sampling_rate", "samples", F.explode(at).alias("first_sample")).withColumn(
+        "samples", F.slice("samples", F.col("first_sample") + 1, F.lit(n))
+    )
+    ready = audio.prepare_rows(rows)
+    kept = ["file_ids", "sampling_rate", "first_sample"]
+    return _rows_of(ready, kept, F.col("samples"), "j").select(
+        "file_ids",
+        "sampling_rate",
+        (F.col("first_sample") + F.col("j")).cast("int").alias("j"),
+        F.round(F.col("_e") * 32767).cast("long").alias("level"),
+    )
+
+
 def q_audio_prepare(spark: SparkSession, sf: str) -> DataFrame:
     ready = audio.prepare_blocks(given.waveforms(spark, sf))
     kept = ["file_ids", "sampling_rate", "first_sample"]

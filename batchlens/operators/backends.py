@@ -170,3 +170,12 @@ def path_caption() -> Model:
         return [" ".join(c.split(" ")[: options.max_tokens]) for c in captions]
 
     return run
+
+
+def table_rows() -> Callable[[list[bytes], None], list[int]]:
+    """Stand-in that sees contents: rows of a table file, by its closing bytes."""
+    import io
+
+    import pyarrow.parquet as pq
+
+    return lambda contents, options: [pq.read_metadata(io.BytesIO(c)).num_rows for c in contents]

@@ -162,6 +162,11 @@ _PIECES = f"""
                  lag({{'role': role}}) OVER w AS before, lead({{'role': role}}) OVER w AS after
           FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))"""
 
+GIVEN = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
 ORACLE = {
     "prompt_synth": f"SELECT id, ask AS text FROM ({_QUESTIONS})",
     "prompt_llama": f"SELECT doc_id AS id, {_llama('text')} AS text FROM documents",
@@ -185,6 +190,13 @@ ORACLE = {
                        'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels',
                        'conversations']) || '.parquet' AS file_name,
                TRUE AS whole, 'PAR1' AS opens_with, 'PAR1' AS closes_with""",
+    "media_content": " UNION ALL ".join(
+        f"SELECT '{name}.parquet' AS file_name, count(*) AS n_rows FROM {name}" for name in GIVEN
+    ),
+    "batch_weights": """
+        SELECT CAST(16 AS BIGINT) AS n_partitions, count(*) AS n_rows,
+               CAST(sum(length(text)) AS BIGINT) AS chars, TRUE AS even
+        FROM documents""",
     "partition_plan": """
         SELECT workload, total_rows,
                CAST(greatest(workers, ceil(total_rows / per_task)) AS BIGINT) AS num_partitions
@@ -309,3 +321,8 @@ ORACLE = {
               UNION ALL
               SELECT vec_id, j, CAST(x[j + 1] AS DOUBLE) FROM o WHERE rate = 16000)""",
 }
+# Other ways to the same rows.
+ORACLE["replace_table"] = _GENERATIONS
+ORACLE["csv_by_header"] = ORACLE["csv_scan"]
+ORACLE["media_ranges"] = ORACLE["media_scan"]
+ORACLE["audio_rows"] = ORACLE["audio_prepare"]
