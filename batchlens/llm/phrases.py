@@ -160,13 +160,20 @@ def _blocks(read: DataFrame) -> DataFrame:
 
 
 def _sequence_counts(read: DataFrame, size: int, filters, plan: Plan) -> DataFrame:
-    """``(hash, n)`` of sequences of ``size`` words, a few million at a time."""
+    """``(hash, n)`` of sequences of ``size`` words, summed in the task as far as
+    ``plan.buffer`` of them allow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
+        values, times = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            new = np.concatenate([values, *held])
+            each = np.ones(len(new), dtype=np.int64)
+            each[: len(times)] = times
+            return _summed(new, each)[1:]
 
         def out() -> pa.RecordBatch:
-            values, times = np.unique(np.concatenate([*held, np.zeros(0, dtype=np.uint64)]), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(times, pa.int64())], ["hash", "n"])
 
         for batch in batches:
@@ -176,13 +183,25 @@ def _sequence_counts(read: DataFrame, size: int, filters, plan: Plan) -> DataFra
                 held.append(_salted(_hashes(codes, at, size), lang) if len(at) else np.zeros(0, dtype=np.uint64))
                 count += len(at)
                 if count >= plan.buffer:
-                    yield out()
+                    values, times = merged()
                     held, count = [], 0
+                    if len(values) >= plan.buffer:
+                        yield out()
+                        values, times = values[:0], times[:0]
+        values, times = merged()
         yield out()
 
     return _blocks(read).mapInArrow(run, "hash bigint, n bigint")
 
 
+def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First places of distinct keys, the keys, and the sums of their ``times``."""
+    values, first, place = np.unique(keys, return_index=True, return_inverse=True)
+    sums = np.zeros(len(values), dtype=np.int64)
+    np.add.at(sums, place, times)
+    return first, values, sums
+
+
 def _windows(read: DataFrame, filters, plan: Plan) -> DataFrame:
     """``(lang, gram, n)``: from each place the longest sequence that may be
     frequent, two words at least, filled up with breaks."""
@@ -190,26 +209,35 @@ def _windows(read: DataFrame, filters, plan: Plan) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[np.ndarray]] = {}
+        known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         count = 0
 
-        def out() -> Iterator[pa.RecordBatch]:
+        def merge() -> None:
             for lang, parts in held.items():
-                rows = np.concatenate(parts)
+                before, n = known.get(lang, (np.zeros((0, longest), dtype=np.uint64), np.zeros(0, dtype=np.int64)))
+                rows = np.concatenate([before, *parts])
+                each = np.ones(len(rows), dtype=np.int64)
+                each[: len(n)] = n
                 key = np.zeros(len(rows), dtype=np.uint64)
                 for j in range(longest):
                     key = mixed(key * np.uint64(31) + rows[:, j])
-                _, first, times = np.unique(key, return_index=True, return_counts=True)
-                grams = rows[first].astype(">u8").tobytes()
+                first, _, sums = _summed(key, each)
+                known[lang] = (rows[first], sums)
+            held.clear()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, (rows, times) in known.items():
+                grams = rows.astype(">u8").tobytes()
                 step = longest * WORD
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([lang] * len(first), pa.string()),
+                        pa.array([lang] * len(rows), pa.string()),
                         pa.array([grams[i : i + step] for i in range(0, len(grams), step)], pa.binary()),
                         pa.array(times, pa.int64()),
                     ],
                     ["lang", "gram", "n"],
                 )
-            held.clear()
+            known.clear()
 
         for batch in batches:
             for lang, codes in zip(batch.column("lang").to_pylist(), batch.column("codes"), strict=True):
@@ -227,8 +255,11 @@ def _windows(read: DataFrame, filters, plan: Plan) -> DataFrame:
                     held.setdefault(lang, []).append(rows)
                 count += len(at)
                 if count * longest >= plan.buffer:
-                    yield from out()
+                    merge()
                     count = 0
+                    if longest * sum(len(r) for r, _ in known.values()) >= plan.buffer:
+                        yield from out()
+        merge()
         yield from out()
 
     return _blocks(read).mapInArrow(run, "lang string, gram binary, n bigint")
