@@ -338,7 +338,9 @@ def pseudonymise(
         ),
         "",
     )
-    named = F.aggregate("__names", woven, lambda t, n: F.replace(t, n["old"], n["new"]))
+    # As whole words: "Paul Li" is no part of "Paul Lincoln".
+    whole = lambda old: F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), old, F.lit(r"\E(?![\p{L}\p{N}])"))
+    named = F.aggregate("__names", woven, lambda t, n: F.regexp_replace(t, whole(n["old"]), n["new"]))
     others = [c for c in df.columns if c != "n_entities"]
     changed = (
         df.where(may_hold)
