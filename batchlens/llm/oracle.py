@@ -101,18 +101,18 @@ CONTAMINATION = f"""
     FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 
 SUBSTRINGS = f"""
-    WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-    spots AS (SELECT doc_id, p, w[p:p + 12] AS win
-           FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d)),
+    WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+    spots AS (SELECT r, doc_id, p, w[p:p + 12] AS win
+           FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d)),
     firsts AS (SELECT win, min(doc_id) AS least FROM spots GROUP BY win),
-    gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS q
+    gone AS (SELECT DISTINCT r, unnest(range(p, p + 13)) AS q
              FROM spots JOIN firsts USING (win) WHERE least < doc_id),
-    each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
-    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY q) AS text, count(*) AS n
-             FROM each ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id)
+    each AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+    kept AS (SELECT r, string_agg(word, ' ' ORDER BY q) AS text, count(*) AS n
+             FROM each ANTI JOIN gone USING (r, q) GROUP BY r)
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
            sha256(coalesce(text, '')) AS kept_sha256
-    FROM d LEFT JOIN kept USING (doc_id)"""
+    FROM d LEFT JOIN kept USING (r)"""
 
 
 def _quality(most_lost: float = 0.03, error: float = 0.1) -> str:

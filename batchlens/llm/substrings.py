@@ -33,53 +33,56 @@ def _seeds(hashes: np.ndarray) -> np.ndarray:
     return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[str]]]:
-    """Row, id and words of the texts that can hold a window."""
-    for row, (key, text) in enumerate(zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True)):
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, list[str]]]:
+    """Row, id, mark and words of the texts that can hold a window."""
+    columns = [batch.column(c).to_pylist() for c in ("key", "mark", "text")]
+    for row, (key, mark, text) in enumerate(zip(*columns, strict=True)):
         words = words_of(text)
         if key is not None and len(words) >= WINDOW:
-            yield row, key, words
+            yield row, key, mark, words
 
 
 def _seed_rows(docs: DataFrame) -> DataFrame:
-    """``(seed, salt, known, key)``: the distinct seeds of each document.
+    """``(seed, salt, known, key, mark)``: the distinct seeds of each document.
 
     Of documents that share a seed within a task only the first is sent to meet
     the other tasks' (salt 0); the others are known to share it, and are spread.
     So a seed in very many documents sends a row or two per task to one place.
     """
 
-    def settled(seeds: list[np.ndarray], keys: list[int]) -> pa.RecordBatch:
+    def settled(seeds: list[np.ndarray], keys: list[int], marks: list[int]) -> pa.RecordBatch:
         flat = np.concatenate(seeds) if seeds else np.zeros(0, dtype=np.uint64)
-        owner = np.repeat(np.array(keys, dtype=np.int64), [len(s) for s in seeds])
+        sizes = [len(s) for s in seeds]
         order = np.argsort(flat, kind="stable")
-        flat, owner = flat[order], owner[order]
+        flat = flat[order]
+        owner = np.repeat(np.array(keys, dtype=np.int64), sizes)[order]
+        mark = np.repeat(np.array(marks, dtype=np.int64), sizes)[order]
         again = np.concatenate([[False], flat[1:] == flat[:-1]]) if len(flat) else np.zeros(0, bool)
         shared = again.copy()
         shared[:-1] |= again[1:]
         salt = np.where(again, mixed(owner.view(np.uint64)).view(np.int64) | 1, 0)
         return pa.RecordBatch.from_arrays(
-            [pa.array(flat.view(np.int64)), pa.array(salt), pa.array(shared), pa.array(owner)],
-            ["seed", "salt", "known", "key"],
+            [pa.array(flat.view(np.int64)), pa.array(salt), pa.array(shared), pa.array(owner), pa.array(mark)],
+            ["seed", "salt", "known", "key", "mark"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seeds, keys, held = WordHashes(), [], [], 0
+        hashes, seeds, keys, marks, held = WordHashes(), [], [], [], 0
         for batch in batches:
-            for _, key, words in _texts(batch):
+            for _, key, mark, words in _texts(batch):
                 own = np.unique(_seeds(hashes.of(words)))
-                seeds.append(own), keys.append(key)
+                seeds.append(own), keys.append(key), marks.append(mark)
                 held += len(own)
                 if held >= ROWS_AT_ONCE:
-                    yield settled(seeds, keys)
-                    seeds, keys, held = [], [], 0
-        yield settled(seeds, keys)
+                    yield settled(seeds, keys, marks)
+                    seeds, keys, marks, held = [], [], [], 0
+        yield settled(seeds, keys, marks)
 
-    return docs.mapInArrow(run, "seed bigint, salt bigint, known boolean, key bigint")
+    return docs.mapInArrow(run, "seed bigint, salt bigint, known boolean, key bigint, mark bigint")
 
 
 def _edge_rows(seeded: DataFrame) -> DataFrame:
-    """``(edge, check, key, pos, source, source_pos)``: windows with a shared seed.
+    """``(edge, check, key, mark, pos, source, source_pos)``: windows with a shared seed.
 
     ``edge`` and ``check`` are independent hashes of the window. A window that an
     earlier document of the same task holds gets it as source at once, and an
@@ -88,11 +91,11 @@ def _edge_rows(seeded: DataFrame) -> DataFrame:
     """
 
     def settled(parts: list[tuple]) -> pa.RecordBatch:
-        names = ["edge", "check", "key", "pos"]
-        columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(4)]
-        edge, check, key, pos = (c.astype(t) for c, t in zip(columns, (np.uint64, np.uint64, np.int64, np.int64), strict=True))
+        kinds = {"edge": np.uint64, "check": np.uint64, "key": np.int64, "mark": np.int64, "pos": np.int64}
+        columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(5)]
+        edge, check, key, mark, pos = (c.astype(t) for c, t in zip(columns, kinds.values(), strict=True))
         order = np.lexsort((pos, key, check, edge))
-        edge, check, key, pos = edge[order], check[order], key[order], pos[order]
+        edge, check, key, mark, pos = edge[order], check[order], key[order], mark[order], pos[order]
         first = np.flatnonzero(np.concatenate([[True], (edge[1:] != edge[:-1]) | (check[1:] != check[:-1])])) if len(edge) else np.zeros(0, np.int64)
         sizes = np.diff(np.append(first, len(edge)))
         source, source_pos = np.repeat(key[first], sizes), np.repeat(pos[first], sizes)
@@ -102,17 +105,18 @@ def _edge_rows(seeded: DataFrame) -> DataFrame:
             pa.array(np.where(later, own, edge).view(np.int64)),
             pa.array(check.view(np.int64)),
             pa.array(key),
+            pa.array(mark),
             pa.array(pos.astype(np.int32)),
             pa.array(source, mask=~later),
             pa.array(source_pos.astype(np.int32), mask=~later),
         ]
-        return pa.RecordBatch.from_arrays(arrays, [*names, "source", "source_pos"])
+        return pa.RecordBatch.from_arrays(arrays, [*kinds, "source", "source_pos"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, parts, held = WordHashes(), [], 0
         for batch in batches:
             shared = batch.column("seeds")
-            for row, key, words in _texts(batch):
+            for row, key, mark, words in _texts(batch):
                 if not shared[row].is_valid:
                     continue
                 seeds = np.sort(shared[row].values.to_numpy().view(np.uint64))
@@ -122,7 +126,7 @@ def _edge_rows(seeded: DataFrame) -> DataFrame:
                 starts = np.flatnonzero(seeds[at] == own)
                 edge = window_hashes(coded, WINDOW)[starts]
                 check = window_hashes(mixed(coded ^ _OTHER), WINDOW)[starts]
-                parts.append((edge, check, np.full(len(starts), key), starts))
+                parts.append((edge, check, np.full(len(starts), key), np.full(len(starts), mark), starts))
                 held += len(starts)
                 if held >= ROWS_AT_ONCE:
                     yield settled(parts)
@@ -130,7 +134,7 @@ def _edge_rows(seeded: DataFrame) -> DataFrame:
         yield settled(parts)
 
     return seeded.mapInArrow(
-        run, "edge bigint, check bigint, key bigint, pos int, source bigint, source_pos int"
+        run, "edge bigint, check bigint, key bigint, mark bigint, pos int, source bigint, source_pos int"
     )
 
 
@@ -148,14 +152,14 @@ def paths_of(at: np.ndarray, source: np.ndarray, source_at: np.ndarray) -> list[
 
 
 def _exact_copies(docs: DataFrame) -> DataFrame:
-    """``(copy)``: ids of documents whose whole text an earlier one has."""
+    """``(copy, copy_mark)``: documents whose whole text an earlier one has."""
     slim = docs.where(F.col("key").isNotNull() & F.col("text").isNotNull()).select(
-        "key", F.xxhash64("text").alias("a"), F.xxhash64("text", F.lit(1)).alias("b"), F.length("text").alias("n")
+        "key", F.col("mark").alias("a"), F.xxhash64("text", F.lit(1)).alias("b"), F.length("text").alias("n")
     )
     least = slim.groupBy("a", "b", "n").agg(F.min("key").alias("least"), F.max("key").alias("most"))
     several = least.where(F.col("least") < F.col("most")).drop("most")
     later = slim.join(several, ["a", "b", "n"]).where(F.col("key") > F.col("least"))
-    return later.select(F.col("key").alias("copy"), F.col("a").alias("mark")).distinct()
+    return later.select(F.col("key").alias("copy"), F.col("a").alias("copy_mark")).distinct()
 
 
 def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -172,28 +176,29 @@ def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     edges looked at meet in one shuffle, where each finds the first place that
     holds it; a second, independent hash confirms it there.
 
-    The texts are shuffled once, by key, for both passes over them. A seed or
-    edge in very many documents is settled inside each task first.
+    The texts are shuffled once, by key and a hash of the text (``mark``, which
+    tells apart different texts under one key), for both passes over them. A seed
+    or edge in very many documents is settled inside each task first.
     """
-    docs = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
+    docs = df.select(
+        F.col(key).cast("bigint").alias("key"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text")
+    )
     copies = written(_exact_copies(docs), "copies")
     n_copies = copies.count()
-    marked = docs.withColumn("__m", F.xxhash64("text"))
-    is_copy = (F.col("key") == F.col("copy")) & (F.col("__m") == F.col("mark"))
-    firsts = marked.join(small_side(copies, n_copies), is_copy, "left_anti").select("key", "text")
+    is_copy = (F.col("key") == F.col("copy")) & (F.col("mark") == F.col("copy_mark"))
+    firsts = docs.join(small_side(copies, n_copies), is_copy, "left_anti").select("key", "mark", "text")
     alike = Window.partitionBy("seed", "salt")
     shared = (
         _seed_rows(firsts)
         .withColumn("holders", F.count(F.lit(1)).over(alike))
         .where(F.col("known") | (F.col("holders") > 1))
-        .groupBy(F.col("key").alias("__key"))
+        .groupBy(F.col("key").alias("__key"), F.col("mark").alias("__mark"))
         .agg(F.collect_set("seed").alias("seeds"))
     )
     shared = written(shared, "seeds")
     # Left joins, alike but for their right sides: Spark shuffles the texts once.
-    seeded = docs.join(shared.hint("merge"), F.col("key") == F.col("__key"), "left").select(
-        "key", "text", "seeds"
-    )
+    own = (F.col("key") == F.col("__key")) & (F.col("mark") == F.col("__mark"))
+    seeded = docs.join(shared.hint("merge"), own, "left").select("key", "mark", "text", "seeds")
     place = Window.partitionBy("edge")
     first = F.min(F.struct("key", "pos", "check")).over(place)
     edges = (
@@ -205,19 +210,18 @@ def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         )
         .select(
             F.col("key").alias("__key"),
+            F.col("mark").alias("__mark"),
             F.struct(
                 "pos",
                 F.coalesce("source", "first.key").alias("source"),
                 F.coalesce("source_pos", "first.pos").alias("source_pos"),
             ).alias("window"),
         )
-        .groupBy("__key")
+        .groupBy("__key", "__mark")
         .agg(F.collect_set("window").alias("windows"))
     )
-    found = docs.join(edges.hint("merge"), F.col("key") == F.col("__key"), "left").select("key", "text", "windows")
-    flagged = found.withColumn("__m", F.xxhash64("text")).join(
-        small_side(copies, n_copies), is_copy, "left"
-    )
+    found = docs.join(edges.hint("merge"), own, "left").select("key", "mark", "text", "windows")
+    flagged = found.join(small_side(copies, n_copies), is_copy, "left")
     return flagged.select(
         F.col("key").alias(key), F.col("text").alias(text), F.col("copy").isNotNull().alias("copy"), "windows"
     )

@@ -6,6 +6,7 @@ import math
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -156,6 +157,20 @@ def test_substrings(spark, sf, documents):
         assert (r["n_words"], r["n_removed"], r["kept_sha256"]) == (len(words), len(gone), sha(kept))
 
 
+def test_substrings_of_two_texts_under_one_id(spark, tmp_path):
+    shared, own = [f"w{i}" for i in range(20)], [f"u{i}" for i in range(20)]
+    rows = [(1, " ".join(shared)), (2, " ".join([*shared, "x"])), (2, " ".join(own)), (2, " ".join(own)), (2, None), (None, " ".join(shared)), (3, " ".join(own))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = queries.substrings.digests(docs).collect()
+    expected = [(1, 20, 0, shared), (2, 21, 20, ["x"]), (2, 20, 0, own), (2, 20, 0, own), (2, 0, 0, []), (None, 20, 0, shared), (3, 20, 20, [])]
+    expected = [(k, n, gone, sha(" ".join(kept))) for k, n, gone, kept in expected]
+    assert collections.Counter(map(tuple, found)) == collections.Counter(expected)
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+        assert collections.Counter(db.execute(queries.ORACLE["op7_substrings"]).fetchall()) == collections.Counter(expected)
+
+
 def test_spans_follow_their_source(spark, sf, documents):
     text = {d["doc_id"]: plain(d["text"]) for d in documents}
     found = queries.substrings.spans(queries.documents(spark, sf)).collect()
