@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from batchlens.llm.vocabulary import ChunkEncoder, Vocabulary, flattened, vocabulary
+from batchlens.llm.vocabulary import ChunkEncoder, Vocabulary, flattened, of_one_task, vocabulary
 
 _NEVER = 1 << 60
 TEXTS_AT_ONCE = 256
@@ -120,9 +120,8 @@ def trie(path: str) -> TrieEncoder:
     return TrieEncoder(vocabulary(path))
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
-    """One per worker and vocabulary, so that chunks stay known between batches."""
+    """One for each task, so that chunks stay known between its batches."""
     return ChunkEncoder(vocabulary(path), trie(path).encode_new)
 
 
@@ -140,15 +139,17 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     """``df`` without its text, with the token ids of it (``array<int>``).
 
     NULL and empty texts have no ids. A column named ``ids`` is replaced. Each
-    text is encoded where it lies, without a shuffle; a worker keeps at most
-    ``CHUNKS_KEPT`` chunks, and the texts at hand, in memory.
+    text is encoded where it lies, without a shuffle; a task keeps at most
+    ``CHUNKS_KEPT`` chunks of ``SIZE_KEPT`` characters and ids in all, and the
+    texts at hand, in memory.
     """
     kept = [c for c in df.columns if c not in (text, ids)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            column = pa.array(list(encoder(path).encode_all(_texts(batch, text))), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], column], [*kept, ids])
+        with of_one_task(encoder(path)) as own:
+            for batch in _slices(batches):
+                column = pa.array(list(own.encode_all(_texts(batch, text))), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], column], [*kept, ids])
 
     fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept]
     return df.select(*kept, text).mapInArrow(run, ", ".join([*fields, f"`{ids}` array<int>"]))
@@ -174,17 +175,18 @@ def digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         back = trie(path)
         signs = [str(i) for i in range(len(back.words.bytes_of))]
-        for batch in _slices(batches):
-            counts, hashed, decoded = [], [], []
-            for array in encoder(path).encode_all(_texts(batch, text)):
-                ids = array.tolist()
-                counts.append(len(ids))
-                hashed.append(hashlib.sha256(",".join([signs[i] for i in ids]).encode()).hexdigest())
-                decoded.append(hashlib.sha256(back.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(counts, pa.int64()), pa.array(hashed, pa.string()), pa.array(decoded, pa.string())],
-                [key, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        with of_one_task(encoder(path)) as own:
+            for batch in _slices(batches):
+                counts, hashed, decoded = [], [], []
+                for array in own.encode_all(_texts(batch, text)):
+                    ids = array.tolist()
+                    counts.append(len(ids))
+                    hashed.append(hashlib.sha256(",".join([signs[i] for i in ids]).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(back.decode(ids).encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(key), pa.array(counts, pa.int64()), pa.array(hashed, pa.string()), pa.array(decoded, pa.string())],
+                    [key, "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, text).mapInArrow(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchlens.llm.tables import new_folder
-from batchlens.llm.vocabulary import ChunkEncoder, flattened, library_tokenizer, vocabulary
+from batchlens.llm.vocabulary import ChunkEncoder, flattened, library_tokenizer, of_one_task, vocabulary
 
 TEXTS_AT_ONCE = 256
 
@@ -53,7 +52,6 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return values
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
     """By the tokenizers library, which is asked once per distinct chunk."""
     library = library_tokenizer(path)
@@ -93,9 +91,10 @@ def id_ranks(df: DataFrame, path: str, text: str, key: str, end_id: int) -> np.n
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(size, dtype=np.int64)
-        for _, texts in _texts(batches, key, text):
-            totals += encoder(path).count(texts, size)
-            totals[end_id] += len(texts)
+        with of_one_task(encoder(path)) as own:
+            for _, texts in _texts(batches, key, text):
+                totals += own.count(texts, size)
+                totals[end_id] += len(texts)
         seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(totals[seen])], ["id", "n"])
 
@@ -132,23 +131,24 @@ def write_ids(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        for keys, texts in _texts(batches, key, text):
-            ids = [np.append(i, np.int32(end_id)) for i in encoder(path).encode_all(texts)]
-            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            starts = before + np.cumsum(counts) - counts
-            before += int(counts.sum())
-            packed = [pack(shared.value[i]) for i in ids]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    keys,
-                    pa.array(counts),
-                    pa.array(np.full(len(ids), part, dtype=np.int32)),
-                    pa.array(starts),
-                    pa.array([c for c, _ in packed], pa.binary()),
-                    pa.array([d for _, d in packed], pa.binary()),
-                ],
-                [key, "n_tokens", "part", "before", "control", "data"],
-            )
+        with of_one_task(encoder(path)) as own:
+            for keys, texts in _texts(batches, key, text):
+                ids = [np.append(i, np.int32(end_id)) for i in own.encode_all(texts)]
+                counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+                starts = before + np.cumsum(counts) - counts
+                before += int(counts.sum())
+                packed = [pack(shared.value[i]) for i in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        keys,
+                        pa.array(counts),
+                        pa.array(np.full(len(ids), part, dtype=np.int32)),
+                        pa.array(starts),
+                        pa.array([c for c, _ in packed], pa.binary()),
+                        pa.array([d for _, d in packed], pa.binary()),
+                    ],
+                    [key, "n_tokens", "part", "before", "control", "data"],
+                )
 
     kind = df.schema[key].dataType.simpleString()
     # By a hash of the text: sampled keys, texts among them, go to the driver.

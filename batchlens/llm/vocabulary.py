@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
+import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 # Fixed value: the pattern by which byte-level BPE cuts texts before merging.
@@ -90,8 +94,10 @@ def library_tokenizer(path: str):
     return tokenizer
 
 
-# Distinct chunks a worker keeps, and marks that are one byte and so one token.
+# Distinct chunks a task keeps, and their characters and ids; marks that are one
+# byte and so one token.
 CHUNKS_KEPT = 1_000_000
+SIZE_KEPT = 4_000_000
 MARKS = (",", ".")
 
 
@@ -114,9 +120,9 @@ class ChunkEncoder:
         """``encode_new`` gets chunks and gives their ids, end to end, and how many
         each has; it is told whether the chunks may be put end to end too."""
         self.words, self._encode_new = words, encode_new
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self._spaced: dict[str, int] = {}
         self._plain: dict[str, int] = {}
         self._lengths = np.zeros(0, dtype=np.int64)
@@ -124,9 +130,11 @@ class ChunkEncoder:
         self._whole = np.zeros(0, dtype=bool)
         self._uses = np.zeros(0, dtype=np.int64)
         self._flat = np.zeros(0, dtype=np.int32)
+        self._held = 0
 
     def _add(self, spaced: list[str], plain: list[str], flat: np.ndarray, lengths: np.ndarray, whole: np.ndarray) -> None:
         first = len(self._lengths)
+        self._held += sum(map(len, spaced)) + sum(map(len, plain)) + len(flat)
         self._spaced.update(zip(spaced, range(first, first + len(spaced)), strict=True))
         self._plain.update(zip(plain, range(first + len(spaced), first + len(lengths)), strict=True))
         self._starts = np.concatenate([self._starts, len(self._flat) + np.cumsum(lengths) - lengths])
@@ -171,11 +179,12 @@ class ChunkEncoder:
         self._lengths, self._whole = lengths, self._whole[kept]
         self._starts = np.cumsum(lengths) - lengths
         self._uses = np.zeros(len(lengths), dtype=np.int64)
-        if len(lengths) > CHUNKS_KEPT // 2:
-            self._clear()
+        self._held = sum(map(len, self._spaced)) + sum(map(len, self._plain)) + len(self._flat)
+        if len(lengths) > CHUNKS_KEPT // 2 or self._held > SIZE_KEPT // 2:
+            self.clear()
 
     def _slots(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self._lengths) >= CHUNKS_KEPT:
+        if len(self._lengths) >= CHUNKS_KEPT or self._held >= SIZE_KEPT:
             self._forget()
         cut = [t.split(" ") for t in texts]
         self._learn(set(chain.from_iterable(c[1:] for c in cut)), {c[0] for c in cut})
@@ -216,3 +225,18 @@ def _gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+
+
+
+@contextmanager
+def of_one_task(encoder: ChunkEncoder) -> Iterator[ChunkEncoder]:
+    """``encoder``, emptied at the end of the task. Its memory goes back to the
+    system, since a Python worker lives on, idle, beside the tasks of later stages."""
+    try:
+        yield encoder
+    finally:
+        encoder.clear()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform.startswith("linux") else None
+        if trim is not None:
+            trim(0)
