@@ -15,7 +15,8 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("P
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlens.functions import media, prompts
+from batchlens.functions import media, prompts, variants
+from batchlens.functions import sql as sql_functions
 from batchlens.operators import audio, backends, chat, chunks, models, totals
 from batchlens.operators.align import align_chunks, align_turns
 from batchlens.operators.joins import join_media
@@ -333,6 +334,18 @@ def q_parse_media_json(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_parse_media_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns from text with two bad elements in every third file and every third broken."""
+    bad = '[7,{"speaker":"x","segment":{"start":"soon","end":1.0}}'
+    text, rest = F.col("diarization"), F.pmod("file_ids", F.lit(3))
+    planted = F.when(text == "[]", F.lit(bad + "]")).otherwise(
+        F.concat(F.lit(bad + ","), F.expr("substr(diarization, 2)"))
+    )
+    damaged = F.when(rest == 0, planted).when(rest == 1, F.concat(F.lit("{"), text)).otherwise(text)
+    files = q_turns_json(spark, sf).select("file_ids", damaged.alias("diarization"))
+    return variants.turns_from_variant(files, "file_ids", "diarization")
+
+
 def _joined(spark: SparkSession, sf: str) -> DataFrame:
     spoken, overheard = given.spoken(spark, sf), given.overheard(spark, sf)
     return join_media(
@@ -354,6 +367,56 @@ def q_media_join(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _sql_views(spark: SparkSession, sf: str) -> None:
+    sql_functions.register(spark)
+    given.audio_files(spark, sf).createOrReplaceTempView("audio_files")
+    _transcripts(given.spoken(spark, sf)).createOrReplaceTempView("transcriptions")
+    _diarizations(given.overheard(spark, sf)).createOrReplaceTempView("diarizations")
+
+
+def q_sql_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    sql_functions.register(spark)
+    given.documents(spark, sf).createOrReplaceTempView("asked")
+    return spark.sql(
+        f"""SELECT id, llama_prompt('{SYSTEM}', text) AS llama, mistral_prompt(text) AS mistral,
+                   chatml_prompt('{SYSTEM}', text) AS chatml FROM asked"""
+    )
+
+
+def q_sql_token_totals(spark: SparkSession, sf: str) -> DataFrame:
+    sql_functions.register(spark)
+    _generations(spark, sf).createOrReplaceTempView("generations")
+    return spark.sql(
+        """SELECT n_tokens(sum(length(text))) AS input_tokens,
+                  n_tokens(sum(length(generated))) AS output_tokens, count(*) AS total_ct
+           FROM generations"""
+    )
+
+
+def q_sql_media_join(spark: SparkSession, sf: str) -> DataFrame:
+    _sql_views(spark, sf)
+    return spark.sql(
+        """SELECT f.file_ids, f.file_name, f.file_path,
+                  CASE WHEN t.transcription IS NOT NULL THEN size(t.transcription) END AS n_chunks,
+                  CASE WHEN d.diarization IS NOT NULL THEN size(d.diarization) END AS n_turns
+           FROM audio_files f
+           LEFT JOIN transcriptions t ON t.file_ids = f.file_ids
+           LEFT JOIN diarizations d ON d.file_ids = f.file_ids"""
+    )
+
+
+def q_sql_media_final_turns(spark: SparkSession, sf: str) -> DataFrame:
+    _sql_views(spark, sf)
+    return spark.sql(
+        """SELECT file_ids, position, m.speaker, m.text, get(m.timestamp, 0) AS start, get(m.timestamp, 1) AS `end`
+           FROM (SELECT f.file_ids, align_by_turn(t.transcription, d.diarization) AS merged
+                 FROM audio_files f
+                 JOIN transcriptions t ON t.file_ids = f.file_ids
+                 JOIN diarizations d ON d.file_ids = f.file_ids)
+           LATERAL VIEW posexplode(merged) AS position, m"""
+    )
+
+
 def q_media_final(spark: SparkSession, sf: str) -> DataFrame:
     return speech.attributed(_joined(spark, sf)).select(
         "file_ids",

@@ -326,3 +326,21 @@ ORACLE["replace_table"] = _GENERATIONS
 ORACLE["csv_by_header"] = ORACLE["csv_scan"]
 ORACLE["media_ranges"] = ORACLE["media_scan"]
 ORACLE["audio_rows"] = ORACLE["audio_prepare"]
+
+ORACLE |= {
+    "sql_prompts": f"""
+        SELECT doc_id AS id, {_llama('text')} AS llama, '[INST] ' || text || ' [/INST]' AS mistral,
+               {_chatml('text')} AS chatml
+        FROM documents""",
+    "sql_token_totals": ORACLE["token_totals"],
+    "sql_media_join": ORACLE["media_join"],
+    "sql_media_final_turns": ORACLE["media_final_turns"],
+    "parse_media_variant": f"""
+        WITH {_SPEECH}
+        SELECT f AS file_ids, CAST(CASE f % 3 WHEN 0 THEN k + 2 ELSE k END AS INTEGER) AS turn,
+               speaker, start, "end", CAST(NULL AS VARCHAR) AS problem
+        FROM tu WHERE f % 3 <> 1
+        UNION ALL SELECT page_id, 0, NULL, NULL, NULL, 'element' FROM pages WHERE page_id % 3 = 0
+        UNION ALL SELECT page_id, 1, 'x', NULL, 1.0, 'element' FROM pages WHERE page_id % 3 = 0
+        UNION ALL SELECT page_id, NULL, NULL, NULL, NULL, 'text' FROM pages WHERE page_id % 3 = 1""",
+}
