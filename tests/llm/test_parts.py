@@ -245,3 +245,14 @@ def test_languages_of_one_text_are_learnt(spark):
     assert models.languages == sorted(stocks) and np.isinf(models.limits).all()
     bits, _ = models.scores([t for _, t in rows[:12]])
     assert [models.languages[int(b.argmin())] for b in bits] == [k for k, _ in rows[:12]]
+
+
+def test_known_words_of_equal_counts(spark):
+    rows = [(f"often{i}".encode(), 9) for i in range(5)] + [(f"once{i}".encode(), 1) for i in range(4000)]
+    counts = spark.createDataFrame(rows, "word binary, n bigint")
+    found = lm.learn_vocabulary(counts, 3, network_words=50, known_words=1000)
+    again = lm.learn_vocabulary(counts.repartition(7), 3, network_words=50, known_words=1000)
+    assert found.place == again.place and found.network == 50
+    assert abs(len(found.place) - 1000) < 120 and {w for w, i in found.place.items() if i < 5} == {f"often{i}".encode() for i in range(5)}
+    assert (found.tokens, found.distinct) == (4048, 4006)
+    assert len(lm.learn_vocabulary(counts, 3).place) == 4005
