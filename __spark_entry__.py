@@ -21,6 +21,7 @@ from batchlens.operators import audio, backends, chat, chunks, models, totals
 from batchlens.operators.align import align_chunks, align_turns
 from batchlens.operators.joins import join_media
 from batchlens.operators.ordered import LongKeys, by_length, find_long_keys
+from batchlens.operators.table_functions import diarizer, transcriber
 from batchlens.operators.turns import speaker_turns
 from batchlens.operators.weights import deal_by_weight
 from batchlens.plans import captions as caption_flow
@@ -299,6 +300,18 @@ def q_diarize(spark: SparkSession, sf: str) -> DataFrame:
     return _segment_rows(raw)
 
 
+def q_transcribe_function(spark: SparkSession, sf: str) -> DataFrame:
+    spark.udtf.register("transcribed", transcriber(backends.script_reader()))
+    spoken = partitions.spread(given.spoken(spark, sf), partitions.AUDIO_JOB)
+    spoken.createOrReplaceTempView("spoken")
+    return spark.sql("SELECT file_ids, chunk, text, start, `end` FROM transcribed(TABLE(spoken))")
+
+
+def q_diarize_function(spark: SparkSession, sf: str) -> DataFrame:
+    speakers = diarizer(backends.script_speakers("<"))
+    return speakers(given.overheard(spark, sf).asTable())
+
+
 def q_diarize_bounds(spark: SparkSession, sf: str) -> DataFrame:
     bounds = backends.Speakers(at_least=2, at_most=3)
     speakers = backends.script_speakers("<")

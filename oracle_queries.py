@@ -326,6 +326,8 @@ ORACLE["replace_table"] = _GENERATIONS
 ORACLE["csv_by_header"] = ORACLE["csv_scan"]
 ORACLE["media_ranges"] = ORACLE["media_scan"]
 ORACLE["audio_rows"] = ORACLE["audio_prepare"]
+ORACLE["transcribe_function"] = ORACLE["transcribe"]
+ORACLE["diarize_function"] = ORACLE["diarize"]
 
 ORACLE |= {
     "sql_prompts": f"""
