@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from batchlens.llm.tables import small_side, written
@@ -17,7 +17,8 @@ WINDOW = 13
 SEED_WORDS = 5
 # Seeds or edges a task looks at together before it sends them on.
 ROWS_AT_ONCE = 1_000_000
-_OTHER = np.uint64(0xD6E8FEB86659FD93)
+# Windows of a run; cut at fixed places of the source, so that few differ.
+MOST_WINDOWS = 256
 
 
 def _seeds(hashes: np.ndarray) -> np.ndarray:
@@ -81,36 +82,75 @@ def _seed_rows(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "seed bigint, salt bigint, known boolean, key bigint, mark bigint")
 
 
+def runs_of(
+    key: np.ndarray, mark: np.ndarray, at: np.ndarray, source: np.ndarray, source_mark: np.ndarray, source_at: np.ndarray
+) -> list[np.ndarray]:
+    """Windows held at an earlier place, put together where they follow it window
+    by window: the six columns of each run's first window, and its words."""
+    order = np.lexsort((at, source_at - at, source_mark, source, mark, key))
+    columns = [c[order] for c in (key, mark, at, source, source_mark, source_at)]
+    if not len(order):
+        return [*columns, order]
+    # Repeated rows give each window more than once.
+    new = np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))
+    columns = [c[new] for c in columns]
+    follows = np.logical_and.reduce([np.diff(c) == step for c, step in zip(columns, (0, 0, 1, 0, 0, 1), strict=True)])
+    first = np.flatnonzero(np.append(True, ~follows | (columns[5][1:] % MOST_WINDOWS == 0)))
+    windows = np.diff(np.append(first, len(columns[0])))
+    return [*(c[first] for c in columns), windows + WINDOW - 1]
+
+
+# Columns of the edges a task sends on; runs have neither nodes nor ``most``.
+_EDGE = {
+    "from_node": "bigint", "to_node": "bigint", "enter": "bigint", "leave": "bigint",
+    "key": "bigint", "mark": "bigint", "pos": "int", "most": "bigint",
+    "n_words": "int", "source": "bigint", "source_mark": "bigint", "source_pos": "int",
+}
+
+
+def _agreed(values: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each group the value all its rows have, else 0."""
+    least, most = np.minimum.reduceat(values, first), np.maximum.reduceat(values, first)
+    return np.repeat(np.where(least == most, least, 0), sizes)
+
+
 def _edge_rows(seeded: DataFrame) -> DataFrame:
-    """``(edge, check, key, mark, pos, source, source_pos)``: windows with a shared seed.
+    """``_EDGE``: windows with a shared seed, as edges between 12-word nodes.
 
-    ``edge`` and ``check`` are independent hashes of the window. A window that an
-    earlier document of the same task holds gets it as source at once, and an
-    ``edge`` of its own to travel under: only the earliest holders in a task meet
-    those of other tasks.
+    ``enter`` is the node before ``from_node`` and ``leave`` the one after
+    ``to_node``, 0 at the ends of a text and where the task's holders of the edge
+    disagree. ``most`` is the greatest key among these holders. Only windows of
+    the earliest of them are sent as edges; the others have a source at once and
+    are sent as runs. So an edge in very many documents is a row or two per task.
     """
 
-    def settled(parts: list[tuple]) -> pa.RecordBatch:
-        kinds = {"edge": np.uint64, "check": np.uint64, "key": np.int64, "mark": np.int64, "pos": np.int64}
-        columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(5)]
-        edge, check, key, mark, pos = (c.astype(t) for c, t in zip(columns, kinds.values(), strict=True))
-        order = np.lexsort((pos, key, check, edge))
-        edge, check, key, mark, pos = edge[order], check[order], key[order], mark[order], pos[order]
-        first = np.flatnonzero(np.concatenate([[True], (edge[1:] != edge[:-1]) | (check[1:] != check[:-1])])) if len(edge) else np.zeros(0, np.int64)
-        sizes = np.diff(np.append(first, len(edge)))
-        source, source_pos = np.repeat(key[first], sizes), np.repeat(pos[first], sizes)
-        later = key > source
-        own = mixed(key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + pos.view(np.uint64))
+    def settled(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if not parts:
+            return
+        left, right, enter, leave, key, mark, pos = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((pos, mark, key, right, left))
+        left, right, enter, leave, key, mark, pos = (c[order] for c in (left, right, enter, leave, key, mark, pos))
+        if not len(left):
+            return
+        first = np.flatnonzero(np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
+        sizes = np.diff(np.append(first, len(left)))
+        at_first = [np.repeat(c[first], sizes) for c in (key, mark, pos)]
+        most = np.repeat(np.maximum.reduceat(key, first), sizes)
+        enter, leave = _agreed(enter, first, sizes), _agreed(leave, first, sizes)
+        later = key > at_first[0]
+        edges = [c[~later] for c in (left, right, enter, leave, key, mark, pos, most)]
+        yield _batch(dict(zip(list(_EDGE)[:8], edges, strict=True)), len(edges[0]))
+        runs = runs_of(key[later], mark[later], pos[later], *(c[later] for c in at_first))
+        names = ("key", "mark", "pos", "source", "source_mark", "source_pos", "n_words")
+        yield _batch(dict(zip(names, runs, strict=True)), len(runs[0]))
+
+    def _batch(columns: dict[str, np.ndarray], rows: int) -> pa.RecordBatch:
+        kinds = {"bigint": np.int64, "int": np.int32}
         arrays = [
-            pa.array(np.where(later, own, edge).view(np.int64)),
-            pa.array(check.view(np.int64)),
-            pa.array(key),
-            pa.array(mark),
-            pa.array(pos.astype(np.int32)),
-            pa.array(source, mask=~later),
-            pa.array(source_pos.astype(np.int32), mask=~later),
+            pa.array(columns[c].astype(kinds[t])) if c in columns else pa.nulls(rows, pa.from_numpy_dtype(kinds[t]))
+            for c, t in _EDGE.items()
         ]
-        return pa.RecordBatch.from_arrays(arrays, [*kinds, "source", "source_pos"])
+        return pa.RecordBatch.from_arrays(arrays, list(_EDGE))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, parts, held = WordHashes(), [], 0
@@ -124,31 +164,79 @@ def _edge_rows(seeded: DataFrame) -> DataFrame:
                 own = _seeds(coded)
                 at = np.minimum(np.searchsorted(seeds, own), len(seeds) - 1)
                 starts = np.flatnonzero(seeds[at] == own)
-                edge = window_hashes(coded, WINDOW)[starts]
-                check = window_hashes(mixed(coded ^ _OTHER), WINDOW)[starts]
-                parts.append((edge, check, np.full(len(starts), key), np.full(len(starts), mark), starts))
+                nodes = np.concatenate([[0], window_hashes(coded, WINDOW - 1).view(np.int64), [0]])
+                ends = [nodes[starts + i] for i in (1, 2, 0, 3)]
+                parts.append((*ends, np.full(len(starts), key), np.full(len(starts), mark), starts))
                 held += len(starts)
                 if held >= ROWS_AT_ONCE:
-                    yield settled(parts)
+                    yield from settled(parts)
                     parts, held = [], 0
-        yield settled(parts)
-
-    return seeded.mapInArrow(
-        run, "edge bigint, check bigint, key bigint, mark bigint, pos int, source bigint, source_pos int"
+        yield from settled(parts)
+
+    return seeded.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in _EDGE.items()))
+
+
+def _repeated_edges(rows: DataFrame) -> DataFrame:
+    """Edges that two documents hold, with their first place as source, ``enter``
+    and ``leave`` NULL unless all holders agree, and ``first`` for the row at that
+    place; runs as they are."""
+    # Runs have no nodes; their own hash deals them out.
+    dealt = rows.withColumn("__deal", F.coalesce("from_node", F.xxhash64("key", "mark", "pos", "source_pos")))
+    alike = Window.partitionBy("__deal", "to_node").orderBy("key", "mark", "pos")
+    whole = alike.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    agreed = lambda c: F.when((F.min(c).over(whole) == F.max(c).over(whole)) & (F.col(c) != 0), F.col(c))
+    is_run = F.col("n_words").isNotNull()
+    met = dealt.select(
+        "from_node", "to_node", agreed("enter").alias("enter"), agreed("leave").alias("leave"),
+        "key", "mark", "pos", "n_words",
+        F.max("most").over(whole).alias("__most"),
+        F.row_number().over(alike).alias("__nth"),
+        *(
+            F.when(is_run, F.col(c)).otherwise(F.first(own).over(whole)).alias(c)
+            for c, own in (("source", "key"), ("source_mark", "mark"), ("source_pos", "pos"))
+        ),
+    )
+    return met.where(is_run | (F.col("source") < F.col("__most"))).select(
+        *met.columns[:8], "source", "source_mark", "source_pos", (~is_run & (F.col("__nth") == 1)).alias("first")
     )
 
 
-def paths_of(at: np.ndarray, source: np.ndarray, source_at: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Windows with their sources compacted: ``(start, words, source, its start)``
-    for each longest run that follows the source window by window."""
-    order = np.lexsort((at, source_at - at, source))
-    at, source, source_at = at[order], source[order], source_at[order]
-    cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(source) != 0) | (np.diff(source_at) != 1)) + 1
-    return [
-        (int(at[i]), int(j - i + WINDOW - 1), int(source[i]), int(source_at[i]))
-        for i, j in zip(np.append(0, cut), np.append(cut, len(at)), strict=True)
-        if j > i
-    ]
+def _paths(edges: DataFrame) -> DataFrame:
+    """``(source, source_mark, source_pos, n_edges)``: the nonbranching paths of the
+    graph of repeated edges, at the first place of their first edge.
+
+    Two edges are joined at a node if whoever holds the first goes on with the
+    second, and whoever holds the second comes from the first. So all edges of a
+    path have the same holders, and its places are as consecutive in each as they
+    are in the graph. Edges that miss a partner on one side end a path there.
+    """
+    place = F.struct("source", "source_mark", "source_pos")
+    before = edges.where(F.col("leave").isNotNull()).select(
+        F.col("from_node").alias("a"), F.col("to_node").alias("b"), F.col("leave").alias("c"), place.alias("before")
+    )
+    after = edges.where(F.col("enter").isNotNull()).select(
+        F.col("enter").alias("a"), F.col("from_node").alias("b"), F.col("to_node").alias("c"), place.alias("after")
+    )
+    met = before.join(after, ["a", "b", "c"], "full").select("before", "after")
+    alone = met.where(F.col("before").isNull() | F.col("after").isNull()).select(
+        F.coalesce("after", "before").alias("at"), F.col("after").isNull().alias("last")
+    )
+    open_ends = edges.select(
+        place.alias("at"),
+        F.explode(
+            F.filter(
+                F.array(F.when(F.col("enter").isNull(), F.lit(False)), F.when(F.col("leave").isNull(), F.lit(True))),
+                lambda last: last.isNotNull(),
+            )
+        ).alias("last"),
+    )
+    ends = alone.unionByName(open_ends).select("at.*", "last")
+    following = F.lead("source_pos").over(Window.partitionBy("source", "source_mark").orderBy("source_pos", "last"))
+    return (
+        ends.withColumn("n_edges", following - F.col("source_pos") + 1)
+        .where(~F.col("last"))
+        .select("source", "source_mark", "source_pos", "n_edges")
+    )
 
 
 def _exact_copies(docs: DataFrame) -> DataFrame:
@@ -162,29 +250,10 @@ def _exact_copies(docs: DataFrame) -> DataFrame:
     return later.select(F.col("key").alias("copy"), F.col("a").alias("copy_mark")).distinct()
 
 
-def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, text, copy, windows)`` per row of ``df``: ``windows`` lists the
-    13-word windows that a document with a smaller key holds too, as structs of
-    ``pos`` and the coordinates ``source`` and ``source_pos`` of one such place;
-    NULL where there are none. ``copy`` marks later copies of a whole text,
-    whose every window is such; theirs are not listed.
-
-    The windows are the edges of a De Bruijn graph of words (from their first
-    twelve words to their last twelve). Edges that occur once need not be known:
-    a window is only looked at if the least of its 5-word hashes, its seed,
-    occurs in another document, and neighbouring windows mostly share a seed. The
-    edges looked at meet in one shuffle, where each finds the first place that
-    holds it; a second, independent hash confirms it there.
-
-    The texts are shuffled once, by key and a hash of the text (``mark``, which
-    tells apart different texts under one key), for both passes over them. A seed
-    or edge in very many documents is settled inside each task first.
-    """
-    docs = df.select(
-        F.col(key).cast("bigint").alias("key"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text")
-    )
-    copies = written(_exact_copies(docs), "copies")
-    n_copies = copies.count()
+def _spans(docs: DataFrame, copies: DataFrame, n_copies: int) -> DataFrame:
+    """``(key, mark, pos, n_words, source, source_mark, source_pos)``: stretches of
+    words that an earlier document holds too, as the hashes say. Together they
+    cover each repeated window of the documents that are not ``copies``."""
     is_copy = (F.col("key") == F.col("copy")) & (F.col("mark") == F.col("copy_mark"))
     firsts = docs.join(small_side(copies, n_copies), is_copy, "left_anti").select("key", "mark", "text")
     alike = Window.partitionBy("seed", "salt")
@@ -196,73 +265,145 @@ def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         .agg(F.collect_set("seed").alias("seeds"))
     )
     shared = written(shared, "seeds")
+    seeded = docs.join(shared, _own()).select("key", "mark", "text", "seeds")
+    met = written(_repeated_edges(_edge_rows(seeded)), "edges")
+    edges = met.where(F.col("n_words").isNull())
+    paths = written(_paths(edges.where("first")), "paths")
+    places = ["source", "source_mark", "source_pos"]
+    # Who holds the first edge of a path holds all of it.
+    held = (
+        edges.where(F.col("source") < F.col("key"))
+        .drop("n_words")
+        .join(small_side(paths, paths.count()), places)
+        .withColumn("n_words", F.col("n_edges") + (WINDOW - 1))
+    )
+    columns = ["key", "mark", "pos", "n_words", *places]
+    return written(held.select(columns).unionByName(met.where("n_words IS NOT NULL").select(columns)), "spans")
+
+
+def _own() -> Column:
+    """A text's own row of a table with one row per text."""
+    return (F.col("key") == F.col("__key")) & (F.col("mark") == F.col("__mark"))
+
+
+def _digest(words: list[str]) -> bytes:
+    return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def _read_at_source(found: DataFrame) -> DataFrame:
+    """``(source, source_mark, source_pos, n_words, digest)`` of the words at the
+    places listed as ``wanted``, once for repeated rows that follow each other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            rows = []
+            wanted = batch.column("wanted")
+            for row, key, mark, words in _texts(batch):
+                if wanted[row].is_valid and (key, mark) != last:
+                    last = key, mark
+                    for w in wanted[row].as_py():
+                        start, n = w["source_pos"], w["n_words"]
+                        rows.append((key, mark, start, n, _digest(words[start : start + n])))
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["source", "source_mark", "source_pos", "n_words", "digest"],
+            )
+
+    return found.mapInArrow(run, "source bigint, source_mark bigint, source_pos int, n_words int, digest binary")
+
+
+def repeated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, text, copy, spans)`` per row of ``df``: ``spans`` lists stretches of
+    words that a document with a smaller key holds too, as structs of ``pos``,
+    ``n_words``, the coordinates ``source`` and ``source_pos`` of one such place
+    and a ``digest`` of the words there; NULL where there are none. They cover
+    every 13-word window that an earlier document holds. ``copy`` marks later
+    copies of a whole text, of which that is true throughout; theirs are not listed.
+
+    The windows are the edges of a De Bruijn graph of words, from their first
+    twelve words to their last twelve. Edges that occur once need not be known: a
+    window is only looked at if the least of its 5-word hashes, its seed, occurs
+    in another document, and neighbouring windows mostly share a seed. The edges
+    meet in one shuffle; joins at their nodes compact those that have no branch
+    between them into paths; and a document gets the paths whose first edge it
+    holds. Windows that an earlier document of the same task holds are runs along
+    that document at once. Nodes are 64-bit hashes, an edge is two of them; the
+    words of each span are compared with those at its source before they go
+    (``_verified``).
+
+    ``mark``, a hash of the text, tells apart different texts under one key. A
+    seed or edge in very many documents is settled inside each task first.
+    """
+    docs = df.select(
+        F.col(key).cast("bigint").alias("key"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text")
+    )
+    copies = written(_exact_copies(docs), "copies")
+    n_copies = copies.count()
+    spans = _spans(docs, copies, n_copies)
+    places = ["source", "source_mark", "source_pos", "n_words"]
+    wanted = (
+        spans.select(places)
+        .distinct()
+        .groupBy(F.col("source").alias("__key"), F.col("source_mark").alias("__mark"))
+        .agg(F.collect_list(F.struct("source_pos", "n_words")).alias("wanted"))
+    )
     # Left joins, alike but for their right sides: Spark shuffles the texts once.
-    own = (F.col("key") == F.col("__key")) & (F.col("mark") == F.col("__mark"))
-    seeded = docs.join(shared.hint("merge"), own, "left").select("key", "mark", "text", "seeds")
-    place = Window.partitionBy("edge")
-    first = F.min(F.struct("key", "pos", "check")).over(place)
-    edges = (
-        _edge_rows(seeded)
-        .withColumn("first", first)
-        .where(
-            F.col("source").isNotNull()
-            | ((F.col("first.key") < F.col("key")) & (F.col("first.check") == F.col("check")))
-        )
-        .select(
-            F.col("key").alias("__key"),
-            F.col("mark").alias("__mark"),
-            F.struct(
-                "pos",
-                F.coalesce("source", "first.key").alias("source"),
-                F.coalesce("source_pos", "first.pos").alias("source_pos"),
-            ).alias("window"),
-        )
-        .groupBy("__key", "__mark")
-        .agg(F.collect_set("window").alias("windows"))
+    at_source = docs.join(wanted.hint("merge"), _own(), "left").select("key", "mark", "text", "wanted")
+    per_text = (
+        spans.join(_read_at_source(at_source).hint("merge"), places)
+        .groupBy(F.col("key").alias("__key"), F.col("mark").alias("__mark"))
+        .agg(F.collect_set(F.struct("pos", "n_words", "source", "source_pos", "digest")).alias("spans"))
     )
-    found = docs.join(edges.hint("merge"), own, "left").select("key", "mark", "text", "windows")
+    found = docs.join(per_text.hint("merge"), _own(), "left").select("key", "mark", "text", "spans")
+    is_copy = (F.col("key") == F.col("copy")) & (F.col("mark") == F.col("copy_mark"))
     flagged = found.join(small_side(copies, n_copies), is_copy, "left")
     return flagged.select(
-        F.col("key").alias(key), F.col("text").alias(text), F.col("copy").isNotNull().alias("copy"), "windows"
+        F.col("key").alias(key), F.col("text").alias(text), F.col("copy").isNotNull().alias("copy"), "spans"
     )
 
 
-def _kept_words(words: list[str], copy: bool, windows: list | None) -> list[str]:
+def _verified(words: list[str], listed: list[dict] | None) -> list[dict]:
+    """The spans whose words are those at their source."""
+    return [s for s in listed or () if _digest(words[s["pos"] : s["pos"] + s["n_words"]]) == s["digest"]]
+
+
+def _kept_words(words: list[str], copy: bool, listed: list[dict] | None) -> list[str]:
     if copy:
         return [] if len(words) >= WINDOW else words
-    if not windows:
+    if not listed:
         return words
     opened = np.zeros(len(words) + 1, dtype=np.int64)
-    starts = np.unique(np.array([w["pos"] for w in windows]))
-    starts = starts[starts <= len(words) - WINDOW]
-    opened[starts] += 1
-    opened[starts + WINDOW] -= 1
+    for span in _verified(words, listed):
+        opened[span["pos"]] += 1
+        opened[span["pos"] + span["n_words"]] -= 1
     return [words[i] for i in np.flatnonzero(np.cumsum(opened[:-1]) == 0)]
 
 
 def spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, start, n_words, source, source_start)``: the repeated windows of
-    ``repeated`` compacted to paths, in words; copies of whole texts left out."""
-    found = repeated(df, key, text).where(F.col("windows").isNotNull()).select(F.col(key).alias("key"), "windows")
+    """``(key, start, n_words, source, source_start)``: the verified spans of
+    ``repeated``, in words; copies of whole texts left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for k, windows in zip(batch.column("key").to_pylist(), batch.column("windows").to_pylist(), strict=True):
-                columns = [np.array([w[c] for w in windows]) for c in ("pos", "source", "source_pos")]
-                rows += [(k, *path) for path in paths_of(*columns)]
+            for k, t, listed in zip(*(batch.column(c).to_pylist() for c in (key, text, "spans")), strict=True):
+                for s in _verified(words_of(t), listed):
+                    rows.append((k, s["pos"], s["n_words"], s["source"], s["source_pos"]))
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], [key, "start", "n_words", "source", "source_start"]
             )
 
-    return found.mapInArrow(
+    return repeated(df, key, text).where(F.col("spans").isNotNull()).mapInArrow(
         run, f"{key} bigint, start bigint, n_words bigint, source bigint, source_start bigint"
     )
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, n_words, n_removed, kept)``: the words of each text that no window
+    """``(key, n_words, n_removed, kept)``: the words of each text that no span
     of ``repeated`` covers, joined by single spaces.
 
     Windows are judged on the input, so what one removal leaves does not bring
@@ -284,10 +425,10 @@ def _cleaned(df: DataFrame, key: str, text: str, digest: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, gone, kept = [], [], []
-            columns = [batch.column(c).to_pylist() for c in (text, "copy", "windows")]
-            for t, copy, windows in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in (text, "copy", "spans")]
+            for t, copy, listed in zip(*columns, strict=True):
                 words = words_of(t)
-                left = _kept_words(words, copy, windows)
+                left = _kept_words(words, copy, listed)
                 counts.append(len(words)), gone.append(len(words) - len(left))
                 joined = " ".join(left)
                 kept.append(hashlib.sha256(joined.encode()).hexdigest() if digest else joined)

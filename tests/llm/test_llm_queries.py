@@ -180,6 +180,71 @@ def test_spans_follow_their_source(spark, sf, documents):
         assert r.source < r.doc_id and own == text[r.source][r.source_start : r.source_start + r.n_words]
 
 
+def test_substrings_by_paths(spark):
+    """Many texts of a few words, in which paths branch, repeat, loop and end in all ways."""
+    rng = np.random.default_rng(3)
+    passages = [[f"p{p}w{i}" for i in range(int(rng.integers(13, 60)))] for p in range(6)] + [["a"] * 30, ["a", "b"] * 12]
+    rows = [(None, " ".join(passages[0])), (5, None), (6, ""), (7, "short text")]
+    for n in range(120):
+        words = []
+        for _ in range(int(rng.integers(1, 6))):
+            passage = passages[int(rng.integers(len(passages)))]
+            start = int(rng.integers(0, max(1, len(passage) - 14)))
+            words += passage[start : start + int(rng.integers(13, 50))] + [f"u{n}"] * int(rng.integers(0, 2))
+        rows.append((int(rng.integers(0, 90)), " ".join(words)))
+    rows += rows[-20:]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    first = {}
+    for key, text in rows:
+        words = plain(text)
+        for i in range(len(words) - 12 if key is not None else 0):
+            window = tuple(words[i : i + 13])
+            first[window] = min(first.get(window, key), key)
+    expected = []
+    for key, text in rows:
+        words = plain(text)
+        gone = set()
+        for i in range(len(words) - 12 if key is not None else 0):
+            if first[tuple(words[i : i + 13])] < key:
+                gone.update(range(i, i + 13))
+        expected.append((key, len(words), len(gone), sha(" ".join(w for i, w in enumerate(words) if i not in gone))))
+    assert collections.Counter(map(tuple, queries.substrings.digests(docs).collect())) == collections.Counter(expected)
+
+
+def test_substrings_settled_in_small_parts(spark, sf, documents, monkeypatch):
+    """Paths between tasks and runs within them give the same."""
+    whole = sorted(map(tuple, queries.op7_substrings(spark, sf).collect()))
+    monkeypatch.setattr(queries.substrings, "ROWS_AT_ONCE", 50)
+    assert sorted(map(tuple, queries.op7_substrings(spark, sf).collect())) == whole
+
+
+def test_paths_have_no_branches(spark):
+    """Four edges in a row with a branch after the second, at nodes 1 to 5."""
+    rows = [(1, 2, None, 3, 0), (2, 3, 1, None, 1), (3, 4, None, 5, 2), (4, 5, 3, None, 3), (3, 9, 2, None, 40)]
+    edges = spark.createDataFrame(
+        [(a, b, enter, leave, 7, 70, pos) for a, b, enter, leave, pos in rows],
+        "from_node bigint, to_node bigint, enter bigint, leave bigint, source bigint, source_mark bigint, source_pos int",
+    )
+    found = sorted((r.source_pos, r.n_edges) for r in queries.substrings._paths(edges).collect())
+    assert found == [(0, 2), (2, 2), (40, 1)]
+
+
+def test_runs_are_cut_at_places_of_the_source():
+    at = np.concatenate([np.arange(10, 610), np.arange(10, 20)])
+    whole = lambda value: np.full(len(at), value)
+    runs = queries.substrings.runs_of(whole(9), whole(90), at, whole(2), whole(20), at + 90)
+    assert [tuple(map(int, r)) for r in zip(*runs)] == [
+        (9, 90, 10, 2, 20, 100, 156 + 12), (9, 90, 166, 2, 20, 256, 256 + 12), (9, 90, 422, 2, 20, 512, 188 + 12),
+    ]
+
+
+def test_spans_that_differ_from_their_source_stay():
+    words = [f"w{i}" for i in range(15)]
+    span = {"pos": 1, "n_words": 13, "digest": queries.substrings._digest(words[1:14])}
+    assert queries.substrings._kept_words(words, False, [span]) == ["w0", "w14"]
+    assert queries.substrings._kept_words(words, False, [span | {"digest": b"other"}]) == words
+
+
 def library_ids(documents):
     tokenizer = library_tokenizer(default_path())
     return [tokenizer.encode(d["text"] or "", add_special_tokens=False).ids for d in in_order(documents)], tokenizer
