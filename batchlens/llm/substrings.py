@@ -100,10 +100,10 @@ def runs_of(
     return [*(c[first] for c in columns), windows + WINDOW - 1]
 
 
-# Columns of the edges a task sends on; runs have neither nodes nor ``most``.
+# Columns of the edges a task sends on; runs have neither nodes nor ``several``.
 _EDGE = {
     "from_node": "bigint", "to_node": "bigint", "enter": "bigint", "leave": "bigint",
-    "key": "bigint", "mark": "bigint", "pos": "int", "most": "bigint",
+    "key": "bigint", "mark": "bigint", "pos": "int", "several": "boolean",
     "n_words": "int", "source": "bigint", "source_mark": "bigint", "source_pos": "int",
 }
 
@@ -119,9 +119,9 @@ def _edge_rows(seeded: DataFrame) -> DataFrame:
 
     ``enter`` is the node before ``from_node`` and ``leave`` the one after
     ``to_node``, 0 at the ends of a text and where the task's holders of the edge
-    disagree. ``most`` is the greatest key among these holders. Only windows of
-    the earliest of them are sent as edges; the others have a source at once and
-    are sent as runs. So an edge in very many documents is a row or two per task.
+    disagree. Only windows of the earliest of these holders are sent as edges,
+    ``several`` if there are others; those have a source at once and are sent as
+    runs. So an edge in very many documents is a row or two per task.
     """
 
     def settled(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -135,17 +135,17 @@ def _edge_rows(seeded: DataFrame) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
         sizes = np.diff(np.append(first, len(left)))
         at_first = [np.repeat(c[first], sizes) for c in (key, mark, pos)]
-        most = np.repeat(np.maximum.reduceat(key, first), sizes)
+        several = np.repeat(np.maximum.reduceat(key, first) > key[first], sizes)
         enter, leave = _agreed(enter, first, sizes), _agreed(leave, first, sizes)
         later = key > at_first[0]
-        edges = [c[~later] for c in (left, right, enter, leave, key, mark, pos, most)]
+        edges = [c[~later] for c in (left, right, enter, leave, key, mark, pos, several)]
         yield _batch(dict(zip(list(_EDGE)[:8], edges, strict=True)), len(edges[0]))
         runs = runs_of(key[later], mark[later], pos[later], *(c[later] for c in at_first))
         names = ("key", "mark", "pos", "source", "source_mark", "source_pos", "n_words")
         yield _batch(dict(zip(names, runs, strict=True)), len(runs[0]))
 
     def _batch(columns: dict[str, np.ndarray], rows: int) -> pa.RecordBatch:
-        kinds = {"bigint": np.int64, "int": np.int32}
+        kinds = {"bigint": np.int64, "int": np.int32, "boolean": np.bool_}
         arrays = [
             pa.array(columns[c].astype(kinds[t])) if c in columns else pa.nulls(rows, pa.from_numpy_dtype(kinds[t]))
             for c, t in _EDGE.items()
@@ -177,28 +177,33 @@ def _edge_rows(seeded: DataFrame) -> DataFrame:
 
 
 def _repeated_edges(rows: DataFrame) -> DataFrame:
-    """Edges that two documents hold, with their first place as source, ``enter``
-    and ``leave`` NULL unless all holders agree, and ``first`` for the row at that
-    place; runs as they are."""
+    """Edges that two documents hold, and runs.
+
+    The row at an edge's first place has its nodes, with ``enter`` and ``leave``
+    NULL unless all holders agree; the rows of later documents have that place as
+    ``source`` instead. Runs stay as they are.
+    """
     # Runs have no nodes; their own hash deals them out.
     dealt = rows.withColumn("__deal", F.coalesce("from_node", F.xxhash64("key", "mark", "pos", "source_pos")))
     alike = Window.partitionBy("__deal", "to_node").orderBy("key", "mark", "pos")
     whole = alike.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     agreed = lambda c: F.when((F.min(c).over(whole) == F.max(c).over(whole)) & (F.col(c) != 0), F.col(c))
-    is_run = F.col("n_words").isNotNull()
     met = dealt.select(
-        "from_node", "to_node", agreed("enter").alias("enter"), agreed("leave").alias("leave"),
-        "key", "mark", "pos", "n_words",
-        F.max("most").over(whole).alias("__most"),
-        F.row_number().over(alike).alias("__nth"),
+        "from_node", "to_node", agreed("enter").alias("enter"), agreed("leave").alias("leave"), "key", "mark", "pos", "n_words",
         *(
-            F.when(is_run, F.col(c)).otherwise(F.first(own).over(whole)).alias(c)
+            F.when(F.col("n_words").isNotNull(), F.col(c)).otherwise(F.first(own).over(whole)).alias(c)
             for c, own in (("source", "key"), ("source_mark", "mark"), ("source_pos", "pos"))
         ),
+        (F.max("several").over(whole) | (F.max("key").over(whole) > F.first("key").over(whole))).alias("__repeated"),
+        (F.col("n_words").isNull() & (F.row_number().over(alike) == 1)).alias("__first"),
+    )
+    told = F.col("n_words").isNotNull() | (F.col("__first") & F.col("__repeated")) | (F.col("source") < F.col("key"))
+    only = lambda here, *names: [F.when(here, F.col(c)).alias(c) for c in names]
+    return met.where(told).select(
+        *only(F.col("__first"), "from_node", "to_node", "enter", "leave"),
+        "key", "mark", "pos", "n_words",
+        *only(~F.col("__first"), "source", "source_mark", "source_pos"),
     )
-    return met.where(is_run | (F.col("source") < F.col("__most"))).select(
-        *met.columns[:8], "source", "source_mark", "source_pos", (~is_run & (F.col("__nth") == 1)).alias("first")
-    )
 
 
 def _paths(edges: DataFrame) -> DataFrame:
@@ -267,12 +272,13 @@ def _spans(docs: DataFrame, copies: DataFrame, n_copies: int) -> DataFrame:
     shared = written(shared, "seeds")
     seeded = docs.join(shared, _own()).select("key", "mark", "text", "seeds")
     met = written(_repeated_edges(_edge_rows(seeded)), "edges")
-    edges = met.where(F.col("n_words").isNull())
-    paths = written(_paths(edges.where("first")), "paths")
     places = ["source", "source_mark", "source_pos"]
+    first = [F.col(own).alias(c) for c, own in zip(places, ("key", "mark", "pos"), strict=True)]
+    edges = met.where("from_node IS NOT NULL").select("from_node", "to_node", "enter", "leave", *first)
+    paths = written(_paths(edges), "paths")
     # Who holds the first edge of a path holds all of it.
     held = (
-        edges.where(F.col("source") < F.col("key"))
+        met.where("from_node IS NULL AND n_words IS NULL")
         .drop("n_words")
         .join(small_side(paths, paths.count()), places)
         .withColumn("n_words", F.col("n_edges") + (WINDOW - 1))
