@@ -29,6 +29,33 @@ def test_functions_equal_columns(spark):
     assert [tuple(r) for r in by_sql.collect()] == [tuple(r) for r in by_column.collect()]
 
 
+def test_alignment_is_computed_once_and_searches(spark):
+    sql.register(spark)
+    rng = random.Random(6)
+    rows = []
+    for n in range(6):
+        ends = sorted(rng.choice([rng.uniform(0, 90), float(rng.randint(0, 90))]) for _ in range(600))
+        cells = [{"text": f" w{i}", "timestamp": [0.0, e]} for i, e in enumerate(ends)]
+        turns = [{"segment": {"start": 0.0, "end": rng.uniform(0, 90)}, "speaker": f"s{i}"} for i in range(280 + n)]
+        rows.append((n, cells, turns))
+    df = spark.createDataFrame(rows, f"n int, chunks {media.CHUNKS}, turns {media.TURNS}")
+    df.createOrReplaceTempView("long_cells")
+    found = spark.sql("SELECT n, f FROM (SELECT n, align_by_turn(chunks, turns) AS f FROM long_cells) WHERE size(f) > 0")
+    # Where a filter takes the alignment in, the ends of the turns are read once, not in each step.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    (condition,) = [line for line in plan.splitlines() if "Filter" in line]
+    assert condition.count("segment.end") == 1
+    expected = df.select("n", media.align_by_turn(F.col("chunks"), F.col("turns")))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    # Ends and times for which a search and a look at every chunk would differ.
+    nan, inf = float("nan"), float("inf")
+    odd = spark.sql(
+        f"""SELECT turn_cuts(array(1D, 2D, 3D), array(double('{inf}'))),
+                   turn_cuts(array(1D, 2D, 3D), array(double('{nan}'))), turn_cuts(array(1D, NULL), array(0.5D))"""
+    )
+    assert tuple(odd.first()) == ([0], [0], [1])
+
+
 def test_bad_elements_stand_for_themselves(spark):
     good = '{"speaker":"a","segment":{"start":0.5,"end":1.0E1}}'
     rows = [
