@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class JobSize:
-    """``workers`` that must all have work, and the rows one task should take."""
+    """``workers`` that must all have work, the rows one task should take, and the
+    rows a model gets at once, by default all of a task's."""
 
     workers: int
     rows_per_task: int
+    rows_per_call: int | None = None
 
 
 # The three job shapes and the Arrow batch bound.
@@ -22,6 +24,9 @@ TEXT_JOB = JobSize(workers=4, rows_per_task=1024)
 AUDIO_JOB = JobSize(workers=2, rows_per_task=4096)
 IMAGE_JOB = JobSize(workers=1, rows_per_task=32)
 ARROW_BATCH_ROWS = 512
+# Pictures go to the model as few at once as in ``IMAGE_JOB``, but a task makes
+# many calls: starting a task costs more than 32 pictures of a large table.
+IMAGE_CALLS = JobSize(workers=1, rows_per_task=1024, rows_per_call=IMAGE_JOB.rows_per_task)
 
 # Media weigh far more than text: their batches are bounded by bytes too.
 ARROW_BATCH_BYTES = 64 * 1024 * 1024
@@ -53,7 +58,7 @@ def spread(df: DataFrame, size: JobSize | None) -> DataFrame:
 
 
 def rows_per_call(size: JobSize | None) -> int:
-    return ARROW_BATCH_ROWS if size is None else size.rows_per_task
+    return ARROW_BATCH_ROWS if size is None else size.rows_per_call or size.rows_per_task
 
 
 def cap_arrow_batches(

@@ -229,3 +229,19 @@ def test_model_calls_follow_the_job(spark):
     assert out.rdd.getNumPartitions() == 10
     seen = [int(r.caption) for r in out.collect()]
     assert len(seen) == 320 and max(seen) <= 32
+
+
+def test_a_task_makes_many_calls(spark):
+    from batchlens.plans import captions
+
+    def counting():
+        return lambda inputs, options: [str(len(inputs))] * len(inputs)
+
+    pictures = spark.range(20_000).select(F.concat(F.lit("/p/"), F.col("id").cast("string")).alias("file_path"))
+    out = captions.captions(pictures, counting)
+    # Tasks grow with the rows, but not with the calls.
+    assert out.rdd.getNumPartitions() == 20
+    seen = [int(r.caption) for r in out.collect()]
+    assert len(seen) == 20_000 and max(seen) == 32
+    plan = partitions.partition_plan(pictures, "image", partitions.IMAGE_JOB)
+    assert tuple(plan.first()) == ("image", 20_000, 625)
