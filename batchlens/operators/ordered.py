@@ -6,7 +6,8 @@ key is small and wrong once a single key holds a large part of the table. So
 and ``by_length`` runs a flow twice: over the ordinary keys with plain windows,
 and over the long ones, if there are any, in blocks. There rows are cut into
 range-partitioned blocks, each block is scanned on its own, and one summary row
-per block carries the state into the next blocks.
+per block carries the state into the next blocks. ``deal_by_key`` makes as many
+partitions of the ordinary keys as their rows need.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import types as T
 from batchlens.session import ensure_checkpoint_dir
 
 ROWS_PER_BLOCK = 1_000_000
+# Rows of ordinary keys a task should sort.
+ROWS_PER_TASK = 200_000
 # Hot keys are sent to all executors up to so many bytes of key values, and the
 # state carried between blocks up to so many rows of fixed width.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -124,6 +127,20 @@ def find_long_keys(
     return LongKeys(frame, tuple(keys), n_keys, n_rows, max_rows, n_bytes)
 
 
+def deal_by_key(df: DataFrame, keys: Sequence[str], rows_per_task: int | None = None) -> DataFrame:
+    """Rows dealt out by ``keys`` over as many partitions as their number needs
+    (counts them now), so that what a task sorts does not grow with the table.
+
+    Windows over ``keys`` that follow take no shuffle of their own. A table that
+    gives each slot at most a task's rows is left to those. A key is never
+    split: for long ones see ``by_length``.
+    """
+    needed = math.ceil(df.count() / (rows_per_task or ROWS_PER_TASK))
+    if needed <= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(needed, *keys)
+
+
 def by_length(
     long: LongKeys | None, run: Callable[..., DataFrame], *frames: DataFrame
 ) -> DataFrame:

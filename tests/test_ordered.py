@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from batchlens.operators.ordered import (
     by_length,
+    deal_by_key,
     find_long_keys,
     following,
     last_seen,
@@ -86,3 +87,33 @@ def test_filter_between_scans_may_empty_a_block(spark):
     out = with_running(kept, ["k"], ["id"], long, after=following(F.struct("id")))
     got = {r.id: r.after.id if r.after else None for r in out.collect()}
     assert got == {0: 100, 100: 200, 200: None}
+
+
+def test_tasks_grow_with_the_rows(spark):
+    df = spark.range(2000).select((F.col("id") % 97).alias("k"), (F.col("id") / 4).alias("t"), "id", F.lit(1).alias("v"))
+    assert deal_by_key(df, ["k"], 1000) is df
+    dealt = deal_by_key(df, ["k"], 100)
+    assert dealt.rdd.getNumPartitions() == 20
+    ran = running(dealt, None)
+    assert ran._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(ran.collect(), key=repr) == sorted(running(df, None).collect(), key=repr)
+
+
+@pytest.mark.parametrize("name", ["speaker_turns", "align_chunks", "align_turns", "align_any_order"])
+def test_queries_deal_files_by_their_rows(spark, tmp_path, monkeypatch, name):
+    import __spark_entry__ as entry_point
+    from batchlens.operators import ordered
+
+    rng = random.Random(3)
+    made = [
+        (i, rng.randrange(10_000) / 4, rng.choice([None, *range(40)]), rng.choice("ab"), rng.choice([0.5, 2.0, 9.5]), f"w{i}")
+        for i in range(1000)
+    ]
+    events = spark.createDataFrame(made, "event_id long, at double, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.timestamp_seconds("at")).drop("at").write.parquet(f"{tmp_path}/events.parquet")
+    query = entry_point.queries()[name]
+    plain = sorted(query(spark, str(tmp_path)).collect(), key=repr)
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 50)
+    dealt = query(spark, str(tmp_path))
+    assert sorted(dealt.collect(), key=repr) == plain
+    assert dealt.rdd.getNumPartitions() == 20
