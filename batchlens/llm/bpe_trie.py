@@ -15,6 +15,10 @@ from batchlens.llm.vocabulary import ChunkEncoder, Vocabulary, flattened, of_one
 
 _NEVER = 1 << 60
 TEXTS_AT_ONCE = 256
+# Bytes by which the tokens that may end a prefix are looked up, and how many
+# such endings are kept.
+ENDING = 4
+ENDINGS_KEPT = 1_000_000
 
 
 class TrieEncoder:
@@ -30,10 +34,12 @@ class TrieEncoder:
 
     def __init__(self, words: Vocabulary):
         self.words = words
-        self._longest: dict[bytes, int] = {}
+        longer: dict[bytes, set[int]] = {}
         for token in words.id_of:
-            end = token[-2:]
-            self._longest[end] = max(self._longest.get(end, 1), len(token))
+            if len(token) >= ENDING:
+                longer.setdefault(token[-ENDING:], set()).add(len(token))
+        self._longer = {end: tuple(sorted(found, reverse=True)) for end, found in longer.items()}
+        self._sizes: dict[bytes, tuple[int, ...]] = {}
         self._spines: tuple[dict, dict] = ({}, {})
         self._seams: dict[int, bool] = {}
 
@@ -75,9 +81,19 @@ class TrieEncoder:
             self._seams[left << 32 | right] = held
         return held
 
+    def _sizes_at(self, ending: bytes) -> tuple[int, ...]:
+        """The lengths of the tokens a prefix may end in, longest first, told from
+        its last ``ENDING`` bytes, or from all of a shorter prefix."""
+        short = [n for n in range(min(len(ending), ENDING - 1), 0, -1) if ending[-n:] in self.words.id_of]
+        found = (*self._longer.get(ending, ()), *short)
+        if len(self._sizes) >= ENDINGS_KEPT:
+            self._sizes.clear()
+        self._sizes[ending] = found
+        return found
+
     def _walk(self, words: list[bytes]) -> Iterator[tuple[int, ...]]:
         """The ids of sorted distinct words."""
-        id_of, longest, seam = self.words.id_of, self._longest, self._seam_holds
+        id_of, sizes, seams = self.words.id_of, self._sizes, self._seams
         path: list[tuple[int, int]] = [(-1, 0)]  # per prefix: last token, length before it
         before = b""
         for word in words:
@@ -86,13 +102,21 @@ class TrieEncoder:
                 shared += 1
             del path[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                start = max(0, end - longest.get(word[max(0, end - 2) : end], 1))
-                while True:
+                ending = word[max(0, end - ENDING) : end]
+                for size in sizes.get(ending) or self._sizes_at(ending):
+                    start = end - size
+                    if start < 0:
+                        continue
                     token = id_of.get(word[start:end])
-                    if token is not None and (start == 0 or seam(path[start][0], token)):
-                        path.append((token, start))
-                        break
-                    start += 1
+                    if token is None:
+                        continue
+                    if start:
+                        left = path[start][0]
+                        holds = seams.get(left << 32 | token)
+                        if not (self._seam_holds(left, token) if holds is None else holds):
+                            continue
+                    path.append((token, start))
+                    break
             ids, at = [], len(word)
             while at:
                 token, at = path[at]
@@ -108,7 +132,12 @@ class TrieEncoder:
         plain = sorted({p.encode() for p in chain.from_iterable(cut) if p not in special})
         for word, ids in zip(plain, self._walk(plain), strict=True):
             known[word.decode()] = ids
-        return flattened([tuple(chain.from_iterable([known[p] for p in pieces])) for pieces in cut])
+        return flattened(
+            [
+                known[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable([known[p] for p in pieces]))
+                for pieces in cut
+            ]
+        )
 
     def decode(self, ids: list[int]) -> str:
         table = self.words.bytes_of
