@@ -204,8 +204,14 @@ def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _windows(read: DataFrame, filters, plan: Plan) -> DataFrame:
     """``(lang, gram, n)``: from each place the longest sequence that may be
-    frequent, two words at least, filled up with breaks."""
+    frequent, two words at least, filled up with breaks.
+
+    Each task sends a row for every sequence it holds, most tasks the same ones,
+    so one task per slot reads the codes, not one per file split; what a task
+    holds is bounded by ``plan.buffer``.
+    """
     longest = plan.longest
+    slots = read.sparkSession.sparkContext.defaultParallelism
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[np.ndarray]] = {}
@@ -262,7 +268,7 @@ def _windows(read: DataFrame, filters, plan: Plan) -> DataFrame:
         merge()
         yield from out()
 
-    return _blocks(read).mapInArrow(run, "lang string, gram binary, n bigint")
+    return _blocks(read).coalesce(slots).mapInArrow(run, "lang string, gram binary, n bigint")
 
 
 def _prefix_counts(windows: DataFrame, plan: Plan) -> DataFrame:

@@ -3,6 +3,7 @@
 import collections
 import re
 
+import numpy as np
 import pytest
 
 from batchlens.llm import phrases, queries
@@ -94,3 +95,14 @@ def test_exact_arithmetic(spark):
         "(CAST(l * 1000000000 AS DECIMAL(18,0)) * CAST(r * 1000000000 AS DECIMAL(18,0))) AS s"
     ).first()
     assert value.s == 1000 * big * big // (21 * 10**18)
+
+
+def test_windows_are_sent_once_a_slot(spark):
+    codes = np.array([5, 6, 7, 8, 9], dtype=np.uint64).tobytes()
+    slots = spark.sparkContext.defaultParallelism
+    read = spark.createDataFrame([("a", codes)] * 40 * slots, "lang string, codes binary").repartition(4 * slots)
+    known = spark.sparkContext.broadcast([np.full(8, 255, dtype=np.uint8)])
+    rows = phrases._windows(read, known, phrases.Plan(longest=2)).collect()
+    assert len(rows) <= 4 * slots
+    assert sorted(collections.Counter(r["gram"] for r in rows)) == [bytes(7) + bytes([i]) + bytes(7) + bytes([i + 1]) for i in (5, 6, 7, 8)]
+    assert sum(r["n"] for r in rows) == 4 * 40 * slots
