@@ -383,3 +383,29 @@ def test_secrets_in_capitals(spark):
     assert re.fullmatch(r"PASSWORD=[A-Z]{6}[0-9][A-Z]; Token=[A-Z][a-z][0-9][a-z][A-Z][a-z]", new[2].text)
     assert "HUNTER2X" not in new[2].text and "Ab3dEf" not in new[2].text
     assert re.fullmatch("[0-9A-F]{32}", new[4].text) and new[4].text != texts[4]
+
+
+def test_substring_marks_take_no_room_where_ids_tell_texts_apart(spark):
+    shared = " ".join(f"w{i}" for i in range(20))
+    single = [(1, shared), (2, shared), (2, shared), (3, shared + " x"), (None, "a"), (None, "b")]
+    docs = queries.substrings._marked(spark.createDataFrame(single, "doc_id bigint, text string").coalesce(1), "doc_id", "text")
+    seeds = queries.substrings._seed_rows(docs).collect()
+    assert {r.mark for r in seeds} == {0} and {r.key for r in seeds} == {1, 2, 3}
+    assert any(r.salt for r in seeds) and all(0 <= r.salt < queries.substrings.SALTS for r in seeds)
+    clashing = spark.createDataFrame([*single, (2, None), (3, shared)], "doc_id bigint, text string")
+    marks = collections.defaultdict(set)
+    for r in queries.substrings._marked(clashing, "doc_id", "text").collect():
+        marks[r.key].add((r.mark, r.text))
+    assert {m for m, _ in marks[1]} == {0} and len({m for m, _ in marks[2]}) == len(marks[2]) == 2 and len({m for m, _ in marks[3]}) == 2
+
+
+def test_substring_tables_leave_no_shuffles(spark):
+    def shuffles():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in disk.getAllFiles().mkString(",").split(",") if "/shuffle_" in f}
+
+    before = shuffles()
+    counted = spark.range(5000).withColumn("x", queries.F.col("id") % 97).groupBy("x").count()
+    kept = queries.substrings._kept(counted, "counted")
+    assert not shuffles() - before
+    assert kept.count() == 97 and spark.conf.get(queries.substrings._DROP_SHUFFLES) == "false"
