@@ -15,10 +15,15 @@ from batchlens.llm.vocabulary import ChunkEncoder, Vocabulary, flattened, of_one
 
 _NEVER = 1 << 60
 TEXTS_AT_ONCE = 256
-# Bytes by which the tokens that may end a prefix are looked up, and how many
-# such endings are kept.
-ENDING = 4
-ENDINGS_KEPT = 1_000_000
+# Steps from byte to byte and seams that are kept.
+STEPS_KEPT = 250_000
+SEAMS_KEPT = 250_000
+
+
+# The ending of a prefix: its bytes, the tokens that end there (longest first, each
+# with its length and whether its seam to a token before it holds), and what
+# follows when a byte is added.
+Ending = tuple[bytes, list[tuple[int, int, dict[int, bool]]], dict[int, "Ending"]]
 
 
 class TrieEncoder:
@@ -30,18 +35,24 @@ class TrieEncoder:
     to the last token before it. The sorted words are the trie in depth-first
     order: the nodes of a word's longest common prefix with the word before it
     are still on the path, and only the rest is new.
+
+    Which tokens end a prefix is told by its longest ending that some token
+    starts with, so that only tokens that do occur there are tried. Such an
+    ending follows from that of the prefix without its last byte.
     """
 
     def __init__(self, words: Vocabulary):
         self.words = words
-        longer: dict[bytes, set[int]] = {}
-        for token in words.id_of:
-            if len(token) >= ENDING:
-                longer.setdefault(token[-ENDING:], set()).add(len(token))
-        self._longer = {end: tuple(sorted(found, reverse=True)) for end, found in longer.items()}
-        self._sizes: dict[bytes, tuple[int, ...]] = {}
+        opens = chain.from_iterable((token[:n] for n in range(1, len(token) + 1)) for token in words.id_of)
+        self._openings = {b"", *opens}
         self._spines: tuple[dict, dict] = ({}, {})
-        self._seams: dict[int, bool] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self._root: Ending = (b"", [], {})
+        self._endings = {b"": self._root}
+        self._seams: dict[int, dict[int, bool]] = {}
+        self._steps_kept = self._seams_kept = 0
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """The tokens on one edge (0 left, 1 right) while ``token`` is built, from
@@ -64,84 +75,89 @@ class TrieEncoder:
         Of equal merges the leftmost comes first: one inside ``left`` goes before
         the seam's, the seam's before one inside ``right``.
         """
-        held = self._seams.get(left << 32 | right)
-        if held is None:
-            rank = self.words.rank
-            held = True
-            for a, a_until in self._spine(left, 1):
-                for b, b_until in self._spine(right, 0):
-                    merge = rank.get((a, b))
-                    if merge is not None and merge < a_until and merge <= b_until:
-                        held = False
-                        break
-                if not held:
+        rank = self.words.rank
+        held = True
+        for a, a_until in self._spine(left, 1):
+            for b, b_until in self._spine(right, 0):
+                merge = rank.get((a, b))
+                if merge is not None and merge < a_until and merge <= b_until:
+                    held = False
                     break
-            if len(self._seams) >= 4_000_000:
-                self._seams.clear()
-            self._seams[left << 32 | right] = held
+            if not held:
+                break
+        self._seams[right][left] = held
+        self._seams_kept += 1
         return held
 
-    def _sizes_at(self, ending: bytes) -> tuple[int, ...]:
-        """The lengths of the tokens a prefix may end in, longest first, told from
-        its last ``ENDING`` bytes, or from all of a shorter prefix."""
-        short = [n for n in range(min(len(ending), ENDING - 1), 0, -1) if ending[-n:] in self.words.id_of]
-        found = (*self._longer.get(ending, ()), *short)
-        if len(self._sizes) >= ENDINGS_KEPT:
-            self._sizes.clear()
-        self._sizes[ending] = found
+    def _step(self, before: Ending, byte: int) -> Ending:
+        """The ending that follows when a byte is added."""
+        reached = before[0] + bytes([byte])
+        own = next(reached[n:] for n in range(len(reached) + 1) if reached[n:] in self._openings)
+        found = self._endings.get(own)
+        if found is None:
+            id_of = self.words.id_of
+            tokens = [(id_of[own[n:]], len(own) - n) for n in range(len(own)) if own[n:] in id_of]
+            found = own, [(token, size, self._seams.setdefault(token, {})) for token, size in tokens], {}
+            self._endings[own] = found
+        before[2][byte] = found
+        self._steps_kept += 1
         return found
 
     def _walk(self, words: list[bytes]) -> Iterator[tuple[int, ...]]:
         """The ids of sorted distinct words."""
-        id_of, sizes, seams = self.words.id_of, self._sizes, self._seams
-        path: list[tuple[int, int]] = [(-1, 0)]  # per prefix: last token, length before it
+        if self._steps_kept >= STEPS_KEPT or self._seams_kept >= SEAMS_KEPT:
+            self._forget()
+        seam_holds = self._seam_holds
+        # Per prefix: its ending, and its last token with its length.
+        endings: list[Ending] = [self._root]
+        path: list[tuple[int, int, dict[int, bool]]] = [(-1, 0, {})]
         before = b""
         for word in words:
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del path[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                ending = word[max(0, end - ENDING) : end]
-                for size in sizes.get(ending) or self._sizes_at(ending):
-                    start = end - size
-                    if start < 0:
-                        continue
-                    token = id_of.get(word[start:end])
-                    if token is None:
-                        continue
-                    if start:
-                        left = path[start][0]
-                        holds = seams.get(left << 32 | token)
-                        if not (self._seam_holds(left, token) if holds is None else holds):
-                            continue
-                    path.append((token, start))
-                    break
-            ids, at = [], len(word)
-            while at:
-                token, at = path[at]
-                ids.append(token)
+            del endings[shared + 1 :], path[shared + 1 :]
+            ending, end = endings[shared], shared
+            for byte in word[shared:]:
+                end += 1
+                ending = ending[2].get(byte) or self._step(ending, byte)
+                for last in ending[1]:
+                    token, size, seams = last
+                    if size == end:
+                        break
+                    left = path[end - size][0]
+                    holds = seams.get(left)
+                    if holds or holds is None and seam_holds(left, token):
+                        break
+                endings.append(ending)
+                path.append(last)
+            ids = []
+            while end:
+                last = path[end]
+                ids.append(last[0])
+                end -= last[1]
             before = word
-            yield tuple(reversed(ids))
+            yield tuple(ids[::-1])
 
     def encode_new(self, chunks: list[str], _: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """The ids of chunks of text, by a walk over their distinct pieces."""
-        cut = [self.words.pieces(c) for c in chunks]
+        # A word of ASCII letters, with the space before it, is one piece.
+        cut = [[c] if c[:1] == " " and c[1:].isalpha() and c.isascii() else self.words.pieces(c) for c in chunks]
         special = self.words.special
         known: dict[str, tuple[int, ...]] = {p: (i,) for p, i in special.items()}
         plain = sorted({p.encode() for p in chain.from_iterable(cut) if p not in special})
         for word, ids in zip(plain, self._walk(plain), strict=True):
             known[word.decode()] = ids
         return flattened(
-            [
-                known[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable([known[p] for p in pieces]))
-                for pieces in cut
-            ]
+            [known[pieces[0]] if len(pieces) == 1 else [i for p in pieces for i in known[p]] for pieces in cut]
         )
 
     def decode(self, ids: list[int]) -> str:
-        table = self.words.bytes_of
-        return b"".join([table[i] for i in ids]).decode("utf-8", errors="replace")
+        return text_of(self.words.bytes_of, ids)
+
+
+def text_of(table: list[bytes], ids: list[int]) -> str:
+    return b"".join(map(table.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
 @lru_cache(maxsize=2)
@@ -154,10 +170,6 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(vocabulary(path), trie(path).encode_new)
 
 
-def _texts(batch: pa.RecordBatch, text: str) -> list[str]:
-    return [t or "" for t in batch.column(text).to_pylist()]
-
-
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
@@ -177,7 +189,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with of_one_task(encoder(path)) as own:
             for batch in _slices(batches):
-                column = pa.array(list(own.encode_all(_texts(batch, text))), pa.list_(pa.int32()))
+                column = pa.array(list(own.encode_all(batch.column(text))), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], column], [*kept, ids])
 
     fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept]
@@ -189,8 +201,9 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> Da
     kept = [c for c in df.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = vocabulary(path).bytes_of
         for batch in _slices(batches):
-            texts = pa.array([trie(path).decode(i or []) for i in batch.column(ids).to_pylist()], pa.string())
+            texts = pa.array([text_of(table, i or []) for i in batch.column(ids).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], texts], [*kept, text])
 
     fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept]
@@ -202,16 +215,16 @@ def digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -
     from them, hashed where they are made instead of being moved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = trie(path)
-        signs = [str(i) for i in range(len(back.words.bytes_of))]
+        table = vocabulary(path).bytes_of
+        signs = [str(i) for i in range(len(table))]
         with of_one_task(encoder(path)) as own:
             for batch in _slices(batches):
                 counts, hashed, decoded = [], [], []
-                for array in own.encode_all(_texts(batch, text)):
+                for array in own.encode_all(batch.column(text)):
                     ids = array.tolist()
                     counts.append(len(ids))
-                    hashed.append(hashlib.sha256(",".join([signs[i] for i in ids]).encode()).hexdigest())
-                    decoded.append(hashlib.sha256(back.decode(ids).encode()).hexdigest())
+                    hashed.append(hashlib.sha256(",".join(map(signs.__getitem__, ids)).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(text_of(table, ids).encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(key), pa.array(counts, pa.int64()), pa.array(hashed, pa.string()), pa.array(decoded, pa.string())],
                     [key, "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -13,6 +13,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # Fixed value: the pattern by which byte-level BPE cuts texts before merging.
@@ -143,17 +144,18 @@ class ChunkEncoder:
         self._whole = np.concatenate([self._whole, whole])
         self._uses = np.concatenate([self._uses, np.zeros(len(lengths), dtype=np.int64)])
 
-    def _learn(self, spaced: set[str], plain: set[str]) -> None:
-        new = spaced.difference(self._spaced)
+    def _learn(self, new: list[str], new_plain: list[str]) -> None:
+        """Takes up distinct chunks that are not known yet."""
         # A closing mark after a letter is a piece of its own.
         closed = [w for w in new if w[-1:] in MARKS and w[-2:-1].isalpha()]
-        new.difference_update(closed)
-        new.update({w[:-1] for w in closed}.difference(self._spaced))
-        new_plain = [w for w in plain if w not in self._plain]
-        new_plain += [m for m in MARKS if closed and m not in self._plain and m not in plain]
+        if closed:
+            rest = set(new).difference(closed)
+            rest.update(w for w in [w[:-1] for w in closed] if w not in self._spaced)
+            new = list(rest)
+            new_plain = new_plain + [m for m in MARKS if m not in self._plain and m not in new_plain]
         special = tuple(self.words.special)
         odd = [w for w in new if not w or w[0].isspace() or "<" in w and any(x in w for x in special)]
-        easy = list(new.difference(odd))
+        easy = list(set(new).difference(odd)) if odd else new
         for chunks, apart, own in ((easy, [], True), (odd, new_plain, False)):
             if chunks or apart:
                 flat, lengths = self._encode_new([" " + w for w in chunks] + apart, own)
@@ -165,7 +167,7 @@ class ChunkEncoder:
             lengths = self._lengths[stems] + 1
             starts = np.cumsum(lengths) - lengths
             flat = np.empty(int(lengths.sum()), dtype=np.int32)
-            flat[_gathered(starts, lengths - 1)] = self._flat[_gathered(self._starts[stems], lengths - 1)]
+            flat[gathered(starts, lengths - 1)] = self._flat[gathered(self._starts[stems], lengths - 1)]
             flat[starts + lengths - 1] = marks
             self._add(closed, [], flat, lengths, self._whole[stems])
 
@@ -175,7 +177,7 @@ class ChunkEncoder:
         self._spaced = {w: int(number[i]) for w, i in self._spaced.items() if kept[i]}
         self._plain = {w: int(number[i]) for w, i in self._plain.items() if kept[i]}
         starts, lengths = self._starts[kept], self._lengths[kept]
-        self._flat = self._flat[_gathered(starts, lengths)]
+        self._flat = self._flat[gathered(starts, lengths)]
         self._lengths, self._whole = lengths, self._whole[kept]
         self._starts = np.cumsum(lengths) - lengths
         self._uses = np.zeros(len(lengths), dtype=np.int64)
@@ -183,44 +185,70 @@ class ChunkEncoder:
         if len(lengths) > CHUNKS_KEPT // 2 or self._held > SIZE_KEPT // 2:
             self.clear()
 
-    def _slots(self, texts: list[str]) -> list[np.ndarray]:
+    def _numbers(self, spaced: list[str], plain: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of distinct chunks after a space and of other ones."""
+        self._learn([w for w in spaced if w not in self._spaced], [w for w in plain if w not in self._plain])
+        numbers = [
+            np.fromiter(map(known.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+            for known, chunks in ((self._spaced, spaced), (self._plain, plain))
+        ]
+        return numbers[0], numbers[1]
+
+    def _slots(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the chunks of all texts, end to end, and how many each text has."""
         if len(self._lengths) >= CHUNKS_KEPT or self._held >= SIZE_KEPT:
             self._forget()
-        cut = [t.split(" ") for t in texts]
-        self._learn(set(chain.from_iterable(c[1:] for c in cut)), {c[0] for c in cut})
-        found = []
-        for words in cut:
-            slots = np.empty(len(words), dtype=np.int64)
-            slots[0] = self._plain[words[0]]
-            slots[1:] = np.fromiter(map(self._spaced.__getitem__, words[1:]), dtype=np.int64, count=len(words) - 1)
-            found.append(slots)
-        odd = [n for n, slots in enumerate(found) if not self._whole[slots].all()]
-        if odd:
-            pieces = [self.words.pieces(texts[n]) for n in odd]
-            self._learn(set(), set(chain.from_iterable(pieces)))
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        if not len(texts):
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        # Each distinct chunk is looked up once.
+        cut = pc.split_pattern(texts, " ")
+        sizes = pc.list_value_length(cut).to_numpy().astype(np.int64)
+        chunks, firsts = cut.flatten(), np.cumsum(sizes) - sizes
+        after = np.ones(len(chunks), dtype=bool)
+        after[firsts] = False
+        spaced = chunks.filter(pa.array(after)).dictionary_encode()
+        plain = chunks.take(pa.array(firsts)).dictionary_encode()
+        numbers = self._numbers(_listed(spaced.dictionary), _listed(plain.dictionary))
+        every = np.empty(len(chunks), dtype=np.int64)
+        every[after] = numbers[0][spaced.indices.to_numpy()]
+        every[firsts] = numbers[1][plain.indices.to_numpy()]
+        odd = np.flatnonzero(~np.logical_and.reduceat(self._whole[every], firsts))
+        if len(odd):
+            pieces = [self.words.pieces(texts[int(n)].as_py()) for n in odd]
+            self._numbers([], list(dict.fromkeys(chain.from_iterable(pieces))))
+            found = np.split(every, firsts[1:])
             for n, own in zip(odd, pieces, strict=True):
                 found[n] = np.fromiter(map(self._plain.__getitem__, own), dtype=np.int64, count=len(own))
-        every = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+                sizes[n] = len(own)
+            every = np.concatenate(found)
         self._uses += np.bincount(every, minlength=len(self._uses))
-        return found
+        return every, sizes
 
-    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode_flat(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, end to end, and how many each text has."""
+        every, sizes = self._slots(texts)
+        lengths = self._lengths[every]
+        reached = np.concatenate([[0], np.cumsum(lengths)])
+        ends = np.cumsum(sizes)
+        return self._flat[gathered(self._starts[every], lengths)], reached[ends] - reached[ends - sizes]
+
+    def encode_all(self, texts: pa.Array | list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        for slots in self._slots(texts):
-            yield self._flat[_gathered(self._starts[slots], self._lengths[slots])]
+        ids, counts = self.encode_flat(texts)
+        yield from np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else ()
 
     def count(self, texts: list[str], size: int) -> np.ndarray:
         """How often each id occurs in the texts."""
-        found = self._slots(texts)
-        every = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
-        uses = np.bincount(every, minlength=len(self._lengths))
-        used = np.flatnonzero(uses)
-        ids = self._flat[_gathered(self._starts[used], self._lengths[used])]
-        weights = np.repeat(uses[used], self._lengths[used])
-        return np.bincount(ids, weights=weights, minlength=size).astype(np.int64)
+        return np.bincount(self.encode_flat(texts)[0], minlength=size)
+
+
+def _listed(texts: pa.Array) -> list[str]:
+    """``to_pylist`` by way of numpy, which takes a tenth of the time."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
 
 
-def _gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places of all runs, one after the other."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0

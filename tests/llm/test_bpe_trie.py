@@ -32,3 +32,23 @@ def test_few_tokens_are_tried():
     library = library_tokenizer(path)
     expected = [tuple(library.encode(p.decode(), add_special_tokens=False).ids) for p in pieces]
     assert found == expected
+
+
+def test_known_words_are_not_looked_up():
+    words = vocabulary.Vocabulary(vocabulary.default_path())
+    encoder = bpe_trie.TrieEncoder(words)
+    pieces = sorted({f" {a}{b}".encode() for a in ("pre", "tion", "über", "x") for b in ("ing", "ment", "ка", "42")})
+    first = list(encoder._walk(pieces))
+    words.id_of, Counted.asked = Counted(words.id_of), 0
+    assert list(encoder._walk(pieces)) == first and Counted.asked == 0
+
+
+def test_what_a_walk_keeps_is_forgotten(monkeypatch):
+    monkeypatch.setattr(bpe_trie, "SEAMS_KEPT", 50)
+    path = vocabulary.default_path()
+    encoder, library, rng = bpe_trie.TrieEncoder(vocabulary.vocabulary(path)), library_tokenizer(path), random.Random(3)
+    for _ in range(20):
+        pieces = sorted({bytes(rng.choices(b"aeinrst", k=rng.randint(1, 9))) for _ in range(30)})
+        expected = [tuple(library.encode(p.decode(), add_special_tokens=False).ids) for p in pieces]
+        assert list(encoder._walk(pieces)) == expected
+        assert encoder._seams_kept < 50 + 30 * 9 * 7
