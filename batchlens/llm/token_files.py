@@ -7,40 +7,45 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchlens.llm.tables import new_folder
-from batchlens.llm.vocabulary import ChunkEncoder, flattened, library_tokenizer, of_one_task, vocabulary
+from batchlens.llm.tables import new_folder, written
+from batchlens.llm.vocabulary import ChunkEncoder, flattened, gathered, library_tokenizer, of_one_task, vocabulary
 
-TEXTS_AT_ONCE = 256
+TEXTS_AT_ONCE = 512
 
 #: For each control byte the lengths of its four numbers.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.int64)
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes (two bits a number, four numbers a byte) and data bytes (the
-    1 to 4 low bytes of each number, little-endian)."""
+def pack_rows(values: np.ndarray, counts: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """For each row of so many numbers its control bytes (two bits a number, four
+    numbers a byte) and data bytes (the 1 to 4 low bytes of each number, little-endian)."""
     values = values.astype(np.uint32)
     extra = (values > 0xFF).astype(np.int64) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    codes = np.zeros(-(-len(values) // 4) * 4, dtype=np.uint8)
-    codes[: len(values)] = extra
-    quads = codes.reshape(-1, 4)
-    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
+    quads = -(-counts // 4)
+    codes = np.zeros(4 * int(quads.sum()), dtype=np.uint8)
+    codes[gathered(4 * (np.cumsum(quads) - quads), counts)] = extra
+    codes = codes.reshape(-1, 4)
+    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
     ends = np.cumsum(extra + 1)
     starts = ends - extra - 1
     data = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
     for k in range(4):
         has = extra >= k
         data[starts[has] + k] = values[has] >> np.uint32(8 * k)
-    return control.tobytes(), data.tobytes()
+    reached = np.concatenate([[0], ends])[np.cumsum(counts)]
+    return _rows(control, np.cumsum(quads)), _rows(data, reached)
 
 
-def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
-    """The inverse of ``pack``."""
-    lengths = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[:count]
+def unpack_rows(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
+    """The inverse of ``pack_rows``: the numbers of all rows, end to end."""
+    quads = -(-counts // 4)
+    lengths = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()
+    lengths = lengths[gathered(4 * (np.cumsum(quads) - quads), counts)]
     starts = np.cumsum(lengths) - lengths
     raw = np.frombuffer(data, dtype=np.uint8).astype(np.uint32)
     values = raw[starts]
@@ -52,6 +57,25 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return values
 
 
+def pack(values: np.ndarray) -> tuple[bytes, bytes]:
+    """Control and data bytes of one row."""
+    control, data = pack_rows(values, np.array([len(values)]))
+    return control[0].as_py(), data[0].as_py()
+
+
+def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
+    """The inverse of ``pack``."""
+    return unpack_rows(control, data, np.array([count]))
+
+
+def _rows(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values that end at these places of ``flat``."""
+    offsets = np.concatenate([[0], ends])
+    if offsets[-1] < 2**31:
+        return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(flat)])
+    return pa.array([flat[a:b].tobytes() for a, b in zip(offsets, offsets[1:])], pa.binary())
+
+
 def encoder(path: str) -> ChunkEncoder:
     """By the tokenizers library, which is asked once per distinct chunk."""
     library = library_tokenizer(path)
@@ -64,7 +88,7 @@ def encoder(path: str) -> ChunkEncoder:
             # are whose shows in the bytes they stand for.
             runs = ["".join(chunks[at : at + 500]) for at in range(0, len(chunks), 500)]
             ids, _ = flattened([e.ids for e in library.encode_batch_fast(runs, add_special_tokens=False)])
-            ends = np.cumsum(np.fromiter((len(c.encode()) for c in chunks), dtype=np.int64, count=len(chunks)))
+            ends = np.cumsum(pc.binary_length(pa.array(chunks, pa.string())).to_numpy(), dtype=np.int64)
             reached = np.cumsum(sizes[ids])
             last = np.searchsorted(reached, ends)
             if (reached[np.minimum(last, len(reached) - 1)] == ends).all():
@@ -74,31 +98,65 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(vocabulary(path), encode_new)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], key: str, text: str) -> Iterator[tuple[pa.Array, list[str]]]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            part = batch.slice(at, TEXTS_AT_ONCE)
-            yield part.column(key), [t or "" for t in part.column(text).to_pylist()]
+            yield batch.slice(at, TEXTS_AT_ONCE)
 
 
-def id_ranks(df: DataFrame, path: str, text: str, key: str, end_id: int) -> np.ndarray:
-    """Rank of each id by its frequency in all texts, ties by id.
+def _plain_type(path: str) -> np.dtype:
+    return np.dtype("<u2" if len(vocabulary(path).bytes_of) <= 1 << 16 else "<u4")
 
-    Ids are counted where the texts lie; a task sends a row per id, and the
+
+def plain_ids(df: DataFrame, path: str, end_id: int, key: str, text: str) -> DataFrame:
+    """``(key, __order, n_tokens, plain)``: a hash of the text, the number of its ids
+    and the ids, closed by ``end_id``, as compressed bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, kind = pa.Codec("zstd", compression_level=1), _plain_type(path)
+        with of_one_task(encoder(path)) as own:
+            for part in _parts(batches):
+                ids, counts = own.encode_flat(part.column(text))
+                ends = np.cumsum(counts + 1)
+                closed = np.full(len(ids) + len(counts), end_id, dtype=kind)
+                closed[gathered(ends - counts - 1, counts)] = ids
+                plain = [codec.compress(c, asbytes=True) for c in np.split(closed, ends[:-1])]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(key), part.column("__order"), pa.array(counts + 1), pa.array(plain, pa.binary())],
+                    [key, "__order", "n_tokens", "plain"],
+                )
+
+    kind = df.schema[key].dataType.simpleString()
+    hashed = df.select(key, F.xxhash64(text).alias("__order"), text)
+    return hashed.mapInArrow(run, f"`{key}` {kind}, __order bigint, n_tokens bigint, plain binary")
+
+
+def _plain(part: pa.RecordBatch, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows, end to end, and how many each has."""
+    codec, kind = pa.Codec("zstd"), _plain_type(path)
+    counts = part.column("n_tokens").to_numpy()
+    rows = zip(part.column("plain"), counts.tolist(), strict=True)
+    raw = [codec.decompress(p.as_buffer(), n * kind.itemsize, asbytes=True) for p, n in rows]
+    return np.frombuffer(b"".join(raw), dtype=kind), counts
+
+
+def id_ranks(encoded: DataFrame, path: str) -> np.ndarray:
+    """Rank of each id by its frequency in the rows of ``plain_ids``, ties by id.
+
+    Ids are counted where the rows lie; a task sends a row per id, and the
     ranking is over the vocabulary, whatever the size of the corpus.
     """
     size = len(vocabulary(path).bytes_of)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(size, dtype=np.int64)
-        with of_one_task(encoder(path)) as own:
-            for _, texts in _texts(batches, key, text):
-                totals += own.count(texts, size)
-                totals[end_id] += len(texts)
+        for part in _parts(batches):
+            totals += np.bincount(_plain(part, path)[0], minlength=size)
         seen = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(totals[seen])], ["id", "n"])
 
-    counted = df.select(key, text).mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = encoded.select("n_tokens", "plain")
+    counted = rows.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     totals = np.zeros(size, dtype=np.int64)
     for row in counted.collect():
         totals[row["id"]] = row["n"]
@@ -119,40 +177,37 @@ def write_ids(
     ``folder/ranks`` holds the id of each rank. NULL keys come first; documents
     with equal keys are ordered by a hash of their text. NULL texts have the end id alone.
 
-    Texts are encoded twice, for the counts and for the files, which moves
-    less than storing plain ids between the two would.
+    Texts are encoded once; their plain ids are written, compressed, to a folder of
+    their own, from which they are counted and then sorted in place of the texts.
     """
     spark = df.sparkSession
-    ranks = id_ranks(df, path, text, key, end_id)
+    encoded = written(plain_ids(df, path, end_id, key, text), "plain-ids")
+    ranks = id_ranks(encoded, path)
     by_rank = np.argsort(ranks)
     table = pa.table({"rank": np.arange(len(by_rank)), "id": by_rank})
     spark.createDataFrame(table).coalesce(1).write.parquet(f"{folder}/ranks")
     shared = spark.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before = TaskContext.get().partitionId(), 0
-        with of_one_task(encoder(path)) as own:
-            for keys, texts in _texts(batches, key, text):
-                ids = [np.append(i, np.int32(end_id)) for i in own.encode_all(texts)]
-                counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-                starts = before + np.cumsum(counts) - counts
-                before += int(counts.sum())
-                packed = [pack(shared.value[i]) for i in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        keys,
-                        pa.array(counts),
-                        pa.array(np.full(len(ids), part, dtype=np.int32)),
-                        pa.array(starts),
-                        pa.array([c for c, _ in packed], pa.binary()),
-                        pa.array([d for _, d in packed], pa.binary()),
-                    ],
-                    [key, "n_tokens", "part", "before", "control", "data"],
-                )
+        own, before = TaskContext.get().partitionId(), 0
+        for part in _parts(batches):
+            ids, counts = _plain(part, path)
+            starts = before + np.cumsum(counts) - counts
+            before += int(counts.sum())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(key),
+                    part.column("n_tokens"),
+                    pa.array(np.full(len(counts), own, dtype=np.int32)),
+                    pa.array(starts),
+                    *pack_rows(shared.value[ids], counts),
+                ],
+                [key, "n_tokens", "part", "before", "control", "data"],
+            )
 
     kind = df.schema[key].dataType.simpleString()
     # By a hash of the text: sampled keys, texts among them, go to the driver.
-    ordered = df.select(key, text).sort(key, F.xxhash64(text))
+    ordered = encoded.sort(key, "__order")
     records = ordered.mapInArrow(
         run, f"`{key}` {kind}, n_tokens bigint, part int, before bigint, control binary, data binary"
     )
@@ -178,10 +233,11 @@ def read_ids(spark, folder: str, key: str = "doc_id", digest: bool = False) -> D
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = batch.column("n_tokens").to_pylist()
-            coded = zip(batch.column("control"), batch.column("data"), counts, strict=True)
-            ids = [shared.value[unpack(c.as_py(), d.as_py(), n)] for c, d, n in coded]
+        for batch in _parts(batches):
+            counts = batch.column("n_tokens").to_numpy()
+            coded = [b"".join(batch.column(c).to_pylist()) for c in ("control", "data")]
+            flat = shared.value[unpack_rows(*coded, counts)]
+            ids = np.split(flat, np.cumsum(counts)[:-1])
             if digest:
                 last = pa.array([zlib.crc32(i.astype("<u4").tobytes()) for i in ids], pa.int64())
             else:

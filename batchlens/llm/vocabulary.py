@@ -28,6 +28,12 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id: all that decoding needs of a vocabulary."""
+    return Vocabulary(path).bytes_of
+
+
 def _byte_signs() -> dict[str, int]:
     """The printable sign that stands for each byte in vocabulary files: itself
     where it is printable Latin-1, else the next free sign from 256 on."""
@@ -238,10 +244,6 @@ class ChunkEncoder:
         ids, counts = self.encode_flat(texts)
         yield from np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else ()
 
-    def count(self, texts: list[str], size: int) -> np.ndarray:
-        """How often each id occurs in the texts."""
-        return np.bincount(self.encode_flat(texts)[0], minlength=size)
-
 
 def _listed(texts: pa.Array) -> list[str]:
     """``to_pylist`` by way of numpy, which takes a tenth of the time."""

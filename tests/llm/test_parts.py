@@ -256,3 +256,24 @@ def test_known_words_of_equal_counts(spark):
     assert abs(len(found.place) - 1000) < 120 and {w for w, i in found.place.items() if i < 5} == {f"often{i}".encode() for i in range(5)}
     assert (found.tokens, found.distinct) == (4048, 4006)
     assert len(lm.learn_vocabulary(counts, 3).place) == 4005
+
+
+def test_texts_are_encoded_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = [(None if i == 7 else i // 2, None if i % 9 == 0 else f"text {i}, and  {'more ' * i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = df.withColumn("text", F.udf(seen, "string").asNondeterministic()("text"))
+    path, folder = default_path(), str(tmp_path)
+    token_files.write_ids(texts, folder, path)
+    assert read.value == len(rows)
+    library = library_tokenizer(path)
+    expected = sorted((k is not None, k or 0, [*library.encode(t or "", add_special_tokens=False).ids, 2]) for k, t in rows)
+    found = token_files.read_ids(spark, folder).orderBy("start").collect()
+    assert sorted((r.doc_id is not None, r.doc_id or 0, list(r.ids)) for r in found) == expected
+    starts = np.cumsum([0, *[r.n_tokens for r in found]])[:-1]
+    assert [r.start for r in found] == starts.tolist() and [r.doc_id for r in found][0] is None
