@@ -11,10 +11,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from batchlens.llm.vocabulary import ChunkEncoder, Vocabulary, flattened, of_one_task, vocabulary
+from batchlens.llm.vocabulary import ChunkEncoder, Vocabulary, flattened, of_one_task, token_bytes, vocabulary
+from batchlens.plans.partitions import cap_arrow_batches
 
 _NEVER = 1 << 60
 TEXTS_AT_ONCE = 256
+# Of an Arrow batch, which the JVM and a worker each hold whole, on both sides of
+# encoding and decoding.
+ARROW_ROWS, ARROW_BYTES = 1_024, 4_000_000
 # Steps from byte to byte and seams that are kept.
 STEPS_KEPT = 250_000
 SEAMS_KEPT = 250_000
@@ -185,6 +189,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     texts at hand, in memory.
     """
     kept = [c for c in df.columns if c not in (text, ids)]
+    cap_arrow_batches(df.sparkSession, ARROW_ROWS, ARROW_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with of_one_task(encoder(path)) as own:
@@ -199,9 +204,10 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``df`` with the text of its ids; NULL ids give an empty text."""
     kept = [c for c in df.columns if c != text]
+    cap_arrow_batches(df.sparkSession, ARROW_ROWS, ARROW_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = vocabulary(path).bytes_of
+        table = token_bytes(path)
         for batch in _slices(batches):
             texts = pa.array([text_of(table, i or []) for i in batch.column(ids).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], texts], [*kept, text])

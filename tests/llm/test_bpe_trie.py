@@ -52,3 +52,13 @@ def test_what_a_walk_keeps_is_forgotten(monkeypatch):
         expected = [tuple(library.encode(p.decode(), add_special_tokens=False).ids) for p in pieces]
         assert list(encoder._walk(pieces)) == expected
         assert encoder._seams_kept < 50 + 30 * 9 * 7
+
+
+def test_batches_are_bounded_and_decoding_needs_no_trie(spark):
+    path = vocabulary.default_path()
+    df = spark.createDataFrame([(1, "a text, \n\n and  more"), (2, None)], "doc_id long, text string")
+    found = bpe_trie.decode(bpe_trie.encode(df, path), path).collect()
+    assert {r.doc_id: r.text for r in found} == {1: "a text, \n\n and  more", 2: ""}
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= bpe_trie.ARROW_BYTES
+    vocabulary.vocabulary.cache_clear()
+    assert vocabulary.token_bytes(path)[2] and not vocabulary.vocabulary.cache_info().currsize
