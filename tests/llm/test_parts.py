@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -208,6 +209,52 @@ def test_training_starts_texts_from_a_zero_state():
     assert np.allclose(one.vector(), two.vector(), atol=1e-4)
 
 
+def test_networks_trained_side_by_side_are_those_trained_alone(monkeypatch):
+    monkeypatch.setattr(lm, "LANES", 4)
+    rng = np.random.default_rng(4)
+    model = gru.GRU(gru.Shape(42, 5, 6), np.arange(42, 0, -1.0))
+    # One shard ends long before the others, one has no text.
+    shards = [[np.append(rng.integers(0, 41, n), 41) for n in sizes] for sizes in ((3, 40, 200, 17, 16), (5,), (), (90, 90, 0, 31))]
+    networks, seen = lm._trained([iter(texts) for texts in shards], model, 41)
+    assert seen.tolist() == [sum(map(len, texts)) for texts in shards]
+    assert np.array_equal(networks.vector(2), model.vector())
+    for k, texts in enumerate(shards):
+        alone = gru.GRU(gru.Shape(42, 5, 6), np.arange(42, 0, -1.0))
+        state = np.zeros((4, 6), np.float32)
+        for inputs, targets, used, kept in lm._lanes(iter(texts), 41):
+            rate = lm.RATE * int(used.sum()) / (lm.STEPS * 4)
+            state, _ = alone.train(inputs, targets, used, state[kept], rate, 41)
+        assert np.allclose(networks.vector(k), alone.vector(), atol=1e-4)
+
+
+def test_texts_of_a_task_go_to_their_shards():
+    words = lm.Vocabulary({b"a": 0, b"b": 1}, np.array([5, 3]), 2, 20, 4, 2)
+    batch = pa.RecordBatch.from_pydict({"shard": [9, 8, 9, 11, 8], "text": ["a", "B b", None, "x\u00a0y z", " a\x0b"]})
+    streams = lm._streams(lm._numbered(iter([batch.slice(0, 2), batch.slice(2)]), words), range(8, 12))
+    assert [[t.tolist() for t in s] for s in reversed(streams)] == [[[2, 2, 3]], [], [[0, 3], [3]], [[1, 1, 3], [0, 3]]]
+
+
+def test_texts_are_cut_as_their_tokens(monkeypatch):
+    texts = ["", " ", "a  B\tc\nD\x0bE\x0cF\rg ", "\u00c4\u00a0x \u2003y", None, "\x1c a\x00b", "I\u0307 \u0130"]
+    flat, sizes = lm._cut(pa.array(texts, pa.string()))
+    expected = [lm.tokens_of(t) for t in texts]
+    assert flat.to_pylist() == [w for own in expected for w in own] and sizes.tolist() == [len(own) for own in expected]
+    monkeypatch.setattr(lm, "TEXT_AT_ONCE", 5)
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    assert pa.Table.from_batches(lm._parts(iter([batch]))).column("text").to_pylist() == texts
+
+
+def test_words_are_counted_over_many_parts(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.expovariate(0.02))}" for _ in range(30)) for _ in range(300)] + [None, "", " "]
+    expected = Counter(w for t in texts for w in lm.tokens_of(t))
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    for held in (50, 400_000):
+        monkeypatch.setattr(lm, "WORDS_HELD", held)
+        monkeypatch.setattr(lm, "TEXT_AT_ONCE", 500)
+        assert {bytes(r["word"]): r["n"] for r in lm.word_counts(df).collect()} == expected
+
+
 @pytest.mark.parametrize("depth", [1, 2, 3])
 def test_runs_keep_the_recall_of_sets_that_hold_each_other(depth):
     plan = jaccard.Plan(depth=depth)
