@@ -12,49 +12,49 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from batchlens.llm.tables import new_folder, written
-from batchlens.llm.vocabulary import ChunkEncoder, flattened, gathered, library_tokenizer, of_one_task, vocabulary
+from batchlens.llm.tables import by_bytes, new_folder, written
+from batchlens.llm.vocabulary import SIZE_KEPT, ChunkEncoder, flattened, gathered, library_tokenizer, of_one_task, vocabulary
 
 TEXTS_AT_ONCE = 512
+# Bytes of text encoded at once: the chunks they have in common are looked up once.
+TEXT_AT_ONCE = 8 << 20
 
 #: For each control byte the lengths of its four numbers.
-LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.int64)
+LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
+
+
+def _filled(counts: np.ndarray, quads: np.ndarray) -> np.ndarray:
+    """Of the places in the control bytes of all rows, which ones have a number."""
+    filled = np.ones(4 * int(quads.sum()), dtype=bool)
+    missing = 4 * quads - counts
+    for k in range(1, 4):
+        filled[4 * np.cumsum(quads)[missing >= k] - k] = False
+    return filled
 
 
 def pack_rows(values: np.ndarray, counts: np.ndarray) -> tuple[pa.Array, pa.Array]:
     """For each row of so many numbers its control bytes (two bits a number, four
     numbers a byte) and data bytes (the 1 to 4 low bytes of each number, little-endian)."""
-    values = values.astype(np.uint32)
-    extra = (values > 0xFF).astype(np.int64) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    values = values.astype("<u4")
+    extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
     quads = -(-counts // 4)
-    codes = np.zeros(4 * int(quads.sum()), dtype=np.uint8)
-    codes[gathered(4 * (np.cumsum(quads) - quads), counts)] = extra
+    filled = _filled(counts, quads)
+    codes = np.zeros(len(filled), dtype=np.uint8)
+    codes[filled] = extra
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    ends = np.cumsum(extra + 1)
-    starts = ends - extra - 1
-    data = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
-    for k in range(4):
-        has = extra >= k
-        data[starts[has] + k] = values[has] >> np.uint32(8 * k)
-    reached = np.concatenate([[0], ends])[np.cumsum(counts)]
+    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) <= extra[:, None]]
+    reached = np.concatenate([[0], np.cumsum(extra, dtype=np.int64)])[np.cumsum(counts)] + np.cumsum(counts)
     return _rows(control, np.cumsum(quads)), _rows(data, reached)
 
 
 def unpack_rows(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
     """The inverse of ``pack_rows``: the numbers of all rows, end to end."""
-    quads = -(-counts // 4)
-    lengths = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()
-    lengths = lengths[gathered(4 * (np.cumsum(quads) - quads), counts)]
-    starts = np.cumsum(lengths) - lengths
-    raw = np.frombuffer(data, dtype=np.uint8).astype(np.uint32)
-    values = raw[starts]
-    for k in range(1, 4):
-        has = lengths > k
-        if not has.any():
-            break
-        values[has] |= raw[starts[has] + k] << np.uint32(8 * k)
-    return values
+    filled = _filled(counts, -(-counts // 4))
+    lengths = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[filled]
+    values = np.zeros((len(lengths), 4), dtype=np.uint8)
+    values[np.arange(4, dtype=np.uint8) < lengths[:, None]] = np.frombuffer(data, dtype=np.uint8)
+    return values.view("<u4").ravel()
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -95,7 +95,7 @@ def encoder(path: str) -> ChunkEncoder:
                 return ids, np.diff(np.concatenate([[0], last + 1]))
         return flattened([e.ids for e in library.encode_batch_fast(chunks, add_special_tokens=False)])
 
-    return ChunkEncoder(vocabulary(path), encode_new)
+    return ChunkEncoder(vocabulary(path), encode_new, 2 * SIZE_KEPT)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +115,7 @@ def plain_ids(df: DataFrame, path: str, end_id: int, key: str, text: str) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, kind = pa.Codec("zstd", compression_level=1), _plain_type(path)
         with of_one_task(encoder(path)) as own:
-            for part in _parts(batches):
+            for part in by_bytes(batches, text, TEXT_AT_ONCE):
                 ids, counts = own.encode_flat(part.column(text))
                 ends = np.cumsum(counts + 1)
                 closed = np.full(len(ids) + len(counts), end_id, dtype=kind)

@@ -9,7 +9,7 @@ import sys
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -123,10 +123,10 @@ class ChunkEncoder:
     Chunks met once are forgotten when too many are kept.
     """
 
-    def __init__(self, words: Vocabulary, encode_new: Callable[[list[str], bool], tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, words: Vocabulary, encode_new: Callable[[list[str], bool], tuple[np.ndarray, np.ndarray]], size_kept: int | None = None):
         """``encode_new`` gets chunks and gives their ids, end to end, and how many
         each has; it is told whether the chunks may be put end to end too."""
-        self.words, self._encode_new = words, encode_new
+        self.words, self._encode_new, self._size_kept = words, encode_new, size_kept or SIZE_KEPT
         self.clear()
 
     def clear(self) -> None:
@@ -188,21 +188,23 @@ class ChunkEncoder:
         self._starts = np.cumsum(lengths) - lengths
         self._uses = np.zeros(len(lengths), dtype=np.int64)
         self._held = sum(map(len, self._spaced)) + sum(map(len, self._plain)) + len(self._flat)
-        if len(lengths) > CHUNKS_KEPT // 2 or self._held > SIZE_KEPT // 2:
+        if len(lengths) > CHUNKS_KEPT // 2 or self._held > self._size_kept // 2:
             self.clear()
 
     def _numbers(self, spaced: list[str], plain: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of distinct chunks after a space and of other ones."""
-        self._learn([w for w in spaced if w not in self._spaced], [w for w in plain if w not in self._plain])
-        numbers = [
-            np.fromiter(map(known.__getitem__, chunks), dtype=np.int64, count=len(chunks))
-            for known, chunks in ((self._spaced, spaced), (self._plain, plain))
-        ]
+        sides = (self._spaced, spaced), (self._plain, plain)
+        numbers = [np.fromiter(map(known.get, chunks, repeat(-1)), dtype=np.int64, count=len(chunks)) for known, chunks in sides]
+        places = [np.flatnonzero(found < 0) for found in numbers]
+        new = [[chunks[i] for i in at.tolist()] for at, (_, chunks) in zip(places, sides, strict=True)]
+        self._learn(*new)
+        for found, at, own, (known, _) in zip(numbers, places, new, sides, strict=True):
+            found[at] = np.fromiter(map(known.__getitem__, own), dtype=np.int64, count=len(own))
         return numbers[0], numbers[1]
 
     def _slots(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the chunks of all texts, end to end, and how many each text has."""
-        if len(self._lengths) >= CHUNKS_KEPT or self._held >= SIZE_KEPT:
+        if len(self._lengths) >= CHUNKS_KEPT or self._held >= self._size_kept:
             self._forget()
         texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         if not len(texts):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from batchlens.llm import bpe_trie, gru, jaccard, language, lm, quality, sharding, token_files
 from batchlens.llm.components import components
+from batchlens.llm.tables import by_bytes
 from batchlens.llm.vocabulary import default_path, library_tokenizer
 
 
@@ -234,14 +235,11 @@ def test_texts_of_a_task_go_to_their_shards():
     assert [[t.tolist() for t in s] for s in reversed(streams)] == [[[2, 2, 3]], [], [[0, 3], [3]], [[1, 1, 3], [0, 3]]]
 
 
-def test_texts_are_cut_as_their_tokens(monkeypatch):
+def test_texts_are_cut_as_their_tokens():
     texts = ["", " ", "a  B\tc\nD\x0bE\x0cF\rg ", "\u00c4\u00a0x \u2003y", None, "\x1c a\x00b", "I\u0307 \u0130"]
     flat, sizes = lm._cut(pa.array(texts, pa.string()))
     expected = [lm.tokens_of(t) for t in texts]
     assert flat.to_pylist() == [w for own in expected for w in own] and sizes.tolist() == [len(own) for own in expected]
-    monkeypatch.setattr(lm, "TEXT_AT_ONCE", 5)
-    batch = pa.RecordBatch.from_pydict({"text": texts})
-    assert pa.Table.from_batches(lm._parts(iter([batch]))).column("text").to_pylist() == texts
 
 
 def test_words_are_counted_over_many_parts(spark, monkeypatch):
@@ -305,6 +303,56 @@ def test_known_words_of_equal_counts(spark):
     assert len(lm.learn_vocabulary(counts, 3).place) == 4005
 
 
+def test_slices_hold_so_many_bytes():
+    texts = ["", None, "abc", "\u00c4", "a" * 12, "", "ab", "cd", "efg"]
+    parts = list(by_bytes(iter([pa.RecordBatch.from_pydict({"text": texts})]), "text", 5))
+    assert [t for p in parts for t in p.column("text").to_pylist()] == texts
+    assert all(sum(len((t or "").encode()) for t in p.column("text").to_pylist()[1:]) <= 5 for p in parts) and len(parts) == 3
+    nothing = pa.RecordBatch.from_pydict({"text": pa.array([], pa.string())})
+    assert list(by_bytes(iter([nothing]), "text", 5)) == []
+
+
+def test_known_chunks_are_looked_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *of):
+            Counted.asked += 1
+            return super().get(*of)
+
+        def __contains__(self, w):
+            Counted.asked += 1
+            return super().__contains__(w)
+
+        def __getitem__(self, w):
+            Counted.asked += 1
+            return super().__getitem__(w)
+
+    own = token_files.encoder(default_path())
+    texts = ["one two three", "three  four, <s> one", "", "one"]
+    before = [i.tolist() for i in own.encode_all(texts)]
+    own._spaced, own._plain = Counted(own._spaced), Counted(own._plain)
+    assert [i.tolist() for i in own.encode_all(["one three", "three two"])] == [i.tolist() for i in token_files.encoder(default_path()).encode_all(["one three", "three two"])]
+    assert Counted.asked == 4
+    assert [i.tolist() for i in own.encode_all(texts)] == before == library_tokenizer_ids(texts)
+
+
+def library_tokenizer_ids(texts):
+    return [library_tokenizer(default_path()).encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_packed_rows_of_all_lengths():
+    rng = random.Random(12)
+    rows = [[rng.choice([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1]) for _ in range(n)] for n in (0, 1, 2, 3, 4, 5, 0, 9, 0)]
+    counts = np.array([len(r) for r in rows])
+    control, data = token_files.pack_rows(np.array(sum(rows, []), dtype=np.uint32), counts)
+    for r, c, d in zip(rows, control.to_pylist(), data.to_pylist(), strict=True):
+        assert (len(c), len(d)) == (-(-len(r) // 4), sum(max(1, -(-v.bit_length() // 8)) for v in r))
+        assert token_files.unpack(c, d, len(r)).tolist() == r
+    whole = token_files.unpack_rows(b"".join(control.to_pylist()), b"".join(data.to_pylist()), counts)
+    assert whole.tolist() == sum(rows, [])
+
+
 def test_texts_are_encoded_once(spark, tmp_path):
     read = spark.sparkContext.accumulator(0)
 
