@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchlens.operators.models import apply_model
+from batchlens.sources.ranges import store_of
 
 
 def media_files(
@@ -17,14 +18,17 @@ def media_files(
     folder: str,
     pattern: str = "*",
     max_inline_bytes: int | None = None,
+    nested: bool = False,
 ) -> DataFrame:
-    """``(file_path, file_name, length, content)`` of the files in ``folder``.
+    """``(file_path, file_name, length, content)`` of the files in ``folder``, with
+    ``nested`` also of those in folders below it.
 
     With ``max_inline_bytes`` the content of files up to that size is read and
     larger ones carry NULL, for the task to open by path. Without it no file is
     opened at all.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", nested)
+    files = reader.option("pathGlobFilter", pattern).load(folder)
     named = [
         F.col("path").alias("file_path"),
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
@@ -53,6 +57,35 @@ def _empty_files(spark: SparkSession, files: DataFrame, content: bytes | None) -
     )
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` as the paths in it begin."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(path).toString().rstrip("/") + "/"
+
+
+def openable(spark: SparkSession, folder: str) -> bool:
+    """Whether tasks can open the files of ``folder`` by path: pyarrow knows its store."""
+    try:
+        store_of(_qualified(spark, folder))
+    except (OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
+def with_entries(files: DataFrame, folder: str) -> DataFrame:
+    """``media_files`` with ``entry_path`` and ``entry_name`` of what they belong to
+    in ``folder``: the file itself, or the folder there that it lies below."""
+    base = _qualified(files.sparkSession, folder)
+    path = F.col("file_path")
+    first = F.element_at(F.split(F.substring(path, len(base) + 1, 1 << 30), "/"), 1)
+    inside = path.startswith(base)
+    return files.withColumns({
+        "entry_path": F.when(inside, F.concat(F.lit(base), first)).otherwise(path),
+        "entry_name": F.when(inside, first).otherwise(F.col("file_name")),
+    })
+
+
 def attach_media(files: DataFrame, media: DataFrame) -> DataFrame:
     """``files`` with ``length`` and ``content`` of their file, NULL where it is
     not there. Paths match whether or not they name a file system."""

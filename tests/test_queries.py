@@ -65,6 +65,12 @@ def test_media_scan_opens_large_files(spark, sql, inline, monkeypatch):
     check(spark, sql, "media_scan")
 
 
+@pytest.mark.parametrize("held", [0, 20_000])
+def test_media_content_is_whole_beyond_what_a_task_holds(spark, sql, held, monkeypatch):
+    monkeypatch.setattr(entry_point, "CONTENT_BYTES", held)
+    check(spark, sql, "media_content")
+
+
 def test_entry(spark):
     row = entry_point.entry(spark).first()
     assert row.total_ct > 0 and row.input_tokens > row.output_tokens > 0
